@@ -127,3 +127,200 @@ UNION ALL BY NAME SELECT * FROM yellow_clean""",
     "partitioned_write": TAXI_CTE + """SELECT pickup_year, pickup_month, count(*) AS n_rows
 FROM green_clean GROUP BY pickup_year, pickup_month""",
 }
+
+
+# ------------------------------------------------------------------ metadata side
+
+CATALOG_ZONE = "tw_catalog"
+CATALOG_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+                  "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
+WATERMARK_ZONE = "tw_watermarks"
+WATERMARK_COLUMNS = {"orders": "o_orderdate", "lineitem": "l_shipdate", "events": "ts"}
+PROFILE_ZONE = "tw_profiles"
+PROFILE_TABLES = ("part", "customer", "region")
+EXPIRY_NOW_MS = 1705708800000
+CAP_ROWS_N = 5000
+CLUSTER = "my_delta_environment"
+
+# Numeric columns and their positions in the driver's tables (what a profile keeps).
+NUMERIC_COLUMNS = {
+    "lineitem": [("l_orderkey", 0), ("l_partkey", 1), ("l_suppkey", 2), ("l_linenumber", 3),
+                 ("l_quantity", 4), ("l_extendedprice", 5), ("l_discount", 6), ("l_tax", 7)],
+    "part": [("p_partkey", 0), ("p_size", 4), ("p_retailprice", 5)],
+    "customer": [("c_custkey", 0), ("c_nationkey", 2), ("c_acctbal", 3)],
+    "region": [("r_regionkey", 0)],
+}
+STAT_NAMES = ("count", "n_missing", "n_distinct", "n_zeros", "n_negative", "min", "max", "mean",
+              "stddev", "variance", "sum", "range", "skewness", "kurtosis", "cv",
+              "q05", "q25", "q50", "q75", "q95", "iqr")
+
+
+def _in(names) -> str:
+    return "(" + ", ".join(f"'{n}'" for n in names) + ")"
+
+
+SPARK_TYPE = """CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
+  WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
+  WHEN 'FLOAT[]' THEN 'array<float>' ELSE lower(data_type) END"""
+
+CATALOG_COLUMNS = f"""catalog_columns AS (
+  SELECT table_name, column_name, {SPARK_TYPE} AS column_type,
+         CAST(ordinal_position - 1 AS INTEGER) AS sort_order
+  FROM information_schema.columns WHERE table_name IN {_in(CATALOG_TABLES)})"""
+
+SCHEMA_KEY = f"'default://{CLUSTER}.{CATALOG_ZONE}'"
+
+
+def TEXT(x: str) -> str:
+    """Python-style text of a timestamp (fraction only when not zero)."""
+    return (f"CASE WHEN strftime({x}, '%f') = '000000' THEN strftime({x}, '%Y-%m-%d %H:%M:%S') "
+            f"ELSE strftime({x}, '%Y-%m-%d %H:%M:%S.%f') END")
+
+
+def LABEL(x: str) -> str:
+    return f"'ds=' || coalesce({TEXT(x)}, 'None')"
+
+
+def SIG(x: str, digits: int = 10) -> str:
+    e = f"floor(log10(abs({x})))"
+    return (f"(CASE WHEN ({x}) = 0 THEN 0.0 WHEN ({x}) IS NULL OR isnan({x}) THEN ({x}) "
+            f"WHEN {e} >= 0 THEN round(({x}) / pow(10, {e}), {digits - 1}) * pow(10, {e}) "
+            f"ELSE round(({x}) * pow(10, -{e}), {digits - 1}) / pow(10, -{e}) END)")
+
+
+def SHAPE(x: str) -> str:
+    """Shape statistics (dimensionless) keep 8 decimals: cancellation noise near 0 goes."""
+    return f"round({x}, 8)"
+
+
+def profile_sql(table: str, column: str, position: int) -> str:
+    x = "x"
+    qs = {"q05": 0.05, "q25": 0.25, "q50": 0.5, "q75": 0.75, "q95": 0.95}
+    parts = [
+        f"'{column}' AS column_name", f"CAST({position} AS INTEGER) AS column_position",
+        f"count({x}) AS count", f"count(*) - count({x}) AS n_missing", f"count(DISTINCT {x}) AS n_distinct",
+        f"{SIG(f'min({x})')} AS min", f"{SIG(f'max({x})')} AS max", f"{SIG(f'avg({x})')} AS mean",
+        f"{SIG(f'stddev_samp({x})')} AS stddev", f"{SIG(f'var_samp({x})')} AS variance",
+        f"{SIG(f'sum({x})')} AS sum", f"{SIG(f'max({x}) - min({x})')} AS range",
+        f"{SIG(SHAPE(f'CASE WHEN count({x}) < 3 THEN NULL WHEN var_pop({x}) = 0 THEN 0 ELSE skewness({x}) END'))} AS skewness",
+        f"{SIG(SHAPE(f'CASE WHEN count({x}) < 4 THEN NULL WHEN var_pop({x}) = 0 THEN 0 ELSE kurtosis({x}) END'))} AS kurtosis",
+        f"{SIG(f'CASE WHEN avg({x}) = 0 THEN NULL ELSE stddev_samp({x}) / avg({x}) END')} AS cv",
+        *[f"{SIG(f'quantile_cont({x}, {q})')} AS {k}" for k, q in qs.items()],
+        f"{SIG(f'quantile_cont({x}, 0.75) - quantile_cont({x}, 0.25)')} AS iqr",
+        f"CAST(count(*) FILTER (WHERE {x} = 0) AS BIGINT) AS n_zeros",
+        f"CAST(count(*) FILTER (WHERE {x} < 0) AS BIGINT) AS n_negative",
+    ]
+    src = f"(SELECT CASE WHEN isnan(CAST({column} AS DOUBLE)) THEN NULL ELSE CAST({column} AS DOUBLE) END AS x FROM {table})"
+    return "SELECT " + ",\n  ".join(parts) + f"\nFROM {src}"
+
+
+def table_profile_sql(table: str, schema: str | None = None) -> str:
+    head = f"'{schema}' AS schema, '{table}' AS table_name, " if schema else ""
+    return "\nUNION ALL\n".join(
+        f"SELECT {head}* FROM ({profile_sql(table, c, p)})" for c, p in NUMERIC_COLUMNS[table])
+
+
+SCHEMA_PROFILE = "\nUNION ALL\n".join(table_profile_sql(t, PROFILE_ZONE) for t in PROFILE_TABLES)
+
+SCHEMA_WATERMARKS = "\nUNION ALL\n".join(
+    f"""SELECT {TEXT(f'{k}(x)')} AS create_time, 'default' AS database, '{WATERMARK_ZONE}' AS schema,
+  '{t}' AS table_name, {LABEL(f'{k}(x)')} AS part_name, '{kind}' AS part_type, '{CLUSTER}' AS cluster
+FROM (SELECT {c} AS x FROM {t})"""
+    for t, c in WATERMARK_COLUMNS.items() for k, kind in (("max", "high_watermark"), ("min", "low_watermark")))
+
+CATALOG_NODES = f"""WITH {CATALOG_COLUMNS}
+SELECT 'database://default' AS key, 'Database' AS label, 'default' AS name,
+       CAST(NULL AS VARCHAR) AS column_type, CAST(NULL AS INTEGER) AS sort_order
+UNION ALL SELECT 'default://{CLUSTER}', 'Cluster', '{CLUSTER}', NULL, NULL
+UNION ALL SELECT {SCHEMA_KEY}, 'Schema', '{CATALOG_ZONE}', NULL, NULL
+UNION ALL SELECT DISTINCT {SCHEMA_KEY} || '/' || table_name, 'Table', table_name, NULL, NULL FROM catalog_columns
+UNION ALL SELECT {SCHEMA_KEY} || '/' || table_name || '/' || column_name, 'Column', column_name,
+                 column_type, sort_order FROM catalog_columns"""
+
+CATALOG_EDGES = f"""WITH {CATALOG_COLUMNS}
+SELECT 'database://default' AS start_key, 'Database' AS start_label, 'default://{CLUSTER}' AS end_key,
+       'Cluster' AS end_label, 'CLUSTER' AS type, 'CLUSTER_OF' AS reverse_type
+UNION ALL SELECT 'default://{CLUSTER}', 'Cluster', {SCHEMA_KEY}, 'Schema', 'SCHEMA', 'SCHEMA_OF'
+UNION ALL SELECT DISTINCT {SCHEMA_KEY}, 'Schema', {SCHEMA_KEY} || '/' || table_name, 'Table', 'TABLE', 'TABLE_OF'
+  FROM catalog_columns
+UNION ALL SELECT {SCHEMA_KEY} || '/' || table_name, 'Table', {SCHEMA_KEY} || '/' || table_name || '/' || column_name,
+                 'Column', 'COLUMN', 'COLUMN_OF' FROM catalog_columns"""
+
+SEARCH_DOCS = f"""WITH {CATALOG_COLUMNS}
+SELECT {SCHEMA_KEY} || '/' || table_name AS key, 'default' AS database, '{CLUSTER}' AS cluster,
+       '{CATALOG_ZONE}' AS schema, table_name AS name, CAST(NULL AS VARCHAR) AS description,
+       string_agg(column_name, ',' ORDER BY sort_order) AS column_names,
+       CAST(count(*) AS INTEGER) AS column_count
+FROM catalog_columns GROUP BY table_name"""
+
+CUSTOMER_NODES = """t AS (SELECT CAST(c_custkey AS VARCHAR) AS key, 'Customer' AS label, c_name AS name
+       FROM customer WHERE c_acctbal < 5000),
+i AS (SELECT CAST(c_custkey AS VARCHAR) AS key, 'Customer' AS label, upper(c_name) AS name
+       FROM customer WHERE c_acctbal >= 0)"""
+
+EVENT_EDGES = """edges AS (
+  SELECT 'user/' || CAST(user_id AS VARCHAR) AS start_key, 'User' AS start_label,
+         'event/' || CAST(event_id AS VARCHAR) AS end_key, 'Event' AS end_label,
+         CASE WHEN event_type = 'view' THEN 'READ' WHEN event_type = 'click' THEN 'READ_BY'
+              ELSE upper(event_type) END AS type,
+         (CASE WHEN event_type = 'view' THEN 'READ' WHEN event_type = 'click' THEN 'READ_BY'
+              ELSE upper(event_type) END) || '_OF' AS reverse_type,
+         epoch_us(ts) // 1000 AS last_updated
+  FROM events)"""
+
+PROFILE_RECORDS = f"""WITH p AS ({SCHEMA_PROFILE}),
+pd AS (SELECT schema, table_name, column_name, {", ".join(f"CAST({s} AS DOUBLE) AS {s}" for s in STAT_NAMES)} FROM p),
+longp AS (
+  SELECT * FROM pd UNPIVOT INCLUDE NULLS (stat_val FOR stat_name IN ({", ".join(STAT_NAMES)})))
+SELECT 'default://{CLUSTER}.' || schema || '/' || table_name || '/' || column_name || '/' || stat_name || '/' AS key,
+       'Stat' AS label, stat_name AS name, stat_val,
+       'default://{CLUSTER}.' || schema || '/' || table_name || '/' || column_name AS column_key,
+       'STAT' AS type
+FROM longp"""
+
+ORACLES.update({
+    "list_tables": f"""SELECT '{CATALOG_ZONE}' AS database, table_name AS tableName, false AS isTemporary
+FROM information_schema.tables WHERE table_name IN {_in(CATALOG_TABLES)}""",
+    "table_metadata": f"""WITH {CATALOG_COLUMNS}
+SELECT 'default' AS database, '{CLUSTER}' AS cluster, '{CATALOG_ZONE}' AS schema, table_name,
+       'EXTERNAL' AS table_type, CAST(NULL AS VARCHAR) AS table_description, column_name, column_type,
+       CAST(NULL AS VARCHAR) AS column_description, sort_order, false AS is_partition
+FROM catalog_columns""",
+    "metadata_graph": CATALOG_NODES,
+    "metadata_edges": CATALOG_EDGES,
+    "search_documents": SEARCH_DOCS,
+    "high_watermark": f"SELECT max(ts) AS high_watermark, {LABEL('max(ts)')} AS part_name FROM events",
+    "low_watermark": f"SELECT min(ts) AS low_watermark, {LABEL('min(ts)')} AS part_name FROM events",
+    "schema_watermarks": SCHEMA_WATERMARKS,
+    "column_profile": table_profile_sql("lineitem"),
+    "schema_profile": SCHEMA_PROFILE,
+    "cap_rows": f"SELECT least(count(*), {CAP_ROWS_N}) AS n_rows FROM events",
+    "insert_only": f"""WITH {CUSTOMER_NODES}
+SELECT * FROM t UNION ALL SELECT * FROM i WHERE key NOT IN (SELECT key FROM t)""",
+    "upsert_tagged": f"""WITH {CUSTOMER_NODES}
+SELECT key, label, name, CAST(NULL AS VARCHAR) AS publish_tag, CAST(NULL AS BIGINT) AS last_updated
+FROM t WHERE key NOT IN (SELECT key FROM i)
+UNION ALL SELECT key, label, name, 'wm_test', CAST({EXPIRY_NOW_MS} AS BIGINT) FROM i""",
+    "expire_relations": f"""WITH {EVENT_EDGES}
+SELECT * FROM edges
+WHERE NOT (type IN ('READ', 'READ_BY') AND last_updated < {EXPIRY_NOW_MS} - 86400000 * 3)""",
+    "watermark_records": f"""WITH w AS ({SCHEMA_WATERMARKS})
+SELECT 'default://{CLUSTER}.' || schema || '/' || table_name || '/' || part_type || '/' AS key,
+       'Watermark' AS label, part_type AS name, split_part(part_name, '=', 1) AS partition_key,
+       substr(part_name, strpos(part_name, '=') + 1) AS partition_value, create_time,
+       'default://{CLUSTER}.' || schema || '/' || table_name AS table_key, 'WATERMARK' AS type
+FROM w""",
+    "profile_records": PROFILE_RECORDS,
+    "ensure_zone": "SELECT * FROM region",
+    "write_graph": f"SELECT key, label, name FROM ({CATALOG_NODES})",
+    "write_search_docs": f"SELECT key, name, column_names, column_count FROM ({SEARCH_DOCS})",
+    "write_profile": f"SELECT column_name, count, n_distinct, mean FROM ({table_profile_sql('part')})",
+    "metadata_refresh": f"""WITH p AS ({PROFILE_RECORDS}),
+cols AS (SELECT table_name, column_name FROM information_schema.columns WHERE table_name IN {_in(PROFILE_TABLES)})
+SELECT 'database://default' AS key, 'Database' AS label, 'default' AS name
+UNION ALL SELECT 'default://{CLUSTER}', 'Cluster', '{CLUSTER}'
+UNION ALL SELECT 'default://{CLUSTER}.{PROFILE_ZONE}', 'Schema', '{PROFILE_ZONE}'
+UNION ALL SELECT DISTINCT 'default://{CLUSTER}.{PROFILE_ZONE}/' || table_name, 'Table', table_name FROM cols
+UNION ALL SELECT 'default://{CLUSTER}.{PROFILE_ZONE}/' || table_name || '/' || column_name, 'Column', column_name FROM cols
+UNION ALL SELECT key, label, name FROM p""",
+})

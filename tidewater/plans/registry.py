@@ -178,6 +178,244 @@ def q_partitioned_write(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_rows")))
 
 
+# ------------------------------------------------------------------ metadata side
+
+# Fixed values for the metadata queries: zone names, the tables each zone holds, the
+# time column per table, and a fixed "now" (2024-01-20T00:00:00Z) for expiry.
+CATALOG_ZONE = "tw_catalog"
+CATALOG_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+                  "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
+WATERMARK_ZONE = "tw_watermarks"
+WATERMARK_COLUMNS = {"orders": "o_orderdate", "lineitem": "l_shipdate", "events": "ts"}
+PROFILE_ZONE = "tw_profiles"
+PROFILE_TABLES = ("part", "customer", "region")
+EXPIRY_NOW_MS = 1705708800000
+CAP_ROWS_N = 5000
+
+
+def external_zone(spark: SparkSession, zone: str, sf_dir: str, tables) -> str:
+    """A zone whose tables are the driver's Parquet files, registered in place
+    (external tables: no copy; dropping them never touches the files)."""
+    ensure_zone(spark, zone, scratch_path(spark, zone))
+    for t in tables:
+        name = table_name(zone, t)
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{sf_dir.rstrip('/')}/{t}.parquet'")
+    return zone
+
+
+def _catalog_graph(spark, sf_dir):
+    from tidewater.operators.graph import metadata_graph
+    from tidewater.sources.catalog import table_metadata
+
+    external_zone(spark, CATALOG_ZONE, sf_dir, CATALOG_TABLES)
+    return metadata_graph(table_metadata(spark, [CATALOG_ZONE]))
+
+
+def q_list_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewater.sources.catalog import list_tables
+
+    external_zone(spark, CATALOG_ZONE, sf_dir, CATALOG_TABLES)
+    return list_tables(spark, CATALOG_ZONE)
+
+
+def q_table_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewater.sources.catalog import schema_filter, table_metadata
+
+    external_zone(spark, CATALOG_ZONE, sf_dir, CATALOG_TABLES)
+    meta = table_metadata(spark, [CATALOG_ZONE], exclude=["default"])
+    return schema_filter(meta, include=[CATALOG_ZONE])
+
+
+def q_metadata_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes, _ = _catalog_graph(spark, sf_dir)
+    return nodes.select("key", "label", "name", F.col("attrs")["type"].alias("column_type"),
+                        F.col("attrs")["sort_order"].cast("int").alias("sort_order"))
+
+
+def q_metadata_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, edges = _catalog_graph(spark, sf_dir)
+    return edges
+
+
+def q_search_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewater.operators.graph import search_documents
+
+    docs = search_documents(*_catalog_graph(spark, sf_dir))
+    return docs.select("key", "database", "cluster", "schema", "name", "description",
+                       F.array_join("column_names", ",").alias("column_names"), "column_count")
+
+
+def _events(spark, sf_dir):
+    return read_table(spark, sf_dir, "events")
+
+
+def q_high_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewater.functions.casts import partition_label
+    from tidewater.operators.watermark import high_watermark
+
+    ev = _events(spark, sf_dir)
+    hw = high_watermark(ev, "ts")
+    return hw.select("high_watermark", partition_label("high_watermark", ev.schema["ts"].dataType).alias("part_name"))
+
+
+def q_low_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewater.functions.casts import partition_label
+    from tidewater.operators.watermark import low_watermark
+
+    ev = _events(spark, sf_dir)
+    lw = low_watermark(ev, "ts")
+    return lw.select("low_watermark", partition_label("low_watermark", ev.schema["ts"].dataType).alias("part_name"))
+
+
+def q_schema_watermarks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewater.operators.watermark import watermarks
+
+    external_zone(spark, WATERMARK_ZONE, sf_dir, WATERMARK_COLUMNS)
+    return watermarks(spark, WATERMARK_ZONE, ts_col=WATERMARK_COLUMNS)
+
+
+def q_column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4 over the whole lineitem table (no cap)."""
+    from tidewater.operators.profile import column_profile
+
+    return column_profile(read_table(spark, sf_dir, "lineitem"), n=None)
+
+
+def q_schema_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewater.operators.profile import schema_profile
+
+    external_zone(spark, PROFILE_ZONE, sf_dir, PROFILE_TABLES)
+    return schema_profile(spark, PROFILE_ZONE, n=None)
+
+
+def q_cap_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1: the row cap is the operator under test (which rows is undefined: count)."""
+    from tidewater.operators.profile import cap_rows
+
+    return cap_rows(_events(spark, sf_dir), CAP_ROWS_N).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def _customer_nodes(spark, sf_dir):
+    from tidewater.operators.graph import NODE_SCHEMA  # noqa: F401  (layout reference)
+
+    c = read_table(spark, sf_dir, "customer")
+    node = lambda df, name: df.select(
+        F.col("c_custkey").cast("string").alias("key"), F.lit("Customer").alias("label"), name.alias("name"),
+        F.create_map(F.lit("segment"), F.col("c_mktsegment")).alias("attrs"))
+    target = node(c.where(F.col("c_acctbal") < 5000), F.col("c_name"))
+    incoming = node(c.where(F.col("c_acctbal") >= 0), F.upper("c_name"))
+    return target, incoming
+
+
+def q_insert_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewater.operators.graph import insert_only
+
+    target, incoming = _customer_nodes(spark, sf_dir)
+    return insert_only(target, incoming).select("key", "label", "name")
+
+
+def q_upsert_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewater.operators.graph import upsert_tagged
+
+    target, incoming = _customer_nodes(spark, sf_dir)
+    return upsert_tagged(target, incoming, "wm_test", EXPIRY_NOW_MS).select(
+        "key", "label", "name", "publish_tag", "last_updated")
+
+
+def _event_edges(spark, sf_dir):
+    ev = _events(spark, sf_dir)
+    rel = F.when(F.col("event_type") == "view", "READ").when(F.col("event_type") == "click", "READ_BY") \
+        .otherwise(F.upper("event_type"))
+    return ev.select(
+        F.concat(F.lit("user/"), F.col("user_id").cast("string")).alias("start_key"),
+        F.lit("User").alias("start_label"),
+        F.concat(F.lit("event/"), F.col("event_id").cast("string")).alias("end_key"),
+        F.lit("Event").alias("end_label"),
+        rel.alias("type"),
+        F.concat(rel, F.lit("_OF")).alias("reverse_type"),
+        F.expr("timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)").alias("last_updated"),
+    )
+
+
+def q_expire_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewater.operators.graph import expire_relations
+
+    return expire_relations(_event_edges(spark, sf_dir), EXPIRY_NOW_MS)
+
+
+def q_watermark_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewater.operators.graph import watermark_records
+
+    nodes, edges = watermark_records(q_schema_watermarks(spark, sf_dir))
+    n = nodes.select("key", "label", "name", F.col("attrs")["partition_key"].alias("partition_key"),
+                     F.col("attrs")["partition_value"].alias("partition_value"),
+                     F.col("attrs")["create_time"].alias("create_time"))
+    e = edges.select(F.col("end_key").alias("key"), F.col("start_key").alias("table_key"), "type")
+    return n.join(e, "key")
+
+
+def q_profile_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewater.operators.graph import profile_records
+
+    nodes, edges = profile_records(q_schema_profile(spark, sf_dir))
+    n = nodes.select("key", "label", "name", F.col("attrs")["stat_val"].cast("double").alias("stat_val"))
+    e = edges.select(F.col("end_key").alias("key"), F.col("start_key").alias("column_key"), "type")
+    return n.join(e, "key")
+
+
+def q_ensure_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The zone exists once, whatever the number of calls; its tables listed."""
+    zone = _unique("tw_zone")
+    loc = scratch_path(spark, zone)
+    ensure_zone(spark, zone, loc)
+    ensure_zone(spark, zone, loc)
+    write_replace(read_table(spark, sf_dir, "region"), table_name(zone, "region"))
+    return scan_table(spark, zone, "region")
+
+
+def q_write_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Graph node files written by label, read back."""
+    from tidewater.sources.files import write_graph
+
+    nodes, edges = _catalog_graph(spark, sf_dir)
+    path = scratch_path(spark, "graph")
+    write_graph(nodes, edges, path)
+    back = spark.read.option("header", True).csv(f"{path}/nodes")
+    return back.select("key", "label", "name")
+
+
+def q_write_search_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewater.operators.graph import search_documents
+    from tidewater.sources.files import write_search_docs
+
+    path = scratch_path(spark, "search")
+    write_search_docs(search_documents(*_catalog_graph(spark, sf_dir)), path)
+    back = spark.read.json(path)
+    return back.select("key", "name", F.array_join("column_names", ",").alias("column_names"),
+                       F.col("column_count").cast("int").alias("column_count"))
+
+
+def q_write_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewater.operators.profile import column_profile
+    from tidewater.sources.files import write_profile
+
+    path = scratch_path(spark, "profile")
+    write_profile(column_profile(read_table(spark, sf_dir, "part"), n=None), path)
+    back = spark.read.json(path)
+    return back.select("column_name", F.col("count").cast("long").alias("count"),
+                       F.col("n_distinct").cast("long").alias("n_distinct"), F.col("mean").cast("double").alias("mean"))
+
+
+def q_metadata_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W4 end to end over the profile zone: the published nodes (key, label, name)."""
+    from tidewater.plans.refresh import metadata_refresh
+
+    external_zone(spark, PROFILE_ZONE, sf_dir, PROFILE_TABLES)
+    out = metadata_refresh(spark, [PROFILE_ZONE], EXPIRY_NOW_MS, profile_rows=None, missing="skip")
+    return out["nodes"].select("key", "label", "name")
+
+
 QUERIES: dict[str, Query] = {
     "csv_scan_rename": q_csv_scan_rename,
     "table_roundtrip": q_table_roundtrip,
@@ -193,6 +431,27 @@ QUERIES: dict[str, Query] = {
     "clean_yellow": q_clean_yellow,
     "processed": q_processed,
     "partitioned_write": q_partitioned_write,
+    "list_tables": q_list_tables,
+    "table_metadata": q_table_metadata,
+    "metadata_graph": q_metadata_graph,
+    "metadata_edges": q_metadata_edges,
+    "search_documents": q_search_documents,
+    "high_watermark": q_high_watermark,
+    "low_watermark": q_low_watermark,
+    "schema_watermarks": q_schema_watermarks,
+    "column_profile": q_column_profile,
+    "schema_profile": q_schema_profile,
+    "cap_rows": q_cap_rows,
+    "insert_only": q_insert_only,
+    "upsert_tagged": q_upsert_tagged,
+    "expire_relations": q_expire_relations,
+    "watermark_records": q_watermark_records,
+    "profile_records": q_profile_records,
+    "ensure_zone": q_ensure_zone,
+    "write_graph": q_write_graph,
+    "write_search_docs": q_write_search_docs,
+    "write_profile": q_write_profile,
+    "metadata_refresh": q_metadata_refresh,
 }
 
 
