@@ -84,7 +84,10 @@ def _long_form(df: DataFrame, names: list[str]) -> DataFrame:
     """(col_idx, v): one row per (row, numeric column), NaN counted as missing."""
     pairs = ", ".join(f"{i}, CAST({quote(n)} AS DOUBLE)" for i, n in enumerate(names))
     stacked = df.select(F.expr(f"stack({len(names)}, {pairs}) AS (col_idx, v)"))
-    return stacked.select(F.col("col_idx").cast("int").alias("col_idx"),
+    # col_idx is made non-nullable so that joins on it infer no extra filters: the
+    # branches that share an aggregation then stay identical and Spark reuses its
+    # shuffle instead of scanning and aggregating again
+    return stacked.select(F.coalesce(F.col("col_idx").cast("int"), F.lit(-1)).alias("col_idx"),
                           F.nanvl("v", F.lit(None).cast("double")).alias("v"))
 
 
@@ -106,48 +109,63 @@ def _moments(long: DataFrame, approx: bool, accuracy: int) -> DataFrame:
         F.count_if(v < 0).alias("n_negative"),
     ]
     if approx:
-        aggs.append(F.approx_count_distinct(v).alias("n_distinct"))
+        aggs.append(F.approx_count_distinct(v, 0.01).alias("n_distinct"))
         aggs.append(F.percentile_approx(v, F.array(*[F.lit(q) for q in QUANTILES.values()]), accuracy).alias("qs"))
     return long.groupBy("col_idx").agg(*aggs)
 
 
-def _exact_distinct_and_quantiles(long: DataFrame, moments: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _exact_distinct_and_quantiles(long: DataFrame) -> DataFrame:
+    """Exact distinct counts and quantiles from one aggregation of (col_idx, v).
+
+    The (value, count) pairs are range-partitioned once; that shuffle feeds both the
+    local running counts and the per-partition totals (Spark reuses it), and the
+    totals alone give each column's count, distinct count and rank offsets.
+    """
     vc = long.where(F.col("v").isNotNull()).groupBy("col_idx", "v").agg(F.count(F.lit(1)).alias("c"))
-    distinct = vc.groupBy("col_idx").agg(F.count(F.lit(1)).alias("n_distinct"))
+    ranged = vc.repartitionByRange("col_idx", "v").withColumn("pid", F.spark_partition_id())
 
     # running counts inside each range partition (a group here is at most one partition)
-    ranged = vc.repartitionByRange("col_idx", "v").withColumn("pid", F.spark_partition_id())
     w_local = Window.partitionBy("pid", "col_idx").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.withColumn("before", F.coalesce(F.sum("c").over(w_local), F.lit(0)))
-    # rank offset of each (partition, column): counts of the earlier partitions
-    totals = ranged.groupBy("pid", "col_idx").agg(F.sum("c").alias("tot"))
-    w_off = Window.partitionBy("col_idx").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("pid", "col_idx", F.coalesce(F.sum("tot").over(w_off), F.lit(0)).alias("offset"))
+
+    # per (partition, column): rows and distinct values; one row per pair, so the
+    # windows below see at most (partitions) rows per column
+    totals = ranged.groupBy("pid", "col_idx").agg(F.sum("c").alias("tot"), F.count(F.lit(1)).alias("nv"))
+    w_prev = Window.partitionBy("col_idx").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
+    w_all = Window.partitionBy("col_idx")
+    offsets = totals.select(
+        "pid", "col_idx",
+        F.coalesce(F.sum("tot").over(w_prev), F.lit(0)).alias("offset"),
+        F.sum("tot").over(w_all).alias("n"),
+        F.sum("nv").over(w_all).alias("n_distinct"),
+    )
+    per_col = offsets.groupBy("col_idx").agg(F.max("n").alias("n"), F.max("n_distinct").alias("n_distinct"))
+
     # offsets has one row per (partition, column): its size is bounded by the plan
-    ranked = local.join(F.broadcast(offsets), ["pid", "col_idx"]).select(
+    ranked = local.join(F.broadcast(offsets.select("pid", "col_idx", "offset")), ["pid", "col_idx"]).select(
         "col_idx", "v", (F.col("offset") + F.col("before")).alias("r0"), "c")
 
-    # target ranks: q * (count - 1), its floor and ceiling (columns x 10 rows)
+    # target ranks: q * (n - 1), its floor and ceiling (columns x 10 rows)
     qs = F.array(*[F.struct(F.lit(k).alias("qname"), F.lit(q).alias("q")) for k, q in QUANTILES.items()])
-    targets = (moments.where(F.col("count") > 0)
-               .select("col_idx", "count", F.inline(qs))
-               .withColumn("pos", F.col("q") * (F.col("count") - 1))
+    # (the distinct count rides along, so that per_col has a single consumer)
+    targets = (per_col.select("col_idx", "n", "n_distinct", F.inline(qs))
+               .withColumn("pos", F.col("q") * (F.col("n") - 1))
                .withColumn("lo", F.floor("pos"))
                .withColumn("hi", F.ceil("pos"))
-               .select(F.col("col_idx").alias("t_idx"), "qname", "pos", "lo", "hi",
+               .select(F.col("col_idx").alias("t_idx"), "n_distinct", "qname", "pos", "lo", "hi",
                        F.explode(F.array("lo", "hi")).alias("r")))
     hits = ranked.join(
         F.broadcast(targets),
         (F.col("col_idx") == F.col("t_idx")) & (F.col("r") >= F.col("r0")) & (F.col("r") < F.col("r0") + F.col("c")),
-    ).select("col_idx", "qname", "pos", "lo", "hi", "r", "v")
-    per_q = hits.groupBy("col_idx", "qname", "pos", "lo").agg(
+    ).select("col_idx", "n_distinct", "qname", "pos", "lo", "hi", "r", "v")
+    per_q = hits.groupBy("col_idx", "n_distinct", "qname", "pos", "lo").agg(
         F.max(F.when(F.col("r") == F.col("lo"), F.col("v"))).alias("v_lo"),
         F.max(F.when(F.col("r") == F.col("hi"), F.col("v"))).alias("v_hi"),
-    ).select("col_idx", "qname",
+    ).select("col_idx", "n_distinct", "qname",
              (F.col("v_lo") + (F.col("pos") - F.col("lo")) * (F.col("v_hi") - F.col("v_lo"))).alias("qv"))
-    quantiles = per_q.groupBy("col_idx").agg(
+    return per_q.groupBy("col_idx").agg(
+        F.max("n_distinct").alias("n_distinct"),
         *[F.max(F.when(F.col("qname") == k, F.col("qv"))).alias(k) for k in QUANTILES])
-    return distinct, quantiles
 
 
 def column_profile(
@@ -177,8 +195,7 @@ def column_profile(
     if approx:
         stats = moments.select("*", *[F.col("qs")[i].alias(k) for i, k in enumerate(QUANTILES)])
     else:
-        distinct, quantiles = _exact_distinct_and_quantiles(long, moments)
-        stats = moments.join(distinct, "col_idx", "left").join(quantiles, "col_idx", "left")
+        stats = moments.join(_exact_distinct_and_quantiles(long), "col_idx", "left")
 
     cnt = F.col("count").cast("double")
     skew = (F.when(F.col("count") < 3, F.lit(None).cast("double"))
