@@ -87,31 +87,58 @@ def metadata_graph(meta: DataFrame) -> tuple[DataFrame, DataFrame]:
     """M1: table metadata rows (S9) -> (nodes, edges).
 
     Database -CLUSTER-> Cluster -SCHEMA-> Schema -TABLE-> Table -COLUMN-> Column, and
-    Table/Column -DESCRIPTION-> Description where the catalog holds a comment.
+    Table/Column -DESCRIPTION-> Description where the catalog holds a comment.  The
+    database / cluster / schema / table levels come from one ``rollup`` (one
+    aggregation instead of a de-duplication per level); column rows are unique as
+    they come.  Table nodes carry their location as attributes.
     """
     db, cl, sc, tb, co = (F.col(c) for c in ("database", "cluster", "schema", "table_name", "column_name"))
+    levels = (meta.rollup("database", "cluster", "schema", "table_name")
+              .agg(F.first("table_type", ignorenulls=True).alias("table_type"),
+                   F.first("table_description", ignorenulls=True).alias("table_description"),
+                   F.grouping_id().alias("gid"))
+              .where(F.col("gid") != 15))
+    gid = F.col("gid")
+    # gid: 7 database, 3 cluster, 1 schema, 0 table
+    key = (F.when(gid == 7, database_key(db)).when(gid == 3, cluster_key(db, cl))
+           .when(gid == 1, schema_key(db, cl, sc)).otherwise(table_key(db, cl, sc, tb)))
+    parent = (F.when(gid == 3, database_key(db)).when(gid == 1, cluster_key(db, cl))
+              .otherwise(schema_key(db, cl, sc)))
+    label = F.when(gid == 7, F.lit(DATABASE)).when(gid == 3, F.lit(CLUSTER)).when(gid == 1, F.lit(SCHEMA)) \
+        .otherwise(F.lit(TABLE))
+    parent_label = F.when(gid == 3, F.lit(DATABASE)).when(gid == 1, F.lit(CLUSTER)).otherwise(F.lit(SCHEMA))
+    name = F.when(gid == 7, db).when(gid == 3, cl).when(gid == 1, sc).otherwise(tb)
+    table_attrs = _attrs(table_type=F.col("table_type"), database=db, cluster=cl, schema=sc)
+    level_nodes = levels.select(key.alias("key"), label.alias("label"), name.alias("name"),
+                                F.when(gid == 0, table_attrs).otherwise(_attrs()).alias("attrs"))
+    level_edges = levels.where(gid != 7).select(
+        parent.alias("start_key"), parent_label.alias("start_label"), key.alias("end_key"), label.alias("end_label"),
+        F.upper(label).alias("type"), F.concat(F.upper(label), F.lit("_OF")).alias("reverse_type"))
+
     tk, ck = table_key(db, cl, sc, tb), column_key(db, cl, sc, tb, co)
+    tdesc = levels.where((gid == 0) & F.col("table_description").isNotNull())
+    cdesc = meta.where(F.col("column_description").isNotNull())
     nodes = union_all([
-        _nodes(meta, database_key(db), DATABASE, db),
-        _nodes(meta, cluster_key(db, cl), CLUSTER, cl),
-        _nodes(meta, schema_key(db, cl, sc), SCHEMA, sc),
-        _nodes(meta, tk, TABLE, tb, table_type=F.col("table_type")),
-        _nodes(meta, ck, COLUMN, co, type=F.col("column_type"), sort_order=F.col("sort_order"),
-               is_partition=F.col("is_partition")),
-        _nodes(meta.where(F.col("table_description").isNotNull()), F.concat(tk, F.lit("/_description")),
-               DESCRIPTION, F.col("table_description")),
-        _nodes(meta.where(F.col("column_description").isNotNull()), F.concat(ck, F.lit("/_description")),
-               DESCRIPTION, F.col("column_description")),
+        level_nodes,
+        meta.select(ck.alias("key"), F.lit(COLUMN).alias("label"), co.alias("name"),
+                    _attrs(type=F.col("column_type"), sort_order=F.col("sort_order"),
+                           is_partition=F.col("is_partition")).alias("attrs")),
+        tdesc.select(F.concat(tk, F.lit("/_description")).alias("key"), F.lit(DESCRIPTION).alias("label"),
+                     F.col("table_description").alias("name"), _attrs().alias("attrs")),
+        cdesc.select(F.concat(ck, F.lit("/_description")).alias("key"), F.lit(DESCRIPTION).alias("label"),
+                     F.col("column_description").alias("name"), _attrs().alias("attrs")),
     ])
     edges = union_all([
-        _edges(meta, database_key(db), DATABASE, cluster_key(db, cl), CLUSTER, "CLUSTER", "CLUSTER_OF"),
-        _edges(meta, cluster_key(db, cl), CLUSTER, schema_key(db, cl, sc), SCHEMA, "SCHEMA", "SCHEMA_OF"),
-        _edges(meta, schema_key(db, cl, sc), SCHEMA, tk, TABLE, "TABLE", "TABLE_OF"),
-        _edges(meta, tk, TABLE, ck, COLUMN, "COLUMN", "COLUMN_OF"),
-        _edges(meta.where(F.col("table_description").isNotNull()), tk, TABLE,
-               F.concat(tk, F.lit("/_description")), DESCRIPTION, "DESCRIPTION", "DESCRIPTION_OF"),
-        _edges(meta.where(F.col("column_description").isNotNull()), ck, COLUMN,
-               F.concat(ck, F.lit("/_description")), DESCRIPTION, "DESCRIPTION", "DESCRIPTION_OF"),
+        level_edges,
+        meta.select(tk.alias("start_key"), F.lit(TABLE).alias("start_label"), ck.alias("end_key"),
+                    F.lit(COLUMN).alias("end_label"), F.lit("COLUMN").alias("type"),
+                    F.lit("COLUMN_OF").alias("reverse_type")),
+        tdesc.select(tk.alias("start_key"), F.lit(TABLE).alias("start_label"),
+                     F.concat(tk, F.lit("/_description")).alias("end_key"), F.lit(DESCRIPTION).alias("end_label"),
+                     F.lit("DESCRIPTION").alias("type"), F.lit("DESCRIPTION_OF").alias("reverse_type")),
+        cdesc.select(ck.alias("start_key"), F.lit(COLUMN).alias("start_label"),
+                     F.concat(ck, F.lit("/_description")).alias("end_key"), F.lit(DESCRIPTION).alias("end_label"),
+                     F.lit("DESCRIPTION").alias("type"), F.lit("DESCRIPTION_OF").alias("reverse_type")),
     ])
     return nodes, edges
 
@@ -151,7 +178,8 @@ def search_documents(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """M4: one search document per table node, rebuilt whole.
 
     Fields: key, database, cluster, schema, name, description, column_names (in column
-    order), column_descriptions, column_count.  A table's column list is bounded by its
+    order), column_descriptions, column_count.  Columns are reached over COLUMN edges
+    and descriptions over DESCRIPTION edges.  A table's column list is bounded by its
     width, so the per-table ``collect_list`` never grows with the data.
     """
     def by_label(label: str) -> DataFrame:
@@ -160,30 +188,18 @@ def search_documents(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     def rel(t: str) -> DataFrame:
         return edges.where(F.col("type") == t)
 
-    tables = by_label(TABLE).select(F.col("key"), F.col("name"))
+    tables = by_label(TABLE).select(
+        "key", "name", *[F.col("attrs")[a].alias(a) for a in ("database", "cluster", "schema")])
+    desc = (rel("DESCRIPTION").select(F.col("start_key").alias("owner"), F.col("end_key").alias("d_key"))
+            .join(by_label(DESCRIPTION).select(F.col("key").alias("d_key"), F.col("name").alias("text")), "d_key")
+            .select("owner", "text"))
     cols = (rel("COLUMN").select(F.col("start_key").alias("key"), F.col("end_key").alias("col_key"))
             .join(by_label(COLUMN).select(F.col("key").alias("col_key"), F.col("name").alias("col_name"),
-                                          F.col("attrs")["sort_order"].cast("int").alias("pos")), "col_key"))
-    col_desc = (rel("DESCRIPTION").select(F.col("start_key").alias("col_key"), F.col("end_key").alias("d_key"))
-                .join(by_label(DESCRIPTION).select(F.col("key").alias("d_key"), F.col("name").alias("col_desc")),
-                      "d_key"))
-    cols = cols.join(col_desc, "col_key", "left")
+                                          F.col("attrs")["sort_order"].cast("int").alias("pos")), "col_key")
+            .join(desc.select(F.col("owner").alias("col_key"), F.col("text").alias("col_desc")), "col_key", "left"))
     col_lists = cols.groupBy("key").agg(
         F.sort_array(F.collect_list(F.struct("pos", "col_name", "col_desc"))).alias("cl"))
-    schema_of = (rel("TABLE").select(F.col("start_key").alias("schema_key"), F.col("end_key").alias("key"))
-                 .join(by_label(SCHEMA).select(F.col("key").alias("schema_key"), F.col("name").alias("schema")),
-                       "schema_key"))
-    cluster_of = (rel("SCHEMA").select(F.col("start_key").alias("cluster_key"), F.col("end_key").alias("schema_key"))
-                  .join(by_label(CLUSTER).select(F.col("key").alias("cluster_key"),
-                                                 F.col("name").alias("cluster")), "cluster_key"))
-    database_of = (rel("CLUSTER").select(F.col("start_key").alias("db_key"), F.col("end_key").alias("cluster_key"))
-                   .join(by_label(DATABASE).select(F.col("key").alias("db_key"), F.col("name").alias("database")),
-                         "db_key"))
-    table_desc = (rel("DESCRIPTION").select(F.col("start_key").alias("key"), F.col("end_key").alias("d_key"))
-                  .join(by_label(DESCRIPTION).select(F.col("key").alias("d_key"),
-                                                     F.col("name").alias("description")), "d_key"))
-    docs = (tables.join(schema_of, "key", "left").join(cluster_of, "schema_key", "left")
-            .join(database_of, "cluster_key", "left").join(table_desc, "key", "left")
+    docs = (tables.join(desc.select(F.col("owner").alias("key"), F.col("text").alias("description")), "key", "left")
             .join(col_lists, "key", "left"))
     return docs.select(
         "key", "database", "cluster", "schema", "name", "description",

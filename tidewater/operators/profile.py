@@ -25,6 +25,7 @@ profiles the whole table.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -80,9 +81,10 @@ def sig_round(x: Column, digits: int) -> Column:
             .when(e >= 0, up).otherwise(down))
 
 
-def _long_form(df: DataFrame, names: list[str]) -> DataFrame:
-    """(col_idx, v): one row per (row, numeric column), NaN counted as missing."""
-    pairs = ", ".join(f"{i}, CAST({quote(n)} AS DOUBLE)" for i, n in enumerate(names))
+def _long_form(df: DataFrame, names: list[str], base: int = 0) -> DataFrame:
+    """(col_idx, v): one row per (row, numeric column), NaN counted as missing;
+    column indices start at ``base``."""
+    pairs = ", ".join(f"{base + i}, CAST({quote(n)} AS DOUBLE)" for i, n in enumerate(names))
     stacked = df.select(F.expr(f"stack({len(names)}, {pairs}) AS (col_idx, v)"))
     # col_idx is made non-nullable so that joins on it infer no extra filters: the
     # branches that share an aggregation then stay identical and Spark reuses its
@@ -168,29 +170,32 @@ def _exact_distinct_and_quantiles(long: DataFrame) -> DataFrame:
         *[F.max(F.when(F.col("qname") == k, F.col("qv"))).alias(k) for k in QUANTILES])
 
 
-def column_profile(
-    df: DataFrame,
+def profile_tables(
+    tables: Mapping[str, DataFrame],
     n: int | None = PROFILE_ROW_CAP,
     approx: bool = False,
     accuracy: int = 10000,
     digits: int | None = DEFAULT_DIGITS,
-) -> DataFrame:
-    """A4: one row per numeric column (P12) with the statistics of PROFILE_SCHEMA.
-
-    Skewness and kurtosis are the sample-corrected (Fisher) estimates, 0 for a constant
-    column, NULL below 3 / 4 values.  ``cv`` = stddev / mean.  Quantiles interpolate
-    linearly between order statistics.  No numeric columns: an empty frame.
-    """
-    spark = df.sparkSession
-    names = numeric_columns(df)
-    if not names:
-        return spark.createDataFrame([], PROFILE_SCHEMA)
-    positions = {c: i for i, c in enumerate(df.columns)}
-    sel = df.select(*[col_of(c) for c in names])
-    if n is not None:
-        scratch_root(spark)
-        sel = cap_rows(sel, n).checkpoint(eager=True)
-    long = _long_form(sel, names)
+) -> DataFrame | None:
+    """Profiles of many tables in one pipeline: their long forms are united (a narrow
+    union) under global column indices, so every aggregation and shuffle is shared.
+    Output: table_name + PROFILE_SCHEMA; None when no table has a numeric column."""
+    entries: list[tuple[str, str, int]] = []
+    longs = []
+    for t, df in tables.items():
+        names = numeric_columns(df)
+        if not names:
+            continue
+        positions = {c: i for i, c in enumerate(df.columns)}
+        sel = df.select(*[col_of(c) for c in names])
+        if n is not None:
+            scratch_root(df.sparkSession)
+            sel = cap_rows(sel, n).checkpoint(eager=True)
+        longs.append(_long_form(sel, names, base=len(entries)))
+        entries += [(t, c, positions[c]) for c in names]
+    if not longs:
+        return None
+    long = reduce(lambda a, b: a.unionByName(b), longs)
     moments = _moments(long, approx, accuracy)
     if approx:
         stats = moments.select("*", *[F.col("qs")[i].alias(k) for i, k in enumerate(QUANTILES)])
@@ -214,11 +219,14 @@ def column_profile(
         **{k: F.col(k) for k in QUANTILES},
         "iqr": F.col("q75") - F.col("q25"),
     }
-    name_of = F.element_at(F.array(*[F.lit(c) for c in names]), F.col("col_idx") + 1)
-    pos_of = F.element_at(F.array(*[F.lit(positions[c]) for c in names]), F.col("col_idx") + 1)
-    out = stats.select(
-        name_of.alias("column_name"),
-        pos_of.cast("int").alias("column_position"),
+
+    def lookup(i: int, cast: str) -> Column:
+        return F.element_at(F.array(*[F.lit(e[i]) for e in entries]), F.col("col_idx") + 1).cast(cast)
+
+    return stats.select(
+        lookup(0, "string").alias("table_name"),
+        lookup(1, "string").alias("column_name"),
+        lookup(2, "int").alias("column_position"),
         F.col("count").cast("long").alias("count"),
         (F.col("n_rows") - F.col("count")).cast("long").alias("n_missing"),
         F.coalesce(F.col("n_distinct"), F.lit(0)).cast("long").alias("n_distinct"),
@@ -226,7 +234,25 @@ def column_profile(
         F.col("n_zeros").cast("long").alias("n_zeros"),
         F.col("n_negative").cast("long").alias("n_negative"),
     )
-    return out
+
+
+def column_profile(
+    df: DataFrame,
+    n: int | None = PROFILE_ROW_CAP,
+    approx: bool = False,
+    accuracy: int = 10000,
+    digits: int | None = DEFAULT_DIGITS,
+) -> DataFrame:
+    """A4: one row per numeric column (P12) with the statistics of PROFILE_SCHEMA.
+
+    Skewness and kurtosis are the sample-corrected (Fisher) estimates, 0 for a constant
+    column, NULL below 3 / 4 values.  ``cv`` = stddev / mean.  Quantiles interpolate
+    linearly between order statistics.  No numeric columns: an empty frame.
+    """
+    out = profile_tables({"": df}, n=n, approx=approx, accuracy=accuracy, digits=digits)
+    if out is None:
+        return df.sparkSession.createDataFrame([], PROFILE_SCHEMA)
+    return out.drop("table_name")
 
 
 def schema_profile(
@@ -236,19 +262,16 @@ def schema_profile(
     approx: bool = False,
     digits: int | None = DEFAULT_DIGITS,
 ) -> DataFrame:
-    """A5: A4 for every table of a zone, with ``schema`` and ``table_name`` columns.
+    """A5: A4 for every table of a zone, with ``schema`` and ``table_name`` columns,
+    all tables in one Spark job.
 
     Tables without numeric columns (every raw-zone table: all text) add no rows; a zone
     without tables gives an empty frame.
     """
-    parts = []
-    for t in table_names(spark, zone):
-        df = scan_table(spark, zone, t)
-        if numeric_columns(df):
-            p = column_profile(df, n=n, approx=approx, digits=digits)
-            parts.append(p.select(F.lit(zone).alias("schema"), F.lit(t).alias("table_name"), "*"))
-    if not parts:
+    tables = {t: scan_table(spark, zone, t) for t in table_names(spark, zone)}
+    out = profile_tables(tables, n=n, approx=approx, digits=digits)
+    if out is None:
         empty = T.StructType([T.StructField("schema", T.StringType()), T.StructField("table_name", T.StringType())]
                              + PROFILE_SCHEMA.fields)
         return spark.createDataFrame([], empty)
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    return out.select(F.lit(zone).alias("schema"), "*")

@@ -193,14 +193,23 @@ EXPIRY_NOW_MS = 1705708800000
 CAP_ROWS_N = 5000
 
 
+_REGISTERED: dict[tuple[int, str, str], str] = {}
+
+
 def external_zone(spark: SparkSession, zone: str, sf_dir: str, tables) -> str:
     """A zone whose tables are the driver's Parquet files, registered in place
-    (external tables: no copy; dropping them never touches the files)."""
+    (external tables: no copy; dropping them never touches the files).  A table
+    already registered at the same location in this session is left as it is."""
     ensure_zone(spark, zone, scratch_path(spark, zone))
     for t in tables:
         name = table_name(zone, t)
+        location = f"{sf_dir.rstrip('/')}/{t}.parquet"
+        memo = (id(spark), zone, t)
+        if _REGISTERED.get(memo) == location and spark.catalog.tableExists(name):
+            continue
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{sf_dir.rstrip('/')}/{t}.parquet'")
+        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{location}'")
+        _REGISTERED[memo] = location
     return zone
 
 
