@@ -123,6 +123,8 @@ ORACLES: dict[str, str] = {
     "clean_green": TAXI_CTE + "SELECT * FROM green_clean",
     "clean_yellow": TAXI_CTE + "SELECT * FROM yellow_clean",
     "processed": TAXI_CTE + """SELECT * REPLACE (CAST(rate_code_id AS VARCHAR) AS rate_code_id) FROM green_clean
+UNION ALL BY NAME SELECT * FROM yellow_clean""",
+    "taxi_load": TAXI_CTE + """SELECT * REPLACE (CAST(rate_code_id AS VARCHAR) AS rate_code_id) FROM green_clean
 UNION ALL BY NAME SELECT * FROM yellow_clean""",
     "partitioned_write": TAXI_CTE + """SELECT pickup_year, pickup_month, count(*) AS n_rows
 FROM green_clean GROUP BY pickup_year, pickup_month""",

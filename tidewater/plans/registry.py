@@ -425,6 +425,30 @@ def q_metadata_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out["nodes"].select("key", "label", "name")
 
 
+def write_standin_csv(spark: SparkSession, sf_dir: str, name: str, path: str) -> str:
+    """A stand-in era as CSV files with its real header (``Trip_type `` included)."""
+    (standin(spark, sf_dir, name).write.option("header", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    return path
+
+
+def q_taxi_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1-W3 end to end through tables: CSV eras -> raw zone (S1, P1, S3) -> merged
+    raw tables (U2) -> clean zone (partitioned) -> processed zone (U1, partitioned)."""
+    root = scratch_path(spark, "taxi_load")
+    raw, clean, proc = _unique("tw_raw"), _unique("tw_clean"), _unique("tw_processed")
+    eras = {"g1": "green_taxi_2015_h1", "g2": "green_taxi_2015_h2_2016_h1",
+            "y1": "yellow_taxi_pre2015", "y2": "yellow_taxi_2015_2016_h1"}
+    for era, table in eras.items():
+        folder = write_standin_csv(spark, sf_dir, era, f"{root}/landing/{era}")
+        files = spark.read.text(folder).inputFiles()  # each part file has the header line
+        taxi.ingest_raw(spark, files, raw, table, location=f"{root}/raw")
+    taxi.load_green(spark, raw, [eras["g1"], eras["g2"]], clean, clean_location=f"{root}/clean")
+    taxi.load_yellow(spark, raw, [eras["y1"], eras["y2"]], clean, clean_location=f"{root}/clean")
+    taxi.load_processed(spark, clean, proc, location=f"{root}/processed")
+    return as_ntz(scan_table(spark, proc, "nyc_taxi_dataset"))
+
+
 QUERIES: dict[str, Query] = {
     "csv_scan_rename": q_csv_scan_rename,
     "table_roundtrip": q_table_roundtrip,
@@ -440,6 +464,7 @@ QUERIES: dict[str, Query] = {
     "clean_yellow": q_clean_yellow,
     "processed": q_processed,
     "partitioned_write": q_partitioned_write,
+    "taxi_load": q_taxi_load,
     "list_tables": q_list_tables,
     "table_metadata": q_table_metadata,
     "metadata_graph": q_metadata_graph,

@@ -27,14 +27,14 @@ def split_file_list(names: str, base: str) -> list[str]:
     return [base.rstrip("/") + "/" + n for n in names.split("/") if n]
 
 
-def _string_schema(names: Sequence[str]) -> T.StructType:
+def string_schema(names: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
 
 def _read_group(spark: SparkSession, names: Sequence[str], paths: Sequence[str]) -> DataFrame:
     # The header was checked for every file, so the schema is given (no inference job)
     # and the reader maps columns by position, which is now known to be right.
-    return spark.read.schema(_string_schema(names)).option("header", True).csv(list(paths))
+    return spark.read.schema(string_schema(names)).option("header", True).csv(list(paths))
 
 
 def scan_csv(spark: SparkSession, paths: Sequence[str] | str, by_name: bool = False) -> DataFrame:

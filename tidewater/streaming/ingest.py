@@ -15,14 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewater.functions.columns import INGEST_RENAMES, rename_if_present
-from tidewater.sources.files import _string_schema
+from tidewater.sources.files import string_schema
 from tidewater.session import scratch_path
 
 
 def csv_stream(spark: SparkSession, folder: str, header: Sequence[str],
                max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming frame over the CSVs of one header era, every column text."""
-    reader = spark.readStream.schema(_string_schema(header)).option("header", True)
+    reader = spark.readStream.schema(string_schema(header)).option("header", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.csv(folder)
