@@ -166,7 +166,7 @@ SPARK_TYPE = """CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN '
   WHEN 'FLOAT[]' THEN 'array<float>' ELSE lower(data_type) END"""
 
 CATALOG_COLUMNS = f"""catalog_columns AS (
-  SELECT table_name, column_name, {SPARK_TYPE} AS column_type,
+  SELECT DISTINCT table_name, column_name, {SPARK_TYPE} AS column_type,
          CAST(ordinal_position - 1 AS INTEGER) AS sort_order
   FROM information_schema.columns WHERE table_name IN {_in(CATALOG_TABLES)})"""
 
@@ -281,7 +281,7 @@ SELECT 'default://{CLUSTER}.' || schema || '/' || table_name || '/' || column_na
 FROM longp"""
 
 ORACLES.update({
-    "list_tables": f"""SELECT '{CATALOG_ZONE}' AS database, table_name AS tableName, false AS isTemporary
+    "list_tables": f"""SELECT DISTINCT '{CATALOG_ZONE}' AS database, table_name AS tableName, false AS isTemporary
 FROM information_schema.tables WHERE table_name IN {_in(CATALOG_TABLES)}""",
     "table_metadata": f"""WITH {CATALOG_COLUMNS}
 SELECT 'default' AS database, '{CLUSTER}' AS cluster, '{CATALOG_ZONE}' AS schema, table_name,
@@ -318,7 +318,8 @@ FROM w""",
     "write_search_docs": f"SELECT key, name, column_names, column_count FROM ({SEARCH_DOCS})",
     "write_profile": f"SELECT column_name, count, n_distinct, mean FROM ({table_profile_sql('part')})",
     "metadata_refresh": f"""WITH p AS ({PROFILE_RECORDS}),
-cols AS (SELECT table_name, column_name FROM information_schema.columns WHERE table_name IN {_in(PROFILE_TABLES)})
+cols AS (SELECT DISTINCT table_name, column_name FROM information_schema.columns
+         WHERE table_name IN {_in(PROFILE_TABLES)})
 SELECT 'database://default' AS key, 'Database' AS label, 'default' AS name
 UNION ALL SELECT 'default://{CLUSTER}', 'Cluster', '{CLUSTER}'
 UNION ALL SELECT 'default://{CLUSTER}.{PROFILE_ZONE}', 'Schema', '{PROFILE_ZONE}'
