@@ -35,3 +35,26 @@ def test_low_le_high(spark):
     df = spark.range(1000).select(F.expr("timestamp_seconds(id * 7919 % 100003)").alias("pickup_datetime"))
     r = {x.part_type: x.create_time for x in watermarks_of({"t": df}, "s").collect()}
     assert r["low_watermark"] <= r["high_watermark"]
+
+
+def test_partition_pruned_watermarks_equal_full_scan(spark, tmp):
+    import io
+    from contextlib import redirect_stdout
+
+    from tidewater.operators.merge import merge_eras
+    from tidewater.plans import taxi
+    from tidewater.plans.standins import standin
+    from tidewater.sources.tables import write_partitioned
+
+    from conftest import SMALL
+
+    ensure_zone(spark, "t_wm_part", f"{tmp}/wmp")
+    merged = merge_eras(taxi.raw_fix(standin(spark, SMALL, "g1")), taxi.raw_fix(standin(spark, SMALL, "g2")))
+    write_partitioned(taxi.clean_green(merged), "t_wm_part.green_clean")
+    pruned = watermarks(spark, "t_wm_part")
+    full = watermarks(spark, "t_wm_part", prune_partitions=False)
+    assert sorted(map(tuple, pruned.collect())) == sorted(map(tuple, full.collect()))
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        pruned.explain()
+    assert "PartitionFilters: [" in buf.getvalue() and "pickup_year" in buf.getvalue()

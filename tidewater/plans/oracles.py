@@ -294,6 +294,11 @@ FROM catalog_columns""",
     "high_watermark": f"SELECT max(ts) AS high_watermark, {LABEL('max(ts)')} AS part_name FROM events",
     "low_watermark": f"SELECT min(ts) AS low_watermark, {LABEL('min(ts)')} AS part_name FROM events",
     "schema_watermarks": SCHEMA_WATERMARKS,
+    "partitioned_watermarks": TAXI_CTE + "\nUNION ALL\n".join(
+        f"""SELECT {TEXT(f'{k}(pickup_datetime)')} AS create_time, 'default' AS database,
+  'tw_clean_wm' AS schema, 'green_clean' AS table_name, {LABEL(f'{k}(pickup_datetime)')} AS part_name,
+  '{kind}' AS part_type, '{CLUSTER}' AS cluster FROM green_clean"""
+        for k, kind in (("max", "high_watermark"), ("min", "low_watermark"))),
     "column_profile": table_profile_sql("lineitem"),
     "schema_profile": SCHEMA_PROFILE,
     "cap_rows": f"SELECT least(count(*), {CAP_ROWS_N}) AS n_rows FROM events",

@@ -284,6 +284,19 @@ def q_schema_watermarks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return watermarks(spark, WATERMARK_ZONE, ts_col=WATERMARK_COLUMNS)
 
 
+CLEAN_WM_ZONE = "tw_clean_wm"
+
+
+def q_partitioned_watermarks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3 over a clean zone laid out by (year, month): only the first and the last
+    partition of the table are read."""
+    from tidewater.operators.watermark import watermarks
+
+    ensure_zone(spark, CLEAN_WM_ZONE, scratch_path(spark, CLEAN_WM_ZONE))
+    write_partitioned(taxi.clean_green(_green_merged(spark, sf_dir)), table_name(CLEAN_WM_ZONE, "green_clean"))
+    return watermarks(spark, CLEAN_WM_ZONE)
+
+
 def q_column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A4 over the whole lineitem table (no cap)."""
     from tidewater.operators.profile import column_profile
@@ -473,6 +486,7 @@ QUERIES: dict[str, Query] = {
     "high_watermark": q_high_watermark,
     "low_watermark": q_low_watermark,
     "schema_watermarks": q_schema_watermarks,
+    "partitioned_watermarks": q_partitioned_watermarks,
     "column_profile": q_column_profile,
     "schema_profile": q_schema_profile,
     "cap_rows": q_cap_rows,
