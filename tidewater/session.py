@@ -21,6 +21,10 @@ def scratch_root(spark: SparkSession) -> str:
         except Exception:  # Spark Connect has no SparkContext
             root = None
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
+            # a machine-local folder is not shared by the executors of a cluster
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store)")
         root = tempfile.mkdtemp(prefix="tidewater-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     try:
