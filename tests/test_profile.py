@@ -56,3 +56,19 @@ def test_cap_and_approx(spark):
     approx = column_profile(df, n=None, approx=True).first()
     assert approx["count"] == 20000 and abs(approx["n_distinct"] - 1000) < 50
     assert abs(approx["q50"] - 499.5) < 5
+
+
+def test_capped_path_equals_distributed_path(spark):
+    rng = np.random.default_rng(11)
+    pdf = pd.DataFrame({"a": rng.integers(0, 50, 2000).astype(float), "b": rng.normal(0, 1, 2000)})
+    pdf.loc[::7, "b"] = np.nan
+    df = spark.createDataFrame(pdf).repartition(4)
+    capped = {r.column_name: r.asDict() for r in column_profile(df, n=100000).collect()}
+    whole = {r.column_name: r.asDict() for r in column_profile(df, n=None).collect()}
+    assert capped.keys() == whole.keys()
+    for c in capped:
+        for k, v in whole[c].items():
+            if isinstance(v, str):
+                assert capped[c][k] == v
+            else:
+                assert capped[c][k] == pytest.approx(v, rel=1e-9, abs=1e-12), (c, k)

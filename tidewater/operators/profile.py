@@ -93,7 +93,10 @@ def _long_form(df: DataFrame, names: list[str], base: int = 0) -> DataFrame:
                           F.nanvl("v", F.lit(None).cast("double")).alias("v"))
 
 
-def _moments(long: DataFrame, approx: bool, accuracy: int) -> DataFrame:
+def _moments(long: DataFrame, mode: str, accuracy: int) -> DataFrame:
+    """Grouped moments per column; ``mode`` adds distinct count and quantiles:
+    ``approx`` (sketches), ``bounded`` (exact, in memory: only for capped input) or
+    ``none``."""
     v = F.col("v")
     aggs = [
         F.count(F.lit(1)).alias("n_rows"),
@@ -110,9 +113,13 @@ def _moments(long: DataFrame, approx: bool, accuracy: int) -> DataFrame:
         F.count_if(v == 0).alias("n_zeros"),
         F.count_if(v < 0).alias("n_negative"),
     ]
-    if approx:
+    qs = F.array(*[F.lit(q) for q in QUANTILES.values()])
+    if mode == "approx":
         aggs.append(F.approx_count_distinct(v, 0.01).alias("n_distinct"))
-        aggs.append(F.percentile_approx(v, F.array(*[F.lit(q) for q in QUANTILES.values()]), accuracy).alias("qs"))
+        aggs.append(F.percentile_approx(v, qs, accuracy).alias("qs"))
+    elif mode == "bounded":
+        aggs.append(F.count_distinct(v).alias("n_distinct"))
+        aggs.append(F.percentile(v, qs).alias("qs"))
     return long.groupBy("col_idx").agg(*aggs)
 
 
@@ -196,11 +203,18 @@ def profile_tables(
     if not longs:
         return None
     long = reduce(lambda a, b: a.unionByName(b), longs)
-    moments = _moments(long, approx, accuracy)
     if approx:
+        moments = _moments(long, "approx", accuracy)
+    elif n is not None:
+        # capped: at most n values per column, so the exact in-memory percentile and
+        # distinct count of one aggregation are bounded by the cap
+        moments = _moments(long, "bounded", accuracy)
+    else:
+        moments = None
+    if moments is not None:
         stats = moments.select("*", *[F.col("qs")[i].alias(k) for i, k in enumerate(QUANTILES)])
     else:
-        stats = moments.join(_exact_distinct_and_quantiles(long), "col_idx", "left")
+        stats = _moments(long, "none", accuracy).join(_exact_distinct_and_quantiles(long), "col_idx", "left")
 
     cnt = F.col("count").cast("double")
     skew = (F.when(F.col("count") < 3, F.lit(None).cast("double"))
@@ -223,17 +237,21 @@ def profile_tables(
     def lookup(i: int, cast: str) -> Column:
         return F.element_at(F.array(*[F.lit(e[i]) for e in entries]), F.col("col_idx") + 1).cast(cast)
 
-    return stats.select(
+    raw = stats.select(
         lookup(0, "string").alias("table_name"),
         lookup(1, "string").alias("column_name"),
         lookup(2, "int").alias("column_position"),
         F.col("count").cast("long").alias("count"),
         (F.col("n_rows") - F.col("count")).cast("long").alias("n_missing"),
         F.coalesce(F.col("n_distinct"), F.lit(0)).cast("long").alias("n_distinct"),
-        *[(sig_round(e.cast("double"), digits) if digits else e.cast("double")).alias(k) for k, e in values.items()],
+        *[e.cast("double").alias(k) for k, e in values.items()],
         F.col("n_zeros").cast("long").alias("n_zeros"),
         F.col("n_negative").cast("long").alias("n_negative"),
     )
+    if not digits:
+        return raw
+    # rounding in its own projection over plain columns keeps the expressions small
+    return raw.withColumns({k: sig_round(F.col(k), digits) for k in values})
 
 
 def column_profile(
