@@ -30,7 +30,7 @@ def test_lenient_casts_random_text(spark):
     from hypothesis import given, settings
     from hypothesis import strategies as st
 
-    @settings(max_examples=1, deadline=None)
+    @settings(max_examples=15, deadline=None)
     @given(st.lists(st.text(max_size=12), min_size=1, max_size=40))
     def run(texts):
         df = spark.createDataFrame([(t,) for t in texts], "s string")

@@ -17,8 +17,9 @@ def test_every_query_has_an_oracle():
     assert set(E.queries()) == set(E.oracle_sql())
 
 
-FAST = ["clean_green", "clean_yellow", "processed", "schema_watermarks", "expire_relations", "insert_only",
-        "upsert_tagged", "column_profile", "search_documents", "csv_scan_rename"]
+FAST = ["clean_green", "clean_yellow", "processed", "schema_watermarks", "partitioned_watermarks",
+        "expire_relations", "insert_only", "upsert_tagged", "column_profile", "schema_profile",
+        "search_documents", "csv_scan_rename", "write_graph", "write_profile", "append_evolve", "taxi_load"]
 
 
 @pytest.mark.parametrize("name", FAST)

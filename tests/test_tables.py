@@ -58,3 +58,31 @@ def test_append_evolve_adds_columns(spark, tmp):
     assert back.columns == ["vendor_id", "Surcharge", "improvement_surcharge"]
     rows = sorted(back.collect())
     assert rows[0].improvement_surcharge is None and rows[1].Surcharge == "y"
+
+
+def test_hot_month_is_split_across_files(spark, tmp):
+    """A third of all rows in one (year, month): the rebalanced write spreads that
+    partition over several tasks (files) instead of one."""
+    import glob
+
+    from tidewater.sources.tables import write_partitioned_path
+
+    df = spark.range(0, 90000).select(
+        F.when(F.col("id") < 30000, F.lit(2015)).otherwise((F.col("id") % 7 + 2008).cast("int")).alias("pickup_year"),
+        F.when(F.col("id") < 30000, F.lit(1)).otherwise((F.col("id") % 12 + 1).cast("int")).alias("pickup_month"),
+        F.col("id"), F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+    keys = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    spark.conf.set(keys[0], "256k")
+    spark.conf.set(keys[1], "64k")
+    try:
+        path = f"{tmp}/hot"
+        write_partitioned_path(df.repartition(8), path)
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    hot_files = glob.glob(f"{path}/pickup_year=2015/pickup_month=1/*.parquet")
+    assert len(hot_files) > 1
+    back = spark.read.parquet(path)
+    assert back.count() == 90000
+    assert back.where("pickup_year = 2015 AND pickup_month = 1").count() >= 30000
