@@ -4,6 +4,9 @@ from pyspark.sql import functions as F
 from tidewater.functions.columns import (
     INGEST_RENAMES,
     canonical_case,
+    copy_column,
+    project,
+    tag_source,
     drop_columns,
     numeric_columns,
     rename_if_present,
@@ -45,3 +48,12 @@ def test_surcharge_fold_policies(spark):
 def test_drop_columns_missing_ok(spark):
     df = spark.createDataFrame([(1, 2)], ["Surcharge", "x"])
     assert drop_columns(df, "surcharge", "nope").columns == ["x"]
+
+
+def test_tag_copy_and_project(spark):
+    df = spark.createDataFrame([("1.5", "2014-03-04 05:06:07", "N")], ["RateCodeID", "pickup_datetime", "rate_code"])
+    out = copy_column(tag_source(df, "green"), "rate_code", "rate_code_id")
+    assert out.first().data_source == "green" and out.first().rate_code_id == "N"
+    typed = project(df, [("rate_code_id", "RateCodeID", "int"), ("y", None, "year:pickup_datetime"),
+                         ("m", None, "month:pickup_datetime"), ("src", None, "lit:yellow")])
+    assert tuple(typed.first()) == (1, 2014, 3, "yellow")

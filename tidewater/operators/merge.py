@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.functions.columns import col_of, find_column
+from tidewater.functions.columns import col_of
 
 
 def align_case(df: DataFrame, reference_names: list[str]) -> DataFrame:
@@ -52,7 +52,3 @@ def union_sources(green: DataFrame, yellow: DataFrame, tag_yellow: bool = False)
         green = green.withColumns({c: col_of(c).cast("string") for c in clash})
         yellow = yellow.withColumns({c: col_of(c).cast("string") for c in clash})
     return green.unionByName(yellow, allowMissingColumns=True)
-
-
-def has_column(df: DataFrame, name: str) -> bool:
-    return find_column(df, name) is not None

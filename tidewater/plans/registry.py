@@ -319,8 +319,8 @@ def q_cap_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _customer_nodes(spark, sf_dir):
-    from tidewater.operators.graph import NODE_SCHEMA  # noqa: F401  (layout reference)
-
+    """Customer rows as graph nodes: a target (balance below 5000) and an incoming set
+    (balance from 0 up, names upper-cased) that overlap; together they cover the table."""
     c = read_table(spark, sf_dir, "customer")
     node = lambda df, name: df.select(
         F.col("c_custkey").cast("string").alias("key"), F.lit("Customer").alias("label"), name.alias("name"),
