@@ -4,7 +4,7 @@ documents -> expiry of stale relations.
 The heavy steps (watermarks and profiles read table data) each run once: their
 small results (one row per table / column) are cut from their lineage with a
 reliable checkpoint before the graph, the search documents and the writers reuse
-them.
+them; the published graph is cut the same way before its three consumers.
 """
 
 from __future__ import annotations
@@ -73,6 +73,8 @@ def metadata_refresh(
     nodes, edges = publish(*profile_records(prof, database=database, cluster=cluster),
                            PROFILE_TAG, now_ms, graph=(nodes, edges))
 
+    # the published graph feeds the documents, the guard and the expiry: cut it once
+    nodes, edges = nodes.checkpoint(eager=True), edges.checkpoint(eager=True)
     docs = search_documents(nodes, edges)
     edges = expire_relations(edges, now_ms, expiry_days, stale_types, max_pct)
     return {"nodes": nodes, "edges": edges, "watermarks": wm, "profiles": prof, "search_docs": docs}
