@@ -65,6 +65,10 @@ RAW_Y1 = raw_select("y1")
 RAW_Y2 = raw_select("y2", YELLOW_LATE_RENAMES)
 
 GREEN_MERGED = f"({RAW_G1}) UNION ALL BY NAME ({RAW_G2})"
+# merged green columns: the first era's, then the second era's new ones
+GREEN_MERGED_COLUMNS = [o for _, o in renamed(standin_columns("g1"), INGEST_RENAMES)]
+GREEN_MERGED_COLUMNS += [o for _, o in renamed(standin_columns("g2"), INGEST_RENAMES)
+                         if o.lower() not in {c.lower() for c in GREEN_MERGED_COLUMNS}]
 YELLOW_MERGED = f"({RAW_Y1}) UNION ALL BY NAME ({RAW_Y2})"
 
 CLEAN_GREEN_SELECT = f"""SELECT 'green' AS data_source,
@@ -102,22 +106,22 @@ TAXI_CTE = (cte("g1", "g2", "y1", "y2").rstrip("\n")
             + f"\ngreen_clean AS ({CLEAN_GREEN_SELECT}),\nyellow_clean AS ({CLEAN_YELLOW_SELECT})\n")
 
 ORACLES: dict[str, str] = {
-    "csv_scan_rename": cte("g1") + RAW_G1,
-    "table_roundtrip": cte("g2") + RAW_G2,
-    "rename_if_present": cte("y2") + RAW_Y2,
-    "canonical_case": cte("g1") + "SELECT " + ", ".join(
-        f"{q(o)} AS {q(o.lower())}" for _, o in renamed(standin_columns("g1"), INGEST_RENAMES)
-    ) + f" FROM ({RAW_G1})",
-    "lenient_int": cte("g1") + f"""SELECT {INT('RateCodeID')} AS rate_code_id,
+    "csv_scan_rename": cte("g1", "g2") + GREEN_MERGED,
+    "table_roundtrip": cte("g1", "g2") + GREEN_MERGED,
+    "rename_if_present": cte("y1", "y2") + YELLOW_MERGED,
+    "canonical_case": cte("g1", "g2") + "SELECT " + ", ".join(
+        f"{q(o)} AS {q(o.lower())}" for o in GREEN_MERGED_COLUMNS) + f" FROM ({GREEN_MERGED})",
+    "lenient_int": cte("g1", "g2") + f"""SELECT {INT('RateCodeID')} AS rate_code_id,
   {INT('Passenger_count')} AS passenger_count, {INT('Payment_type')} AS payment_type,
-  {INT('Trip_type_')} AS trip_type, {INT('Fare_amount')} AS fare_amount_int FROM g1""",
-    "lenient_float": cte("g1") + f"""SELECT {FLT('Fare_amount')} AS fare_amount,
+  {INT('trip_type')} AS trip_type, {INT('Fare_amount')} AS fare_amount_int FROM ({GREEN_MERGED})""",
+    "lenient_float": cte("g1", "g2") + f"""SELECT {FLT('Fare_amount')} AS fare_amount,
   {FLT('Trip_distance')} AS trip_distance, {FLT('Pickup_longitude')} AS pickup_longitude,
-  {FLT('Payment_type')} AS payment_type_float, {FLT('Ehail_fee')} AS ehail_fee FROM g1""",
-    "lenient_timestamp": cte("g1") + f"""SELECT {TS('lpep_pickup_datetime')} AS pickup_datetime,
-  {TS('Lpep_dropoff_datetime')} AS dropoff_datetime FROM g1""",
-    "year_month": cte("g1") + f"""SELECT CAST(year({TS('lpep_pickup_datetime')}) AS INTEGER) AS pickup_year,
-  CAST(month({TS('lpep_pickup_datetime')}) AS INTEGER) AS pickup_month FROM g1""",
+  {FLT('Payment_type')} AS payment_type_float, {FLT('Ehail_fee')} AS ehail_fee,
+  {FLT('improvement_surcharge')} AS improvement_surcharge FROM ({GREEN_MERGED})""",
+    "lenient_timestamp": cte("g1", "g2") + f"""SELECT {TS('pickup_datetime')} AS pickup_datetime,
+  {TS('dropoff_datetime')} AS dropoff_datetime FROM ({GREEN_MERGED})""",
+    "year_month": cte("g1", "g2") + f"""SELECT CAST(year({TS('pickup_datetime')}) AS INTEGER) AS pickup_year,
+  CAST(month({TS('pickup_datetime')}) AS INTEGER) AS pickup_month FROM ({GREEN_MERGED})""",
     "merge_green_eras": cte("g1", "g2") + GREEN_MERGED,
     "append_evolve": cte("y1", "y2") + YELLOW_MERGED,
     "clean_green": TAXI_CTE + "SELECT * FROM green_clean",

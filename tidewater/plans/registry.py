@@ -72,39 +72,46 @@ def _yellow_merged(spark, sf_dir):
 
 
 def q_csv_scan_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S1 + P1: g1 written as CSV files (real ``Trip_type `` header), scanned back."""
-    path = scratch_path(spark, "csv_g1")
-    # the writer trims blanks by default, which would also trim the header
-    (standin(spark, sf_dir, "g1").write.option("header", True)
-     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
-    return taxi.raw_fix(scan_csv(spark, path))
+    """S1 + P1: both green eras written as CSV files (real ``Trip_type `` header; the
+    second era has one more column), every file's header checked, the two header
+    groups read on their own and united by name."""
+    root = scratch_path(spark, "csv_green")
+    files = []
+    for era in ("g1", "g2"):
+        folder = write_standin_csv(spark, sf_dir, era, f"{root}/{era}")
+        files += spark.read.text(folder).inputFiles()
+    return taxi.raw_fix(scan_csv(spark, sorted(files), by_name=True))
 
 
 def q_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """g2 replaced into a zone table, overwritten, read back."""
+    """The merged green eras replaced into a zone table, overwritten
+    from itself, read back."""
     zone = _unique("tw_raw")
     ensure_zone(spark, zone, scratch_path(spark, zone))
-    name = table_name(zone, "green_taxi_2015_h1")
-    df = _raw(spark, sf_dir, "g2")
-    write_replace(df, name)
-    write_overwrite(scan_table(spark, zone, "green_taxi_2015_h1"), name)  # self-read overwrite
-    return scan_table(spark, zone, "green_taxi_2015_h1")
+    name = table_name(zone, "green_taxi_merged")
+    write_replace(_green_merged(spark, sf_dir), name)
+    write_overwrite(scan_table(spark, zone, "green_taxi_merged"), name)  # self-read overwrite
+    return scan_table(spark, zone, "green_taxi_merged")
 
 
 def q_rename_if_present(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ingest renames, then the late-yellow renames, over y2."""
-    return rename_if_present(rename_if_present(standin(spark, sf_dir, "y2"), INGEST_RENAMES), YELLOW_LATE_RENAMES)
+    """The ingest renames, then the late-yellow renames, applied to each yellow era
+    (no-ops where a name is absent), the eras united by name."""
+    def renamed(era):
+        return rename_if_present(rename_if_present(standin(spark, sf_dir, era), INGEST_RENAMES),
+                                 YELLOW_LATE_RENAMES)
+    return merge_eras(renamed("y1"), renamed("y2"))
 
 
 def q_canonical_case(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lower-case spelling of the mixed-case green columns."""
-    g1 = _raw(spark, sf_dir, "g1")
-    return canonical_case(g1, [c.lower() for c in g1.columns])
+    """Lower-case spelling of the mixed-case green columns (both eras)."""
+    green = _green_merged(spark, sf_dir)
+    return canonical_case(green, [c.lower() for c in green.columns])
 
 
 def q_lenient_int(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g1 = _raw(spark, sf_dir, "g1")
-    return g1.select(
+    green = _green_merged(spark, sf_dir)
+    return green.select(
         to_int_lenient("RateCodeID").alias("rate_code_id"),
         to_int_lenient("Passenger_count").alias("passenger_count"),
         to_int_lenient("Payment_type").alias("payment_type"),
@@ -114,28 +121,29 @@ def q_lenient_int(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_lenient_float(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g1 = _raw(spark, sf_dir, "g1")
-    return g1.select(
+    green = _green_merged(spark, sf_dir)
+    return green.select(
         to_float_lenient("Fare_amount").alias("fare_amount"),
         to_float_lenient("Trip_distance").alias("trip_distance"),
         to_float_lenient("Pickup_longitude").alias("pickup_longitude"),
         to_float_lenient("Payment_type").alias("payment_type_float"),
         to_float_lenient("Ehail_fee").alias("ehail_fee"),
+        to_float_lenient("improvement_surcharge").alias("improvement_surcharge"),
     )
 
 
 def q_lenient_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g1 = _raw(spark, sf_dir, "g1")
-    return as_ntz(g1.select(
+    green = _green_merged(spark, sf_dir)
+    return as_ntz(green.select(
         to_ts_lenient("pickup_datetime").alias("pickup_datetime"),
         to_ts_lenient("dropoff_datetime").alias("dropoff_datetime"),
     ))
 
 
 def q_year_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g1 = _raw(spark, sf_dir, "g1")
+    green = _green_merged(spark, sf_dir)
     ts = to_ts_lenient("pickup_datetime")
-    return g1.select(F.year(ts).alias("pickup_year"), F.month(ts).alias("pickup_month"))
+    return green.select(F.year(ts).alias("pickup_year"), F.month(ts).alias("pickup_month"))
 
 
 def q_merge_green_eras(spark: SparkSession, sf_dir: str) -> DataFrame:
