@@ -123,6 +123,38 @@ def _moments(long: DataFrame, mode: str, accuracy: int) -> DataFrame:
     return long.groupBy("col_idx").agg(*aggs)
 
 
+RUNNING_SCHEMA = "pid int, col_idx int, v double, c long, before long"
+
+
+def _range_partitions(spark: SparkSession) -> int:
+    try:
+        return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    except (TypeError, ValueError):
+        return max(1, spark.sparkContext.defaultParallelism)
+
+
+def _running_counts(batches):
+    """Rows of one range partition sorted by (col_idx, v) -> ``before`` = rows of the
+    same column earlier in the partition.  State carried between Arrow batches is one
+    (column, running total) pair."""
+    import numpy as np
+
+    carry_idx, carry = None, 0
+    for pdf in batches:
+        if pdf.empty:
+            continue
+        idx = pdf["col_idx"].to_numpy()
+        c = pdf["c"].to_numpy(dtype=np.int64)
+        excl = np.cumsum(c) - c
+        starts = np.flatnonzero(np.r_[True, idx[1:] != idx[:-1]])
+        group_start = np.repeat(starts, np.diff(np.r_[starts, len(idx)]))
+        before = excl - excl[group_start]
+        if idx[0] == carry_idx:
+            before[: (starts[1] if len(starts) > 1 else len(idx))] += carry
+        carry_idx, carry = idx[-1], int(before[-1] + c[-1])
+        yield pdf.assign(before=before)
+
+
 def _exact_distinct_and_quantiles(long: DataFrame) -> DataFrame:
     """Exact distinct counts and quantiles from one aggregation of (col_idx, v).
 
@@ -131,14 +163,17 @@ def _exact_distinct_and_quantiles(long: DataFrame) -> DataFrame:
     totals alone give each column's count, distinct count and rank offsets.
     """
     vc = long.where(F.col("v").isNotNull()).groupBy("col_idx", "v").agg(F.count(F.lit(1)).alias("c"))
-    ranged = vc.repartitionByRange("col_idx", "v").withColumn("pid", F.spark_partition_id())
+    # an explicit partition count: adaptive execution then neither coalesces nor splits
+    # the ranges, so ``pid`` names the same range in every branch reading this shuffle
+    parts = _range_partitions(long.sparkSession)
+    ranged = vc.repartitionByRange(parts, "col_idx", "v").withColumn("pid", F.spark_partition_id())
 
-    # running counts inside each range partition (a group here is at most one partition)
-    w_local = Window.partitionBy("pid", "col_idx").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    local = ranged.withColumn("before", F.coalesce(F.sum("c").over(w_local), F.lit(0)))
+    # running counts inside each range partition: a sort within the partition and a
+    # streaming cumulative sum (a window on (pid, col_idx) would shuffle every pair again)
+    local = ranged.sortWithinPartitions("col_idx", "v").mapInPandas(_running_counts, RUNNING_SCHEMA)
 
-    # per (partition, column): rows and distinct values; one row per pair, so the
-    # windows below see at most (partitions) rows per column
+    # per (partition, column): rows and distinct values; partial aggregation leaves one
+    # row per (partition, column), so the windows below see (partitions) rows per column
     totals = ranged.groupBy("pid", "col_idx").agg(F.sum("c").alias("tot"), F.count(F.lit(1)).alias("nv"))
     w_prev = Window.partitionBy("col_idx").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
     w_all = Window.partitionBy("col_idx")
