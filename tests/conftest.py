@@ -30,7 +30,7 @@ def spark():
     s.sparkContext.setLogLevel("ERROR")
     # only where the session names no shared folder (as here, in tests)
     if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", os.path.join(base, "checkpoints"))
+        s.sparkContext.setCheckpointDir(os.path.join(base, "checkpoints"))
     yield s
 
 

@@ -86,3 +86,50 @@ def test_hot_month_is_split_across_files(spark, tmp):
     back = spark.read.parquet(path)
     assert back.count() == 90000
     assert back.where("pickup_year = 2015 AND pickup_month = 1").count() >= 30000
+
+
+class _Conf:
+    def __init__(self, values):
+        self.values = values
+
+    def get(self, key, default=None):
+        return self.values.get(key, default)
+
+    def set(self, key, value):  # a running session refuses core settings
+        raise RuntimeError("CANNOT_MODIFY_CONFIG")
+
+
+class _Context:
+    def __init__(self):
+        self.dir = None
+
+    def getCheckpointDir(self):
+        return self.dir
+
+    def setCheckpointDir(self, d):
+        self.dir = d
+
+
+class _Session:
+    def __init__(self, master, ckpt=None):
+        self.conf = _Conf({"spark.master": master, **({"spark.checkpoint.dir": ckpt} if ckpt else {})})
+        self.sparkContext = _Context()
+
+
+def test_scratch_root_reads_the_session_setting():
+    from tidewater.session import scratch_root
+
+    s = _Session("spark://cluster:7077", "hdfs://nn/shared/ckpt/")
+    assert scratch_root(s) == "hdfs://nn/shared/ckpt"
+
+
+def test_scratch_root_unset_local_registers_own_folder_unset_cluster_raises():
+    import pytest
+
+    from tidewater.session import scratch_root
+
+    local = _Session("local[2]")
+    root = scratch_root(local)
+    assert root and local.sparkContext.dir == root and scratch_root(local) == root
+    with pytest.raises(RuntimeError):
+        scratch_root(_Session("yarn"))

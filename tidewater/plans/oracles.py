@@ -107,6 +107,7 @@ TAXI_CTE = (cte("g1", "g2", "y1", "y2").rstrip("\n")
 
 ORACLES: dict[str, str] = {
     "csv_scan_rename": cte("g1", "g2") + GREEN_MERGED,
+    "stream_ingest": cte("g1", "g2") + GREEN_MERGED,
     "table_roundtrip": cte("g1", "g2") + GREEN_MERGED,
     "rename_if_present": cte("y1", "y2") + YELLOW_MERGED,
     "canonical_case": cte("g1", "g2") + "SELECT " + ", ".join(

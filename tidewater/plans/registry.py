@@ -470,8 +470,29 @@ def q_taxi_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_ntz(scan_table(spark, proc, "nyc_taxi_dataset"))
 
 
+def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + P1 as a file stream: each green era's CSVs land in their own folder and an
+    ``availableNow`` stream per era appends them to a raw Parquet target.  Each stream
+    runs twice on one checkpoint: the second run finds no new file and adds nothing.
+    Both targets read back, united by name."""
+    from tidewater.sources.files import read_header
+    from tidewater.streaming.ingest import ingest_new_files
+
+    root = scratch_path(spark, "stream_green")
+    frames = []
+    for era in ("g1", "g2"):
+        folder = write_standin_csv(spark, sf_dir, era, f"{root}/landing/{era}")
+        header = read_header(spark, folder)
+        target, ckpt = f"{root}/raw/{era}", f"{root}/checkpoints/{era}"
+        for _ in range(2):
+            ingest_new_files(spark, folder, header, target, ckpt).awaitTermination()
+        frames.append(spark.read.parquet(target))
+    return merge_eras(*frames)
+
+
 QUERIES: dict[str, Query] = {
     "csv_scan_rename": q_csv_scan_rename,
+    "stream_ingest": q_stream_ingest,
     "table_roundtrip": q_table_roundtrip,
     "rename_if_present": q_rename_if_present,
     "canonical_case": q_canonical_case,

@@ -26,7 +26,8 @@ def scratch_root(spark: SparkSession) -> str:
             # a machine-local folder is not shared by the executors of a cluster
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store)")
         root = tempfile.mkdtemp(prefix="tidewater-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    # (``spark.checkpoint.dir`` is a core setting: a running session refuses to change
+    # it, so a folder of our own is registered with the context only)
     try:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(root)
