@@ -72,3 +72,34 @@ def test_capped_path_equals_distributed_path(spark):
                 assert capped[c][k] == v
             else:
                 assert capped[c][k] == pytest.approx(v, rel=1e-9, abs=1e-12), (c, k)
+
+
+def test_running_counts_carry_across_arrow_batches(spark):
+    """Tiny Arrow batches: the running count of a range partition spans many batches
+    (and column boundaries fall inside batches); quantiles must not change."""
+    rng = np.random.default_rng(3)
+    n = 2500
+    x = rng.integers(0, 400, n).astype(float)
+    x[: n // 3] = 123.0
+    pdf = pd.DataFrame({"x": x, "y": rng.normal(0, 1, n), "z": rng.integers(-3, 3, n).astype(float)})
+    df = spark.createDataFrame(pdf).repartition(3)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "7")
+    try:
+        prof = {r.column_name: r.asDict() for r in column_profile(df, n=None, digits=None).collect()}
+    finally:
+        spark.conf.set(key, old)
+    for c in pdf.columns:
+        want = _pandas_stats(pdf[c])
+        for k in ("n_distinct", "q05", "q25", "q50", "q75", "q95"):
+            assert prof[c][k] == pytest.approx(want[k], rel=1e-12, abs=1e-12), (c, k)
+
+
+def test_running_counts_function():
+    from tidewater.operators.profile import _running_counts
+
+    rows = pd.DataFrame({"pid": 0, "col_idx": [0, 0, 0, 1, 1, 2], "v": [1.0, 2.0, 3.0, 1.0, 5.0, 0.0],
+                         "c": [2, 1, 4, 3, 1, 6]})
+    out = pd.concat(_running_counts([rows.iloc[:2], rows.iloc[2:4], rows.iloc[4:4], rows.iloc[4:]]))
+    assert out["before"].tolist() == [0, 2, 3, 0, 3, 0]
