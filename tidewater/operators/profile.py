@@ -68,17 +68,24 @@ def cap_rows(df: DataFrame, n: int) -> DataFrame:
     return df.limit(n)
 
 
-def sig_round(x: Column, digits: int) -> Column:
-    """Round a double to ``digits`` significant digits (0, NULL, NaN pass through).
+def sig_round(name: str, digits: int) -> Column:
+    """Round the double column ``name`` to ``digits`` significant digits (0, NULL and
+    NaN pass through).
 
     Computed as round(x / 10^e) * 10^e with an exact power of ten, so the result is
-    the same double in any IEEE engine that rounds the mantissa the same way.
+    the same double in any IEEE engine that rounds the mantissa the same way.  Built
+    as one SQL expression (one call into the JVM, not one per operator).
     """
-    e = F.floor(F.log10(F.abs(x)))
-    up = F.round(x / F.pow(F.lit(10.0), e), digits - 1) * F.pow(F.lit(10.0), e)
-    down = F.round(x * F.pow(F.lit(10.0), -e), digits - 1) / F.pow(F.lit(10.0), -e)
-    return (F.when(x == 0, F.lit(0.0)).when(x.isNull() | F.isnan(x), x)
-            .when(e >= 0, up).otherwise(down))
+    x = quote(name)
+    e = f"floor(log10(abs({x})))"
+    return F.expr(
+        f"CASE WHEN {x} = 0 THEN 0.0D WHEN {x} IS NULL OR isnan({x}) THEN {x} "
+        f"WHEN {e} >= 0 THEN round({x} / power(10.0D, {e}), {digits - 1}) * power(10.0D, {e}) "
+        f"ELSE round({x} * power(10.0D, -{e}), {digits - 1}) / power(10.0D, -{e}) END")
+
+
+def _sql_text(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def _long_form(df: DataFrame, names: list[str], base: int = 0) -> DataFrame:
@@ -270,7 +277,8 @@ def profile_tables(
     }
 
     def lookup(i: int, cast: str) -> Column:
-        return F.element_at(F.array(*[F.lit(e[i]) for e in entries]), F.col("col_idx") + 1).cast(cast)
+        items = ", ".join(_sql_text(str(e[i])) for e in entries)
+        return F.expr(f"element_at(array({items}), col_idx + 1)").cast(cast)
 
     raw = stats.select(
         lookup(0, "string").alias("table_name"),
@@ -286,7 +294,7 @@ def profile_tables(
     if not digits:
         return raw
     # rounding in its own projection over plain columns keeps the expressions small
-    return raw.withColumns({k: sig_round(F.col(k), digits) for k in values})
+    return raw.withColumns({k: sig_round(k, digits) for k in values})
 
 
 def column_profile(
