@@ -103,3 +103,15 @@ def test_running_counts_function():
                          "c": [2, 1, 4, 3, 1, 6]})
     out = pd.concat(_running_counts([rows.iloc[:2], rows.iloc[2:4], rows.iloc[4:4], rows.iloc[4:]]))
     assert out["before"].tolist() == [0, 2, 3, 0, 3, 0]
+
+
+def test_small_caps_read_in_one_task_large_caps_stay_parallel(spark):
+    from tidewater.operators.profile import SINGLE_TASK_CAP
+
+    df = spark.range(0, 5000, numPartitions=6)
+    small = cap_rows(df, 100)
+    assert small.count() == 100
+    assert "Repartition 1, false" in small._jdf.queryExecution().optimizedPlan().toString()
+    large = cap_rows(df, SINGLE_TASK_CAP + 1)
+    assert large.count() == 5000
+    assert "Repartition" not in large._jdf.queryExecution().optimizedPlan().toString()

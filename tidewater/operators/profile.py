@@ -63,8 +63,18 @@ SHAPE_DECIMALS = 8
 DEFAULT_DIGITS = 10
 
 
+# Caps up to this many rows are taken by one task that reads the input partitions in
+# turn and stops at the cap.  A plain limit starts every scan task and reads up to n
+# rows in each (on a table of a million splits, a large share of the table for a
+# 100 000-row cap).  Larger caps keep the parallel limit, so no unbounded row count
+# goes through one task.
+SINGLE_TASK_CAP = 1_000_000
+
+
 def cap_rows(df: DataFrame, n: int) -> DataFrame:
     """L1: the first ``n`` rows (which rows is not defined, as in the reference)."""
+    if n <= SINGLE_TASK_CAP:
+        return df.coalesce(1).limit(n)
     return df.limit(n)
 
 
