@@ -13,8 +13,18 @@ from pyspark.sql import types as T
 from tidewater.functions.columns import col_of, find_column
 from tidewater.operators.merge import merge_eras
 
-# Header probes are tiny jobs (one line per file); this many run at once.
+# Header probes are tiny jobs (one task reading one line per file); at least this many
+# run at once, more on a larger cluster (its default parallelism), at most the ceiling.
 HEADER_PROBE_THREADS = 8
+HEADER_PROBE_MAX_THREADS = 64
+
+
+def probe_threads(spark: SparkSession, files: int) -> int:
+    try:
+        cluster = spark.sparkContext.defaultParallelism
+    except Exception:  # Spark Connect has no SparkContext
+        cluster = HEADER_PROBE_THREADS
+    return max(1, min(files, HEADER_PROBE_MAX_THREADS, max(HEADER_PROBE_THREADS, cluster)))
 
 
 def read_header(spark: SparkSession, path: str) -> list[str]:
@@ -49,7 +59,7 @@ def scan_csv(spark: SparkSession, paths: Sequence[str] | str, by_name: bool = Fa
     paths = [paths] if isinstance(paths, str) else list(paths)
     if not paths:
         raise ValueError("scan_csv needs at least one path")
-    with ThreadPoolExecutor(max_workers=min(HEADER_PROBE_THREADS, len(paths))) as pool:
+    with ThreadPoolExecutor(max_workers=probe_threads(spark, len(paths))) as pool:
         headers = list(pool.map(lambda p: tuple(read_header(spark, p)), paths))
     groups: dict[tuple[str, ...], list[str]] = {}
     for p, h in zip(paths, headers):
