@@ -19,7 +19,8 @@ def test_every_query_has_an_oracle():
 
 FAST = ["clean_green", "clean_yellow", "processed", "schema_watermarks", "partitioned_watermarks",
         "expire_relations", "insert_only", "upsert_tagged", "column_profile", "schema_profile",
-        "search_documents", "csv_scan_rename", "write_graph", "write_profile", "append_evolve", "taxi_load"]
+        "search_documents", "csv_scan_rename", "write_graph", "write_profile", "append_evolve", "taxi_load",
+        "stream_ingest", "lenient_int", "rename_if_present", "cap_rows"]
 
 
 @pytest.mark.parametrize("name", FAST)
