@@ -115,3 +115,23 @@ def test_small_caps_read_in_one_task_large_caps_stay_parallel(spark):
     large = cap_rows(df, SINGLE_TASK_CAP + 1)
     assert large.count() == 5000
     assert "Repartition" not in large._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_capped_tables_pinned_together(spark):
+    from tidewater.operators.profile import profile_tables
+
+    a = spark.range(0, 3000, numPartitions=4).select((F.col("id") % 97).alias("x"), F.lit("s").alias("s"))
+    b = spark.range(0, 1000, numPartitions=3).select((F.col("id") * 0.5).alias("y"), (F.col("id") % 3).alias("z"))
+    tables = {"a": a, "b": b}
+    key = lambda r: (r["table_name"], r["column_name"])
+    capped = {key(r): r.asDict() for r in profile_tables(tables, n=100000).collect()}
+    whole = {key(r): r.asDict() for r in profile_tables(tables, n=None).collect()}
+    assert capped.keys() == whole.keys() == {("a", "x"), ("b", "y"), ("b", "z")}
+    for k in whole:
+        for stat, v in whole[k].items():
+            if isinstance(v, str) or v is None:
+                assert capped[k][stat] == v
+            else:
+                assert capped[k][stat] == pytest.approx(v, rel=1e-9, abs=1e-12), (k, stat)
+    small = profile_tables(tables, n=250).collect()
+    assert {key(r): r["count"] for r in small} == {("a", "x"): 250, ("b", "y"): 250, ("b", "z"): 250}

@@ -248,13 +248,18 @@ def profile_tables(
         positions = {c: i for i, c in enumerate(df.columns)}
         sel = df.select(*[col_of(c) for c in names])
         if n is not None:
-            scratch_root(df.sparkSession)
-            sel = cap_rows(sel, n).checkpoint(eager=True)
+            sel = cap_rows(sel, n)
         longs.append(_long_form(sel, names, base=len(entries)))
         entries += [(t, c, positions[c]) for c in names]
     if not longs:
         return None
     long = reduce(lambda a, b: a.unionByName(b), longs)
+    if n is not None:
+        # pin the capped rows so that every branch below sees the same rows: one job
+        # for all tables (each capped table is one partition of the union, so the
+        # tables are read in parallel, each by one task that stops at the cap)
+        scratch_root(long.sparkSession)
+        long = long.checkpoint(eager=True)
     if approx:
         moments = _moments(long, "approx", accuracy)
     elif n is not None:
