@@ -135,3 +135,17 @@ def test_capped_tables_pinned_together(spark):
                 assert capped[k][stat] == pytest.approx(v, rel=1e-9, abs=1e-12), (k, stat)
     small = profile_tables(tables, n=250).collect()
     assert {key(r): r["count"] for r in small} == {("a", "x"): 250, ("b", "y"): 250, ("b", "z"): 250}
+
+
+def test_write_profile_only_with_numeric_columns(spark, tmp):
+    import os
+
+    from tidewater.sources.files import write_profile
+
+    none_path, some_path = os.path.join(tmp, "none"), os.path.join(tmp, "some")
+    assert write_profile(column_profile(spark.createDataFrame([("a",)], "s string")), none_path) is False
+    assert not os.path.exists(none_path)
+    df = spark.range(0, 50).select((F.col("id") % 7).alias("v"), F.lit("x").alias("s"))
+    assert write_profile(column_profile(df, n=None), some_path) is True
+    back = spark.read.json(some_path).collect()
+    assert [(r.column_name, r["count"], r.n_distinct) for r in back] == [("v", 50, 7)]

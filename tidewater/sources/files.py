@@ -121,8 +121,17 @@ def write_search_docs(docs: DataFrame, path: str) -> None:
 
 
 def write_profile(profile: DataFrame, path: str) -> bool:
-    """Write a profile report only when the table had numeric columns."""
-    if profile.isEmpty():
+    """Write a profile report only when the table had numeric columns.
+
+    The profile is computed once: its few rows (one per column) are pinned with a
+    reliable checkpoint, then tested for emptiness and written (testing the plan and
+    then writing it would run the whole profile twice).
+    """
+    from tidewater.session import scratch_root
+
+    scratch_root(profile.sparkSession)
+    pinned = profile.checkpoint(eager=True)
+    if pinned.isEmpty():
         return False
-    profile.write.mode("overwrite").json(path)
+    pinned.write.mode("overwrite").json(path)
     return True
