@@ -149,3 +149,27 @@ def test_write_profile_only_with_numeric_columns(spark, tmp):
     assert write_profile(column_profile(df, n=None), some_path) is True
     back = spark.read.json(some_path).collect()
     assert [(r.column_name, r["count"], r.n_distinct) for r in back] == [("v", 50, 7)]
+
+
+def test_exact_quantiles_property(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    values = st.one_of(st.integers(-20, 20).map(float), st.sampled_from([0.0, -0.0, float("nan"), 1e9, -1e-9]))
+
+    @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(values, min_size=1, max_size=300), st.integers(1, 5))
+    def check(xs, parts):
+        pdf = pd.DataFrame({"x": xs})
+        df = spark.createDataFrame(pdf, "x double").repartition(parts)
+        got = column_profile(df, n=None, digits=None).first().asDict()
+        s = pdf["x"].dropna()
+        assert got["count"] == len(s) and got["n_missing"] == len(xs) - len(s)
+        assert got["n_distinct"] == s.nunique()
+        for k, q in {"q05": .05, "q25": .25, "q50": .5, "q75": .75, "q95": .95}.items():
+            if len(s):
+                assert got[k] == pytest.approx(s.quantile(q), rel=1e-12, abs=1e-12), k
+            else:
+                assert got[k] is None
+
+    check()
