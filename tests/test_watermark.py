@@ -58,3 +58,13 @@ def test_partition_pruned_watermarks_equal_full_scan(spark, tmp):
     with redirect_stdout(buf):
         pruned.explain()
     assert "PartitionFilters: [" in buf.getvalue() and "pickup_year" in buf.getvalue()
+
+
+def test_chunked_sweep_equals_single_plan(spark):
+    from tidewater.operators.watermark import watermarks_of
+
+    tables = {f"t{i}": spark.sql(f"SELECT timestamp'2020-01-01 00:00:00' + make_interval(0, 0, 0, id * {i + 1}) "
+                                 f"AS pickup_datetime FROM range({10 + i})") for i in range(5)}
+    one = sorted(watermarks_of(tables, "z").collect())
+    chunked = sorted(watermarks_of(tables, "z", branches_per_job=2).collect())
+    assert one == chunked and len(one) == 10

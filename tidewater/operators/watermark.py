@@ -68,6 +68,27 @@ def edge_partitions(spark: SparkSession, name: str, year_col: str, month_col: st
     return (min(seen), max(seen)) if seen else None
 
 
+# Tables swept by one plan.  Each table adds an aggregation branch (and its exchange)
+# to the plan; past this many, the branches run in chunks whose one-row results are
+# pinned, so the plan the driver analyses stays bounded whatever the zone's size.
+BRANCHES_PER_JOB = 256
+
+
+def union_in_jobs(branches: list[DataFrame], per_job: int = BRANCHES_PER_JOB) -> DataFrame:
+    """Union of small per-table results; above ``per_job`` branches, each chunk is run
+    as its own job and its rows pinned with a reliable checkpoint."""
+    def union(frames):
+        return reduce(lambda a, b: a.unionByName(b), frames)
+
+    if len(branches) <= per_job:
+        return union(branches)
+    from tidewater.session import scratch_root
+
+    scratch_root(branches[0].sparkSession)
+    chunks = [union(branches[i:i + per_job]).checkpoint(eager=True) for i in range(0, len(branches), per_job)]
+    return union(chunks)
+
+
 def table_bounds(df: DataFrame, ts_col: str, table: str,
                  edges: tuple[tuple[int, int], tuple[int, int]] | None = None,
                  layout: tuple[str, str] | None = None) -> DataFrame:
@@ -106,6 +127,7 @@ def watermarks_of(
     missing: str = "raise",
     spark: SparkSession | None = None,
     edges: Mapping[str, tuple] | None = None,
+    branches_per_job: int = BRANCHES_PER_JOB,
 ) -> DataFrame:
     """A3 over given frames: one record per (table, kind).
 
@@ -131,7 +153,7 @@ def watermarks_of(
         if spark is None:
             raise ValueError("no tables: pass spark to get an empty frame")
         return spark.createDataFrame([], WATERMARK_SCHEMA)
-    bounds = reduce(lambda a, b: a.unionByName(b), branches)
+    bounds = union_in_jobs(branches, branches_per_job)
     # unpivot in the same pass (a union of per-kind selects would scan every table twice)
     side = {"high_watermark": "high", "low_watermark": "low"}
     records = F.array(*[
