@@ -44,7 +44,9 @@ def _save_cutting_self_read(df: DataFrame, name: str, partition_by: Sequence[str
     try:
         _save(df, name, partition_by)
     except AnalysisException as e:
-        if "UNSUPPORTED_OVERWRITE" not in str(e) and "Cannot overwrite" not in str(e):
+        condition = e.getCondition() if hasattr(e, "getCondition") else None
+        if not (condition or "").startswith("UNSUPPORTED_OVERWRITE") \
+                and "UNSUPPORTED_OVERWRITE" not in str(e) and "Cannot overwrite" not in str(e):
             raise
         from tidewater.session import scratch_root
 
