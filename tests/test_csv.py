@@ -39,3 +39,11 @@ def test_scan_reordered_header_raises_or_unites(spark, tmp):
 
 def test_split_file_list():
     assert split_file_list("a.csv/b.csv", "s3a://bucket/raw/") == ["s3a://bucket/raw/a.csv", "s3a://bucket/raw/b.csv"]
+
+
+def test_probe_threads_bounded(spark):
+    from tidewater.sources.files import HEADER_PROBE_MAX_THREADS, HEADER_PROBE_THREADS, probe_threads
+
+    assert probe_threads(spark, 1) == 1
+    assert probe_threads(spark, 3) == 3
+    assert HEADER_PROBE_THREADS <= probe_threads(spark, 10_000) <= HEADER_PROBE_MAX_THREADS
