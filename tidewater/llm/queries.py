@@ -32,9 +32,73 @@ def q_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def q_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewater.llm.lang_id import identify_language
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn(
+        "held_out", F.crc32(F.col("doc_id").cast("string")) % 5 == 0)
+    out = identify_language(docs.select("doc_id", "text", "held_out"), docs.filter(~F.col("held_out")))
+    return out.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def q_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewater.llm.token_counts import count_tokens, model_path
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return count_tokens(spark, docs, _store(spark, "tokens"), model_path())
+
+
+def q_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewater.llm.html_text import extract_main_text
+
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    out = extract_main_text(pages, _store(spark, "templates"))
+    return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+def q_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewater.llm.simhash import simhash_components
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = simhash_components(spark, docs, _store(spark, "simhash"))
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def q_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewater.llm.mixing import mix, taken
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    out = mix(docs, _store(spark, "mixing"), keep_columns=["doc_id"])
+    return out.select("doc_id", "size", "source_size", "target", taken(F.col("copies")).alias("taken"),
+                      F.transform("copies", lambda c: c["shard"]).alias("shards"))
+
+
+def q_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewater.llm.decontam import decontaminate
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = decontaminate(spark, docs, table(spark, sf_dir, "benchmark"), _store(spark, "decontam"))
+    return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+def q_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewater.llm.warc import read_archives, write_archives
+
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    out = read_archives(write_archives(spark, pages, _store(spark, "manifest")), payloads=False)
+    return out.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
+    "op1_lang_id": q_lang_id,
+    "op2_token_counts": q_token_counts,
+    "op3_html_text": q_html_text,
+    "op4_simhash_golay": q_simhash,
+    "op5_mixing_tree": q_mixing,
     "op7_quality_quantiles": q_quality,
     "op8_minimax_shards": q_shards,
+    "op9_decontamination": q_decontaminate,
+    "op10_warc_zip": q_warc,
 }
 
 _WORDS = r"[^\x20\x09-\x0D]+"
