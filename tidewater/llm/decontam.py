@@ -181,3 +181,13 @@ def decontaminate(spark: SparkSession, df: DataFrame, benchmark: DataFrame,
     return out.select(F.col("doc").alias(id_col), "h", F.col("n_words").cast("long").alias("n_words"), n_hit.alias("n_hit"),
                       F.size(ids).cast("long").alias("n_items"), ids.alias("item_ids"),
                       F.sha2(F.concat_ws(",", ids), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+
+
+def clean_rows(found: DataFrame, df: DataFrame, store: Callable[[DataFrame], DataFrame], text: str = "text",
+               id_col: str = "doc_id") -> DataFrame:
+    """The rows of ``df`` without the contaminated ones.  Their keys are stored: Spark broadcasts
+    them if that table is small and shuffles both sides if not."""
+    t = F.col(text)
+    bad = store(found.filter("contaminated").select(F.col(id_col).alias("bad_id"), F.col("h").alias("bad_h")).distinct())
+    h = F.xxhash64(t, t.isNull())
+    return df.join(bad, df[id_col].eqNullSafe(F.col("bad_id")) & (h == F.col("bad_h")), "left_anti")

@@ -89,12 +89,23 @@ def q_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewater.llm.toxicity import score_toxicity
+
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", held_out)
+    labels = table(spark, sf_dir, "labels").filter(~held_out)
+    out = score_toxicity(docs, docs.select("doc_id", "text"), labels)
+    return out.select("doc_id", "held_out", "score", "predicted", F.size("toxic_spans").alias("n_spans"))
+
+
 QUERIES = {
     "op1_lang_id": q_lang_id,
     "op2_token_counts": q_token_counts,
     "op3_html_text": q_html_text,
     "op4_simhash_golay": q_simhash,
     "op5_mixing_tree": q_mixing,
+    "op6_toxicity_crf": q_toxicity,
     "op7_quality_quantiles": q_quality,
     "op8_minimax_shards": q_shards,
     "op9_decontamination": q_decontaminate,
