@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewater.llm.common import stored, table
 
@@ -24,6 +25,30 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return rules(docs, store=_store(spark, "pipe-quality")).filter("kept").select(*docs.columns)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays: the one with the smallest id."""
+    from tidewater.llm.simhash import one_of_each, simhash_components
+
+    found = simhash_components(spark, docs, _store(spark, "pipe-simhash"))
+    return one_of_each(found, docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of the benchmark go."""
+    from tidewater.llm.decontam import clean_rows, decontaminate
+
+    found = decontaminate(spark, docs, table(spark, sf_dir, "benchmark"), _store(spark, "pipe-decontam"))
+    return clean_rows(found, docs, _store(spark, "pipe-contaminated"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Whole copies of the documents, as many of each as its source's target asks for."""
+    from tidewater.llm.mixing import mix
+
+    mixed = mix(docs, _store(spark, "pipe-mixing"), whole=True)
+    return mixed.withColumn("copies", F.explode("copies")).select(*docs.columns)
+
+
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document and copy that the mix holds, in 40 shards of near equal bytes."""
     from tidewater.llm.shards import minimax_shards
@@ -33,6 +58,9 @@ def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality rules", quality_rules),
+    ("near duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("mixing", mixing),
     ("sharding", sharding),
 ]
 
