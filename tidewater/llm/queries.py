@@ -121,7 +121,7 @@ WITH d AS (
          regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS ws
   FROM documents
 ), l AS (
-  SELECT rid, list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '{_WORDS}')) AS ls FROM d
+  SELECT rid, [x for x in string_split(t, chr(10)) if regexp_matches(x, '{_WORDS}')] AS ls FROM d
 ), g AS (
   SELECT rid, p, ws[p] || ' ' || ws[p + 1] || ' ' || ws[p + 2] AS w3
   FROM (SELECT rid, ws, unnest(range(1, len(ws) - 1)) AS p FROM d WHERE len(ws) >= 3)
@@ -179,5 +179,54 @@ WITH d AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND rid NOT IN (SELECT rid FROM bad) AS kept
 FROM r
+""",
+    "op9_decontamination": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM documents
+), b AS (
+  SELECT item_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM benchmark
+), bw AS (
+  SELECT DISTINCT item_id, n, list_aggregate(ws[p : p + n - 1], 'string_agg', ' ') AS w
+  FROM (SELECT item_id, ws, least(10, len(ws)) AS n, unnest(range(1, greatest(len(ws) - 10, 0) + 2)) AS p
+        FROM b WHERE len(ws) > 0)
+), dw AS (
+  SELECT rid, n, p, list_aggregate(ws[p : p + n - 1], 'string_agg', ' ') AS w
+  FROM (SELECT rid, ws, n, unnest(range(1, len(ws) - n + 2)) AS p
+        FROM d, (SELECT DISTINCT n FROM bw) WHERE len(ws) >= n)
+), m AS (
+  SELECT rid, item_id, p, dw.n FROM dw JOIN bw ON bw.n = dw.n AND bw.w = dw.w
+), hits AS (
+  SELECT rid, count(DISTINCT x) AS n_hit FROM (SELECT rid, unnest(range(p, p + n)) AS x FROM m) GROUP BY rid
+), items AS (
+  SELECT rid, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids
+  FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS i FROM m) GROUP BY rid
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (rid) LEFT JOIN items USING (rid)
+""",
+    "op10_warc_zip": """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS t, sha1(coalesce(html, '')) AS x FROM pages
+), r AS (
+  SELECT page_id, CAST(strlen(t) AS BIGINT) AS payload_bytes, x, max(page_id) OVER (PARTITION BY t) AS last FROM p
+), c AS (
+  SELECT page_id, i, CAST('0x' || substr(x, 5 * i + 1, 5) AS BIGINT) AS v FROM r, (SELECT unnest(range(8)) AS i)
+), e AS (
+  SELECT page_id, string_agg(substr(a, CAST(v // 32768 AS INT) + 1, 1) || substr(a, CAST(v // 1024 % 32 AS INT) + 1, 1)
+                             || substr(a, CAST(v // 32 % 32 AS INT) + 1, 1) || substr(a, CAST(v % 32 AS INT) + 1, 1),
+                             '' ORDER BY i) AS payload_digest
+  FROM c, (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567' AS a) GROUP BY page_id
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> last THEN last END AS refers_to
+FROM r JOIN e USING (page_id)
 """,
 }

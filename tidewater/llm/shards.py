@@ -94,7 +94,8 @@ def hash_ranges(groups: DataFrame, spans: list[tuple[int, int]], parts: int) ->
     a group are left out.  ``groups``: one row per group, (h, bytes)."""
     out: list[tuple[int, int, int, int, int]] = []
     if len(spans) == 1:
-        inside, span_lo, span_hi = F.lit(True), F.lit(spans[0][0]), F.lit(spans[0][1])
+        span_lo, span_hi = F.lit(spans[0][0]), F.lit(spans[0][1])
+        inside = F.col("h").between(span_lo, span_hi)
     else:
         los = F.array(*[F.lit(a) for a, _ in spans])
         his = F.array(*[F.lit(b) for _, b in spans])
@@ -102,7 +103,7 @@ def hash_ranges(groups: DataFrame, spans: list[tuple[int, int]], parts: int) ->
         groups = groups.withColumn("j", j).filter("j > 0")
         span_lo, span_hi = F.element_at(los, F.col("j")), F.element_at(his, F.col("j"))
         inside = F.col("h") <= span_hi
-    # a hash's offset in its span, in 32-bit halves: differences of longs may exceed a long
+    # as decimals: the difference of two longs may exceed a long
     width = (span_hi.cast("decimal(20,0)") - span_lo.cast("decimal(20,0)") + 1)
     part = F.floor((F.col("h").cast("decimal(20,0)") - span_lo.cast("decimal(20,0)")).cast("decimal(20,0)")
                    * parts / width).cast("long")
