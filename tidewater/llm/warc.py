@@ -55,9 +55,9 @@ def opened(path: str):
     """(filesystem, path in it) of a path or URI."""
     from pyarrow import fs
 
-    if "://" in path or path.startswith("file:"):
-        return fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
-    return fs.LocalFileSystem(), path
+    if path.startswith("file:"):
+        return fs.LocalFileSystem(), re.sub(r"^file:/+", "/", path)
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
 
 
 def digest_of(payload: bytes) -> str:
