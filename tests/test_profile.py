@@ -68,53 +68,52 @@ def test_capped_path_equals_distributed_path(spark):
     assert capped.keys() == whole.keys()
     for c in capped:
         for k, v in whole[c].items():
-            if isinstance(v, str):
+            if isinstance(v, str) or v is None:
                 assert capped[c][k] == v
             else:
                 assert capped[c][k] == pytest.approx(v, rel=1e-9, abs=1e-12), (c, k)
 
 
-def test_running_counts_carry_across_arrow_batches(spark):
-    """Tiny Arrow batches: the running count of a range partition spans many batches
-    (and column boundaries fall inside batches); quantiles must not change."""
+def _profile(df, **kw):
+    return {r.column_name: r.asDict() for r in column_profile(df, **kw).collect()}
+
+
+def test_profile_rests_on_no_plan_property(spark):
+    """Equal results with exchange reuse and adaptive execution on and off."""
     rng = np.random.default_rng(3)
-    n = 2500
-    x = rng.integers(0, 400, n).astype(float)
-    x[: n // 3] = 123.0
-    pdf = pd.DataFrame({"x": x, "y": rng.normal(0, 1, n), "z": rng.integers(-3, 3, n).astype(float)})
+    pdf = pd.DataFrame({"x": np.r_[np.full(800, 123.0), rng.integers(0, 400, 1600)], "y": rng.normal(0, 1, 2400)})
     df = spark.createDataFrame(pdf).repartition(3)
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    old = spark.conf.get(key)
-    spark.conf.set(key, "7")
+    keys = ("spark.sql.exchange.reuse", "spark.sql.adaptive.enabled")
+    old = {k: spark.conf.get(k) for k in keys}
+    found = []
     try:
-        prof = {r.column_name: r.asDict() for r in column_profile(df, n=None, digits=None).collect()}
+        for values in (("true", "true"), ("false", "true"), ("true", "false"), ("false", "false")):
+            for k, v in zip(keys, values):
+                spark.conf.set(k, v)
+            found.append(_profile(df))
     finally:
-        spark.conf.set(key, old)
+        for k, v in old.items():
+            spark.conf.set(k, v)
     for c in pdf.columns:
         want = _pandas_stats(pdf[c])
-        for k in ("n_distinct", "q05", "q25", "q50", "q75", "q95"):
-            assert prof[c][k] == pytest.approx(want[k], rel=1e-12, abs=1e-12), (c, k)
-
-
-def test_running_counts_function():
-    from tidewater.operators.profile import _running_counts
+        for got in found:
+            for k in ("n_distinct", "q05", "q25", "q50", "q75", "q95"):
+                assert got[c][k] == pytest.approx(want[k], rel=1e-12, abs=1e-12), (c, k)
 
-    rows = pd.DataFrame({"pid": 0, "col_idx": [0, 0, 0, 1, 1, 2], "v": [1.0, 2.0, 3.0, 1.0, 5.0, 0.0],
-                         "c": [2, 1, 4, 3, 1, 6]})
-    out = pd.concat(_running_counts([rows.iloc[:2], rows.iloc[2:4], rows.iloc[4:4], rows.iloc[4:]]))
-    assert out["before"].tolist() == [0, 2, 3, 0, 3, 0]
 
+def test_whole_numbers_stay_exact_and_infinities_show(spark):
+    rows = [(12345678901, 1.0), (12345678902, float("inf")), (2**53, 2.0), (2**53 + 1, None), (2**53 + 1, float("-inf"))]
+    got = _profile(spark.createDataFrame(rows, "k long, f double"))
+    assert got["k"]["n_distinct"] == 4 and got["k"]["min"] == 12345678901.0
+    assert (got["k"]["min_int"], got["k"]["max_int"]) == (12345678901, 2**53 + 1)
+    assert got["f"]["max"] == float("inf") and got["f"]["min"] == float("-inf") and got["f"]["n_distinct"] == 4
+    assert got["f"]["min_int"] is None and got["f"]["n_missing"] == 1
 
-def test_small_caps_read_in_one_task_large_caps_stay_parallel(spark):
-    from tidewater.operators.profile import SINGLE_TASK_CAP
 
-    df = spark.range(0, 5000, numPartitions=6)
-    small = cap_rows(df, 100)
-    assert small.count() == 100
-    assert "Repartition 1, false" in small._jdf.queryExecution().optimizedPlan().toString()
-    large = cap_rows(df, SINGLE_TASK_CAP + 1)
-    assert large.count() == 5000
-    assert "Repartition" not in large._jdf.queryExecution().optimizedPlan().toString()
+def test_defaults_neither_cap_nor_round(spark):
+    df = spark.range(0, 150_000).select((F.col("id") + 0.123456789012).alias("v"))
+    got = column_profile(df).first()
+    assert got["count"] == 150_000 and got["min"] == 0.123456789012
 
 
 def test_capped_tables_pinned_together(spark):

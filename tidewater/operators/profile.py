@@ -2,25 +2,22 @@
 
 Everything stays on the executors; only one row per column reaches the result.
 
-* Moments, counts, min/max: one grouped aggregation over the long form
-  ``(col_idx, v)`` of the numeric columns; map-side partial aggregation means one
-  row per (task, column) is shuffled.
-* Distinct count: ``groupBy(col_idx, v)`` (partial aggregation collapses a hot value
-  to one row per task before the shuffle), then a count per column.
-* Exact quantiles at scale, with no group collected into one task: the distinct
-  (value, count) pairs are range-partitioned by (col_idx, v) -- keys are unique, so
-  the ranges are balanced even when one value holds a third of the rows -- then each
-  range partition computes running counts locally, a tiny per-partition total table
-  gives each partition its rank offset, and the few target ranks are found by an
-  equi-join on ``col_idx`` plus a rank-range condition against a broadcast target
-  list (columns x 10 rows).
-* ``approx=True``: HyperLogLog++ distinct counts and Greenwald-Khanna quantiles in
-  the single moments pass, for very large tables.
-
-The reference caps the profiled rows (``TABLESAMPLE (n ROWS)``, which plans as a
-limit, not a random sample).  ``n`` keeps that cap; the capped rows are pinned with a
-reliable checkpoint so that the branches of the plan see the same rows.  ``n=None``
-profiles the whole table.
+1. One scan: the long form ``(col_idx, i, d)`` of the numeric columns, whole numbers as
+   ``i`` (bigint, exact) and the others as ``d`` (double), is aggregated to distinct
+   (value, count) pairs.  Partial aggregation collapses a hot value to one row per task.
+   The pairs are pinned as a table; everything else reads them.
+2. One aggregation per column: counts, extremes, sums and 255 approximate quantiles of
+   the distinct values, which cut the column's values into buckets.
+3. Each pair's bucket is a value computed from those cuts.  Per (column, bucket): rows and
+   central moments.  Running sums over the buckets (256 rows a column) give the rank at
+   which each bucket starts, exactly, whatever the cuts.
+4. Only the buckets that hold a wanted rank are ranked: running counts in (column,
+   bucket), then an equi-join with the wanted ranks (10 a column).
+
+Exact at any size, with no group in one task but one bucket's pairs (about 1/256 of a
+column's distinct values, sorted with spilling).  ``approx=True`` instead takes HyperLogLog++
+distinct counts and Greenwald-Khanna quantiles in a single pass.  ``n`` profiles the first
+``n`` rows only (L1), if a caller asks for it.
 """
 
 from __future__ import annotations
@@ -33,13 +30,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.functions.columns import col_of, numeric_columns, quote
-from tidewater.session import scratch_root
+from tidewater.session import pinned
 from tidewater.sources.catalog import table_names
 from tidewater.sources.tables import scan_table
 
-# Fixed value: rows the reference profiles per table.
+# Fixed value: rows the reference profiles per table, for callers who ask for that cap.
 PROFILE_ROW_CAP = 100000
 
+# Buckets that a column's distinct values are cut into to find exact ranks.
+BUCKETS = 256
+
 # The quantiles reported, by output column.
 QUANTILES = {"q05": 0.05, "q25": 0.25, "q50": 0.5, "q75": 0.75, "q95": 0.95}
 
@@ -51,30 +51,16 @@ PROFILE_SCHEMA = T.StructType(
     [T.StructField("column_name", T.StringType()), T.StructField("column_position", T.IntegerType())]
     + [T.StructField(s, T.LongType()) for s in ("count", "n_missing", "n_distinct")]
     + [T.StructField(s, T.DoubleType()) for s in VALUE_STATS]
-    + [T.StructField(s, T.LongType()) for s in ("n_zeros", "n_negative")]
+    + [T.StructField(s, T.LongType()) for s in ("n_zeros", "n_negative", "min_int", "max_int")]
 )
 
 # Decimals kept in the shape statistics (skewness, kurtosis): they are dimensionless
 # and a symmetric column's skewness is cancellation noise around 0.
 SHAPE_DECIMALS = 8
 
-# Significant digits kept in reported values (sums of doubles depend on the order of
-# addition in their last bits; the report keeps the digits that do not).
-DEFAULT_DIGITS = 10
-
-
-# Caps up to this many rows are taken by one task that reads the input partitions in
-# turn and stops at the cap.  A plain limit starts every scan task and reads up to n
-# rows in each (on a table of a million splits, a large share of the table for a
-# 100 000-row cap).  Larger caps keep the parallel limit, so no unbounded row count
-# goes through one task.
-SINGLE_TASK_CAP = 1_000_000
-
 
 def cap_rows(df: DataFrame, n: int) -> DataFrame:
     """L1: the first ``n`` rows (which rows is not defined, as in the reference)."""
-    if n <= SINGLE_TASK_CAP:
-        return df.coalesce(1).limit(n)
     return df.limit(n)
 
 
@@ -94,151 +80,127 @@ def sig_round(name: str, digits: int) -> Column:
         f"ELSE round({x} * power(10.0D, -{e}), {digits - 1}) / power(10.0D, -{e}) END")
 
 
-def _sql_text(v: str) -> str:
-    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def _long_form(df: DataFrame, names: list[str], base: int = 0) -> DataFrame:
-    """(col_idx, v): one row per (row, numeric column), NaN counted as missing;
+    """(col_idx, i, d): one row per (row, numeric column), NaN counted as missing;
     column indices start at ``base``."""
-    pairs = ", ".join(f"{base + i}, CAST({quote(n)} AS DOUBLE)" for i, n in enumerate(names))
-    stacked = df.select(F.expr(f"stack({len(names)}, {pairs}) AS (col_idx, v)"))
-    # col_idx is made non-nullable so that joins on it infer no extra filters: the
-    # branches that share an aggregation then stay identical and Spark reuses its
-    # shuffle instead of scanning and aggregating again
-    return stacked.select(F.coalesce(F.col("col_idx").cast("int"), F.lit(-1)).alias("col_idx"),
-                          F.nanvl("v", F.lit(None).cast("double")).alias("v"))
-
-
-def _moments(long: DataFrame, mode: str, accuracy: int) -> DataFrame:
-    """Grouped moments per column; ``mode`` adds distinct count and quantiles:
-    ``approx`` (sketches), ``bounded`` (exact, in memory: only for capped input) or
-    ``none``."""
-    v = F.col("v")
-    aggs = [
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count(v).alias("count"),
-        F.min(v).alias("min"),
-        F.max(v).alias("max"),
-        F.sum(v).alias("sum"),
-        F.avg(v).alias("mean"),
-        F.stddev_samp(v).alias("stddev"),
-        F.var_samp(v).alias("variance"),
-        F.var_pop(v).alias("var_pop"),
-        F.skewness(v).alias("g1"),
-        F.kurtosis(v).alias("g2"),
-        F.count_if(v == 0).alias("n_zeros"),
-        F.count_if(v < 0).alias("n_negative"),
-    ]
-    qs = F.array(*[F.lit(q) for q in QUANTILES.values()])
-    if mode == "approx":
-        aggs.append(F.approx_count_distinct(v, 0.01).alias("n_distinct"))
-        aggs.append(F.percentile_approx(v, qs, accuracy).alias("qs"))
-    elif mode == "bounded":
-        aggs.append(F.count_distinct(v).alias("n_distinct"))
-        aggs.append(F.percentile(v, qs).alias("qs"))
-    return long.groupBy("col_idx").agg(*aggs)
-
-
-RUNNING_SCHEMA = "pid int, col_idx int, v double, c long, before long"
-
-
-def _range_partitions(spark: SparkSession) -> int:
-    try:
-        return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    except (TypeError, ValueError):
-        return max(1, spark.sparkContext.defaultParallelism)
-
-
-def _running_counts(batches):
-    """Rows of one range partition sorted by (col_idx, v) -> ``before`` = rows of the
-    same column earlier in the partition.  State carried between Arrow batches is one
-    (column, running total) pair."""
-    import numpy as np
-
-    carry_idx, carry = None, 0
-    for pdf in batches:
-        if pdf.empty:
-            continue
-        idx = pdf["col_idx"].to_numpy()
-        c = pdf["c"].to_numpy(dtype=np.int64)
-        excl = np.cumsum(c) - c
-        starts = np.flatnonzero(np.r_[True, idx[1:] != idx[:-1]])
-        group_start = np.repeat(starts, np.diff(np.r_[starts, len(idx)]))
-        before = excl - excl[group_start]
-        if idx[0] == carry_idx:
-            before[: (starts[1] if len(starts) > 1 else len(idx))] += carry
-        carry_idx, carry = idx[-1], int(before[-1] + c[-1])
-        yield pdf.assign(before=before)
-
-
-def _exact_distinct_and_quantiles(long: DataFrame) -> DataFrame:
-    """Exact distinct counts and quantiles from one aggregation of (col_idx, v).
-
-    The (value, count) pairs are range-partitioned once; that shuffle feeds both the
-    local running counts and the per-partition totals (Spark reuses it), and the
-    totals alone give each column's count, distinct count and rank offsets.
-    """
-    vc = long.where(F.col("v").isNotNull()).groupBy("col_idx", "v").agg(F.count(F.lit(1)).alias("c"))
-    # an explicit partition count: adaptive execution then neither coalesces nor splits
-    # the ranges, so ``pid`` names the same range in every branch reading this shuffle
-    parts = _range_partitions(long.sparkSession)
-    ranged = vc.repartitionByRange(parts, "col_idx", "v").withColumn("pid", F.spark_partition_id())
-
-    # running counts inside each range partition: a sort within the partition and a
-    # streaming cumulative sum (a window on (pid, col_idx) would shuffle every pair again)
-    local = ranged.sortWithinPartitions("col_idx", "v").mapInPandas(_running_counts, RUNNING_SCHEMA)
-
-    # per (partition, column): rows and distinct values; partial aggregation leaves one
-    # row per (partition, column), so the windows below see (partitions) rows per column
-    totals = ranged.groupBy("pid", "col_idx").agg(F.sum("c").alias("tot"), F.count(F.lit(1)).alias("nv"))
-    w_prev = Window.partitionBy("col_idx").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
-    w_all = Window.partitionBy("col_idx")
-    offsets = totals.select(
-        "pid", "col_idx",
-        F.coalesce(F.sum("tot").over(w_prev), F.lit(0)).alias("offset"),
-        F.sum("tot").over(w_all).alias("n"),
-        F.sum("nv").over(w_all).alias("n_distinct"),
-    )
-    per_col = offsets.groupBy("col_idx").agg(F.max("n").alias("n"), F.max("n_distinct").alias("n_distinct"))
-
-    # offsets has one row per (partition, column): its size is bounded by the plan
-    ranked = local.join(F.broadcast(offsets.select("pid", "col_idx", "offset")), ["pid", "col_idx"]).select(
-        "col_idx", "v", (F.col("offset") + F.col("before")).alias("r0"), "c")
-
-    # target ranks: q * (n - 1), its floor and ceiling (columns x 10 rows)
+    whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    pairs = []
+    for k, name in enumerate(names):
+        x = quote(name)
+        if isinstance(df.schema[name].dataType, whole):
+            pairs.append(f"{base + k}, CAST({x} AS BIGINT), CAST(NULL AS DOUBLE)")
+        else:
+            pairs.append(f"{base + k}, CAST(NULL AS BIGINT), nanvl(CAST({x} AS DOUBLE), CAST(NULL AS DOUBLE))")
+    return df.select(F.expr(f"stack({len(names)}, {', '.join(pairs)}) AS (col_idx, i, d)"))
+
+
+def _has_value() -> Column:
+    return F.col("i").isNotNull() | F.col("d").isNotNull()
+
+
+def _as_double() -> Column:
+    return F.coalesce(F.col("d"), F.col("i").cast("double"))
+
+
+def _column_stats(pairs: DataFrame) -> DataFrame:
+    """Step 2: counts, extremes, sums and cuts, one row per column."""
+    c, cuts = F.col("c"), F.array(*[F.lit(k / BUCKETS) for k in range(1, BUCKETS)])
+    counted = lambda cond: F.coalesce(F.sum(F.when(cond, c)), F.lit(0))
+    return pairs.groupBy("col_idx").agg(
+        F.sum(c).alias("n_rows"),
+        counted(_has_value()).alias("count"),
+        F.count_if(_has_value()).alias("n_distinct"),
+        counted((F.col("i") == 0) | (F.col("d") == 0)).alias("n_zeros"),
+        counted((F.col("i") < 0) | (F.col("d") < 0)).alias("n_negative"),
+        F.min("i").alias("min_int"), F.max("i").alias("max_int"), F.min("d").alias("min_d"), F.max("d").alias("max_d"),
+        F.coalesce(F.sum(F.col("d") * c), F.sum(F.col("i").cast("decimal(19,0)") * c.cast("decimal(19,0)")).cast("double"))
+        .alias("sum"),
+        F.percentile_approx("i", cuts, 10 * BUCKETS).alias("cuts_i"),
+        F.percentile_approx("d", cuts, 10 * BUCKETS).alias("cuts_d"),
+    ).withColumn("mean", F.try_divide(F.col("sum"), F.col("count")))
+
+
+def _in_buckets(pairs: DataFrame, stats: DataFrame) -> DataFrame:
+    """The pairs with a value, each with its bucket and its column's mean."""
+    cuts = stats.select(F.col("col_idx").alias("s_idx"), "mean", "cuts_i", "cuts_d")
+    bucket = F.when(F.col("i").isNotNull(), F.size(F.filter("cuts_i", lambda x: x <= F.col("i")))) \
+        .otherwise(F.size(F.filter("cuts_d", lambda x: x <= F.col("d"))))
+    return (pairs.where(_has_value()).join(cuts, F.col("col_idx") == F.col("s_idx"))
+            .select("col_idx", "i", "d", "c", "mean", bucket.alias("bucket")))
+
+
+def _bucket_sums(tagged: DataFrame) -> DataFrame:
+    """Step 3: rows and central moments of every (column, bucket)."""
+    off = _as_double() - F.col("mean")
+    return tagged.groupBy("col_idx", "bucket").agg(
+        F.sum("c").alias("tot"), *[F.sum(F.col("c") * F.pow(off, F.lit(k))).alias(f"m{k}") for k in (2, 3, 4)])
+
+
+def _exact_quantiles(tagged: DataFrame, sums: DataFrame) -> DataFrame:
+    """Step 4: the quantiles of every column, linear between order statistics."""
+    every = Window.partitionBy("col_idx")
+    before = every.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     qs = F.array(*[F.struct(F.lit(k).alias("qname"), F.lit(q).alias("q")) for k, q in QUANTILES.items()])
-    # (the distinct count rides along, so that per_col has a single consumer)
-    targets = (per_col.select("col_idx", "n", "n_distinct", F.inline(qs))
-               .withColumn("pos", F.col("q") * (F.col("n") - 1))
-               .withColumn("lo", F.floor("pos"))
-               .withColumn("hi", F.ceil("pos"))
-               .select(F.col("col_idx").alias("t_idx"), "n_distinct", "qname", "pos", "lo", "hi",
-                       F.explode(F.array("lo", "hi")).alias("r")))
-    hits = ranked.join(
-        F.broadcast(targets),
-        (F.col("col_idx") == F.col("t_idx")) & (F.col("r") >= F.col("r0")) & (F.col("r") < F.col("r0") + F.col("c")),
-    ).select("col_idx", "n_distinct", "qname", "pos", "lo", "hi", "r", "v")
-    per_q = hits.groupBy("col_idx", "n_distinct", "qname", "pos", "lo").agg(
-        F.max(F.when(F.col("r") == F.col("lo"), F.col("v"))).alias("v_lo"),
-        F.max(F.when(F.col("r") == F.col("hi"), F.col("v"))).alias("v_hi"),
-    ).select("col_idx", "n_distinct", "qname",
-             (F.col("v_lo") + (F.col("pos") - F.col("lo")) * (F.col("v_hi") - F.col("v_lo"))).alias("qv"))
-    return per_q.groupBy("col_idx").agg(
-        F.max("n_distinct").alias("n_distinct"),
-        *[F.max(F.when(F.col("qname") == k, F.col("qv"))).alias(k) for k in QUANTILES])
+    wanted = (sums.select("col_idx", "bucket", "tot", F.coalesce(F.sum("tot").over(before), F.lit(0)).alias("start"),
+                          F.sum("tot").over(every).alias("n"))
+              .select("*", F.inline(qs)).withColumn("pos", F.col("q") * (F.col("n") - 1))
+              .select("*", F.explode(F.array(F.floor("pos"), F.ceil("pos"))).alias("r")).distinct()
+              .where((F.col("r") >= F.col("start")) & (F.col("r") < F.col("start") + F.col("tot")))
+              .select(F.col("col_idx").alias("t_idx"), F.col("bucket").alias("t_bucket"), "start", "qname", "pos", "r"))
+    buckets = wanted.select("t_idx", "t_bucket", "start").distinct()
+    inside = tagged.join(buckets, (F.col("col_idx") == F.col("t_idx")) & (F.col("bucket") == F.col("t_bucket")))
+    run = Window.partitionBy("col_idx", "bucket").orderBy("i", "d").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = inside.select("col_idx", "bucket", "i", "d", "c",
+                           (F.col("start") + F.coalesce(F.sum("c").over(run), F.lit(0))).alias("r0"))
+    hits = ranked.join(wanted, (F.col("col_idx") == F.col("t_idx")) & (F.col("bucket") == F.col("t_bucket"))
+                       & (F.col("r") >= F.col("r0")) & (F.col("r") < F.col("r0") + F.col("c")))
+    value = lambda edge: F.max(F.when(F.col("r") == edge("pos"), _as_double()))
+    per_q = hits.groupBy("col_idx", "qname", "pos").agg(value(F.floor).alias("lo"), value(F.ceil).alias("hi"))
+    part = F.col("pos") - F.floor("pos")
+    at = F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(F.col("lo") + part * (F.col("hi") - F.col("lo")))
+    return per_q.groupBy("col_idx").agg(*[F.max(F.when(F.col("qname") == k, at)).alias(k) for k in QUANTILES])
+
+
+def _exact_stats(long: DataFrame) -> DataFrame:
+    pairs = pinned(long.groupBy("col_idx", "i", "d").agg(F.count(F.lit(1)).alias("c")), "profile-pairs")
+    stats = pinned(_column_stats(pairs), "profile-columns")
+    tagged = _in_buckets(pairs, stats)
+    sums = pinned(_bucket_sums(tagged), "profile-buckets")
+    moments = sums.groupBy("col_idx").agg(*[F.sum(f"m{k}").alias(f"m{k}") for k in (2, 3, 4)])
+    return (stats.drop("cuts_i", "cuts_d").join(moments, "col_idx", "left")
+            .join(_exact_quantiles(tagged, sums), "col_idx", "left"))
+
+
+def _approx_stats(long: DataFrame, accuracy: int) -> DataFrame:
+    """One pass: sketches for distinct counts and quantiles."""
+    v = _as_double()
+    key = F.struct("i", "d")
+    qs = F.array(*[F.lit(q) for q in QUANTILES.values()])
+    out = long.groupBy("col_idx").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count(v).alias("count"),
+        F.approx_count_distinct(F.when(_has_value(), F.xxhash64(key)), 0.01).alias("n_distinct"),
+        F.count_if(v == 0).alias("n_zeros"), F.count_if(v < 0).alias("n_negative"),
+        F.min("i").alias("min_int"), F.max("i").alias("max_int"), F.min("d").alias("min_d"), F.max("d").alias("max_d"),
+        F.sum(v).alias("sum"), F.avg(v).alias("mean"), F.var_pop(v).alias("var_pop"), F.skewness(v).alias("g1"),
+        F.kurtosis(v).alias("g2"), F.percentile_approx(v, qs, accuracy).alias("qs"))
+    n = F.col("count")
+    return out.select(
+        "*", (F.col("var_pop") * n).alias("m2"), (F.col("g1") * n * F.pow("var_pop", F.lit(1.5))).alias("m3"),
+        ((F.col("g2") + 3) * n * F.col("var_pop") * F.col("var_pop")).alias("m4"),
+        *[F.col("qs")[i].alias(k) for i, k in enumerate(QUANTILES)])
 
 
 def profile_tables(
     tables: Mapping[str, DataFrame],
-    n: int | None = PROFILE_ROW_CAP,
+    n: int | None = None,
     approx: bool = False,
     accuracy: int = 10000,
-    digits: int | None = DEFAULT_DIGITS,
+    digits: int | None = None,
 ) -> DataFrame | None:
     """Profiles of many tables in one pipeline: their long forms are united (a narrow
     union) under global column indices, so every aggregation and shuffle is shared.
-    Output: table_name + PROFILE_SCHEMA; None when no table has a numeric column."""
+    Output: table_name + PROFILE_SCHEMA; None when no table has a numeric column.
+    ``digits`` rounds what depends on the order of floating-point additions, for reports."""
     entries: list[tuple[str, str, int]] = []
     longs = []
     for t, df in tables.items():
@@ -247,77 +209,59 @@ def profile_tables(
             continue
         positions = {c: i for i, c in enumerate(df.columns)}
         sel = df.select(*[col_of(c) for c in names])
-        if n is not None:
-            sel = cap_rows(sel, n)
-        longs.append(_long_form(sel, names, base=len(entries)))
+        longs.append(_long_form(cap_rows(sel, n) if n is not None else sel, names, base=len(entries)))
         entries += [(t, c, positions[c]) for c in names]
     if not longs:
         return None
     long = reduce(lambda a, b: a.unionByName(b), longs)
-    if n is not None:
-        # pin the capped rows so that every branch below sees the same rows: one job
-        # for all tables (each capped table is one partition of the union, so the
-        # tables are read in parallel, each by one task that stops at the cap)
-        scratch_root(long.sparkSession)
-        long = long.checkpoint(eager=True)
-    if approx:
-        moments = _moments(long, "approx", accuracy)
-    elif n is not None:
-        # capped: at most n values per column, so the exact in-memory percentile and
-        # distinct count of one aggregation are bounded by the cap
-        moments = _moments(long, "bounded", accuracy)
-    else:
-        moments = None
-    if moments is not None:
-        stats = moments.select("*", *[F.col("qs")[i].alias(k) for i, k in enumerate(QUANTILES)])
-    else:
-        stats = _moments(long, "none", accuracy).join(_exact_distinct_and_quantiles(long), "col_idx", "left")
+    stats = _approx_stats(long, accuracy) if approx else _exact_stats(long)
+    names = long.sparkSession.createDataFrame(
+        [(i, *e) for i, e in enumerate(entries)], "n_idx int, table_name string, column_name string, column_position int")
 
     cnt = F.col("count").cast("double")
+    var_pop = F.col("m2") / cnt
+    variance = F.when(cnt > 1, F.col("m2") / (cnt - 1))
+    g1 = F.col("m3") / cnt / F.pow(var_pop, F.lit(1.5))
+    g2 = F.col("m4") / cnt / (var_pop * var_pop) - 3
     skew = (F.when(F.col("count") < 3, F.lit(None).cast("double"))
-            .when(F.col("var_pop") == 0, F.lit(0.0))
-            .otherwise(F.col("g1") * F.sqrt(cnt * (cnt - 1)) / (cnt - 2)))
+            .when(var_pop == 0, F.lit(0.0))
+            .otherwise(g1 * F.sqrt(cnt * (cnt - 1)) / (cnt - 2)))
     kurt = (F.when(F.col("count") < 4, F.lit(None).cast("double"))
-            .when(F.col("var_pop") == 0, F.lit(0.0))
-            .otherwise(((cnt + 1) * F.col("g2") + 6) * (cnt - 1) / ((cnt - 2) * (cnt - 3))))
+            .when(var_pop == 0, F.lit(0.0))
+            .otherwise(((cnt + 1) * g2 + 6) * (cnt - 1) / ((cnt - 2) * (cnt - 3))))
+    low, high = (F.coalesce(f"{k}_d", F.col(f"{k}_int").cast("double")) for k in ("min", "max"))
     values = {
-        "min": F.col("min"), "max": F.col("max"), "mean": F.col("mean"),
-        "stddev": F.col("stddev"), "variance": F.col("variance"), "sum": F.col("sum"),
-        "range": F.col("max") - F.col("min"),
+        "min": low, "max": high, "mean": F.col("mean"),
+        "stddev": F.sqrt(variance), "variance": variance, "sum": F.col("sum"),
+        "range": high - low,
         "skewness": F.round(skew, SHAPE_DECIMALS) if digits else skew,
         "kurtosis": F.round(kurt, SHAPE_DECIMALS) if digits else kurt,
-        "cv": F.try_divide(F.col("stddev"), F.col("mean")),
+        "cv": F.try_divide(F.sqrt(variance), F.col("mean")),
         **{k: F.col(k) for k in QUANTILES},
         "iqr": F.col("q75") - F.col("q25"),
     }
-
-    def lookup(i: int, cast: str) -> Column:
-        items = ", ".join(_sql_text(str(e[i])) for e in entries)
-        return F.expr(f"element_at(array({items}), col_idx + 1)").cast(cast)
-
-    raw = stats.select(
-        lookup(0, "string").alias("table_name"),
-        lookup(1, "string").alias("column_name"),
-        lookup(2, "int").alias("column_position"),
+    raw = stats.join(names, F.col("col_idx") == F.col("n_idx")).select(
+        "table_name", "column_name", "column_position",
         F.col("count").cast("long").alias("count"),
         (F.col("n_rows") - F.col("count")).cast("long").alias("n_missing"),
         F.coalesce(F.col("n_distinct"), F.lit(0)).cast("long").alias("n_distinct"),
         *[e.cast("double").alias(k) for k, e in values.items()],
         F.col("n_zeros").cast("long").alias("n_zeros"),
         F.col("n_negative").cast("long").alias("n_negative"),
+        "min_int", "max_int",
     )
     if not digits:
         return raw
     # rounding in its own projection over plain columns keeps the expressions small
-    return raw.withColumns({k: sig_round(k, digits) for k in values})
+    return raw.withColumns({k: sig_round(k, digits) for k in values if k not in ("min", "max")})
 
 
 def column_profile(
     df: DataFrame,
-    n: int | None = PROFILE_ROW_CAP,
+    n: int | None = None,
     approx: bool = False,
     accuracy: int = 10000,
-    digits: int | None = DEFAULT_DIGITS,
+    digits: int | None = None,
 ) -> DataFrame:
     """A4: one row per numeric column (P12) with the statistics of PROFILE_SCHEMA.
 
@@ -334,9 +278,9 @@ def column_profile(
 def schema_profile(
     spark: SparkSession,
     zone: str,
-    n: int | None = PROFILE_ROW_CAP,
+    n: int | None = None,
     approx: bool = False,
-    digits: int | None = DEFAULT_DIGITS,
+    digits: int | None = None,
 ) -> DataFrame:
     """A5: A4 for every table of a zone, with ``schema`` and ``table_name`` columns,
     all tables in one Spark job.

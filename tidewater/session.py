@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -39,3 +39,19 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder below the shared scratch root."""
     return f"{scratch_root(spark)}/tidewater/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def pinned(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as a Parquet table below the scratch root and read back: computed once,
+    the lineage ends there, and a lost executor loses nothing that was written."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete everything that this library has pinned below the scratch root.  Frames that
+    still read a pinned table can't be used afterwards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/tidewater")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
