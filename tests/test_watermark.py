@@ -37,34 +37,17 @@ def test_low_le_high(spark):
     assert r["low_watermark"] <= r["high_watermark"]
 
 
-def test_partition_pruned_watermarks_equal_full_scan(spark, tmp):
-    import io
-    from contextlib import redirect_stdout
-
-    from tidewater.operators.merge import merge_eras
-    from tidewater.plans import taxi
-    from tidewater.plans.standins import standin
+def test_partitioned_tables_with_empty_edges_and_text_times(spark, tmp):
     from tidewater.sources.tables import write_partitioned
 
-    from conftest import SMALL
-
     ensure_zone(spark, "t_wm_part", f"{tmp}/wmp")
-    merged = merge_eras(taxi.raw_fix(standin(spark, SMALL, "g1")), taxi.raw_fix(standin(spark, SMALL, "g2")))
-    write_partitioned(taxi.clean_green(merged), "t_wm_part.green_clean")
-    pruned = watermarks(spark, "t_wm_part")
-    full = watermarks(spark, "t_wm_part", prune_partitions=False)
-    assert sorted(map(tuple, pruned.collect())) == sorted(map(tuple, full.collect()))
-    buf = io.StringIO()
-    with redirect_stdout(buf):
-        pruned.explain()
-    assert "PartitionFilters: [" in buf.getvalue() and "pickup_year" in buf.getvalue()
-
-
-def test_chunked_sweep_equals_single_plan(spark):
-    from tidewater.operators.watermark import watermarks_of
-
-    tables = {f"t{i}": spark.sql(f"SELECT timestamp'2020-01-01 00:00:00' + make_interval(0, 0, 0, id * {i + 1}) "
-                                 f"AS pickup_datetime FROM range({10 + i})") for i in range(5)}
-    one = sorted(watermarks_of(tables, "z").collect())
-    chunked = sorted(watermarks_of(tables, "z", branches_per_job=2).collect())
-    assert one == chunked and len(one) == 10
+    rows = [("2014-03-05 00:00:00", 2014, 3), ("2016-01-02 00:00:00", 2016, 1), (None, None, None)]
+    df = spark.createDataFrame(rows, "t string, pickup_year int, pickup_month int").select(
+        F.to_timestamp("t").alias("pickup_datetime"), "pickup_year", "pickup_month")
+    write_partitioned(df, "t_wm_part.a")
+    spark.sql("ALTER TABLE t_wm_part.a ADD PARTITION (pickup_year = 2017, pickup_month = 1)")
+    text = [("9/1/2013", 2013, 9), ("10/1/2012", 2012, 10), ("1/1/2014", 2014, 1)]
+    write_partitioned(spark.createDataFrame(text, "pickup_datetime string, pickup_year int, pickup_month int"), "t_wm_part.b")
+    got = {(r.table_name, r.part_type): r.create_time for r in watermarks(spark, "t_wm_part").collect()}
+    assert got[("a", "high_watermark")].startswith("2016-01-02") and got[("a", "low_watermark")].startswith("2014-03-05")
+    assert got[("b", "high_watermark")] == "9/1/2013" and got[("b", "low_watermark")] == "1/1/2014"

@@ -17,17 +17,12 @@ from pyspark.sql import types as T
 from tidewater.functions.casts import partition_label, value_text
 from tidewater.functions.columns import col_of, find_column
 from tidewater.sources.catalog import DEFAULT_CLUSTER, DEFAULT_DATABASE, table_names
-from tidewater.sources.tables import scan_table, table_name
+from tidewater.sources.tables import scan_table
 
 # The two watermark kinds and the aggregate each one takes.
 KINDS = {"high_watermark": "max", "low_watermark": "min"}
 DEFAULT_TS_COL = "pickup_datetime"
 
-# The partition layout the clean and processed tables are written with
-# (year and month of the pickup time).
-PARTITION_LAYOUT = {"pickup_datetime": ("pickup_year", "pickup_month")}
-DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
-
 WATERMARK_SCHEMA = T.StructType(
     [
         T.StructField("create_time", T.StringType()),
@@ -51,62 +46,14 @@ def low_watermark(df: DataFrame, ts_col: str = DEFAULT_TS_COL) -> DataFrame:
     return df.agg(F.min(col_of(find_column(df, ts_col) or ts_col)).alias("low_watermark"))
 
 
-def edge_partitions(spark: SparkSession, name: str, year_col: str, month_col: str):
-    """First and last (year, month) partition of a catalog table, from the partition
-    list (metadata: one entry per partition), or None when it cannot be listed."""
-    try:
-        specs = [r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
-    except Exception:  # not partitioned, or partitions not tracked by the catalog
-        return None
-    seen = []
-    for spec in specs:
-        kv = dict(p.split("=", 1) for p in spec.split("/") if "=" in p)
-        y, m = kv.get(year_col), kv.get(month_col)
-        if y is None or m is None or DEFAULT_PARTITION in (y, m):
-            continue
-        seen.append((int(y), int(m)))
-    return (min(seen), max(seen)) if seen else None
-
-
-# Tables swept by one plan.  Each table adds an aggregation branch (and its exchange)
-# to the plan; past this many, the branches run in chunks whose one-row results are
-# pinned, so the plan the driver analyses stays bounded whatever the zone's size.
-BRANCHES_PER_JOB = 256
-
-
-def union_in_jobs(branches: list[DataFrame], per_job: int = BRANCHES_PER_JOB) -> DataFrame:
-    """Union of small per-table results; above ``per_job`` branches, each chunk is run
-    as its own job and its rows pinned with a reliable checkpoint."""
-    def union(frames):
-        return reduce(lambda a, b: a.unionByName(b), frames)
-
-    if len(branches) <= per_job:
-        return union(branches)
-    from tidewater.session import scratch_root
-
-    scratch_root(branches[0].sparkSession)
-    chunks = [union(branches[i:i + per_job]).checkpoint(eager=True) for i in range(0, len(branches), per_job)]
-    return union(chunks)
-
-
-def table_bounds(df: DataFrame, ts_col: str, table: str,
-                 edges: tuple[tuple[int, int], tuple[int, int]] | None = None,
-                 layout: tuple[str, str] | None = None) -> DataFrame:
-    """(table_name, low, high) as text for one table, in one aggregation.
-
-    With ``edges`` (first and last (year, month) partition of a table laid out by
-    ``layout``), only those two partitions are scanned: the earliest time lies in the
-    first month and the latest in the last (the partition values are the year and
-    month of the same time column, and NULL times sit in the default partition).
-    """
+def table_bounds(df: DataFrame, ts_col: str, table: str) -> DataFrame:
+    """(table_name, low, high) as text for one table, in one aggregation over all rows of one
+    column.  No partition is left out: the layout may not follow the column's order (text
+    times, empty or NULL partitions)."""
     actual = find_column(df, ts_col)
     if actual is None:
         raise KeyError(f"table {table!r} has no column {ts_col!r}")
     dtype = df.schema[actual].dataType
-    if edges is not None and layout is not None:
-        (y0, m0), (y1, m1) = edges
-        yc, mc = col_of(layout[0]), col_of(layout[1])
-        df = df.where(((yc == y0) & (mc == m0)) | ((yc == y1) & (mc == m1)))
     b = df.agg(F.min(col_of(actual)).alias("lo"), F.max(col_of(actual)).alias("hi"))
     return b.select(
         F.lit(table).alias("table_name"),
@@ -126,8 +73,6 @@ def watermarks_of(
     database: str = DEFAULT_DATABASE,
     missing: str = "raise",
     spark: SparkSession | None = None,
-    edges: Mapping[str, tuple] | None = None,
-    branches_per_job: int = BRANCHES_PER_JOB,
 ) -> DataFrame:
     """A3 over given frames: one record per (table, kind).
 
@@ -146,14 +91,12 @@ def watermarks_of(
             if missing == "skip":
                 continue
             raise KeyError(f"table {name!r} has no column {col!r}")
-        e = (edges or {}).get(name)
-        branches.append(table_bounds(df, col, name, e, PARTITION_LAYOUT.get(col)) if e else
-                        table_bounds(df, col, name))
+        branches.append(table_bounds(df, col, name))
     if not branches:
         if spark is None:
             raise ValueError("no tables: pass spark to get an empty frame")
         return spark.createDataFrame([], WATERMARK_SCHEMA)
-    bounds = union_in_jobs(branches, branches_per_job)
+    bounds = reduce(lambda a, b: a.unionByName(b), branches)
     # unpivot in the same pass (a union of per-kind selects would scan every table twice)
     side = {"high_watermark": "high", "low_watermark": "low"}
     records = F.array(*[
@@ -183,21 +126,7 @@ def watermarks(
     cluster: str = DEFAULT_CLUSTER,
     database: str = DEFAULT_DATABASE,
     missing: str = "raise",
-    prune_partitions: bool = True,
 ) -> DataFrame:
-    """A3: watermarks of every table of a zone (``SHOW TABLES IN zone``), one job.
-
-    Tables laid out by (year, month) of the time column (PARTITION_LAYOUT) are read
-    only in their first and last partition when ``prune_partitions`` is on.
-    """
+    """A3: watermarks of every table of a zone (``SHOW TABLES IN zone``), one job."""
     tables = {t: scan_table(spark, zone, t) for t in table_names(spark, zone)}
-    edges = {}
-    if prune_partitions:
-        for t, df in tables.items():
-            col = ts_col.get(t, DEFAULT_TS_COL) if isinstance(ts_col, Mapping) else ts_col
-            layout = PARTITION_LAYOUT.get(col)
-            if layout and all(find_column(df, c) for c in layout) and find_column(df, col):
-                e = edge_partitions(spark, table_name(zone, t), *layout)
-                if e:
-                    edges[t] = e
-    return watermarks_of(tables, zone, ts_col, kinds, cluster, database, missing, spark=spark, edges=edges)
+    return watermarks_of(tables, zone, ts_col, kinds, cluster, database, missing, spark=spark)
