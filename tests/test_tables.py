@@ -48,6 +48,33 @@ def test_overwrite_checks_schema_and_self_read(spark, tmp):
     assert scan_table(spark, "t_raw", "x").columns == ["k"]
 
 
+def test_a_failed_write_leaves_the_old_table(spark, tmp):
+    import os
+
+    ensure_zone(spark, "t_safe", f"{tmp}/it's safe")
+    write_replace(spark.createDataFrame([(1, "a")], "k int, v string"), "t_safe.x")
+    bad = scan_table(spark, "t_safe", "x").withColumn("k", F.raise_error("no").cast("int"))
+    for write in (write_replace, write_overwrite):
+        with pytest.raises(Exception, match="no"):
+            write(bad, "t_safe.x")
+        assert [tuple(r) for r in scan_table(spark, "t_safe", "x").collect()] == [(1, "a")]
+    write_replace(scan_table(spark, "t_safe", "x").union(scan_table(spark, "t_safe", "x")), "t_safe.x")
+    assert scan_table(spark, "t_safe", "x").count() == 2
+    assert [t.name for t in spark.catalog.listTables("t_safe")] == ["x"]
+    assert len([d for d in os.listdir(f"{tmp}/it's safe") if d.startswith("x")]) == 1  # older versions are gone
+
+
+def test_append_raises_what_is_not_a_missing_folder(spark, tmp):
+    import os
+
+    path = f"{tmp}/broken"
+    os.makedirs(path)
+    with open(f"{path}/part-0.parquet", "w") as f:
+        f.write("no parquet")
+    with pytest.raises(Exception):
+        append_evolve(spark.createDataFrame([("1",)], "a string"), path)
+
+
 def test_append_evolve_adds_columns(spark, tmp):
     path = f"{tmp}/merged"
     a = spark.createDataFrame([("1", "x")], "vendor_id string, Surcharge string")

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewater.functions.columns import quote
 
 PARTITION_COLUMNS = ("pickup_year", "pickup_month")
 
+# Marks the folder of one version of a table.
+VERSION = "-version-"
+
 
 def table_name(zone: str, table: str) -> str:
     return f"{quote(zone)}.{quote(table)}"
@@ -23,40 +28,61 @@ def scan_table(spark: SparkSession, zone: str, table: str) -> DataFrame:
 
 def ensure_zone(spark: SparkSession, zone: str, location: str | None = None) -> None:
     """Create the database when missing, optionally at a location."""
-    loc = f" LOCATION '{location}'" if location else ""
+    loc = " LOCATION '{}'".format(location.replace("\\", "\\\\").replace("'", "\\'")) if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(zone)}{loc}")
 
 
-def _save(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
-    w = df.write.format("parquet").mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.saveAsTable(name)
+def name_parts(name: str) -> list[str]:
+    """Database and table of a quoted or plain qualified name."""
+    return [(m[0].replace("``", "`") or m[1]) for m in re.findall(r"`((?:[^`]|``)+)`|([^.`]+)", name)]
 
 
-def _save_cutting_self_read(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
-    """Overwrite ``name``; if ``df`` reads that same table, cut the lineage first.
+def _delete(spark: SparkSession, path: str) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
-    Spark refuses to overwrite a table the query reads.  A reliable checkpoint (files
-    under the shared ``spark.checkpoint.dir``, so it survives executor loss) holds the
-    rows while the old files are replaced.
-    """
-    try:
-        _save(df, name, partition_by)
-    except AnalysisException as e:
-        condition = e.getCondition() if hasattr(e, "getCondition") else None
-        if not (condition or "").startswith("UNSUPPORTED_OVERWRITE") \
-                and "UNSUPPORTED_OVERWRITE" not in str(e) and "Cannot overwrite" not in str(e):
-            raise
-        from tidewater.session import scratch_root
 
-        scratch_root(df.sparkSession)
-        _save(df.checkpoint(eager=True), name, partition_by)
+def _location(spark: SparkSession, name: str) -> str | None:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"] if rows else None
+
+
+def _switch(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
+    """Replace table ``name``: the rows are written to a new location and registered under a
+    temporary name; only then do the names change.  A write that fails leaves the old table
+    as it was, and ``df`` may read the table it replaces."""
+    spark = df.sparkSession
+    zone, table = name_parts(name) if len(name_parts(name)) == 2 else (spark.catalog.currentDatabase(), *name_parts(name))
+    tag = uuid.uuid4().hex[:12]
+    path = f"{unquote(spark.catalog.getDatabase(zone).locationUri).rstrip('/')}/{table}{VERSION}{tag}"
+    fresh, old = table_name(zone, f"{table}__new_{tag}"), table_name(zone, f"{table}__old_{tag}")
+    w = df.write.format("parquet").mode("errorifexists").option("path", path)
+    try:
+        (w.partitionBy(*partition_by) if partition_by else w).saveAsTable(fresh)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        _delete(spark, path)
+        raise
+    name = table_name(zone, table)
+    replaced = spark.catalog.tableExists(name)
+    if replaced:
+        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+    try:
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
+    except Exception:
+        if replaced:
+            spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
+        raise
+    if replaced:
+        left = _location(spark, old)
+        spark.sql(f"DROP TABLE {old}")
+        if left and VERSION in left.rsplit("/", 1)[-1]:  # a version that this function wrote
+            _delete(spark, unquote(left))
 
 
 def write_replace(df: DataFrame, name: str) -> None:
     """S3: overwrite rows and schema."""
-    _save_cutting_self_read(df, name)
+    _switch(df, name)
 
 
 def _schema_key(df: DataFrame) -> dict[str, str]:
@@ -70,19 +96,16 @@ def write_overwrite(df: DataFrame, name: str) -> None:
         old, new = _schema_key(spark.table(name)), _schema_key(df)
         if old != new:
             raise ValueError(f"schema of {name} would change: {old} -> {new} (use write_replace)")
-    _save_cutting_self_read(df, name)
+    _switch(df, name)
 
 
 def rebalanced(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Shuffle so that each output partition holds few (year, month) values and is of a
-    sane size.  With adaptive execution on, the REBALANCE hint splits a hot partition
-    (one month holding a third of the rows) into several tasks and merges small ones;
-    a plain ``repartition(cols)`` would put a hot month into one task.  Without
-    adaptive execution the hint degrades to a hash repartition, so the frame is then
-    written as it is.
+    sane size: adaptive execution splits a hot partition (one month holding a third of the
+    rows) into several tasks and merges small ones; a plain ``repartition(cols)`` would put
+    a hot month into one task.
     """
-    aqe = df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
-    return df.hint("rebalance", *cols) if aqe else df
+    return df.hint("rebalance", *cols)
 
 
 def write_partitioned(
@@ -93,7 +116,7 @@ def write_partitioned(
 ) -> None:
     """Overwrite as a table partitioned by ``cols``; NULL keys go to the default
     partition.  ``rebalance`` bounds the file count (see :func:`rebalanced`)."""
-    _save_cutting_self_read(rebalanced(df, cols) if rebalance else df, name, cols)
+    _switch(rebalanced(df, cols) if rebalance else df, name, cols)
 
 
 def write_partitioned_path(
