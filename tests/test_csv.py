@@ -3,7 +3,7 @@ import os
 import pytest
 
 from tidewater.plans.taxi import raw_fix
-from tidewater.sources.files import scan_csv, split_file_list
+from tidewater.sources.files import scan_csv
 
 HEADER = "VendorID,lpep_pickup_datetime,Lpep_dropoff_datetime,Fare_amount,Trip_type \n"
 
@@ -37,8 +37,16 @@ def test_scan_reordered_header_raises_or_unites(spark, tmp):
     assert got[0] == ("1", "2") and set(got[1:]) == {("10", "20")}
 
 
-def test_split_file_list():
-    assert split_file_list("a.csv/b.csv", "s3a://bucket/raw/") == ["s3a://bucket/raw/a.csv", "s3a://bucket/raw/b.csv"]
+def test_folder_and_glob_are_checked_file_by_file(spark, tmp):
+    folder = os.path.join(tmp, "in put")
+    os.makedirs(folder)
+    _write(os.path.join(folder, "a.csv"), "a,b\n", [("1", "2")])
+    _write(os.path.join(folder, "b.csv"), "b,a\n", [("20", "10")] * 50)
+    for path in (folder, f"{folder}/*.csv"):
+        with pytest.raises(ValueError, match="headers differ"):
+            scan_csv(spark, path)
+        got = {(r.a, r.b) for r in scan_csv(spark, path, by_name=True).collect()}
+        assert got == {("1", "2"), ("10", "20")}
 
 
 def test_probe_threads_bounded(spark):

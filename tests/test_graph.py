@@ -58,3 +58,25 @@ def test_catalog_graph_and_search_docs(spark, tmp):
     assert doc.database == "default" and doc.cluster == "my_delta_environment"
     assert table_metadata(spark, ["no_such_zone"]).count() == 0
     assert spark.createDataFrame([], METADATA_SCHEMA).count() == 0
+
+
+def test_one_row_per_key_by_a_stated_rule(spark):
+    t = spark.createDataFrame([("k0", "L", "old")], "key string, label string, name string")
+    i = spark.createDataFrame([("k1", "L", "b"), ("k1", "L", "a"), ("k0", "L", "n")], "key string, label string, name string")
+    for frame in (i, i.orderBy("name").coalesce(1)):
+        assert sorted(map(tuple, insert_only(t, frame).collect())) == [("k0", "L", "old"), ("k1", "L", "a")]
+        assert sorted(tuple(r)[:3] for r in upsert_tagged(t, frame, "tag", NOW).collect()) == [("k0", "L", "n"), ("k1", "L", "a")]
+
+
+def test_graph_files_keep_line_breaks_and_blanks(spark, tmp):
+    from tidewater.sources.files import read_graph, write_graph
+
+    nodes = [("k1", "A", " two\nlines \\n \"q\", "), ("k2", "B", "Trip_type ")]
+    edges = [("k1", "A", "k2 ", "B", "T\r", "R")]
+    write_graph(spark.createDataFrame(nodes, "key string, label string, name string"),
+                spark.createDataFrame(edges, "start_key string, start_label string, end_key string, end_label string, "
+                                             "reverse_type string, type string"), f"{tmp}/g")
+    back = read_graph(spark, f"{tmp}/g", "nodes").select("key", "label", "name").collect()
+    assert sorted(map(tuple, back)) == nodes
+    back = read_graph(spark, f"{tmp}/g", "relationships").collect()
+    assert [(r.start_key, r.end_key, r.reverse_type, r.type) for r in back] == [("k1", "k2 ", "T\r", "R")]

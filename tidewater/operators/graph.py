@@ -143,16 +143,27 @@ def metadata_graph(meta: DataFrame) -> tuple[DataFrame, DataFrame]:
     return nodes, edges
 
 
+def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key: the one whose other columns, as JSON text, come first.  Keyed
+    publishing needs a rule that doesn't depend on the rows' order."""
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.dropDuplicates(list(keys))
+    ranked = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.to_json(F.struct(*rest))).alias("row_"))
+    return ranked.select(*keys, "row_.*").select(*df.columns)
+
+
 def insert_only(target: DataFrame, incoming: DataFrame, keys: Sequence[str] = ("key",)) -> DataFrame:
-    """M2: add incoming rows whose key is new; existing rows are never overwritten."""
-    fresh = incoming.join(target.select(*keys), list(keys), "left_anti")
+    """M2: add incoming rows whose key is new, one per key; existing rows are never overwritten."""
+    fresh = one_per_key(incoming, keys).join(target.select(*keys), list(keys), "left_anti")
     return target.unionByName(fresh, allowMissingColumns=True)
 
 
 def upsert_tagged(target: DataFrame, incoming: DataFrame, tag: str, now_ms: int,
                   keys: Sequence[str] = ("key",)) -> DataFrame:
-    """M3: publish ``incoming`` under a job tag: its rows replace same-key rows of
-    ``target`` and carry ``publish_tag`` / ``last_updated``; other rows stay as they are."""
+    """M3: publish ``incoming``, one row per key, under a job tag: its rows replace same-key rows
+    of ``target`` and carry ``publish_tag`` / ``last_updated``; other rows stay as they are."""
+    incoming = one_per_key(incoming, keys)
     stamped = incoming.withColumns({"publish_tag": F.lit(tag), "last_updated": F.lit(now_ms).cast("long")})
     kept = target.join(incoming.select(*keys), list(keys), "left_anti")
     return kept.unionByName(stamped, allowMissingColumns=True)
@@ -166,7 +177,7 @@ def publish(nodes: DataFrame, edges: DataFrame, tag: str, now_ms: int,
     create_only = list(create_only_labels)
     stamp = {"publish_tag": F.lit(tag), "last_updated": F.lit(now_ms).cast("long")}
     if graph is None:
-        return nodes.withColumns(stamp), edges.withColumns(stamp)
+        return (one_per_key(nodes, ("key",)).withColumns(stamp), one_per_key(edges, EDGE_KEY).withColumns(stamp))
     g_nodes, g_edges = graph
     is_co = F.col("label").isin(create_only)
     plain = upsert_tagged(g_nodes.where(~is_co), nodes.where(~is_co), tag, now_ms)

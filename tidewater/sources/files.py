@@ -3,16 +3,25 @@ plain-file outputs of the metadata side (graph CSVs, search and profile JSON).""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+import sys
+from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.functions.columns import col_of, find_column
 from tidewater.operators.merge import merge_eras
 
+# Workers need no copy of this package: its functions travel with the job.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Header probes are tiny jobs (one task reading one line per file); at least this many
 # run at once, more on a larger cluster (its default parallelism), at most the ceiling.
 HEADER_PROBE_THREADS = 8
@@ -32,9 +41,45 @@ def read_header(spark: SparkSession, path: str) -> list[str]:
     return spark.read.option("header", True).csv(path).columns
 
 
-def split_file_list(names: str, base: str) -> list[str]:
-    """A ``/``-joined list of file names (how a scheduler passes them) under ``base``."""
-    return [base.rstrip("/") + "/" + n for n in names.split("/") if n]
+def first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(path, line): the first line of each file, read by the executors."""
+    from pyarrow import fs
+
+    for batch in batches:
+        lines = []
+        for path in batch["path"]:
+            if path.startswith("file:"):
+                store, inner = fs.LocalFileSystem(), re.sub(r"^file:/+", "/", path)
+            else:
+                store, inner = fs.FileSystem.from_uri(path)
+            with store.open_input_stream(inner) as f:
+                raw = b""
+                while b"\n" not in raw and (more := f.read(1 << 16)):
+                    raw += more
+            lines.append(raw.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8", "replace"))
+        yield pd.DataFrame({"path": batch["path"], "line": lines})
+
+
+def headers_of(spark: SparkSession, files: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """Header -> files, in the files' order.  One job reads all first lines; each different
+    line is then parsed by Spark once.  Stores that only Spark opens are probed by a job
+    for each file."""
+    try:
+        paths = spark.createDataFrame([(f,) for f in files], "path string").repartition(max(1, min(len(files), 4096)))
+        found = dict(paths.mapInPandas(first_lines, "path string, line string").toPandas().itertuples(index=False))
+    except Exception as e:  # noqa: BLE001 - whatever pyarrow says of a store it can't open
+        if isinstance(e, AnalysisException):
+            raise
+        with ThreadPoolExecutor(max_workers=probe_threads(spark, len(files))) as pool:
+            found = dict(zip(files, pool.map(lambda p: tuple(read_header(spark, p)), files)))
+    parsed: dict = {}
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for f in files:
+        key = found[f]
+        if key not in parsed:
+            parsed[key] = key if isinstance(key, tuple) else tuple(read_header(spark, f))
+        groups.setdefault(parsed[key], []).append(f)
+    return groups
 
 
 def string_schema(names: Sequence[str]) -> T.StructType:
@@ -50,7 +95,7 @@ def _read_group(spark: SparkSession, names: Sequence[str], paths: Sequence[str])
 def scan_csv(spark: SparkSession, paths: Sequence[str] | str, by_name: bool = False) -> DataFrame:
     """Read CSVs with a header line, every column as text, blank fields as NULL.
 
-    ``paths`` is a list of files or one path.  A plain multi-file
+    ``paths`` is a path or a list of paths (files, folders or globs).  A plain multi-file
     read takes the header of one file and maps every other file by position; here each
     file's header is read first.  Files sharing a header are read together in one
     scan.  Differing headers raise, unless ``by_name=True``: then each header group is
@@ -59,11 +104,11 @@ def scan_csv(spark: SparkSession, paths: Sequence[str] | str, by_name: bool = Fa
     paths = [paths] if isinstance(paths, str) else list(paths)
     if not paths:
         raise ValueError("scan_csv needs at least one path")
-    with ThreadPoolExecutor(max_workers=probe_threads(spark, len(paths))) as pool:
-        headers = list(pool.map(lambda p: tuple(read_header(spark, p)), paths))
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for p, h in zip(paths, headers):
-        groups.setdefault(h, []).append(p)
+    # folders and globs become files first: every file's header is checked
+    files = sorted(unquote(f) for f in spark.read.text(paths).inputFiles())
+    if not files:
+        raise ValueError(f"no files below {paths}")
+    groups = headers_of(spark, files)
     if len(groups) == 1:
         (names, group_paths), = groups.items()
         return _read_group(spark, names, group_paths)
@@ -77,12 +122,15 @@ def append_evolve(df: DataFrame, path: str) -> None:
     """Append to a Parquet folder; new columns are added at read time.
 
     Later eras are respelled to the folder's existing column spelling first, so a
-    schema-merging read sees one column per name.
+    schema-merging read sees one column per name.  Only a missing or empty folder counts
+    as having no columns; any other read error is raised.
     """
     spark = df.sparkSession
     try:
         existing = read_evolved(spark, path).columns
-    except Exception:
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         existing = []
     if existing:
         by_lower = {c.lower(): c for c in existing}
@@ -111,8 +159,23 @@ def write_graph(nodes: DataFrame, edges: DataFrame, path: str) -> None:
     """Node files by label and relationship files by type, CSV with a header."""
     if "attrs" in nodes.columns:
         nodes = nodes.withColumn("attrs", F.to_json("attrs"))
-    nodes.write.mode("overwrite").partitionBy("label").option("header", True).csv(f"{path}/nodes")
-    edges.write.mode("overwrite").partitionBy("type").option("header", True).csv(f"{path}/relationships")
+    for df, by, folder in ((nodes, "label", "nodes"), (edges, "type", "relationships")):
+        lines = {f.name: one_line(f.name) for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name != by}
+        (df.withColumns(lines).write.mode("overwrite").partitionBy(by)
+         .options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, escape='"').csv(f"{path}/{folder}"))
+
+
+def one_line(name: str) -> Column:
+    """Text with line breaks (and backslashes) escaped: a record is one line, whoever reads it."""
+    return F.replace(F.replace(F.replace(col_of(name), F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+
+
+def read_graph(spark: SparkSession, path: str, folder: str) -> DataFrame:
+    """The ``nodes`` or ``relationships`` files that :func:`write_graph` wrote."""
+    df = spark.read.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{path}/{folder}")
+    plain = lambda c: F.replace(F.replace(F.replace(F.replace(
+        col_of(c), F.lit("\\\\"), F.lit("\0")), F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")), F.lit("\0"), F.lit("\\"))
+    return df.withColumns({c: plain(c) for c in df.columns if df.schema[c].dataType == T.StringType()})
 
 
 def write_search_docs(docs: DataFrame, path: str) -> None:
@@ -127,11 +190,10 @@ def write_profile(profile: DataFrame, path: str) -> bool:
     reliable checkpoint, then tested for emptiness and written (testing the plan and
     then writing it would run the whole profile twice).
     """
-    from tidewater.session import scratch_root
+    from tidewater.session import pinned
 
-    scratch_root(profile.sparkSession)
-    pinned = profile.checkpoint(eager=True)
-    if pinned.isEmpty():
+    found = pinned(profile, "profile-report")
+    if found.isEmpty():
         return False
-    pinned.write.mode("overwrite").json(path)
+    found.write.mode("overwrite").json(path)
     return True
