@@ -40,7 +40,7 @@ def test_metadata_refresh_end_to_end(spark, tmp):
 
     labels = {r.label: r["count"] for r in out["nodes"].groupBy("label").count().collect()}
     assert labels["Table"] == 2 and labels["Schema"] == 2 and labels["User"] == 2
-    assert labels["Watermark"] == 4  # raw (text, lexical) and clean (pruned), high and low
+    assert labels["Watermark"] == 4  # raw (text, lexical) and clean, high and low
     from tidewater.functions.columns import numeric_columns
 
     numeric_cols = len(numeric_columns(spark.table("t_r_clean.green_clean")))

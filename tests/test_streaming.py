@@ -18,3 +18,15 @@ def test_incremental_ingest_takes_only_new_files(spark, tmp):
     back = spark.read.parquet(target)
     assert back.count() == 3
     assert back.columns == ["VendorID", "pickup_datetime", "trip_type"]
+
+
+def test_a_file_with_another_header_fails_the_batch(spark, tmp):
+    import pytest
+
+    land = os.path.join(tmp, "landing")
+    os.makedirs(land)
+    with open(os.path.join(land, "a.csv"), "w") as f:
+        f.write("lpep_pickup_datetime,VendorID,Trip_type \n2014-01-01 00:00:00,1,1\n")
+    query = ingest_new_files(spark, land, ["VendorID", "lpep_pickup_datetime", "Trip_type "], f"{tmp}/raw", f"{tmp}/ckpt")
+    with pytest.raises(Exception):
+        query.awaitTermination()

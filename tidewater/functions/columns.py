@@ -158,7 +158,11 @@ def surcharge_fold(df: DataFrame, policy: str = "replace") -> Column:
     ``replace`` (the reference): float of ``surcharge``, even where that is NULL and an
     ``improvement_surcharge`` value exists.  ``coalesce``: fall back to the existing one.
     """
-    from_surcharge = to_float_lenient(resolve_or_null(df, "surcharge"))
+    if find_column(df, "surcharge") is None:
+        if policy == "coalesce":
+            return to_float_lenient(resolve_or_null(df, "improvement_surcharge"))
+        raise KeyError("no column 'surcharge': replacing improvement_surcharge would wipe it (policy='coalesce' keeps it)")
+    from_surcharge = to_float_lenient(resolve(df, "surcharge"))
     if policy == "replace":
         return from_surcharge
     if policy == "coalesce":

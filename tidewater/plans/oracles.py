@@ -9,10 +9,19 @@ from __future__ import annotations
 
 import re
 
-from tidewater.functions.casts import INT_TEXT_PATTERN
-from tidewater.functions.columns import INGEST_RENAMES, YELLOW_LATE_RENAMES
 from tidewater.plans.standins import STANDINS, cte
 
+# Fixed values, stated here again so that a change of the library's shows.
+INT_TEXT_PATTERN = "^([+-]?[0-9]+)([.][0-9]*)?$"
+INGEST_RENAMES = {
+    "Trip_type ": "trip_type",
+    "lpep_pickup_datetime": "pickup_datetime",
+    "Lpep_dropoff_datetime": "dropoff_datetime",
+    "tpep_pickup_datetime": "pickup_datetime",
+    "tpep_dropoff_datetime": "dropoff_datetime",
+}
+YELLOW_LATE_RENAMES = {"VendorID": "vendor_id", "RatecodeID": "rate_code"}
+
 _ALIAS = re.compile(r"\bAS\s+([A-Za-z_]+)\s*(?:,|\n|$)")
 
 
@@ -61,10 +70,11 @@ def TS(x: str) -> str:
 
 RAW_G1 = raw_select("g1")
 RAW_G2 = raw_select("g2")
+RAW_G3 = raw_select("g3")
 RAW_Y1 = raw_select("y1")
 RAW_Y2 = raw_select("y2", YELLOW_LATE_RENAMES)
 
-GREEN_MERGED = f"({RAW_G1}) UNION ALL BY NAME ({RAW_G2})"
+GREEN_MERGED = f"({RAW_G1}) UNION ALL BY NAME ({RAW_G2}) UNION ALL BY NAME ({RAW_G3})"
 # merged green columns: the first era's, then the second era's new ones
 GREEN_MERGED_COLUMNS = [o for _, o in renamed(standin_columns("g1"), INGEST_RENAMES)]
 GREEN_MERGED_COLUMNS += [o for _, o in renamed(standin_columns("g2"), INGEST_RENAMES)
@@ -101,29 +111,29 @@ CLEAN_YELLOW_SELECT = f"""SELECT vendor_id, {TS('pickup_datetime')} AS pickup_da
   CAST(month({TS('pickup_datetime')}) AS INTEGER) AS pickup_month
 FROM yellow_merged"""
 
-TAXI_CTE = (cte("g1", "g2", "y1", "y2").rstrip("\n")
+TAXI_CTE = (cte("g1", "g2", "g3", "y1", "y2").rstrip("\n")
             + f",\ngreen_merged AS ({GREEN_MERGED}),\nyellow_merged AS ({YELLOW_MERGED}),"
             + f"\ngreen_clean AS ({CLEAN_GREEN_SELECT}),\nyellow_clean AS ({CLEAN_YELLOW_SELECT})\n")
 
 ORACLES: dict[str, str] = {
-    "csv_scan_rename": cte("g1", "g2") + GREEN_MERGED,
-    "stream_ingest": cte("g1", "g2") + GREEN_MERGED,
-    "table_roundtrip": cte("g1", "g2") + GREEN_MERGED,
+    "csv_scan_rename": cte("g1", "g2", "g3") + GREEN_MERGED,
+    "stream_ingest": cte("g1", "g2", "g3") + GREEN_MERGED,
+    "table_roundtrip": cte("g1", "g2", "g3") + GREEN_MERGED,
     "rename_if_present": cte("y1", "y2") + YELLOW_MERGED,
-    "canonical_case": cte("g1", "g2") + "SELECT " + ", ".join(
+    "canonical_case": cte("g1", "g2", "g3") + "SELECT " + ", ".join(
         f"{q(o)} AS {q(o.lower())}" for o in GREEN_MERGED_COLUMNS) + f" FROM ({GREEN_MERGED})",
-    "lenient_int": cte("g1", "g2") + f"""SELECT {INT('RateCodeID')} AS rate_code_id,
+    "lenient_int": cte("g1", "g2", "g3") + f"""SELECT {INT('RateCodeID')} AS rate_code_id,
   {INT('Passenger_count')} AS passenger_count, {INT('Payment_type')} AS payment_type,
   {INT('trip_type')} AS trip_type, {INT('Fare_amount')} AS fare_amount_int FROM ({GREEN_MERGED})""",
-    "lenient_float": cte("g1", "g2") + f"""SELECT {FLT('Fare_amount')} AS fare_amount,
+    "lenient_float": cte("g1", "g2", "g3") + f"""SELECT {FLT('Fare_amount')} AS fare_amount,
   {FLT('Trip_distance')} AS trip_distance, {FLT('Pickup_longitude')} AS pickup_longitude,
   {FLT('Payment_type')} AS payment_type_float, {FLT('Ehail_fee')} AS ehail_fee,
   {FLT('improvement_surcharge')} AS improvement_surcharge FROM ({GREEN_MERGED})""",
-    "lenient_timestamp": cte("g1", "g2") + f"""SELECT {TS('pickup_datetime')} AS pickup_datetime,
+    "lenient_timestamp": cte("g1", "g2", "g3") + f"""SELECT {TS('pickup_datetime')} AS pickup_datetime,
   {TS('dropoff_datetime')} AS dropoff_datetime FROM ({GREEN_MERGED})""",
-    "year_month": cte("g1", "g2") + f"""SELECT CAST(year({TS('pickup_datetime')}) AS INTEGER) AS pickup_year,
+    "year_month": cte("g1", "g2", "g3") + f"""SELECT CAST(year({TS('pickup_datetime')}) AS INTEGER) AS pickup_year,
   CAST(month({TS('pickup_datetime')}) AS INTEGER) AS pickup_month FROM ({GREEN_MERGED})""",
-    "merge_green_eras": cte("g1", "g2") + GREEN_MERGED,
+    "merge_green_eras": cte("g1", "g2", "g3") + GREEN_MERGED,
     "append_evolve": cte("y1", "y2") + YELLOW_MERGED,
     "clean_green": TAXI_CTE + "SELECT * FROM green_clean",
     "clean_yellow": TAXI_CTE + "SELECT * FROM yellow_clean",
@@ -131,16 +141,12 @@ ORACLES: dict[str, str] = {
 UNION ALL BY NAME SELECT * FROM yellow_clean""",
     "taxi_load": TAXI_CTE + """SELECT * REPLACE (CAST(rate_code_id AS VARCHAR) AS rate_code_id) FROM green_clean
 UNION ALL BY NAME SELECT * FROM yellow_clean""",
-    "partitioned_write": TAXI_CTE + """SELECT pickup_year, pickup_month, count(*) AS n_rows
-FROM green_clean GROUP BY pickup_year, pickup_month""",
+    "partitioned_write": TAXI_CTE + "SELECT * FROM green_clean",
 }
 
 
 # ------------------------------------------------------------------ metadata side
 
-CATALOG_ZONE = "tw_catalog"
-CATALOG_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
-                  "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 WATERMARK_ZONE = "tw_watermarks"
 WATERMARK_COLUMNS = {"orders": "o_orderdate", "lineitem": "l_shipdate", "events": "ts"}
 PROFILE_ZONE = "tw_profiles"
@@ -166,18 +172,6 @@ def _in(names) -> str:
     return "(" + ", ".join(f"'{n}'" for n in names) + ")"
 
 
-SPARK_TYPE = """CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
-  WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
-  WHEN 'FLOAT[]' THEN 'array<float>' ELSE lower(data_type) END"""
-
-CATALOG_COLUMNS = f"""catalog_columns AS (
-  SELECT DISTINCT table_name, column_name, {SPARK_TYPE} AS column_type,
-         CAST(ordinal_position - 1 AS INTEGER) AS sort_order
-  FROM information_schema.columns WHERE table_name IN {_in(CATALOG_TABLES)})"""
-
-SCHEMA_KEY = f"'default://{CLUSTER}.{CATALOG_ZONE}'"
-
-
 def TEXT(x: str) -> str:
     """Python-style text of a timestamp (fraction only when not zero)."""
     return (f"CASE WHEN strftime({x}, '%f') = '000000' THEN strftime({x}, '%Y-%m-%d %H:%M:%S') "
@@ -206,7 +200,7 @@ def profile_sql(table: str, column: str, position: int) -> str:
     parts = [
         f"'{column}' AS column_name", f"CAST({position} AS INTEGER) AS column_position",
         f"count({x}) AS count", f"count(*) - count({x}) AS n_missing", f"count(DISTINCT {x}) AS n_distinct",
-        f"{SIG(f'min({x})')} AS min", f"{SIG(f'max({x})')} AS max", f"{SIG(f'avg({x})')} AS mean",
+        f"CAST(min({x}) AS DOUBLE) AS min", f"CAST(max({x}) AS DOUBLE) AS max", f"{SIG(f'avg({x})')} AS mean",
         f"{SIG(f'stddev_samp({x})')} AS stddev", f"{SIG(f'var_samp({x})')} AS variance",
         f"{SIG(f'sum({x})')} AS sum", f"{SIG(f'max({x}) - min({x})')} AS range",
         f"{SIG(SHAPE(f'CASE WHEN count({x}) < 3 THEN NULL WHEN var_pop({x}) = 0 THEN 0 ELSE skewness({x}) END'))} AS skewness",
@@ -216,8 +210,10 @@ def profile_sql(table: str, column: str, position: int) -> str:
         f"{SIG(f'quantile_cont({x}, 0.75) - quantile_cont({x}, 0.25)')} AS iqr",
         f"CAST(count(*) FILTER (WHERE {x} = 0) AS BIGINT) AS n_zeros",
         f"CAST(count(*) FILTER (WHERE {x} < 0) AS BIGINT) AS n_negative",
+        *[f"CASE WHEN any_value(typeof({x})) IN ('BIGINT', 'INTEGER') THEN TRY_CAST({k}({x}) AS BIGINT) END AS {k}_int"
+          for k in ("min", "max")],
     ]
-    src = f"(SELECT CASE WHEN isnan(CAST({column} AS DOUBLE)) THEN NULL ELSE CAST({column} AS DOUBLE) END AS x FROM {table})"
+    src = f"(SELECT CASE WHEN isnan(CAST({column} AS DOUBLE)) THEN NULL ELSE {column} END AS x FROM {table})"
     return "SELECT " + ",\n  ".join(parts) + f"\nFROM {src}"
 
 
@@ -235,30 +231,60 @@ SCHEMA_WATERMARKS = "\nUNION ALL\n".join(
 FROM (SELECT {c} AS x FROM {t})"""
     for t, c in WATERMARK_COLUMNS.items() for k, kind in (("max", "high_watermark"), ("min", "low_watermark")))
 
-CATALOG_NODES = f"""WITH {CATALOG_COLUMNS}
-SELECT 'database://default' AS key, 'Database' AS label, 'default' AS name,
+REFRESH_RAW, REFRESH_CLEAN = "tw_refresh_raw", "tw_refresh_clean"
+
+# The columns of the refreshed tables, in catalog order (partition columns last).
+RAW_GREEN_COLUMNS = (
+    "VendorID pickup_datetime dropoff_datetime Store_and_fwd_flag RateCodeID Pickup_longitude Pickup_latitude "
+    "Dropoff_longitude Dropoff_latitude Passenger_count Trip_distance Fare_amount Extra MTA_tax Tip_amount Tolls_amount "
+    "Ehail_fee Total_amount Payment_type trip_type").split()
+CLEAN_GREEN_COLUMNS = {
+    "data_source": "string", "vendor_id": "string", "pickup_datetime": "timestamp", "dropoff_datetime": "timestamp",
+    "store_and_fwd_flag": "string", "rate_code_id": "int", "pickup_longitude": "float", "pickup_latitude": "float",
+    "dropoff_longitude": "float", "dropoff_latitude": "float", "passenger_count": "int", "trip_distance": "float",
+    "fare_amount": "float", "extra": "float", "mta_tax": "float", "tip_amount": "float", "tolls_amount": "float",
+    "ehail_fee": "float", "total_amount": "float", "payment_type": "int", "trip_type": "int",
+    "improvement_surcharge": "float", "pickup_year": "int", "pickup_month": "int",
+}
+
+
+def _catalog_rows() -> str:
+    rows = [(REFRESH_RAW, "green_taxi_pre2015", c, "string", i, "false") for i, c in enumerate(RAW_GREEN_COLUMNS)]
+    rows += [(REFRESH_CLEAN, "green_clean", c, t, i, "true" if c in ("pickup_year", "pickup_month") else "false")
+             for i, (c, t) in enumerate(CLEAN_GREEN_COLUMNS.items())]
+    return ",\n  ".join(f"('{z}', '{t}', '{c}', '{k}', {i}, {part})" for z, t, c, k, i, part in rows)
+
+
+CATALOG = f"""catalog(schema, table_name, column_name, column_type, sort_order, is_partition) AS (VALUES
+  {_catalog_rows()}),
+keyed AS (SELECT *, 'default://{CLUSTER}.' || schema AS sk, 'default://{CLUSTER}.' || schema || '/' || table_name AS tk,
+                 'default://{CLUSTER}.' || schema || '/' || table_name || '/' || column_name AS ck FROM catalog)"""
+
+CATALOG_NODES = """SELECT 'database://default' AS key, 'Database' AS label, 'default' AS name,
        CAST(NULL AS VARCHAR) AS column_type, CAST(NULL AS INTEGER) AS sort_order
-UNION ALL SELECT 'default://{CLUSTER}', 'Cluster', '{CLUSTER}', NULL, NULL
-UNION ALL SELECT {SCHEMA_KEY}, 'Schema', '{CATALOG_ZONE}', NULL, NULL
-UNION ALL SELECT DISTINCT {SCHEMA_KEY} || '/' || table_name, 'Table', table_name, NULL, NULL FROM catalog_columns
-UNION ALL SELECT {SCHEMA_KEY} || '/' || table_name || '/' || column_name, 'Column', column_name,
-                 column_type, sort_order FROM catalog_columns"""
-
-CATALOG_EDGES = f"""WITH {CATALOG_COLUMNS}
-SELECT 'database://default' AS start_key, 'Database' AS start_label, 'default://{CLUSTER}' AS end_key,
-       'Cluster' AS end_label, 'CLUSTER' AS type, 'CLUSTER_OF' AS reverse_type
-UNION ALL SELECT 'default://{CLUSTER}', 'Cluster', {SCHEMA_KEY}, 'Schema', 'SCHEMA', 'SCHEMA_OF'
-UNION ALL SELECT DISTINCT {SCHEMA_KEY}, 'Schema', {SCHEMA_KEY} || '/' || table_name, 'Table', 'TABLE', 'TABLE_OF'
-  FROM catalog_columns
-UNION ALL SELECT {SCHEMA_KEY} || '/' || table_name, 'Table', {SCHEMA_KEY} || '/' || table_name || '/' || column_name,
-                 'Column', 'COLUMN', 'COLUMN_OF' FROM catalog_columns"""
-
-SEARCH_DOCS = f"""WITH {CATALOG_COLUMNS}
-SELECT {SCHEMA_KEY} || '/' || table_name AS key, 'default' AS database, '{CLUSTER}' AS cluster,
-       '{CATALOG_ZONE}' AS schema, table_name AS name, CAST(NULL AS VARCHAR) AS description,
-       string_agg(column_name, ',' ORDER BY sort_order) AS column_names,
+UNION ALL SELECT 'default://%s', 'Cluster', '%s', NULL, NULL
+UNION ALL SELECT DISTINCT sk, 'Schema', schema, NULL, NULL FROM keyed
+UNION ALL SELECT DISTINCT tk, 'Table', table_name, NULL, NULL FROM keyed
+UNION ALL SELECT ck, 'Column', column_name, column_type, sort_order FROM keyed""" % (CLUSTER, CLUSTER)
+
+# raw: the time column is text there, its extremes are lexical
+REFRESH_MARKS = f"""marks AS (
+  SELECT '{REFRESH_RAW}' AS schema, 'green_taxi_pre2015' AS table_name, 'high_watermark' AS kind, max(lpep_pickup_datetime) AS v FROM g1
+  UNION ALL SELECT '{REFRESH_RAW}', 'green_taxi_pre2015', 'low_watermark', min(lpep_pickup_datetime) FROM g1
+  UNION ALL SELECT '{REFRESH_CLEAN}', 'green_clean', 'high_watermark', {TEXT('max(pickup_datetime)')} FROM green_clean
+  UNION ALL SELECT '{REFRESH_CLEAN}', 'green_clean', 'low_watermark', {TEXT('min(pickup_datetime)')} FROM green_clean)"""
+
+REFRESH_STATS = f"""stats AS (SELECT ck || '/' || s || '/' AS key, ck, s AS name
+  FROM keyed, (SELECT unnest([{", ".join(f"'{s}'" for s in STAT_NAMES)}]) AS s)
+  WHERE schema = '{REFRESH_CLEAN}' AND column_type IN ('int', 'float'))"""
+
+REFRESH_CTE = TAXI_CTE.rstrip("\n") + f",\n{CATALOG},\n{REFRESH_MARKS},\n{REFRESH_STATS}"
+
+SEARCH_DOCS = f"""{REFRESH_CTE}
+SELECT tk AS key, 'default' AS database, '{CLUSTER}' AS cluster, schema, table_name AS name,
+       CAST(NULL AS VARCHAR) AS description, string_agg(column_name, ',' ORDER BY sort_order) AS column_names,
        CAST(count(*) AS INTEGER) AS column_count
-FROM catalog_columns GROUP BY table_name"""
+FROM keyed GROUP BY tk, schema, table_name"""
 
 CUSTOMER_NODES = """t AS (SELECT CAST(c_custkey AS VARCHAR) AS key, 'Customer' AS label, c_name AS name
        FROM customer WHERE c_acctbal < 5000),
@@ -286,15 +312,27 @@ SELECT 'default://{CLUSTER}.' || schema || '/' || table_name || '/' || column_na
 FROM longp"""
 
 ORACLES.update({
-    "list_tables": f"""SELECT DISTINCT '{CATALOG_ZONE}' AS database, table_name AS tableName, false AS isTemporary
-FROM information_schema.tables WHERE table_name IN {_in(CATALOG_TABLES)}""",
-    "table_metadata": f"""WITH {CATALOG_COLUMNS}
-SELECT 'default' AS database, '{CLUSTER}' AS cluster, '{CATALOG_ZONE}' AS schema, table_name,
-       'EXTERNAL' AS table_type, CAST(NULL AS VARCHAR) AS table_description, column_name, column_type,
-       CAST(NULL AS VARCHAR) AS column_description, sort_order, false AS is_partition
-FROM catalog_columns""",
-    "metadata_graph": CATALOG_NODES,
-    "metadata_edges": CATALOG_EDGES,
+    "list_tables": TAXI_CTE + f"""SELECT '{REFRESH_RAW}' AS database, 'green_taxi_pre2015' AS tableName,
+  false AS isTemporary, count(*) AS n_rows FROM g1
+UNION ALL SELECT '{REFRESH_CLEAN}', 'green_clean', false, count(*) FROM green_clean""",
+    "table_metadata": f"""WITH {CATALOG}
+SELECT schema, table_name, column_name, column_type, sort_order, is_partition FROM catalog""",
+    "metadata_graph": f"WITH {CATALOG}\n{CATALOG_NODES}",
+    "metadata_edges": f"""{REFRESH_CTE},
+{EVENT_EDGES},
+own AS (
+  SELECT 'database://default' AS start_key, 'Database' AS start_label, 'default://{CLUSTER}' AS end_key,
+         'Cluster' AS end_label, 'CLUSTER' AS type, 'CLUSTER_OF' AS reverse_type, 'some_unique_tag' AS publish_tag
+  UNION ALL SELECT DISTINCT 'default://{CLUSTER}', 'Cluster', sk, 'Schema', 'SCHEMA', 'SCHEMA_OF', 'some_unique_tag' FROM keyed
+  UNION ALL SELECT DISTINCT sk, 'Schema', tk, 'Table', 'TABLE', 'TABLE_OF', 'some_unique_tag' FROM keyed
+  UNION ALL SELECT tk, 'Table', ck, 'Column', 'COLUMN', 'COLUMN_OF', 'some_unique_tag' FROM keyed
+  UNION ALL SELECT 'default://{CLUSTER}.' || schema || '/' || table_name, 'Table',
+         'default://{CLUSTER}.' || schema || '/' || table_name || '/' || kind || '/', 'Watermark', 'WATERMARK',
+         'BELONG_TO_TABLE', 'wm_test' FROM marks
+  UNION ALL SELECT ck, 'Column', key, 'Stat', 'STAT', 'STAT_OF', 'wm_test' FROM stats)
+SELECT *, CAST({EXPIRY_NOW_MS} AS BIGINT) AS last_updated FROM own
+UNION ALL BY NAME SELECT * FROM edges
+WHERE NOT (type IN ('READ', 'READ_BY') AND last_updated < {EXPIRY_NOW_MS} - 86400000 * 3)""",
     "search_documents": SEARCH_DOCS,
     "high_watermark": f"SELECT max(ts) AS high_watermark, {LABEL('max(ts)')} AS part_name FROM events",
     "low_watermark": f"SELECT min(ts) AS low_watermark, {LABEL('min(ts)')} AS part_name FROM events",
@@ -324,16 +362,24 @@ SELECT 'default://{CLUSTER}.' || schema || '/' || table_name || '/' || part_type
 FROM w""",
     "profile_records": PROFILE_RECORDS,
     "ensure_zone": "SELECT * FROM region",
-    "write_graph": f"SELECT key, label, name FROM ({CATALOG_NODES})",
+    "write_graph": f"""{REFRESH_CTE},
+{EVENT_EDGES}
+SELECT key, label AS kind, name AS other FROM ({CATALOG_NODES})
+UNION ALL SELECT key, 'Stat', name FROM stats
+UNION ALL SELECT 'default://{CLUSTER}.' || schema || '/' || table_name || '/' || kind || '/', 'Watermark', kind FROM marks
+UNION ALL SELECT 'database://default', 'CLUSTER', 'default://{CLUSTER}'
+UNION ALL SELECT DISTINCT 'default://{CLUSTER}', 'SCHEMA', sk FROM keyed
+UNION ALL SELECT DISTINCT sk, 'TABLE', tk FROM keyed
+UNION ALL SELECT tk, 'COLUMN', ck FROM keyed
+UNION ALL SELECT 'default://{CLUSTER}.' || schema || '/' || table_name, 'WATERMARK',
+       'default://{CLUSTER}.' || schema || '/' || table_name || '/' || kind || '/' FROM marks
+UNION ALL SELECT ck, 'STAT', key FROM stats
+UNION ALL SELECT start_key, type, end_key FROM edges
+WHERE NOT (type IN ('READ', 'READ_BY') AND last_updated < {EXPIRY_NOW_MS} - 86400000 * 3)""",
     "write_search_docs": f"SELECT key, name, column_names, column_count FROM ({SEARCH_DOCS})",
     "write_profile": f"SELECT column_name, count, n_distinct, mean FROM ({table_profile_sql('part')})",
-    "metadata_refresh": f"""WITH p AS ({PROFILE_RECORDS}),
-cols AS (SELECT DISTINCT table_name, column_name FROM information_schema.columns
-         WHERE table_name IN {_in(PROFILE_TABLES)})
-SELECT 'database://default' AS key, 'Database' AS label, 'default' AS name
-UNION ALL SELECT 'default://{CLUSTER}', 'Cluster', '{CLUSTER}'
-UNION ALL SELECT 'default://{CLUSTER}.{PROFILE_ZONE}', 'Schema', '{PROFILE_ZONE}'
-UNION ALL SELECT DISTINCT 'default://{CLUSTER}.{PROFILE_ZONE}/' || table_name, 'Table', table_name FROM cols
-UNION ALL SELECT 'default://{CLUSTER}.{PROFILE_ZONE}/' || table_name || '/' || column_name, 'Column', column_name FROM cols
-UNION ALL SELECT key, label, name FROM p""",
+    "metadata_refresh": f"""{REFRESH_CTE}
+SELECT key, label, name, CAST(NULL AS VARCHAR) AS partition_value FROM ({CATALOG_NODES})
+UNION ALL SELECT key, 'Stat', name, NULL FROM stats
+UNION ALL SELECT 'default://{CLUSTER}.' || schema || '/' || table_name || '/' || kind || '/', 'Watermark', kind, v FROM marks""",
 })

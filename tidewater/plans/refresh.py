@@ -3,7 +3,7 @@ documents -> expiry of stale relations.
 
 The heavy steps (watermarks and profiles read table data) each run once: their
 small results (one row per table / column) are cut from their lineage with a
-reliable checkpoint before the graph, the search documents and the writers reuse
+pinned table before the graph, the search documents and the writers reuse
 them; the published graph is cut the same way before its three consumers.
 """
 
@@ -25,10 +25,10 @@ from tidewater.operators.graph import (
     search_documents,
     watermark_records,
 )
-from tidewater.operators.profile import PROFILE_ROW_CAP, schema_profile
+from tidewater.operators.profile import schema_profile
 from tidewater.operators.watermark import DEFAULT_TS_COL, watermarks
-from tidewater.session import scratch_root
-from tidewater.sources.catalog import DEFAULT_CLUSTER, DEFAULT_DATABASE, table_metadata
+from tidewater.session import pinned
+from tidewater.sources.catalog import DEFAULT_CLUSTER, DEFAULT_DATABASE, schema_filter, table_metadata
 
 # Job tags the publishing steps used.
 BASE_TAG = "some_unique_tag"
@@ -48,11 +48,14 @@ def metadata_refresh(
     cluster: str = DEFAULT_CLUSTER,
     database: str = DEFAULT_DATABASE,
     graph: tuple[DataFrame, DataFrame] | None = None,
-    profile_rows: int | None = PROFILE_ROW_CAP,
+    profile_rows: int | None = None,
     expiry_days: int = DEFAULT_EXPIRY_DAYS,
     stale_types: Iterable[str] = STALE_RELATION_TYPES,
     max_pct: float = STALENESS_MAX_PCT,
     missing: str = "skip",
+    include: Iterable[str] | None = None,
+    profile_digits: int | None = None,
+    tags: tuple[str, str, str] = (BASE_TAG, WATERMARK_TAG, PROFILE_TAG),
 ) -> dict[str, DataFrame]:
     """Run W4 over ``zones`` and return the resulting frames.
 
@@ -61,20 +64,23 @@ def metadata_refresh(
     Keys: nodes, edges, watermarks, profiles, search_docs.
     """
     zones = list(zones)
-    scratch_root(spark)
     meta = table_metadata(spark, zones, cluster=cluster, database=database)
-    nodes, edges = publish(*metadata_graph(meta), BASE_TAG, now_ms, graph=graph)
+    if include is not None:  # the other zones' metadata is left out
+        meta = schema_filter(meta, include=list(include))
+        zones = [z for z in zones if z in set(include)]
+    nodes, edges = publish(*metadata_graph(meta), tags[0], now_ms, graph=graph)
 
-    wm = _union([watermarks(spark, z, ts_col, cluster=cluster, database=database, missing=missing)
-                 for z in zones]).checkpoint(eager=True)
-    nodes, edges = publish(*watermark_records(wm), WATERMARK_TAG, now_ms, graph=(nodes, edges))
+    wm = pinned(_union([watermarks(spark, z, ts_col, cluster=cluster, database=database, missing=missing)
+                        for z in zones]), "refresh-watermarks")
+    nodes, edges = publish(*watermark_records(wm), tags[1], now_ms, graph=(nodes, edges))
 
-    prof = _union([schema_profile(spark, z, n=profile_rows) for z in zones]).checkpoint(eager=True)
+    prof = pinned(_union([schema_profile(spark, z, n=profile_rows, digits=profile_digits) for z in zones]),
+                  "refresh-profiles")
     nodes, edges = publish(*profile_records(prof, database=database, cluster=cluster),
-                           PROFILE_TAG, now_ms, graph=(nodes, edges))
+                           tags[2], now_ms, graph=(nodes, edges))
 
     # the published graph feeds the documents, the guard and the expiry: cut it once
-    nodes, edges = nodes.checkpoint(eager=True), edges.checkpoint(eager=True)
+    nodes, edges = pinned(nodes, "refresh-nodes"), pinned(edges, "refresh-edges")
     docs = search_documents(nodes, edges)
     edges = expire_relations(edges, now_ms, expiry_days, stale_types, max_pct)
     return {"nodes": nodes, "edges": edges, "watermarks": wm, "profiles": prof, "search_docs": docs}

@@ -59,8 +59,11 @@ def _raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return taxi.raw_fix(standin(spark, sf_dir, name))
 
 
+GREEN_ERAS = ("g1", "g2", "g3")
+
+
 def _green_merged(spark, sf_dir):
-    return merge_eras(_raw(spark, sf_dir, "g1"), _raw(spark, sf_dir, "g2"))
+    return merge_eras(*[_raw(spark, sf_dir, era) for era in GREEN_ERAS])
 
 
 def _yellow_merged(spark, sf_dir):
@@ -72,15 +75,12 @@ def _yellow_merged(spark, sf_dir):
 
 
 def q_csv_scan_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S1 + P1: both green eras written as CSV files (real ``Trip_type `` header; the
-    second era has one more column), every file's header checked, the two header
-    groups read on their own and united by name."""
+    """S1 + P1: the green eras written as CSV folders (real ``Trip_type `` header; the second
+    era has one more column, the third another order), every file's header checked, the
+    header groups read on their own and united by name."""
     root = scratch_path(spark, "csv_green")
-    files = []
-    for era in ("g1", "g2"):
-        folder = write_standin_csv(spark, sf_dir, era, f"{root}/{era}")
-        files += spark.read.text(folder).inputFiles()
-    return taxi.raw_fix(scan_csv(spark, sorted(files), by_name=True))
+    folders = [write_standin_csv(spark, sf_dir, era, f"{root}/{era}") for era in GREEN_ERAS]
+    return taxi.raw_fix(scan_csv(spark, folders, by_name=True))
 
 
 def q_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,7 +147,7 @@ def q_year_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_merge_green_eras(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The green eras united by name (g1 has no improvement_surcharge)."""
+    """The three green eras united by name (g1 has no improvement_surcharge)."""
     return _green_merged(spark, sf_dir)
 
 
@@ -175,90 +175,107 @@ def q_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_partitioned_write(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean green written partitioned by (year, month), rows per partition read
-    back (the NULL-pickup rows land in the default partition and survive)."""
+    """Clean green written partitioned by (year, month) and read back whole (the
+    NULL-pickup rows land in the default partition and survive)."""
     zone = _unique("tw_clean")
     ensure_zone(spark, zone, scratch_path(spark, zone))
     name = table_name(zone, "green_clean")
     write_partitioned(taxi.clean_green(_green_merged(spark, sf_dir)), name)
-    return (scan_table(spark, zone, "green_clean")
-            .groupBy("pickup_year", "pickup_month")
-            .agg(F.count(F.lit(1)).alias("n_rows")))
+    return as_ntz(scan_table(spark, zone, "green_clean"))
 
 
 # ------------------------------------------------------------------ metadata side
 
 # Fixed values for the metadata queries: zone names, the tables each zone holds, the
 # time column per table, and a fixed "now" (2024-01-20T00:00:00Z) for expiry.
-CATALOG_ZONE = "tw_catalog"
-CATALOG_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
-                  "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 WATERMARK_ZONE = "tw_watermarks"
 WATERMARK_COLUMNS = {"orders": "o_orderdate", "lineitem": "l_shipdate", "events": "ts"}
 PROFILE_ZONE = "tw_profiles"
 PROFILE_TABLES = ("part", "customer", "region")
 EXPIRY_NOW_MS = 1705708800000
 CAP_ROWS_N = 5000
-
-
-_REGISTERED: dict[tuple[int, str, str], str] = {}
+# Sums of doubles depend on the order of addition in their last digits.
+REPORT_DIGITS = 10
 
 
 def external_zone(spark: SparkSession, zone: str, sf_dir: str, tables) -> str:
     """A zone whose tables are the driver's Parquet files, registered in place
-    (external tables: no copy; dropping them never touches the files).  A table
-    already registered at the same location in this session is left as it is."""
+    (external tables: no copy; dropping them never touches the files)."""
     ensure_zone(spark, zone, scratch_path(spark, zone))
     for t in tables:
         name = table_name(zone, t)
-        location = f"{sf_dir.rstrip('/')}/{t}.parquet"
-        memo = (id(spark), zone, t)
-        if _REGISTERED.get(memo) == location and spark.catalog.tableExists(name):
-            continue
+        location = f"{sf_dir.rstrip('/')}/{t}.parquet".replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{location}'")
-        _REGISTERED[memo] = location
     return zone
 
 
-def _catalog_graph(spark, sf_dir):
-    from tidewater.operators.graph import metadata_graph
-    from tidewater.sources.catalog import table_metadata
+# The zones of the metadata refresh and what the raw and clean ones hold.
+REFRESH_RAW, REFRESH_CLEAN, REFRESH_OTHER = "tw_refresh_raw", "tw_refresh_clean", "tw_refresh_other"
+
+
+def refresh_zones(spark: SparkSession, sf_dir: str) -> list[str]:
+    """A raw zone (the first green era, all text), a clean zone (all green eras, typed and laid out
+    by month) and a zone that the metadata filter leaves out."""
+    for zone in (REFRESH_RAW, REFRESH_CLEAN, REFRESH_OTHER):
+        ensure_zone(spark, zone, scratch_path(spark, zone))
+    write_replace(_raw(spark, sf_dir, "g1"), table_name(REFRESH_RAW, "green_taxi_pre2015"))
+    write_partitioned(taxi.clean_green(_green_merged(spark, sf_dir)), table_name(REFRESH_CLEAN, "green_clean"))
+    write_replace(read_table(spark, sf_dir, "nation"), table_name(REFRESH_OTHER, "nation"))
+    return [REFRESH_RAW, REFRESH_CLEAN]
+
 
-    external_zone(spark, CATALOG_ZONE, sf_dir, CATALOG_TABLES)
-    return metadata_graph(table_metadata(spark, [CATALOG_ZONE]))
+def refreshed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """W4 over these zones, published into an old graph of the events' relations."""
+    from tidewater.operators.graph import NODE_SCHEMA
+    from tidewater.plans.refresh import metadata_refresh
+
+    zones = refresh_zones(spark, sf_dir)
+    old = (spark.createDataFrame([], NODE_SCHEMA), _event_edges(spark, sf_dir))
+    return metadata_refresh(spark, [*zones, REFRESH_OTHER], EXPIRY_NOW_MS, graph=old, include=zones,
+                            profile_digits=REPORT_DIGITS)
 
 
 def q_list_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S8 over the refreshed zones, with the rows that each listed table has."""
     from tidewater.sources.catalog import list_tables
 
-    external_zone(spark, CATALOG_ZONE, sf_dir, CATALOG_TABLES)
-    return list_tables(spark, CATALOG_ZONE)
+    zones = refresh_zones(spark, sf_dir)
+    listed, counts = [list_tables(spark, z) for z in zones], []
+    for z, table in ((REFRESH_RAW, "green_taxi_pre2015"), (REFRESH_CLEAN, "green_clean")):
+        counts.append(scan_table(spark, z, table).agg(F.count(F.lit(1)).alias("n_rows"))
+                      .select(F.lit(z).alias("database"), F.lit(table).alias("tableName"), "n_rows"))
+    return listed[0].unionByName(listed[1]).join(counts[0].unionByName(counts[1]), ["database", "tableName"], "left")
 
 
 def q_table_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S9 and F1 over three zones, one of which the filter drops."""
     from tidewater.sources.catalog import schema_filter, table_metadata
 
-    external_zone(spark, CATALOG_ZONE, sf_dir, CATALOG_TABLES)
-    meta = table_metadata(spark, [CATALOG_ZONE], exclude=["default"])
-    return schema_filter(meta, include=[CATALOG_ZONE])
+    zones = refresh_zones(spark, sf_dir)
+    meta = table_metadata(spark, [*zones, REFRESH_OTHER])
+    return schema_filter(meta, include=zones).select("schema", "table_name", "column_name", "column_type",
+                                                     "sort_order", "is_partition")
 
 
 def q_metadata_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nodes, _ = _catalog_graph(spark, sf_dir)
+    from tidewater.operators.graph import metadata_graph
+    from tidewater.sources.catalog import table_metadata
+
+    nodes, _ = metadata_graph(table_metadata(spark, refresh_zones(spark, sf_dir)))
     return nodes.select("key", "label", "name", F.col("attrs")["type"].alias("column_type"),
                         F.col("attrs")["sort_order"].cast("int").alias("sort_order"))
 
 
 def q_metadata_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, edges = _catalog_graph(spark, sf_dir)
-    return edges
+    """W4's published relations: those of the metadata, the watermarks and the profile
+    statistics, and the old ones that did not expire."""
+    return refreshed(spark, sf_dir)["edges"].select(
+        "start_key", "start_label", "end_key", "end_label", "type", "reverse_type", "publish_tag", "last_updated")
 
 
 def q_search_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidewater.operators.graph import search_documents
-
-    docs = search_documents(*_catalog_graph(spark, sf_dir))
+    docs = refreshed(spark, sf_dir)["search_docs"]
     return docs.select("key", "database", "cluster", "schema", "name", "description",
                        F.array_join("column_names", ",").alias("column_names"), "column_count")
 
@@ -296,8 +313,7 @@ CLEAN_WM_ZONE = "tw_clean_wm"
 
 
 def q_partitioned_watermarks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A3 over a clean zone laid out by (year, month): only the first and the last
-    partition of the table are read."""
+    """A3 over a clean zone laid out by (year, month)."""
     from tidewater.operators.watermark import watermarks
 
     ensure_zone(spark, CLEAN_WM_ZONE, scratch_path(spark, CLEAN_WM_ZONE))
@@ -309,14 +325,14 @@ def q_column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A4 over the whole lineitem table (no cap)."""
     from tidewater.operators.profile import column_profile
 
-    return column_profile(read_table(spark, sf_dir, "lineitem"), n=None)
+    return column_profile(read_table(spark, sf_dir, "lineitem"), digits=REPORT_DIGITS)
 
 
 def q_schema_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewater.operators.profile import schema_profile
 
     external_zone(spark, PROFILE_ZONE, sf_dir, PROFILE_TABLES)
-    return schema_profile(spark, PROFILE_ZONE, n=None)
+    return schema_profile(spark, PROFILE_ZONE, digits=REPORT_DIGITS)
 
 
 def q_cap_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -405,22 +421,23 @@ def q_ensure_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_write_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Graph node files written by label, read back."""
-    from tidewater.sources.files import write_graph
+    """W4's graph as node files by label and relationship files by type, read back."""
+    from tidewater.sources.files import read_graph, write_graph
 
-    nodes, edges = _catalog_graph(spark, sf_dir)
+    out = refreshed(spark, sf_dir)
     path = scratch_path(spark, "graph")
-    write_graph(nodes, edges, path)
-    back = spark.read.option("header", True).csv(f"{path}/nodes")
-    return back.select("key", "label", "name")
+    write_graph(out["nodes"], out["edges"], path)
+    nodes = read_graph(spark, path, "nodes").select("key", F.col("label").alias("kind"), F.col("name").alias("other"))
+    edges = read_graph(spark, path, "relationships").select(F.col("start_key").alias("key"), F.col("type").alias("kind"),
+                                                            F.col("end_key").alias("other"))
+    return nodes.unionByName(edges)
 
 
 def q_write_search_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidewater.operators.graph import search_documents
     from tidewater.sources.files import write_search_docs
 
     path = scratch_path(spark, "search")
-    write_search_docs(search_documents(*_catalog_graph(spark, sf_dir)), path)
+    write_search_docs(refreshed(spark, sf_dir)["search_docs"], path)
     back = spark.read.json(path)
     return back.select("key", "name", F.array_join("column_names", ",").alias("column_names"),
                        F.col("column_count").cast("int").alias("column_count"))
@@ -431,19 +448,16 @@ def q_write_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewater.sources.files import write_profile
 
     path = scratch_path(spark, "profile")
-    write_profile(column_profile(read_table(spark, sf_dir, "part"), n=None), path)
+    write_profile(column_profile(read_table(spark, sf_dir, "part"), digits=REPORT_DIGITS), path)
     back = spark.read.json(path)
     return back.select("column_name", F.col("count").cast("long").alias("count"),
                        F.col("n_distinct").cast("long").alias("n_distinct"), F.col("mean").cast("double").alias("mean"))
 
 
 def q_metadata_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """W4 end to end over the profile zone: the published nodes (key, label, name)."""
-    from tidewater.plans.refresh import metadata_refresh
-
-    external_zone(spark, PROFILE_ZONE, sf_dir, PROFILE_TABLES)
-    out = metadata_refresh(spark, [PROFILE_ZONE], EXPIRY_NOW_MS, profile_rows=None, missing="skip")
-    return out["nodes"].select("key", "label", "name")
+    """W4 end to end: the published nodes (key, label, name) and, for watermarks, the value."""
+    return refreshed(spark, sf_dir)["nodes"].select(
+        "key", "label", "name", F.col("attrs")["partition_value"].alias("partition_value"))
 
 
 def write_standin_csv(spark: SparkSession, sf_dir: str, name: str, path: str) -> str:
@@ -458,13 +472,12 @@ def q_taxi_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw tables (U2) -> clean zone (partitioned) -> processed zone (U1, partitioned)."""
     root = scratch_path(spark, "taxi_load")
     raw, clean, proc = _unique("tw_raw"), _unique("tw_clean"), _unique("tw_processed")
-    eras = {"g1": "green_taxi_2015_h1", "g2": "green_taxi_2015_h2_2016_h1",
+    eras = {"g1": "green_taxi_pre2015", "g2": "green_taxi_2015_h1", "g3": "green_taxi_2015_h2_2016_h1",
             "y1": "yellow_taxi_pre2015", "y2": "yellow_taxi_2015_2016_h1"}
     for era, table in eras.items():
         folder = write_standin_csv(spark, sf_dir, era, f"{root}/landing/{era}")
-        files = spark.read.text(folder).inputFiles()  # each part file has the header line
-        taxi.ingest_raw(spark, files, raw, table, location=f"{root}/raw")
-    taxi.load_green(spark, raw, [eras["g1"], eras["g2"]], clean, clean_location=f"{root}/clean")
+        taxi.ingest_raw(spark, [folder], raw, table, location=f"{root}/raw")
+    taxi.load_green(spark, raw, [eras[era] for era in GREEN_ERAS], clean, clean_location=f"{root}/clean")
     taxi.load_yellow(spark, raw, [eras["y1"], eras["y2"]], clean, clean_location=f"{root}/clean")
     taxi.load_processed(spark, clean, proc, location=f"{root}/processed")
     return as_ntz(scan_table(spark, proc, "nyc_taxi_dataset"))
@@ -480,7 +493,7 @@ def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     root = scratch_path(spark, "stream_green")
     frames = []
-    for era in ("g1", "g2"):
+    for era in GREEN_ERAS:
         folder = write_standin_csv(spark, sf_dir, era, f"{root}/landing/{era}")
         header = read_header(spark, folder)
         target, ckpt = f"{root}/raw/{era}", f"{root}/checkpoints/{era}"

@@ -41,7 +41,23 @@ G2 = """SELECT CAST(l_suppkey % 2 + 1 AS STRING) AS VendorID,
        CAST(l_discount AS STRING) AS improvement_surcharge,
        CAST(l_extendedprice AS STRING) AS Total_amount, CAST(l_linenumber AS STRING) AS Payment_type,
        CAST(l_linenumber % 2 + 1 AS STRING) AS Trip_type_
-FROM lineitem WHERE l_shipdate >= TIMESTAMP '1997-01-01 00:00:00'"""
+FROM lineitem WHERE l_shipdate >= TIMESTAMP '1997-01-01 00:00:00' AND l_shipdate < TIMESTAMP '1998-01-01 00:00:00'"""
+
+# the third era holds the second one's columns in another order
+G3 = """SELECT CAST(l_linenumber % 2 + 1 AS STRING) AS Trip_type_,
+       CAST(l_shipdate AS STRING) AS lpep_pickup_datetime,
+       CAST(l_shipdate + INTERVAL 1 DAY AS STRING) AS Lpep_dropoff_datetime,
+       CAST(l_suppkey % 2 + 1 AS STRING) AS VendorID,
+       CAST(l_linenumber AS STRING) AS Payment_type, CAST(l_extendedprice AS STRING) AS Total_amount,
+       CAST(l_tax AS STRING) AS improvement_surcharge, CAST(NULL AS STRING) AS Ehail_fee,
+       CAST(l_discount AS STRING) AS Tolls_amount, CAST(l_discount AS STRING) AS Tip_amount,
+       CAST(l_tax AS STRING) AS MTA_tax, CAST(l_tax AS STRING) AS Extra,
+       CAST(l_extendedprice AS STRING) AS Fare_amount, CAST(l_quantity AS STRING) AS Trip_distance,
+       CAST(l_linenumber AS STRING) AS Passenger_count, CAST(l_tax AS STRING) AS Dropoff_latitude,
+       CAST(l_discount AS STRING) AS Dropoff_longitude, CAST(l_discount AS STRING) AS Pickup_latitude,
+       CAST(l_tax AS STRING) AS Pickup_longitude, CAST(l_linenumber AS STRING) AS RateCodeID,
+       l_returnflag AS Store_and_fwd_flag
+FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-01-01 00:00:00'"""
 
 Y1 = """SELECT CAST(o_custkey % 2 + 1 AS STRING) AS vendor_id,
        CAST(o_orderdate AS STRING) AS pickup_datetime,
@@ -64,8 +80,8 @@ Y2 = """SELECT CAST(o_custkey % 2 + 1 AS STRING) AS VendorID,
        CAST(o_totalprice AS STRING) AS total_amount
 FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01 00:00:00'"""
 
-STANDINS = {"g1": G1, "g2": G2, "y1": Y1, "y2": Y2}
-SOURCE_TABLE = {"g1": "lineitem", "g2": "lineitem", "y1": "orders", "y2": "orders"}
+STANDINS = {"g1": G1, "g2": G2, "g3": G3, "y1": Y1, "y2": Y2}
+SOURCE_TABLE = {"g1": "lineitem", "g2": "lineitem", "g3": "lineitem", "y1": "orders", "y2": "orders"}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

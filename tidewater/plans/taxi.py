@@ -134,14 +134,15 @@ def ingest_raw(spark: SparkSession, paths: Sequence[str], zone: str, table: str,
 
 def merge_raw(spark: SparkSession, zone: str, eras: Sequence[str], target: str,
               renames: Mapping[int, Mapping[str, str]] | None = None) -> None:
-    """U2 + S4: merge era tables of a zone into one table with a single union write."""
+    """U2 + S4: merge era tables of a zone into one table with a single union write; a
+    merged table of other columns is not overwritten."""
     frames = []
     for i, era in enumerate(eras):
         df = scan_table(spark, zone, era)
         if renames and i in renames:
             df = rename_if_present(df, renames[i])
         frames.append(df)
-    write_replace(merge_eras(*frames), table_name(zone, target))
+    write_overwrite(merge_eras(*frames), table_name(zone, target))
 
 
 def load_green(spark: SparkSession, raw_zone: str, eras: Sequence[str], clean_zone: str,
@@ -179,5 +180,5 @@ def load_processed(spark: SparkSession, clean_zone: str, processed_zone: str,
 
 __all__ = [
     "GREEN_CLEAN_SPEC", "raw_fix", "clean_green", "clean_yellow", "processed", "ingest_raw",
-    "merge_raw", "load_green", "load_yellow", "load_processed", "write_overwrite",
+    "merge_raw", "load_green", "load_yellow", "load_processed",
 ]

@@ -16,13 +16,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidewater.functions.columns import INGEST_RENAMES, rename_if_present
 from tidewater.sources.files import string_schema
-from tidewater.session import scratch_path
 
 
 def csv_stream(spark: SparkSession, folder: str, header: Sequence[str],
                max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming frame over the CSVs of one header era, every column text."""
-    reader = spark.readStream.schema(string_schema(header)).option("header", True)
+    """Streaming frame over the CSVs of one header era, every column text.  Each file's own
+    header is checked against ``header`` when it is read: a differing one fails the batch."""
+    reader = spark.readStream.schema(string_schema(header)).options(header=True, enforceSchema=False)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.csv(folder)
@@ -33,18 +33,18 @@ def ingest_new_files(
     folder: str,
     header: Sequence[str],
     target: str,
-    checkpoint: str | None = None,
+    checkpoint: str,
     partition_by: Sequence[str] = (),
 ) -> StreamingQuery:
     """Append the rows of CSVs not ingested before to Parquet at ``target``.
 
     Returns the started query (``availableNow``: it ends once the backlog is done);
-    call ``awaitTermination()`` to wait.  The checkpoint defaults to a folder under
-    the shared ``spark.checkpoint.dir``; pass a stable one to resume across runs.
+    call ``awaitTermination()`` to wait.  ``checkpoint`` is a stable folder on shared
+    storage that belongs to ``target``: it remembers which files were taken.
     """
     stream = rename_if_present(csv_stream(spark, folder, header), INGEST_RENAMES)
     w = (stream.writeStream.format("parquet")
-         .option("checkpointLocation", checkpoint or scratch_path(spark, "ingest-ckpt"))
+         .option("checkpointLocation", checkpoint)
          .outputMode("append")
          .trigger(availableNow=True))
     if partition_by:
