@@ -34,7 +34,7 @@ from tidewater.llm.common import need, ship_by_value
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
-HEAD, HEAD_CHARS = 1 << 17, 64
+HEAD, HEAD_CHARS = 1 << 18, 64
 SLICE = 8 << 20
 LIMIT = 4096
 PRETOKEN = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
