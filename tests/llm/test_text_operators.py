@@ -135,11 +135,12 @@ def test_shards_of_documents_and_of_messy_rows(spark, store, docs):
     assert shards.minimax_shards(spark, brute.empty(spark), store).count() == 0
 
 
-def test_slots_are_numbered_in_parts(spark, store, docs, monkeypatch):
+def test_copies_of_one_text_are_numbered_in_parts(spark, store):
     from tidewater.llm import shards
 
-    monkeypatch.setattr(shards, "NUMBERED", 1)
-    check_shards(shards.minimax_shards(spark, docs, store, keep_text=True).collect(), docs)
+    df = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 1500, F.lit("copy")).otherwise(
+        F.concat(F.lit("text "), F.col("id"))).alias("text"))
+    check_shards(shards.minimax_shards(spark, df, store, keep_text=True).collect(), df)
 
 
 # --- SimHash -------------------------------------------------------------------------------------
@@ -290,12 +291,9 @@ def test_mix_meets_targets(spark, store, docs):
     assert mix(brute.empty(spark), store).count() == 0
 
 
-def test_mix_of_parts_and_of_whole_copies(spark, store, docs, monkeypatch):
+def test_mix_of_whole_copies(spark, store, docs):
     from tidewater.llm import mixing
 
-    monkeypatch.setattr(mixing, "NUMBERED", 3)  # many parts of each source
-    data = [tuple(r) for r in docs.select("doc_id", "text", "source").collect()]
-    check_mix(mixing.mix(docs, store).collect(), data)
     for r in mixing.mix(docs, store, whole=True).collect():
         assert all(c["words"] == r["size"] for c in r["copies"])
 

@@ -23,6 +23,7 @@ an empty table gives an empty mix.
 from __future__ import annotations
 
 from collections.abc import Callable
+from math import isqrt
 
 import numpy as np
 import pandas as pd
@@ -35,9 +36,6 @@ WEIGHTS, SHARE, CAP = (3, 1, 2), 1.5, 2
 SHARDS, BLOCK_WORDS, SEED = 16, 4096, 20240917
 #: Blocks of a mix at most: larger mixes get larger blocks (numpy's draws need counts below 1e9).
 MAX_BLOCKS = 1 << 28
-#: Documents of one numbering task.
-NUMBERED = 20_000
-
 ship_by_value(__name__)
 
 
@@ -143,7 +141,7 @@ def mix(df: DataFrame, store: Callable[[DataFrame], DataFrame], text: str = "tex
                        block_words, seed)
     df = df.drop(*[c for c in df.columns if c.lower() in made])
     src, no_src, part, turn, size, at = fresh(df, "src", "no_src", "part", "turn", "size", "at")
-    n_parts = max(1, rows // NUMBERED)
+    n_parts = isqrt(rows) + 1  # as many parts of a source as rows in a part, at any size
     placed = df.select(*columns, *[c for c in (id_col, source) if c not in columns],
                        F.coalesce(F.col(source).cast("string"), F.lit("")).alias(src), F.col(source).isNull().alias(no_src),
                        word_count(F.col(text)).alias(size), F.xxhash64(F.lit(seed), F.col(id_col)).alias(turn))

@@ -22,6 +22,7 @@ any other; an empty table gives an empty table.
 from __future__ import annotations
 
 from bisect import bisect_right
+from math import isqrt
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -32,8 +33,6 @@ N_SHARDS = 40
 ROW_BYTES = 16
 #: Hash ranges of the first prefix table, and the parts a range is split into.
 RANGES, SPLIT = 1 << 14, 64
-#: Rows of one numbering task.
-NUMBERED = 20_000
 LOW, HIGH = -(1 << 63), (1 << 63) - 1
 
 
@@ -154,7 +153,7 @@ def shard_rows(spark: SparkSession, df: DataFrame, cuts: list[int], rows: int, s
     numbered inside (shard, part) with parts dealt by the id's hash, so that a hot shard or
     text is numbered by many tasks, and shifted by the rows of the earlier parts."""
     part, shard, slot = fresh(df, "part", "shard", "slot")
-    n_parts = max(1, rows // (shards * NUMBERED) + 1)
+    n_parts = isqrt(rows // shards) + 1  # as many parts of a shard as rows in a part, at any size
     edges = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<bigint>")
     placed = df.withColumns({
         shard: F.size(F.filter(edges, lambda x: x <= F.col(hash_col))).cast("int"),
