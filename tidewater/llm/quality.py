@@ -31,7 +31,7 @@ SYMBOLS = "#*$%&|<>"
 FENCE_IQR, MIN_GROUP = 6, 100
 #: Least inter-quartile range of each signal (per mille, or hundredths of a character): a group
 #: of documents that are all alike must not reject one that differs a little.
-SIGNALS = {"symbols_pm": 10, "dup_lines_pm": 40, "repeat_pm": 40, "word_len": 30}
+SIGNALS = {"symbols_pm": 10, "dup_lines_pm": 100, "repeat_pm": 80, "word_len": 30}
 #: Signals with a lower fence too.
 TWO_SIDED = ("word_len",)
 

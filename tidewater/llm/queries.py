@@ -167,8 +167,8 @@ WITH d AS (
   LEFT JOIN v a ON a.no_lang = 1 AND a.signal = o.signal
   WHERE o.no_source = 0
 ), f AS (
-  SELECT lang, source, signal, q1 - 6 * greatest(q3 - q1, [10, 40, 40, 30][signal]) AS lo,
-         q3 + 6 * greatest(q3 - q1, [10, 40, 40, 30][signal]) AS hi
+  SELECT lang, source, signal, q1 - 6 * greatest(q3 - q1, [10, 100, 80, 30][signal]) AS lo,
+         q3 + 6 * greatest(q3 - q1, [10, 100, 80, 30][signal]) AS hi
   FROM p
 ), bad AS (
   SELECT DISTINCT rid FROM (SELECT rid, lang, source, i AS signal, sig[i] AS v
