@@ -64,6 +64,22 @@ def test_a_failed_write_leaves_the_old_table(spark, tmp):
     assert len([d for d in os.listdir(f"{tmp}/it's safe") if d.startswith("x")]) == 1  # older versions are gone
 
 
+def test_append_to_a_table_adds_columns(spark, tmp):
+    from tidewater.sources.tables import append_table, write_partitioned
+
+    ensure_zone(spark, "t_append", f"{tmp}/append")
+    write_replace(spark.createDataFrame([("1", "x")], "vendor_id string, Surcharge string"), "t_append.a")
+    append_table(spark.createDataFrame([("0.3", "y", 5)], "`new col` string, surcharge string, n int"), "t_append.a")
+    got = sorted((tuple(r) for r in scan_table(spark, "t_append", "a").collect()), key=str)
+    assert scan_table(spark, "t_append", "a").columns == ["vendor_id", "Surcharge", "new col", "n"]
+    assert got == [("1", "x", None, None), (None, "y", "0.3", 5)]
+    with pytest.raises(ValueError, match="types"):
+        append_table(spark.createDataFrame([(1,)], "vendor_id int"), "t_append.a")
+    write_partitioned(spark.createDataFrame([(1, 2015, 1)], "v int, pickup_year int, pickup_month int"), "t_append.p")
+    append_table(spark.createDataFrame([(2, 2016, 2, "w")], "v int, pickup_year int, pickup_month int, extra string"), "t_append.p")
+    assert sorted((r.v, r.extra, r.pickup_year) for r in scan_table(spark, "t_append", "p").collect()) == [(1, None, 2015), (2, "w", 2016)]
+
+
 def test_append_raises_what_is_not_a_missing_folder(spark, tmp):
     import os
 

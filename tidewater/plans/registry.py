@@ -28,8 +28,9 @@ from tidewater.operators.merge import merge_eras
 from tidewater.plans import taxi
 from tidewater.plans.standins import read_table, standin
 from tidewater.session import scratch_path
-from tidewater.sources.files import append_evolve, read_evolved, scan_csv
+from tidewater.sources.files import scan_csv
 from tidewater.sources.tables import (
+    append_table,
     ensure_zone,
     scan_table,
     table_name,
@@ -152,12 +153,14 @@ def q_merge_green_eras(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_append_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """y1 written, then renamed y2 appended with its new columns."""
-    path = scratch_path(spark, "yellow_merged")
-    y1 = _raw(spark, sf_dir, "y1")
-    append_evolve(y1, path)
-    append_evolve(rename_if_present(_raw(spark, sf_dir, "y2"), YELLOW_LATE_RENAMES), path)
-    return read_evolved(spark, path, order=y1.columns)
+    """The early yellow era written as a table, the renamed late one appended to it with its
+    new columns."""
+    zone = _unique("tw_yellow")
+    ensure_zone(spark, zone, scratch_path(spark, zone))
+    name = table_name(zone, "yellow_merged")
+    write_replace(_raw(spark, sf_dir, "y1"), name)
+    append_table(rename_if_present(_raw(spark, sf_dir, "y2"), YELLOW_LATE_RENAMES), name)
+    return scan_table(spark, zone, "yellow_merged")
 
 
 def q_clean_green(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewater.functions.columns import quote
 
@@ -125,3 +126,19 @@ def write_partitioned_path(
     """S6 for a bare folder instead of a catalog table."""
     out = rebalanced(df, cols) if rebalance else df
     out.write.mode("overwrite").partitionBy(*cols).parquet(path)
+
+
+def append_table(df: DataFrame, name: str) -> None:
+    """S5 for a catalog table: append by column name.  Columns that the table lacks are added
+    to it (NULL in its old rows); columns that ``df`` lacks are NULL in the new rows; a
+    column of another type than the table's raises."""
+    spark = df.sparkSession
+    old = {f.name.lower(): f for f in spark.table(name).schema.fields}
+    new = {f.name.lower(): f for f in df.schema.fields}
+    if changed := [c for c in new if c in old and new[c].dataType != old[c].dataType]:
+        raise ValueError(f"{name}: other types in {changed}")
+    if added := [f for c, f in new.items() if c not in old]:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'{quote(f.name)} {f.dataType.simpleString()}' for f in added)})")
+    target = spark.table(name).schema.fields
+    df.select(*[F.col(quote(new[f.name.lower()].name)).alias(f.name) if f.name.lower() in new
+                else F.lit(None).cast(f.dataType).alias(f.name) for f in target]).write.insertInto(name)
