@@ -148,10 +148,6 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC_TYPES)]
 
 
-def select_numeric(df: DataFrame) -> DataFrame:
-    return df.select(*[col_of(c) for c in numeric_columns(df)])
-
-
 def surcharge_fold(df: DataFrame, policy: str = "replace") -> Column:
     """The value ``improvement_surcharge`` takes in the clean yellow table.
 

@@ -5,9 +5,8 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tidewater.functions.columns import col_of
+from tidewater.functions.columns import col_of, tag_source
 
 
 def align_case(df: DataFrame, reference_names: list[str]) -> DataFrame:
@@ -44,7 +43,7 @@ def union_sources(green: DataFrame, yellow: DataFrame, tag_yellow: bool = False)
     """
     yellow = align_case(yellow, green.columns)
     if tag_yellow:
-        yellow = yellow.withColumn("data_source", F.lit("yellow"))
+        yellow = tag_source(yellow, "yellow")
     g_types = dict(green.dtypes)
     y_types = dict(yellow.dtypes)
     clash = [c for c in g_types if c in y_types and g_types[c] != y_types[c]]

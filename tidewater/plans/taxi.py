@@ -18,6 +18,8 @@ from tidewater.functions.columns import (
     INGEST_RENAMES,
     YELLOW_LATE_RENAMES,
     Spec,
+    copy_column,
+    drop_columns,
     find_column,
     project,
     rename_if_present,
@@ -108,13 +110,10 @@ def clean_yellow(merged: DataFrame, surcharge: str = "replace") -> DataFrame:
     for c in YELLOW_FLOAT_COLUMNS:
         if find_column(base, c):
             updates[c] = to_float_lenient(resolve(base, c))
-    updates["rate_code_id"] = resolve(base, "rate_code")
     updates["improvement_surcharge"] = surcharge_fold(base, surcharge)
     updates["pickup_year"] = F.year(pickup)
     updates["pickup_month"] = F.month(pickup)
-    out = base.withColumns(updates)
-    sur = find_column(out, "surcharge")
-    return out.drop(sur) if sur else out
+    return drop_columns(copy_column(base, "rate_code", "rate_code_id").withColumns(updates), "surcharge")
 
 
 def processed(green_clean: DataFrame, yellow_clean: DataFrame, tag_yellow: bool = False) -> DataFrame:
