@@ -461,6 +461,20 @@ def test_site_templates_go_but_copies_stay(spark, store):
     assert extract_main_text(df.limit(0), store).count() == 0
 
 
+def test_near_copies_that_fill_a_host_keep_their_text(spark, store):
+    from tidewater.llm.html_text import extract_main_text
+
+    body = "".join(f"<p>paragraph {k} of the article that all copies share</p>" for k in range(6))
+    data = [(i, "http://copies.example/", f"<body><article><h1>Title {i}</h1>{body}<p>Like what you read? Call us</p></article></body>")
+            for i in range(30)]
+    data += [(100 + i, "http://site.example/", f"<body><article><h1>Title {i}</h1><p>{'own words ' + str(i)} {'text ' * 20}</p>"
+                                               "<p>Call us now</p></article></body>") for i in range(30)]
+    out = {r["page_id"]: r["text"] for r in extract_main_text(
+        spark.createDataFrame(data, "page_id long, url string, html string"), store).collect()}
+    assert all(out[i].count("\n") == 7 for i in range(30))  # a near copy loses nothing
+    assert all("Call us" not in out[100 + i] and f"own words {i}" in out[100 + i] for i in range(30))
+
+
 # --- WARC ----------------------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("zip64,package_bytes", [(False, 1 << 25), (True, 200)])

@@ -4,7 +4,8 @@ Every page is parsed into an element tree and the subtrees of its block elements
 hashed.  Spark counts, for each host, on how many pages of different articles a
 subtree occurs; those on at least ``min_pages`` and half the host's articles are the site's
 template and are deleted wherever they occur.  Pages with one title count as one article,
-so copies of a page don't turn its paragraphs into a template.  What a page marks as not
+so copies of a page don't turn its paragraphs into a template, and a page that would lose
+most of its text keeps it all (it is a near copy of others).  What a page marks as not
 its article (navigation, page header and footer, sidebar, forms, adverts, notices, comments,
 scripts, styles, hidden parts) goes by its mark-up, since such parts often differ from page to
 page; if there is an article or main element, only its content counts.
@@ -33,6 +34,8 @@ from pyspark.sql import types as T
 from tidewater.llm.common import need, ship_by_value
 
 MIN_PAGES, MIN_SHARE = 8, 0.5
+#: The largest share of the text that mark-up leaves, inside articles and without any, that can be template.
+MOST_OF_ARTICLE, MOST_OF_PAGE = 0.3, 0.7
 
 ship_by_value(__name__)
 
@@ -70,10 +73,10 @@ DEPTH = 512
 class Element:
     """inside: an article; comments: of readers; unseen: in something that's dropped."""
 
-    __slots__ = ("tag", "parts", "drop", "inside", "comments", "unseen", "digest")
+    __slots__ = ("tag", "parts", "drop", "inside", "comments", "unseen", "digest", "articles")
 
     def __init__(self, tag: str, drop: bool, parent: Element | None = None, comments: bool = False) -> None:
-        self.tag, self.drop, self.digest = tag, drop, 0
+        self.tag, self.drop, self.digest, self.articles = tag, drop, 0, False
         self.inside = tag in ("article", "main") or parent is not None and parent.inside
         self.comments = comments or parent is not None and parent.comments
         self.unseen = drop or parent is not None and parent.unseen
@@ -224,6 +227,7 @@ def blocks(root: Element, template: frozenset[int] | set[int] = frozenset()) ->
                 in_article[0] = inside
             todo.extend((p, inside) for p in reversed(x.parts))
     flush()
+    root.articles = any_article
     return [t for a, t in found if a or not any_article]
 
 
@@ -272,9 +276,15 @@ def page_subtrees(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def main_text(html: str | None, template: set[int] | frozenset[int] = frozenset()) -> str:
     root = parse(html or "")
-    if template:
-        hash_subtrees(root, {})
-    return "\n".join(blocks(root, template))
+    whole = blocks(root)
+    if not template:
+        return "\n".join(whole)
+    hash_subtrees(root, {})
+    kept = blocks(root, template)
+    # a template isn't most of a page: what would lose more than that is a near copy of
+    # an article that fills its host
+    most = MOST_OF_ARTICLE if root.articles else MOST_OF_PAGE
+    return "\n".join(kept if sum(map(len, kept)) >= (1 - most) * sum(map(len, whole)) else whole)
 
 
 @F.pandas_udf(T.StringType())
@@ -288,15 +298,16 @@ def host_of(url):
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), "^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
-def site_templates(pages: DataFrame, url: str, html: str, min_pages: int = MIN_PAGES,
-                   min_share: float = MIN_SHARE) -> DataFrame:
+def site_templates(pages: DataFrame, store: Callable[[DataFrame], DataFrame], url: str, html: str,
+                   min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """(host, template): the hashes of the subtrees on ``min_pages`` and ``min_share`` of the
     host's articles."""
     found = (pages.select(host_of(F.col(url)).alias("host"), F.col(html).alias("html"))
              .mapInPandas(page_subtrees, "host string, subtree long, article long"))
     counts = found.distinct().groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n"))
+    counts = store(counts.filter((F.col("n") >= min_pages) | F.col("subtree").isNull()))  # two readers, one parse
     total = counts.filter("subtree IS NULL").select(F.col("host").alias("t_host"), F.col("n").alias("articles"))
-    often = counts.filter((F.col("n") >= min_pages) & F.col("subtree").isNotNull())
+    often = counts.filter(F.col("subtree").isNotNull())
     return (often.join(total, often["host"] == total["t_host"]).filter(F.col("n") >= F.col("articles") * min_share)
             .groupBy("host").agg(F.array_sort(F.collect_list("subtree")).alias("template")))
 
@@ -307,7 +318,7 @@ def extract_main_text(pages: DataFrame, store: Callable[[DataFrame], DataFrame],
     """``pages`` without the html, with the main text as ``out`` (an earlier column of that name
     gives way)."""
     need(pages, url, html)
-    templates = store(site_templates(pages, url, html, min_pages, min_share))  # small files: broadcast by their size
+    templates = store(site_templates(pages, store, url, html, min_pages, min_share))  # small files: broadcast by their size
     columns = [c for c in pages.columns if c.lower() not in (html.lower(), out.lower())]
     t = templates.select(F.col("host").alias("t_host_"), F.col("template").alias("template_"))
     return (pages.join(t, host_of(F.col(url)) == F.col("t_host_"), "left")
