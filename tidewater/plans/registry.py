@@ -278,7 +278,11 @@ def q_metadata_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_search_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = refreshed(spark, sf_dir)["search_docs"]
+    """M4 over the metadata graph of the refreshed zones."""
+    from tidewater.operators.graph import metadata_graph, search_documents
+    from tidewater.sources.catalog import table_metadata
+
+    docs = search_documents(*metadata_graph(table_metadata(spark, refresh_zones(spark, sf_dir))))
     return docs.select("key", "database", "cluster", "schema", "name", "description",
                        F.array_join("column_names", ",").alias("column_names"), "column_count")
 
