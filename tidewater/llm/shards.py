@@ -32,7 +32,7 @@ from tidewater.llm.common import fresh, need
 N_SHARDS = 40
 ROW_BYTES = 16
 #: Hash ranges of the first prefix table, and the parts a range is split into.
-RANGES, SPLIT = 1 << 14, 64
+RANGES, SPLIT = 1 << 12, 64
 LOW, HIGH = -(1 << 63), (1 << 63) - 1
 
 
@@ -125,7 +125,7 @@ def minimax_cuts(groups: DataFrame, shards: int = N_SHARDS, ranges: int = RANGES
 
     def refine(los: set[int]) -> None:
         spans = sorted((r[0], r[1]) for r in table.rows if r[0] in los)
-        for i in range(0, len(spans), 256):  # bounded expressions and results
+        for i in range(0, len(spans), 128):  # bounded expressions and results
             some = spans[i: i + 256]
             table.put(hash_ranges(groups, some, split), {a for a, _ in some})
 
