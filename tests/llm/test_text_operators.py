@@ -105,6 +105,19 @@ def test_minimax_capacity_is_the_smallest(spark, n, ranges, split):
     assert max(held.values()) == capacity and len(held) <= 12
 
 
+def test_minimax_with_many_open_ranges(spark):
+    from tidewater.llm.shards import minimax_cuts
+
+    rng = random.Random(9)
+    groups = sorted({(rng.randint(-(1 << 63), (1 << 63) - 1), rng.randint(16, 3000)) for _ in range(4000)})
+    cuts, capacity = minimax_cuts(spark.createDataFrame(groups, "h long, bytes long").cache(), 200, 256, 4)
+    assert capacity == brute.minimax([b for _, b in groups], 200)
+    held = collections.Counter()
+    for h, b in groups:
+        held[sum(c <= h for c in cuts)] += b
+    assert max(held.values()) == capacity and len(held) <= 200
+
+
 def check_shards(out, source):
     assert len(out) == source.count()
     slots, shard_of = collections.defaultdict(list), collections.defaultdict(set)

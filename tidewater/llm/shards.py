@@ -126,7 +126,7 @@ def minimax_cuts(groups: DataFrame, shards: int = N_SHARDS, ranges: int = RANGES
     def refine(los: set[int]) -> None:
         spans = sorted((r[0], r[1]) for r in table.rows if r[0] in los)
         for i in range(0, len(spans), 128):  # bounded expressions and results
-            some = spans[i: i + 256]
+            some = spans[i: i + 128]
             table.put(hash_ranges(groups, some, split), {a for a, _ in some})
 
     total = table.start[-1]
