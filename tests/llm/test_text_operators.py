@@ -488,6 +488,26 @@ def test_near_copies_that_fill_a_host_keep_their_text(spark, store):
     assert all("Call us" not in out[100 + i] and f"own words {i}" in out[100 + i] for i in range(30))
 
 
+def test_boilerplate_larger_than_the_text_goes(spark, store):
+    from tidewater.llm.html_text import extract_main_text
+
+    menu = "".join(f"<li><a href=/{k}>Department number {k} of the house</a></li>" for k in range(40))
+    block = "".join(f"<p>Line {k} about the newsletter of this house</p>" for k in range(5))
+    data = [(i, "http://item.example/", f"<body><article><h1>Item {i}</h1><p>{f'own words {i} ' * 24}</p><div>{block}</div></article></body>")
+            for i in range(30)]
+    data += [(100 + i, "http://note.example/", f"<body><div><ul>{menu}</ul></div><div><h1>Note {i}</h1><p>short note {i}</p></div>"
+                                               f"<div>{block}</div></body>") for i in range(30)]
+    body = "".join(f"<p>paragraph {k} of the article that all copies share</p>" for k in range(6))
+    data += [(200 + i, "http://copies.example/", f"<body><div><ul>{menu}</ul></div><div><h1>Title {i}</h1>{body}<p>edited in copy {i}</p></div></body>")
+             for i in range(30)]
+    out = {r["page_id"]: r["text"] for r in extract_main_text(
+        spark.createDataFrame(data, "page_id long, url string, html string"), store).collect()}
+    for i in range(30):
+        assert out[i] == f"Item {i}\n{f'own words {i} ' * 24}".strip()
+        assert out[100 + i] == f"Note {i}\nshort note {i}"
+        assert out[200 + i].count("\n") == 7 and "Department" not in out[200 + i]  # near copies keep the article
+
+
 # --- WARC ----------------------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("zip64,package_bytes", [(False, 1 << 25), (True, 200)])

@@ -4,8 +4,10 @@ Every page is parsed into an element tree and the subtrees of its block elements
 hashed.  Spark counts, for each host, on how many pages of different articles a
 subtree occurs; those on at least ``min_pages`` and half the host's articles are the site's
 template and are deleted wherever they occur.  Pages with one title count as one article,
-so copies of a page don't turn its paragraphs into a template, and a page that would lose
-most of its text keeps it all (it is a near copy of others).  What a page marks as not
+so copies of a page don't turn its paragraphs into a template.  What of the template stays is decided
+by element: template paragraphs that are more than half of the text of the element around them
+are the article of near copies and stay; and a page of which only headings would be left keeps
+its text.  What a page marks as not
 its article (navigation, page header and footer, sidebar, forms, adverts, notices, comments,
 scripts, styles, hidden parts) goes by its mark-up, since such parts often differ from page to
 page; if there is an article or main element, only its content counts.
@@ -34,8 +36,8 @@ from pyspark.sql import types as T
 from tidewater.llm.common import need, ship_by_value
 
 MIN_PAGES, MIN_SHARE = 8, 0.5
-#: The largest share of the text that mark-up leaves, inside articles and without any, that can be template.
-MOST_OF_ARTICLE, MOST_OF_PAGE = 0.3, 0.7
+#: The largest share of an element's text that can be template paragraphs directly in it; more are an article's near copy.
+MOST = 0.5
 
 ship_by_value(__name__)
 
@@ -45,6 +47,8 @@ DROPPED = frozenset("head script style noscript template nav footer aside form i
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp "
                    "small span strike strong sub sup time tt u var wbr".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 title".split())
+RUNNING = frozenset("p blockquote pre".split())
 #: A start tag closes an open element of these kinds, if no element of the second set is between.
 CLOSES = {
     "li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)),
@@ -71,12 +75,13 @@ DEPTH = 512
 
 
 class Element:
-    """inside: an article; comments: of readers; unseen: in something that's dropped."""
+    """inside: an article; comments: of readers; unseen: in something that's dropped; spared: kept
+    even if it is template."""
 
-    __slots__ = ("tag", "parts", "drop", "inside", "comments", "unseen", "digest", "articles")
+    __slots__ = ("tag", "parts", "drop", "inside", "comments", "unseen", "digest", "spared")
 
     def __init__(self, tag: str, drop: bool, parent: Element | None = None, comments: bool = False) -> None:
-        self.tag, self.drop, self.digest, self.articles = tag, drop, 0, False
+        self.tag, self.drop, self.digest, self.spared = tag, drop, 0, False
         self.inside = tag in ("article", "main") or parent is not None and parent.inside
         self.comments = comments or parent is not None and parent.comments
         self.unseen = drop or parent is not None and parent.unseen
@@ -188,9 +193,42 @@ def hash_subtrees(root: Element, seen: dict[int, Element]) -> None:
             seen[e.digest] = e
 
 
-def blocks(root: Element, template: frozenset[int] | set[int] = frozenset()) -> list[str]:
+def text_of(e: Element) -> str:
+    """All text of an element."""
+    text, todo = [], [e]
+    while todo:
+        x = todo.pop()
+        if isinstance(x, str):
+            text.append(x)
+        else:
+            todo.extend(reversed(x.parts))
+    return plain(" ".join(text))
+
+
+def spare_near_copy(e: Element, template: frozenset[int] | set[int]) -> None:
+    """Mark the parts of ``e`` that stay although they are template: those of an element that is
+    spared itself, and those of a near copy's article, where template paragraphs directly in ``e``
+    are most of its text without headings, beside some that is no template.  Outside articles,
+    menus before its first paragraph and footers after its last one still go."""
+    parts = [x for x in e.parts if isinstance(x, Element) and not x.drop]
+    if e.spared:
+        for x in parts:
+            x.spared = True
+        return
+    running = [i for i, x in enumerate(parts) if x.tag in RUNNING]
+    shared = sum(len(text_of(parts[i])) for i in running if parts[i].digest in template)
+    if not shared:
+        return
+    own = sum(len(text_of(x)) for x in parts if x.tag not in HEADINGS and x.digest not in template)
+    own += sum(len(plain(x)) for x in e.parts if isinstance(x, str))
+    if own and shared > MOST * (own + shared):
+        for x in parts if e.inside else parts[running[0]:running[-1] + 1]:
+            x.spared = True
+
+
+def blocks(root: Element, template: frozenset[int] | set[int] = frozenset(), headings: bool = True) -> list[str]:
     """The kept text, block by block: only inside articles, if there are any outside
-    what is dropped."""
+    what is dropped.  headings: they count."""
     found: list[tuple[bool, str]] = []
     line: list[str] = []
     in_article = [False]
@@ -210,7 +248,7 @@ def blocks(root: Element, template: frozenset[int] | set[int] = frozenset()) ->
             in_article[0] = inside
         elif isinstance(x, str):
             line.append(x)
-        elif x.drop or (template and x.digest in template):
+        elif x.drop or x.digest in template and not x.spared or not headings and x.tag in HEADINGS:
             if x.tag not in INLINE:
                 flush()
             else:
@@ -225,9 +263,10 @@ def blocks(root: Element, template: frozenset[int] | set[int] = frozenset()) ->
                 inside = inside or x.tag in ("article", "main")
                 any_article = any_article or x.tag in ("article", "main")
                 in_article[0] = inside
+            if template:
+                spare_near_copy(x, template)
             todo.extend((p, inside) for p in reversed(x.parts))
     flush()
-    root.articles = any_article
     return [t for a, t in found if a or not any_article]
 
 
@@ -280,11 +319,8 @@ def main_text(html: str | None, template: set[int] | frozenset[int] = frozenset(
     if not template:
         return "\n".join(whole)
     hash_subtrees(root, {})
-    kept = blocks(root, template)
-    # a template isn't most of a page: what would lose more than that is a near copy of
-    # an article that fills its host
-    most = MOST_OF_ARTICLE if root.articles else MOST_OF_PAGE
-    return "\n".join(kept if sum(map(len, kept)) >= (1 - most) * sum(map(len, whole)) else whole)
+    # only headings left: a near copy of an article that fills its host
+    return "\n".join(blocks(root, template) if blocks(root, template, headings=False) else whole)
 
 
 @F.pandas_udf(T.StringType())
