@@ -508,6 +508,27 @@ def test_boilerplate_larger_than_the_text_goes(spark, store):
         assert out[200 + i].count("\n") == 7 and "Department" not in out[200 + i]  # near copies keep the article
 
 
+def test_hosts_with_one_first_heading_have_a_template(spark, store):
+    from tidewater.llm.html_text import extract_main_text
+
+    def page(i, title):
+        return (f"<html><head><title>{title}</title></head><body><div id=logo><h1>Site</h1></div><div><p>Home and more</p></div>"
+                f"<div><h2>Head {i}</h2><p>Body {i} text</p></div><div><p>{'All rights are with the house. ' * 9}</p></div></body></html>")
+
+    data = [(i, "http://logo.example/", page(i, f"Page {i}")) for i in range(12)]
+    data += [(100 + i, "http://same.example/", page(i, "Site")) for i in range(12)]
+    data += [(200 + i, "http://article.example/", f"<body><h1>Site</h1><main><h1>Head {i}</h1><p>Body {i}</p><div>Buy now</div></main></body>")
+             for i in range(12)]
+    copy = "".join(f"<p>paragraph {k} of the one article here</p>" for k in range(6))
+    data += [(300 + i, "http://edits.example/", f"<title>One</title><body><div><h1>One</h1><div>day {i}</div>{copy}</div></body>") for i in range(12)]
+    out = {r["page_id"]: r["text"] for r in extract_main_text(
+        spark.createDataFrame(data, "page_id long, url string, html string"), store).collect()}
+    for i in range(12):
+        assert out[i] == out[100 + i] == f"Head {i}\nBody {i} text"
+        assert out[200 + i] == f"Head {i}\nBody {i}"
+        assert out[300 + i].count("paragraph") == 6  # near copies with one heading and title
+
+
 # --- WARC ----------------------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("zip64,package_bytes", [(False, 1 << 25), (True, 200)])

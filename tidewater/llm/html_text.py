@@ -3,8 +3,10 @@
 Every page is parsed into an element tree and the subtrees of its block elements are
 hashed.  Spark counts, for each host, on how many pages of different articles a
 subtree occurs; those on at least ``min_pages`` and half the host's articles are the site's
-template and are deleted wherever they occur.  Pages with one title count as one article,
-so copies of a page don't turn its paragraphs into a template.  What of the template stays is decided
+template and are deleted wherever they occur.  Pages with one heading count as one article,
+so copies of a page don't turn its paragraphs into a template; on a host where half the
+different texts have the same first heading (a site's name or logo), the title tells articles
+apart, and where that is the same too, the whole text.  What of the template stays is decided
 by element: template paragraphs that are more than half of the text of the element around them
 are the article of near copies and stay; and a page of which only headings would be left keeps
 its text.  What a page marks as not
@@ -270,29 +272,49 @@ def blocks(root: Element, template: frozenset[int] | set[int] = frozenset(), hea
     return [t for a, t in found if a or not any_article]
 
 
-def subject(root: Element, kept: list[str]) -> str:
-    """What tells pages of different articles apart: the first heading, else the title,
-    else the longest block."""
-    title, todo = "", [root]
+def subjects(root: Element, kept: list[str]) -> tuple[str, str, str]:
+    """What can tell pages of different articles apart: the first heading (in an article, if one
+    has any, else of the page, else the title, else the longest block), the title, the whole text."""
+    title, inner, outer, todo = "", "", "", [root]
     while todo:
         e = todo.pop()
         if e.drop and e.tag not in ("head", "title"):
             continue
         if e.tag in ("h1", "title"):
-            text, inner = [], [e]
-            while inner:
-                x = inner.pop()
-                if isinstance(x, str):
-                    text.append(x)
-                else:
-                    inner.extend(reversed(x.parts))
-            words = plain(" ".join(text))
-            if e.tag == "h1" and words:
-                return words
-            title = title or words
+            words = text_of(e)
+            if e.tag == "title":
+                title = title or words
+            elif e.inside:
+                inner = inner or words
+            else:
+                outer = outer or words
             continue
         todo.extend(x for x in reversed(e.parts) if isinstance(x, Element))
-    return title or max(kept, key=len, default="")
+    return inner or outer or title or max(kept, key=len, default=""), title, "\n".join(kept)
+
+
+def page_subjects(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(host, heading, title, whole): the hashes of each page's ``subjects``."""
+    from xxhash import xxh64_intdigest
+
+    for pages in batches:
+        found = []
+        for host, html in zip(pages["host"], pages["html"], strict=True):
+            root = parse(html or "")
+            found.append((host, *(xxh64_intdigest(x) - (1 << 63) for x in subjects(root, blocks(root)))))
+        yield pd.DataFrame(found, columns=["host", "heading", "title", "whole"])
+
+
+def told_apart_by(subjects_: DataFrame, min_pages: int, min_share: float) -> DataFrame:
+    """(c_host, by): 1 or 2, the subject that tells the articles of a host apart, for hosts where
+    the first heading doesn't: one is on ``min_share`` of the host's different texts."""
+    values = subjects_.distinct().select("host", F.posexplode(F.array("heading", "title")).alias("kind", "value"))
+    most = (values.groupBy("host", "kind", "value").agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("host", "kind").agg(F.sum("n").alias("texts"), F.max("n").alias("most")))
+    same = F.col("most") >= F.col("texts") * min_share
+    return (most.filter(F.col("texts") >= min_pages).groupBy(F.col("host").alias("c_host"))
+            .agg(F.bool_or((F.col("kind") == 0) & same).alias("h"), F.bool_or((F.col("kind") == 1) & same).alias("t"))
+            .filter("h").select("c_host", F.when(F.col("t"), 2).otherwise(1).alias("by")))
 
 
 def page_subtrees(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -302,11 +324,11 @@ def page_subtrees(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     for pages in batches:
         hosts, subtrees, articles = [], [], []
-        for host, html in zip(pages["host"], pages["html"], strict=True):
+        for host, html, by in zip(pages["host"], pages["html"], pages["by"], strict=True):
             root = parse(html or "")
             seen: dict[int, Element] = {}
             hash_subtrees(root, seen)
-            article = xxh64_intdigest(subject(root, blocks(root))) - (1 << 63)
+            article = xxh64_intdigest(subjects(root, blocks(root))[by]) - (1 << 63)
             hosts += [host] * (len(seen) + 1)
             subtrees += [None, *seen]
             articles += [article] * (len(seen) + 1)
@@ -338,7 +360,11 @@ def site_templates(pages: DataFrame, store: Callable[[DataFrame], DataFrame], ur
                    min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """(host, template): the hashes of the subtrees on ``min_pages`` and ``min_share`` of the
     host's articles."""
-    found = (pages.select(host_of(F.col(url)).alias("host"), F.col(html).alias("html"))
+    named = pages.select(host_of(F.col(url)).alias("host"), F.col(html).alias("html"))
+    apart = store(told_apart_by(named.mapInPandas(page_subjects, "host string, heading long, title long, whole long"),
+                                min_pages, min_share))  # hosts, small files: broadcast by their size
+    found = (named.join(apart, named["host"] == apart["c_host"], "left")
+             .select("host", "html", F.coalesce("by", F.lit(0)).alias("by"))
              .mapInPandas(page_subtrees, "host string, subtree long, article long"))
     counts = found.distinct().groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n"))
     counts = store(counts.filter((F.col("n") >= min_pages) | F.col("subtree").isNull()))  # two readers, one parse
