@@ -380,6 +380,18 @@ def test_language_of_messy_rows(spark, docs):
     assert {r["lang_pred"] for r in identify_language(df, brute.empty(spark)).collect()} == {"und"}
 
 
+def test_every_label_is_learned(spark):
+    from tidewater.llm.lang_id import identify_language, training_pieces
+
+    # 64 languages with 9 documents each, 2 rarer ones with letters of their own
+    data = [(100 * k + i, " ".join([chr(0x4E00 + 16 * k) * 3, chr(0x4E00 + 16 * k + 5) * 2] * 20), f"l{k:02}") for k in range(64) for i in range(9)]
+    data += [(9000 + i, "ელენე და გია " * 20, "rare1") for i in range(8)] + [(9100 + i, "שלום עולם " * 20, "rare2") for i in range(8)]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    assert set(training_pieces(df, "text", "lang", "doc_id")["lang"]) == {x[2] for x in data}
+    out = identify_language(df.drop("lang"), df).filter("doc_id >= 9000").collect()
+    assert all(r["lang_pred"] == ("rare1" if r["doc_id"] < 9100 else "rare2") for r in out)
+
+
 def test_pair_tables_score_like_the_network():
     from tidewater.llm.lang_id import Network, softmax, windows_of, byte_classes
 

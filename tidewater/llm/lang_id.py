@@ -7,9 +7,10 @@ bytes, so no 4-gram is lost) that are scored in batches, and the document's prob
 the mean over its windows weighted by their bytes.
 
 The first layer works on one-hot bytes, so a filter is a table; for scoring, tables for
-byte pairs turn a window position into three look-ups.  Training takes a sample of about
-``PER_LANG`` documents a language and ``PIECES`` pieces of each, of the ``MAX_LANGS`` most
-frequent languages; scoring has no limits.  A task holds one Arrow batch and one batch of
+byte pairs turn a window position into three look-ups.  Training learns every label that
+occurs, from a sample of about ``PER_LANG`` documents a language and ``PIECES`` pieces of
+each (over ``SAMPLE`` documents in all, fewer of each language, but ``LEAST`` at least);
+scoring has no limits.  A task holds one Arrow batch and one batch of
 windows, however long a text is.
 
 Defined results: a null text, and one without a letter, is ``und`` with score 0; without any
@@ -31,7 +32,7 @@ from tidewater.llm.common import fresh, need, ship_by_value
 WIDTHS, FILTERS, WINDOW = (2, 3, 4), 16, 256
 STRIDE = WINDOW - max(WIDTHS) + 1
 #: Bounds of the training sample.
-PER_LANG, PIECES, MAX_LANGS = 400, 3, 64
+PER_LANG, PIECES, SAMPLE, LEAST = 400, 3, 25_600, 50
 EPOCHS, BATCH, RATE, DECAY, SEED = 10, 64, 0.02, 1e-5, 7
 #: Windows scored at a time.
 SCORED = 256
@@ -155,13 +156,13 @@ def fit(pieces: pd.DataFrame, seed: int = SEED) -> Network | None:
     return net
 
 
-def training_pieces(df: DataFrame, text: str, lang: str, id_col: str, per_lang: int = PER_LANG,
-                    max_langs: int = MAX_LANGS) -> pd.DataFrame:
+def training_pieces(df: DataFrame, text: str, lang: str, id_col: str, per_lang: int = PER_LANG) -> pd.DataFrame:
     """The bounded sample: hashed ids choose about ``per_lang`` documents of each language."""
     counts = (df.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).groupBy(F.col(lang).alias("lang"))
-              .agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs).collect())
+              .agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").collect())
     if not counts:
         return pd.DataFrame({"lang": [], "piece": []}, dtype=object)
+    per_lang = min(per_lang, max(LEAST, SAMPLE // len(counts)))
     limit = F.create_map(*[v for r in counts for v in (F.lit(r["lang"]), F.lit(min(1.0, per_lang / r["n"])))])
     turn = F.pmod(F.xxhash64(F.col(id_col), F.lit("lang")), F.lit(1 << 30)) / float(1 << 30)
     chosen = df.filter(F.col(lang).isNotNull() & letters(F.col(text)) & (turn < F.try_element_at(limit, F.col(lang))))
