@@ -118,6 +118,24 @@ def test_minimax_with_many_open_ranges(spark):
     assert max(held.values()) == capacity and len(held) <= 200
 
 
+@pytest.mark.parametrize("big", [[200_000], [200_000, 40_000, 9_000], [9_000] * 25])
+def test_only_an_oversized_group_has_a_large_shard(spark, big):
+    from tidewater.llm.shards import minimax_cuts
+
+    rng = random.Random(4)
+    sizes = [*big, *[rng.randint(16, 400) for _ in range(2000)]]
+    groups = sorted((rng.randint(-(1 << 63), (1 << 63) - 1), b) for b in sizes)
+    cuts, capacity = minimax_cuts(spark.createDataFrame(groups, "h long, bytes long").cache(), 40, 64, 8)
+    assert capacity == brute.minimax([b for _, b in groups], 40) and len(cuts) <= 39
+    held = collections.Counter()
+    for h, b in groups:
+        held[sum(c <= h for c in cuts)] += b
+    assert max(held.values()) == capacity
+    if len(big) < 4:
+        small = [v for v in held.values() if v not in big]
+        assert len(held) >= 38 and max(small) <= 1.25 * sum(small) / (40 - len(big))
+
+
 def check_shards(out, source):
     assert len(out) == source.count()
     slots, shard_of = collections.defaultdict(list), collections.defaultdict(set)

@@ -4,7 +4,9 @@ Atomic groups (rows with equal texts) are ordered by the 64-bit hash of their te
 shards are contiguous runs of that order, and the largest shard is as small as possible:
 a binary search over capacities, each checked greedily (fill a shard until the next group
 doesn't fit), gives the smallest feasible capacity, and the greedy cuts at that capacity
-are the shards.
+are the shards.  A group larger than the share of a shard gets a shard of its own, and the
+runs before, between and after such groups are cut by a second search over the remaining
+shards, as far as these suffice and no shard gets larger for it.
 
 The groups stay in Spark.  The driver holds a prefix table of at most a few ten thousand
 hash ranges (bytes and largest group of each).  A range is an interval for the greedy cut
@@ -15,13 +17,14 @@ that of the search over all single groups.
 Only DataFrame functions on the data; the driver works on the bounded prefix table.
 Defined results: a null text is a group of its own, of 16 bytes a row, checksum 0; rows of
 one text never part, so a text with more bytes than a shard's share has a shard as large as
-that; fewer groups than shards leave the last shards empty; repeated rows are rows like
+that, and the others share the rest; fewer groups than shards leave the last shards empty; repeated rows are rows like
 any other; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_right
+from collections.abc import Callable
 from math import isqrt
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -52,6 +55,20 @@ class Ranges:
         for r in self.rows:
             self.start.append(self.start[-1] + r[2])
 
+    def runs(self, alone: set[int]) -> list[Ranges]:
+        """The runs of ranges between those that start at ``alone``."""
+        out: list[list[tuple[int, int, int, int, int]]] = [[]]
+        for r in self.rows:
+            if r[0] in alone:
+                out.append([])
+            else:
+                out[-1].append(r)
+        found = []
+        for rows in filter(None, out):
+            found.append(Ranges())
+            found[-1].put(rows, set())
+        return found
+
     def check(self, capacity: int, shards: int) -> tuple[int, int, set[int]]:
         """Shards that a greedy filling needs if each cut falls as late (first number) or as
         early (second) as the ranges allow, and the ranges with such a cut, where they differ."""
@@ -129,24 +146,56 @@ def minimax_cuts(groups: DataFrame, shards: int = N_SHARDS, ranges: int = RANGES
             some = spans[i: i + 128]
             table.put(hash_ranges(groups, some, split), {a for a, _ in some})
 
-    total = table.start[-1]
-    low, high = max(-(-total // shards), max(r[4] for r in table.rows)), total
-    while low < high:
-        mid = (low + high) // 2
-        late, early, unsure = table.check(mid, shards)
-        if early <= shards:
-            high = mid
-        elif late > shards:
-            low = mid + 1
-        else:
-            refine(unsure)
+    def smallest(alone: set[int], most: int) -> int | None:
+        """The smallest capacity up to ``most`` of the runs between ``alone``, if there is one."""
+        left, runs = shards - len(alone), table.runs(alone)
+        if len(runs) > left:
+            return None
+        if not runs:
+            return 0
+        low = max(-(-sum(x.start[-1] for x in runs) // left), max(r[4] for x in runs for r in x.rows))
+        high = most + 1
+        while low < high:
+            mid = (low + high) // 2
+            checks = [x.check(mid, left) for x in table.runs(alone)]
+            if sum(early for _, early, _ in checks) <= left:
+                high = mid
+            elif sum(late for late, _, _ in checks) > left:
+                low = mid + 1
+            else:
+                refine(set().union(*(unsure for _, _, unsure in checks)))
+        return low if low <= most else None
+
+    capacity = smallest(set(), table.start[-1])
+    alone, inner = set(), capacity
+    for big in oversized(table, shards, refine):
+        found = smallest(big, capacity)
+        if found is not None:
+            alone, inner = big, found
+            break
     while True:
-        found, unsure = table.cuts(low, shards)
-        if not unsure:
-            return found, low
+        done = [x.cuts(inner, shards) for x in table.runs(alone)]
+        if not (unsure := set().union(*(u for _, u in done))):
+            starts = {x.rows[0][0] for x in table.runs(alone)} | alone
+            return sorted((starts | {c for found, _ in done for c in found}) - {table.rows[0][0]}), capacity
         refine(unsure)
 
 
+def oversized(table: Ranges, shards: int, refine: Callable[[set[int]], None]) -> list[set[int]]:
+    """The groups over an equal share of what the larger ones leave, as single ranges: all of
+    them, all but the smallest, and so on to the largest one alone."""
+    big: list[tuple[int, int, int, int, int]] = []
+    while True:
+        share = (table.start[-1] - sum(r[2] for r in big)) / max(1, shards - len(big))
+        if several := {r[0] for r in table.rows if r[4] > share and r[3] > 1}:
+            refine(several)
+            continue
+        more = sorted((r for r in table.rows if r[4] > share), key=lambda r: (-r[2], r[0]))
+        if len(more) == len(big) or len(more) >= shards:
+            return [{r[0] for r in more[:k]} for k in range(min(len(more), shards - 1), 0, -1)]
+        big = more
+
+
 def shard_rows(spark: SparkSession, df: DataFrame, cuts: list[int], rows: int, shards: int = N_SHARDS,
                hash_col: str = "h", id_col: str = "doc_id") -> DataFrame:
     """``df`` with ``shard`` (int) and ``slot`` (long, gapless from 0 in each shard).  Slots are
