@@ -275,6 +275,17 @@ def test_decontamination_of_empty_tables(spark, store):
     assert out.filter("contaminated").count() == 0 and out.count() == brute.messy(spark).count()
 
 
+def test_anchors_of_one_term_are_broadcast_in_parts(spark, monkeypatch):
+    from tidewater.llm import decontam as d
+
+    monkeypatch.setattr(d, "BLOCK_CHARS", 2000)
+    side = F.array(F.repeat(F.lit("long"), 25))
+    anchor = spark.range(200).select(F.col("id").cast("string").alias("item"), F.lit("hot").alias("term"), F.lit(3).alias("off"),
+                                     side.alias("before"), side.alias("after"))
+    parts = [b.count() for b in d.anchor_blocks(anchor)]
+    assert sum(parts) == 200 and max(parts) * 210 < 3 * 2000
+
+
 def test_clean_rows_and_proximity(spark, store):
     from tidewater.llm import decontam as d
 

@@ -13,7 +13,8 @@ and document agree to both sides, and runs as long as a window are the phrase ma
 
 Shuffled are postings of rare terms and alignments, never the documents' words; a passage
 that a third of the documents share costs one row per posting and anchor, and its hot
-terms meet only their own anchors (broadcast in blocks of a checked size).
+terms meet only their own anchors (broadcast in blocks of a checked size, a term that many
+items share in several).
 
 Only DataFrame functions.  Defined results: a null or wordless document has n_words 0 and
 no hit; a null or wordless item occurs nowhere; items with equal words are matched
@@ -41,12 +42,18 @@ def item_words(text: Column) -> Column:
                                   "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"), "")
 
 
-def blocks(terms: DataFrame, column: str, beside: int = 8) -> list[DataFrame]:
-    """``terms`` in parts small enough to broadcast, by hash of the term; beside: about the
-    characters that a row has besides the term."""
-    size = terms.agg(F.sum(F.char_length(column) + beside)).first()[0] or 0
+def blocks(terms: DataFrame, *columns: str, by: tuple[str, ...] = ()) -> list[DataFrame]:
+    """``terms`` in parts small enough to broadcast, sized by the characters in ``columns`` (strings
+    or arrays of them) and dealt by hash of the first one, or of the key ``by``."""
+    size = terms.agg(F.sum(sum((F.char_length(F.concat_ws(" ", c)) for c in columns), F.lit(8)))).first()[0] or 0
     n = size // BLOCK_CHARS + 1
-    return [F.broadcast(terms.filter(F.pmod(F.xxhash64(column), F.lit(n)) == i)) for i in range(n)]
+    return [F.broadcast(terms.filter(F.pmod(F.xxhash64(*(by or columns[:1])), F.lit(n)) == i)) for i in range(n)]
+
+
+def anchor_blocks(anchor: DataFrame) -> list[DataFrame]:
+    """The anchors in parts small enough to broadcast; those of a term that many items share are
+    dealt over several parts."""
+    return blocks(anchor, "term", "item", "before", "after", by=("term", "item", "off"))
 
 
 def union(frames: list[DataFrame]) -> DataFrame:
@@ -109,7 +116,7 @@ def agreement(a: Column, b: Column) -> Column:
 def alignments(index: DataFrame, anchor: DataFrame, window: int = WINDOW) -> DataFrame:
     """Offset-adjusted intersection: (item, n, doc, h, delta, hits) with at least ``need``
     anchors at delta; hits: the anchors' (pos, agreeing words to the left, to the right)."""
-    listed = union([index.filter(F.col("term").isNotNull()).join(b, "term") for b in blocks(anchor, "term", 400)])
+    listed = union([index.filter(F.col("term").isNotNull()).join(b, "term") for b in anchor_blocks(anchor)])
     return (listed.groupBy("item", "n", "need", "doc", "h", (F.col("pos") - F.col("off")).alias("delta"))
             .agg(F.collect_set(F.struct("pos", agreement(F.col("left"), F.col("before")).alias("l"),
                                         agreement(F.col("right"), F.col("after")).alias("r"))).alias("hits"))
@@ -128,7 +135,7 @@ def proximity_matches(index: DataFrame, anchor: DataFrame, slop: int = 3) -> Dat
     """(item, doc, h, lo, hi, terms): documents with two different anchors of an item at their
     item distance give or take ``slop`` words.  Positions are dealt into cells of ``slop + 1``
     alignments; each posting is also put into the next cell, so near ones meet in one."""
-    listed = union([index.filter(F.col("term").isNotNull()).join(b, "term") for b in blocks(anchor, "term", 400)])
+    listed = union([index.filter(F.col("term").isNotNull()).join(b, "term") for b in anchor_blocks(anchor)])
     delta = F.col("pos") - F.col("off")
     return (listed.select("item", "doc", "h", "pos", "off", F.explode(F.array(
                 F.floor(delta / (slop + 1)), F.floor(delta / (slop + 1)) + 1)).alias("cell"))
