@@ -302,6 +302,30 @@ def test_clean_rows_and_proximity(spark, store):
     assert {r["doc"] for r in d.proximity_matches(index, anchor, slop=3).collect()} == {1, 3}
 
 
+def test_near_items_are_returned(spark, store):
+    from tidewater.llm import decontam as d
+
+    words = [f"w{i}" for i in range(40)]
+    spread = " ".join(w + " between" * (i % 9 == 8) for i, w in enumerate(words))  # no ten words in a row
+    df = spark.createDataFrame([(1, " ".join(words)), (2, spread), (3, "nothing of it"), (4, " far ".join(words[::9]))],
+                               "doc_id long, text string")
+    bench = spark.createDataFrame([(7, " ".join(words))], "item_id long, text string")
+    out = {r["doc_id"]: r for r in d.decontaminate(spark, df, bench, store, slop=3).collect()}
+    assert [out[i]["contaminated"] for i in (1, 2, 3, 4)] == [True, False, False, False]
+    assert [out[i]["near_ids"] for i in (1, 2, 3, 4)] == [["7"], ["7"], [], []] and out[2]["n_near"] == 1
+
+
+@pytest.mark.parametrize("gap,found", [(0, True), (3, True), (4, False), (5, False), (7, False)])
+def test_proximity_is_within_the_slop(spark, gap, found):
+    from tidewater.llm import decontam as d
+
+    index = spark.createDataFrame([("a", 1, 9, 0), ("b", 1, 9, 1 + gap)], "term string, doc long, h long, pos int")
+    anchor = spark.createDataFrame([("i", "a", 0, ["b"], ["b"]), ("i", "b", 1, ["a"], ["a"]), ("i", "a", 2, ["b"], ["b"])],
+                                   "item string, term string, off int, before array<string>, after array<string>").filter("off < 2")
+    got = d.proximity_matches(index, anchor, slop=3).collect()
+    assert [(r["lo"], r["hi"], r["terms"]) for r in got] == [(0, 1 + gap, 2)] * found
+
+
 # --- mixing ----------------------------------------------------------------------------------------
 
 def check_mix(out, data):

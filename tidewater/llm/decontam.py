@@ -9,7 +9,8 @@ those positions are the index terms.  One pass over the documents stores their p
 item's terms are intersected on it: an alignment survives only if at least as many
 terms agree as every window holds.  The stored neighbours then tell exactly how far item
 and document agree to both sides, and runs as long as a window are the phrase matches.
-``proximity_matches`` intersects the same lists with a tolerance instead.
+``proximity_matches`` intersects the same lists with a tolerance instead; ``decontaminate``
+returns its items too where a ``slop`` is given.
 
 Shuffled are postings of rare terms and alignments, never the documents' words; a passage
 that a third of the documents share costs one row per posting and anchor, and its hot
@@ -132,16 +133,18 @@ def phrase_matches(aligned: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def proximity_matches(index: DataFrame, anchor: DataFrame, slop: int = 3) -> DataFrame:
-    """(item, doc, h, lo, hi, terms): documents with two different anchors of an item at their
-    item distance give or take ``slop`` words.  Positions are dealt into cells of ``slop + 1``
-    alignments; each posting is also put into the next cell, so near ones meet in one."""
+    """(item, doc, h, lo, hi, terms): documents with two different anchors of an item, at two
+    positions, at their item distance give or take ``slop`` words: each posting looks at those
+    whose alignment is at most ``slop`` before its own."""
     listed = union([index.filter(F.col("term").isNotNull()).join(b, "term") for b in anchor_blocks(anchor)])
-    delta = F.col("pos") - F.col("off")
-    return (listed.select("item", "doc", "h", "pos", "off", F.explode(F.array(
-                F.floor(delta / (slop + 1)), F.floor(delta / (slop + 1)) + 1)).alias("cell"))
-            .groupBy("item", "doc", "h", "cell")
-            .agg(F.min("pos").alias("lo"), F.max("pos").alias("hi"), F.countDistinct("off").alias("terms"))
-            .filter("terms >= 2").select("item", "doc", "h", "lo", "hi", "terms").distinct())
+    listed = listed.select("item", "doc", "h", "pos", "off", (F.col("pos") - F.col("off")).alias("delta"))
+    near = (Window.partitionBy("item", "doc", "h").orderBy("delta").rangeBetween(-slop, 0))
+    return (listed.withColumn("near", F.collect_set(F.struct("pos", "off")).over(near))
+            .withColumn("near", F.filter("near", lambda x: (x["pos"] != F.col("pos")) & (x["off"] != F.col("off"))))
+            .filter(F.size("near") > 0)
+            .select("item", "doc", "h", F.least("pos", F.array_min("near.pos")).alias("lo"),
+                    F.greatest("pos", F.array_max("near.pos")).alias("hi"),
+                    (F.size(F.array_distinct("near.off")) + 1).alias("terms")).distinct())
 
 
 def covered(ranges: Column) -> Column:
@@ -157,9 +160,12 @@ def covered(ranges: Column) -> Column:
 
 def decontaminate(spark: SparkSession, df: DataFrame, benchmark: DataFrame,
                   store: Callable[[DataFrame], DataFrame], text: str = "text", id_col: str = "doc_id",
-                  item_text: str = "text", item_id: str = "item_id", window: int = WINDOW) -> DataFrame:
+                  item_text: str = "text", item_id: str = "item_id", window: int = WINDOW,
+                  slop: int | None = None) -> DataFrame:
     """One row per row of ``df``: the id, ``h`` (hash of the text), n_words, n_hit, n_items,
-    item_ids (sorted strings), items_sha256 and contaminated."""
+    item_ids (sorted strings), items_sha256 and contaminated; with ``slop`` also n_near and
+    near_ids, the items with a proximity match (those of phrases too).  ``contaminated`` is by
+    phrases alone."""
     need(df, text, id_col)
     need(benchmark, item_text, item_id)
     named = store(benchmark.select(F.col(item_id).cast("string").alias("name"), item_words(F.col(item_text)).alias("words"))
@@ -181,13 +187,22 @@ def decontaminate(spark: SparkSession, df: DataFrame, benchmark: DataFrame,
               .agg(F.array_sort(F.collect_set("name")).alias("item_ids"))
               .withColumnsRenamed({"doc": "l_doc", "h": "l_h"}))
     rows = index.filter(F.col("term").isNull()).select("doc", "h", "n_words")
+    more = []
+    if slop is not None:
+        # an item of one anchor has no distance: a phrase counts as near
+        found = proximity_matches(index, anchor, slop).select("item", "doc", "h").unionByName(matches.select("item", "doc", "h"))
+        near = store(found.distinct().join(names, "item").groupBy(F.col("doc").alias("n_doc"), F.col("h").alias("n_h"))
+                     .agg(F.array_sort(F.collect_set("name")).alias("near_ids")))
+        rows = (rows.join(near, rows["doc"].eqNullSafe(F.col("n_doc")) & (rows["h"] == F.col("n_h")), "left")
+                .select("doc", "h", "n_words", F.coalesce("near_ids", F.array().cast("array<string>")).alias("near_ids")))
+        more = [F.size("near_ids").cast("long").alias("n_near"), "near_ids"]
     out = (rows.join(by_doc, rows["doc"].eqNullSafe(F.col("m_doc")) & (rows["h"] == F.col("m_h")), "left")
            .join(listed, rows["doc"].eqNullSafe(F.col("l_doc")) & (rows["h"] == F.col("l_h")), "left"))
     ids = F.coalesce("item_ids", F.array().cast("array<string>"))
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return out.select(F.col("doc").alias(id_col), "h", F.col("n_words").cast("long").alias("n_words"), n_hit.alias("n_hit"),
                       F.size(ids).cast("long").alias("n_items"), ids.alias("item_ids"),
-                      F.sha2(F.concat_ws(",", ids), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+                      F.sha2(F.concat_ws(",", ids), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"), *more)
 
 
 def clean_rows(found: DataFrame, df: DataFrame, store: Callable[[DataFrame], DataFrame], text: str = "text",
