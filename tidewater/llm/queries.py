@@ -97,6 +97,27 @@ def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "score", "predicted", F.size("toxic_spans").alias("n_spans"))
 
 
+def q_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewater.llm.target_resampling import resample
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return resample(spark, docs, table(spark, sf_dir, "benchmark"), _store(spark, "resampling"))
+
+
+def q_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewater.llm.merkle import compare_with_next
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return compare_with_next(spark, docs, _store(spark, "merkle"))
+
+
+def q_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewater.llm.collocations import collocations
+
+    docs = table(spark, sf_dir, "documents").select("text", "lang")
+    return collocations(spark, docs, _store(spark, "collocations"))
+
+
 QUERIES = {
     "op1_lang_id": q_lang_id,
     "op2_token_counts": q_token_counts,
@@ -108,6 +129,9 @@ QUERIES = {
     "op8_minimax_shards": q_shards,
     "op9_decontamination": q_decontaminate,
     "op10_warc_zip": q_warc,
+    "op11_target_resampling": q_resampling,
+    "op12_merkle_fingerprints": q_merkle,
+    "op13_collocations": q_collocations,
 }
 
 _WORDS = r"[^\x20\x09-\x0D]+"
@@ -226,5 +250,89 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id <> last THEN last END AS refers_to
 FROM r JOIN e USING (page_id)
+""",
+    # crc32 by its table of 256 remainders, built here, over the bytes of the distinct words
+    "op11_target_resampling": r"""
+WITH crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+           lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS tab
+), d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM documents
+), dw AS (
+  SELECT rid, w, count(*) AS n FROM (SELECT rid, unnest(ws) AS w FROM d) GROUP BY ALL
+), bw AS (
+  SELECT w, count(*) AS n
+  FROM (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                      'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark)
+  GROUP BY ALL
+), vocab AS (
+  SELECT w, xor(4294967295, list_reduce(
+           list_concat([4294967295], list_transform(range(strlen(w)), lambda i: CAST('0x' || substr(hex(w), 2 * i + 1, 2) AS BIGINT))),
+           lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]))) % 10000 AS bucket
+  FROM (SELECT w FROM dw UNION SELECT w FROM bw), crc
+), s AS (
+  SELECT bucket, CAST(sum(n) AS BIGINT) AS s FROM dw JOIN vocab USING (w) GROUP BY bucket
+), t AS (
+  SELECT bucket, CAST(sum(n) AS BIGINT) AS t FROM bw JOIN vocab USING (w) GROUP BY bucket
+), gain AS (
+  SELECT bucket, CAST(floor(1000 * ln(CAST(coalesce(t, 0) + 1 AS DOUBLE) * CAST((SELECT coalesce(sum(s), 0) FROM s) + 10000 AS DOUBLE)
+           / (CAST(s + 1 AS DOUBLE) * CAST((SELECT coalesce(sum(t), 0) FROM t) + 10000 AS DOUBLE)))) AS BIGINT) AS g
+  FROM s LEFT JOIN t USING (bucket)
+), w AS (
+  SELECT rid, CAST(sum(n * g) AS BIGINT) AS weight FROM dw JOIN vocab USING (w) JOIN gain USING (bucket) GROUP BY rid
+), x AS (
+  SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')),
+           1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM d LEFT JOIN w USING (rid)
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST, n_features) AS place FROM x
+)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN n_features >= 20 AND place <= (SELECT 10 * count(*) // 100 FROM x WHERE n_features >= 20) THEN place END AS rank
+FROM r
+""",
+    "op13_collocations": r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), p AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM d
+), o AS (
+  SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i
+  FROM p, (SELECT unnest(range(1, 6)) AS k) WHERE len(ws) >= k
+), f AS (
+  SELECT lang, list_aggregate(ws[i : i + k - 1], 'string_agg', ' ') AS phrase, k, count(*) AS a FROM o GROUP BY ALL
+), n AS (
+  SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM p GROUP BY lang
+), c AS (
+  SELECT lang, phrase, string_split(phrase, ' ') AS ws, k, a FROM f WHERE k >= 2 AND a >= 100
+), inner_ AS (
+  SELECT DISTINCT lang, list_aggregate(ws[i : i + m - 1], 'string_agg', ' ') AS phrase, a AS longer
+  FROM (SELECT lang, ws, k, a, m, unnest(range(1, k - m + 2)) AS i FROM c, (SELECT unnest(range(2, 5)) AS m) WHERE m < k)
+), kept AS (
+  SELECT * FROM c WHERE NOT EXISTS (
+    SELECT 1 FROM inner_ x WHERE x.lang = c.lang AND x.phrase = c.phrase AND 100 * x.longer >= 100 * c.a)
+), cuts AS (
+  SELECT lang, phrase, a, j, list_aggregate(ws[1 : j], 'string_agg', ' ') AS first_part,
+         list_aggregate(ws[j + 1 : k], 'string_agg', ' ') AS last_part
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM kept)
+), scored AS (
+  SELECT cuts.lang, cuts.phrase, cuts.a, j, x.a AS l, y.a AS r, n,
+         CAST(1000 * cuts.a::HUGEINT * n::HUGEINT // (x.a::HUGEINT * y.a::HUGEINT) AS BIGINT) AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = first_part
+  JOIN f y ON y.lang = cuts.lang AND y.phrase = last_part JOIN n ON n.lang = cuts.lang
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+), ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+  FROM lowest
+)
+SELECT * FROM ranked WHERE rank <= 2000
 """,
 }
