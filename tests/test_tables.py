@@ -9,7 +9,12 @@ from tidewater.plans.standins import standin
 from tidewater.sources.files import append_evolve, read_evolved
 from tidewater.sources.tables import (
     ensure_zone,
+    partition_columns,
+    restore_version,
     scan_table,
+    scan_version,
+    vacuum,
+    versions,
     write_overwrite,
     write_partitioned,
     write_replace,
@@ -61,7 +66,94 @@ def test_a_failed_write_leaves_the_old_table(spark, tmp):
     write_replace(scan_table(spark, "t_safe", "x").union(scan_table(spark, "t_safe", "x")), "t_safe.x")
     assert scan_table(spark, "t_safe", "x").count() == 2
     assert [t.name for t in spark.catalog.listTables("t_safe")] == ["x"]
-    assert len([d for d in os.listdir(f"{tmp}/it's safe") if d.startswith("x")]) == 1  # older versions are gone
+    folders = lambda: [d for d in os.listdir(f"{tmp}/it's safe") if d.startswith("x")]
+    assert len(folders()) == 2  # the failed writes left nothing, the replaced version stays until a vacuum
+    assert len(vacuum(spark, "t_safe.x")) == 1 and len(folders()) == 1
+    assert scan_table(spark, "t_safe", "x").count() == 2
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+@pytest.mark.parametrize("read", [lambda s, z, t: scan_table(s, z, t), lambda s, z, t: s.table(f"{z}.{t}"),
+                                  lambda s, z, t: s.sql(f"SELECT * FROM {z}.{t}").where("pickup_year IS NOT NULL OR v > 0")])
+def test_held_frames_keep_their_version(spark, tmp, read):
+    """Frames made before S3, S4 and S6 give their old rows until a vacuum, then fail."""
+    zone = f"t_held_{abs(hash(tmp)) % 10**9}"
+    ensure_zone(spark, zone, f"{tmp}/held")
+    name = f"{zone}.t"
+    frame = lambda *data: spark.createDataFrame(list(data), "v int, pickup_year int, pickup_month int")
+    steps = [
+        (write_partitioned, frame(*[(i, 2015, i % 3) for i in range(6)])),
+        (write_partitioned, frame((10, 2015, 1), (11, 2016, 2), (12, 2015, 2))),  # the same layout
+        (write_overwrite, frame((20, 2015, 1), (21, None, None))),
+        (write_replace, frame((30, 1, 1))),  # no layout any more
+        (write_overwrite, frame((40, 1, 1))),
+        (write_partitioned, frame((50, 2015, 1))),
+        (write_replace, spark.createDataFrame([("x", 1, 2)], "other string, v int, pickup_year int")),
+    ]
+    held = []
+    for write, df in steps:
+        write(df, name)
+        held.append((read(spark, zone, "t"), rows(df)))
+        for old, expected in held:
+            assert rows(old) == expected and old.count() == len(expected)
+    assert len(versions(spark, name)) == len(steps) and [v["current"] for v in versions(spark, name)] == [True] + [False] * 6
+    vacuum(spark, name)
+    assert rows(held[-1][0]) == held[-1][1]
+    for old, _ in held[:-1]:
+        with pytest.raises(Exception):
+            old.collect()
+
+
+def test_overwrite_keeps_layout_and_comments(spark, tmp):
+    ensure_zone(spark, "t_keep", f"{tmp}/keep")
+    write_partitioned(spark.createDataFrame([(1, 2015, 1)], "v int, pickup_year int, pickup_month int"), "t_keep.t")
+    spark.sql("COMMENT ON TABLE t_keep.t IS 'it''s trips'")
+    spark.sql("ALTER TABLE t_keep.t ALTER COLUMN v COMMENT 'value'")
+
+    def said():
+        return spark.catalog.getTable("t_keep.t").description, {c.name: c.description for c in spark.catalog.listColumns("t_keep.t")}["v"]
+
+    assert said() == ("it's trips", "value")
+    write_overwrite(spark.createDataFrame([(1, 2, 3), (1, 5, 6)], "pickup_month int, V int, pickup_year int"), "t_keep.t")
+    assert partition_columns(spark, "t_keep.t") == ["pickup_year", "pickup_month"] and said() == ("it's trips", "value")
+    assert rows(spark.table("t_keep.t")) == [(2, 3, 1), (5, 6, 1)]
+    assert scan_table(spark, "t_keep", "t").columns == ["v", "pickup_year", "pickup_month"]
+    # another layout, another schema: what stays keeps its comment
+    write_partitioned(spark.createDataFrame([(1, 2015, "n")], "v int, pickup_year int, extra string"), "t_keep.t", ["pickup_year"])
+    assert partition_columns(spark, "t_keep.t") == ["pickup_year"] and said() == ("it's trips", "value")
+    write_replace(spark.createDataFrame([(1.5,)], "v double"), "t_keep.t")
+    assert partition_columns(spark, "t_keep.t") == [] and said() == ("it's trips", "value")
+
+
+def test_versions_are_listed_read_and_restored(spark, tmp):
+    from datetime import timedelta
+
+    ensure_zone(spark, "t_travel", f"{tmp}/a 100% zone")
+    write_partitioned(spark.createDataFrame([(1, 2015, 1), (2, None, None)], "v int, pickup_year int, pickup_month int"), "t_travel.t")
+    write_replace(spark.createDataFrame([("a",)], "s string"), "t_travel.t")
+    write_replace(spark.createDataFrame([("b",)], "s string"), "t_travel.t")
+    third, second, first = versions(spark, "t_travel.t")
+    assert third["current"] and not second["current"] and first["written"] <= second["written"]
+    assert rows(scan_version(spark, "t_travel.t", first["version"])) == [(1, 2015, 1), (2, None, None)]
+    restore_version(spark, "t_travel.t", second["version"])
+    assert rows(spark.table("t_travel.t")) == [("a",)]
+    restore_version(spark, "t_travel.t", first["version"])
+    assert partition_columns(spark, "t_travel.t") == ["pickup_year", "pickup_month"]
+    assert rows(spark.table("t_travel.t").where("pickup_year = 2015")) == [(1, 2015, 1)]
+    assert vacuum(spark, "t_travel.t", older_than=timedelta(days=1)) == []
+    assert vacuum(spark, "t_travel.t", keep=1) == [second["version"]]  # the newest other one is kept
+    with pytest.raises(KeyError):
+        scan_version(spark, "t_travel.t", second["version"])
+    # a table that something else made becomes versioned at its first replacement
+    spark.sql("CREATE TABLE t_travel.plain USING parquet PARTITIONED BY (k) AS SELECT 1 AS v, 2 AS k")
+    write_overwrite(spark.createDataFrame([(5, 6)], "v int, k int"), "t_travel.plain")
+    held = spark.table("t_travel.plain")
+    assert partition_columns(spark, "t_travel.plain") == ["k"] and rows(held) == [(5, 6)]
+    write_overwrite(held.selectExpr("v + 1 AS v", "k"), "t_travel.plain")
+    assert rows(held) == [(5, 6)] and rows(spark.table("t_travel.plain")) == [(6, 6)]
 
 
 def test_append_to_a_table_adds_columns(spark, tmp):

@@ -1,21 +1,42 @@
-"""Zone tables: catalog reads and writes (Parquet tables in named databases)."""
+"""Zone tables: catalog reads and writes (Parquet tables in named databases).
+
+A table is a catalog entry over one *version* folder.  Every replacement (S3, S4, S6) writes a new
+version folder beside it and then points the entry at it: with the same columns and layout by one
+catalog change (``SET LOCATION``), else by registering the new version and swapping names.  A
+version stays until :func:`vacuum`, and only an append (S5) to the current one adds files to it, so
+
+* a write that fails leaves the table as it was, and a query may read the table it replaces;
+* a frame held across a replacement goes on reading its own version, whole, and fails once that
+  version is vacuumed; it never gets other rows;
+* earlier versions can be listed, read and restored.
+
+For this the partitions of a table are those of its folder: they are found when a frame is made, and
+not looked up by the table's name when it runs.  (Tables that something else created become
+versioned at their first replacement.)  The version folder holds a small description of itself,
+its columns and layout, written last: a folder without one is a write under way or cut short.
+"""
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 from collections.abc import Sequence
+from datetime import datetime, timedelta, timezone
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewater.functions.columns import quote
 
 PARTITION_COLUMNS = ("pickup_year", "pickup_month")
 
-# Marks the folder of one version of a table.
+# Marks the folder of one version of a table; its description (hidden to readers by its name).
 VERSION = "-version-"
+DESCRIPTION_FILE = "_version.json"
+STAMP = "%Y%m%dT%H%M%S%f"
 
 
 def table_name(zone: str, table: str) -> str:
@@ -27,10 +48,14 @@ def scan_table(spark: SparkSession, zone: str, table: str) -> DataFrame:
     return spark.table(table_name(zone, table))
 
 
+def _text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def ensure_zone(spark: SparkSession, zone: str, location: str | None = None) -> None:
     """Create the database when missing, optionally at a location."""
-    loc = " LOCATION '{}'".format(location.replace("\\", "\\\\").replace("'", "\\'")) if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(zone)}{loc}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(zone)}{f' LOCATION {_text(location)}' if location else ''}")
 
 
 def name_parts(name: str) -> list[str]:
@@ -38,51 +63,210 @@ def name_parts(name: str) -> list[str]:
     return [(m[0].replace("``", "`") or m[1]) for m in re.findall(r"`((?:[^`]|``)+)`|([^.`]+)", name)]
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def _zone_and_table(spark: SparkSession, name: str) -> tuple[str, str]:
+    parts = name_parts(name)
+    return (parts[0], parts[1]) if len(parts) == 2 else (spark.catalog.currentDatabase(), parts[0])
+
+
+def _folder(spark: SparkSession, path: str):
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
 
 
-def _location(spark: SparkSession, name: str) -> str | None:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").collect()
-    return rows[0]["data_type"] if rows else None
+def _delete(spark: SparkSession, path: str) -> None:
+    files, folder = _folder(spark, path)
+    files.delete(folder, True)
 
 
-def _switch(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
-    """Replace table ``name``: the rows are written to a new location and registered under a
-    temporary name; only then do the names change.  A write that fails leaves the old table
-    as it was, and ``df`` may read the table it replaces."""
-    spark = df.sparkSession
-    zone, table = name_parts(name) if len(name_parts(name)) == 2 else (spark.catalog.currentDatabase(), *name_parts(name))
+def _plain(path: str) -> str:
+    """A location as the catalog gives it (a URI) as a path."""
+    return re.sub(r"^file:/+", "/", unquote(path)).rstrip("/")
+
+
+def _details(spark: SparkSession, name: str) -> dict[str, str]:
+    """Location, type and comment of a table."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    at = next((i for i, r in enumerate(rows) if r["col_name"] == "# Detailed Table Information"), len(rows))
+    return {r["col_name"]: r["data_type"] for r in rows[at:]}
+
+
+def table_location(spark: SparkSession, name: str) -> str | None:
+    """The folder of a table's current version."""
+    location = _details(spark, name).get("Location")
+    return _plain(location) if location else None
+
+
+def partition_columns(spark: SparkSession, name: str) -> list[str]:
+    """The columns that a table is laid out by."""
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
+def _untracked(spark: SparkSession) -> SparkSession:
+    """A session over the same catalog that registers tables without partition entries; the
+    caller's session keeps its settings."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.hive.manageFilesourcePartitions", "false")
+    return session
+
+
+def _columns(schema: T.StructType) -> str:
+    out = []
+    for f in schema.fields:
+        comment = f.metadata.get("comment")
+        out.append(f"{quote(f.name)} {f.dataType.simpleString()}{f' COMMENT {_text(comment)}' if comment else ''}")
+    return ", ".join(out)
+
+
+def _register(spark: SparkSession, name: str, schema: T.StructType, partition_by: Sequence[str], path: str,
+              comment: str | None) -> None:
+    layout = f" PARTITIONED BY ({', '.join(map(quote, partition_by))})" if partition_by else ""
+    said = f" COMMENT {_text(comment)}" if comment else ""
+    _untracked(spark).sql(f"CREATE TABLE {name} ({_columns(schema)}) USING parquet{layout}{said} LOCATION {_text(path)}")
+
+
+def _same(a: T.StructType, b: T.StructType) -> bool:
+    return [(f.name, f.dataType) for f in a.fields] == [(f.name, f.dataType) for f in b.fields]
+
+
+def _in_order(schema: T.StructType, partition_by: Sequence[str]) -> T.StructType:
+    """The columns as a table has them: those of the layout last."""
+    last = {c.lower(): i for i, c in enumerate(partition_by)}
+    fields = [f for f in schema.fields if f.name.lower() not in last]
+    return T.StructType(fields + sorted((f for f in schema.fields if f.name.lower() in last), key=lambda f: last[f.name.lower()]))
+
+
+def _versioned(spark: SparkSession, name: str, layout: Sequence[str]) -> bool:
+    """Whether replacing the table may keep its entry: one of ours, without partition entries."""
+    details = _details(spark, name)
+    if VERSION not in _plain(details.get("Location", "")).rsplit("/", 1)[-1]:
+        return False
+    return not layout or details.get("Partition Provider", "") != "Catalog"
+
+
+def _point_at(spark: SparkSession, name: str, schema: T.StructType, partition_by: Sequence[str], path: str) -> None:
+    """Make ``path`` the current version of table ``name``."""
+    zone, table = _zone_and_table(spark, name)
+    name = table_name(zone, table)
+    if not spark.catalog.tableExists(name):
+        _register(spark, name, schema, partition_by, path, None)
+        return
+    old, layout = spark.table(name).schema, partition_columns(spark, name)
+    if layout == list(partition_by) and _same(old, schema) and _versioned(spark, name, layout):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION {_text(path)}")
+        spark.catalog.refreshTable(name)
+        return
+    # another schema or layout: comments of the table, and of columns that stay, are kept
+    comments = {f.name.lower(): f.metadata["comment"] for f in old.fields if f.metadata.get("comment")}
+    kept = T.StructType([T.StructField(f.name, f.dataType, True, {"comment": comments[f.name.lower()], **f.metadata})
+                         if f.name.lower() in comments else f for f in schema.fields])
     tag = uuid.uuid4().hex[:12]
-    path = f"{unquote(spark.catalog.getDatabase(zone).locationUri).rstrip('/')}/{table}{VERSION}{tag}"
-    fresh, old = table_name(zone, f"{table}__new_{tag}"), table_name(zone, f"{table}__old_{tag}")
-    w = df.write.format("parquet").mode("errorifexists").option("path", path)
+    fresh, before = table_name(zone, f"{table}__new_{tag}"), table_name(zone, f"{table}__old_{tag}")
+    _register(spark, fresh, kept, partition_by, path, _details(spark, name).get("Comment"))
+    spark.sql(f"ALTER TABLE {name} RENAME TO {before}")
     try:
-        (w.partitionBy(*partition_by) if partition_by else w).saveAsTable(fresh)
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
     except Exception:
-        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
-        _delete(spark, path)
+        spark.sql(f"ALTER TABLE {before} RENAME TO {name}")
+        spark.sql(f"DROP TABLE {fresh}")
         raise
-    name = table_name(zone, table)
-    replaced = spark.catalog.tableExists(name)
-    if replaced:
-        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+    spark.sql(f"DROP TABLE {before}")  # of a version, its entry alone: the folder stays
+
+
+def _describe(spark: SparkSession, path: str, schema: T.StructType, partition_by: Sequence[str]) -> None:
+    files, folder = _folder(spark, f"{path}/{DESCRIPTION_FILE}")
+    out = files.create(folder, True)
     try:
-        spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
+        out.write(bytearray(json.dumps({"schema": json.loads(schema.json()), "partition_by": list(partition_by)}).encode()))
+    finally:
+        out.close()
+
+
+def _description(spark: SparkSession, path: str) -> tuple[T.StructType, list[str]] | None:
+    files, file = _folder(spark, f"{path}/{DESCRIPTION_FILE}")
+    if not files.exists(file):
+        return None
+    stream = files.open(file)
+    try:
+        data = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+    return T.StructType.fromJson(data["schema"]), data["partition_by"]
+
+
+def _prefix(spark: SparkSession, zone: str, table: str) -> str:
+    return f"{_plain(spark.catalog.getDatabase(zone).locationUri)}/{table}{VERSION}"
+
+
+def _switch(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
+    """Replace table ``name`` by a new version; only when its rows are written does the name change."""
+    spark = df.sparkSession
+    zone, table = _zone_and_table(spark, name)
+    path = f"{_prefix(spark, zone, table)}{datetime.now(timezone.utc).strftime(STAMP)}-{uuid.uuid4().hex[:6]}"
+    partition_by = [next((f for f in df.columns if f.lower() == c.lower()), c) for c in partition_by]
+    schema = _in_order(df.schema, partition_by)
+    try:
+        w = df.write.mode("errorifexists")
+        (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
+        _describe(spark, path, schema, partition_by)
     except Exception:
-        if replaced:
-            spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
+        _delete(spark, path)
         raise
-    if replaced:
-        left = _location(spark, old)
-        spark.sql(f"DROP TABLE {old}")
-        if left and VERSION in left.rsplit("/", 1)[-1]:  # a version that this function wrote
-            _delete(spark, unquote(left))
+    _point_at(spark, table_name(zone, table), schema, partition_by, path)
+
+
+def versions(spark: SparkSession, name: str) -> list[dict]:
+    """The whole versions of a table, newest first: ``version``, ``path``, ``written`` (UTC) and
+    ``current``.  One listing of the zone's folder."""
+    zone, table = _zone_and_table(spark, name)
+    prefix = _prefix(spark, zone, table)
+    files, folder = _folder(spark, prefix.rsplit("/", 1)[0])
+    now = table_location(spark, name) if spark.catalog.tableExists(name) else None
+    out = []
+    if files.exists(folder):
+        for status in files.listStatus(folder):
+            path = status.getPath().toUri().getPath() if prefix.startswith("/") else status.getPath().toString()
+            stamp = path[len(prefix):] if path.startswith(prefix) else ""
+            if re.fullmatch(r"\d{8}T\d{12}-[0-9a-f]{6}", stamp) and files.exists(_folder(spark, f"{path}/{DESCRIPTION_FILE}")[1]):
+                written = datetime.strptime(stamp.split("-")[0], STAMP).replace(tzinfo=timezone.utc)
+                out.append({"version": stamp, "path": path, "written": written, "current": path == now})
+    return sorted(out, key=lambda v: v["version"], reverse=True)
+
+
+def _version(spark: SparkSession, name: str, version: str) -> str:
+    for v in versions(spark, name):
+        if v["version"] == version:
+            return v["path"]
+    raise KeyError(f"{name} has no version {version!r}")
+
+
+def scan_version(spark: SparkSession, name: str, version: str) -> DataFrame:
+    """The rows of an earlier version, by its own columns and layout."""
+    path = _version(spark, name, version)
+    schema, _ = _description(spark, path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def restore_version(spark: SparkSession, name: str, version: str) -> None:
+    """Make an earlier version the current one again; no rows are copied."""
+    path = _version(spark, name, version)
+    schema, partition_by = _description(spark, path)
+    _point_at(spark, name, schema, partition_by, path)
+
+
+def vacuum(spark: SparkSession, name: str, keep: int = 0, older_than: timedelta = timedelta(0)) -> list[str]:
+    """Delete the folders of a table's versions except the current one, the ``keep`` newest others
+    and those written less than ``older_than`` ago; returns the versions deleted.  Frames that
+    still read them fail from then on.  Not to be run beside a replacement of the same table."""
+    limit = datetime.now(timezone.utc) - older_than
+    old = [v for v in versions(spark, name) if not v["current"]][keep:]
+    gone = [v for v in old if v["written"] <= limit]
+    for v in gone:
+        _delete(spark, v["path"])
+    return [v["version"] for v in gone]
 
 
 def write_replace(df: DataFrame, name: str) -> None:
-    """S3: overwrite rows and schema."""
+    """S3: overwrite rows and schema; a layout goes with the old schema, comments stay."""
     _switch(df, name)
 
 
@@ -91,13 +275,18 @@ def _schema_key(df: DataFrame) -> dict[str, str]:
 
 
 def write_overwrite(df: DataFrame, name: str) -> None:
-    """Overwrite rows; the target's columns must stay the same (names and types)."""
+    """Overwrite rows; the target's columns must stay the same (names and types), and it keeps
+    its spelling and order of columns, its layout and its comments."""
     spark = df.sparkSession
+    layout: list[str] = []
     if spark.catalog.tableExists(name):
-        old, new = _schema_key(spark.table(name)), _schema_key(df)
+        target = spark.table(name)
+        old, new = _schema_key(target), _schema_key(df)
         if old != new:
             raise ValueError(f"schema of {name} would change: {old} -> {new} (use write_replace)")
-    _switch(df, name)
+        df = df.select(*[F.col(quote(c)).alias(c) for c in target.columns])
+        layout = partition_columns(spark, name)
+    _switch(rebalanced(df, layout) if layout else df, name, layout)
 
 
 def rebalanced(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -139,6 +328,8 @@ def append_table(df: DataFrame, name: str) -> None:
         raise ValueError(f"{name}: other types in {changed}")
     if added := [f for c, f in new.items() if c not in old]:
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'{quote(f.name)} {f.dataType.simpleString()}' for f in added)})")
-    target = spark.table(name).schema.fields
+    target = spark.table(name).schema
     df.select(*[F.col(quote(new[f.name.lower()].name)).alias(f.name) if f.name.lower() in new
-                else F.lit(None).cast(f.dataType).alias(f.name) for f in target]).write.insertInto(name)
+                else F.lit(None).cast(f.dataType).alias(f.name) for f in target.fields]).write.insertInto(name)
+    if added and (path := table_location(spark, name)) and _description(spark, path):
+        _describe(spark, path, target, partition_columns(spark, name))
