@@ -44,7 +44,8 @@ def test_partitioned_tables_with_empty_edges_and_text_times(spark, tmp):
     rows = [("2014-03-05 00:00:00", 2014, 3), ("2016-01-02 00:00:00", 2016, 1), (None, None, None)]
     df = spark.createDataFrame(rows, "t string, pickup_year int, pickup_month int").select(
         F.to_timestamp("t").alias("pickup_datetime"), "pickup_year", "pickup_month")
-    write_partitioned(df, "t_wm_part.a")
+    # a table of another tool, with partition entries in the catalog
+    df.write.partitionBy("pickup_year", "pickup_month").saveAsTable("t_wm_part.a")
     spark.sql("ALTER TABLE t_wm_part.a ADD PARTITION (pickup_year = 2017, pickup_month = 1)")
     text = [("9/1/2013", 2013, 9), ("10/1/2012", 2012, 10), ("1/1/2014", 2014, 1)]
     write_partitioned(spark.createDataFrame(text, "pickup_datetime string, pickup_year int, pickup_month int"), "t_wm_part.b")

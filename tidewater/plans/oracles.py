@@ -142,6 +142,14 @@ UNION ALL BY NAME SELECT * FROM yellow_clean""",
     "taxi_load": TAXI_CTE + """SELECT * REPLACE (CAST(rate_code_id AS VARCHAR) AS rate_code_id) FROM green_clean
 UNION ALL BY NAME SELECT * FROM yellow_clean""",
     "partitioned_write": TAXI_CTE + "SELECT * FROM green_clean",
+    "table_versions": TAXI_CTE + f""", one_era AS (
+  SELECT CAST(year({TS('pickup_datetime')}) AS INTEGER) AS pickup_year, {INT('Passenger_count')} AS passenger_count FROM ({RAW_G2})
+), seen AS (
+  SELECT reader, pickup_year, passenger_count FROM one_era, (SELECT unnest(['held first', 'read first']) AS reader)
+  UNION ALL SELECT reader, pickup_year, passenger_count FROM green_clean, (SELECT unnest(['held second', 'restored']) AS reader)
+)
+SELECT reader, pickup_year, count(*) AS n_trips, CAST(sum(passenger_count) AS BIGINT) AS n_passengers FROM seen GROUP BY ALL
+UNION ALL SELECT 'held third', NULL, count(*), NULL FROM ({RAW_Y1})""",
 }
 
 

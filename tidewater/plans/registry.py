@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -95,6 +96,33 @@ def q_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_table(spark, zone, "green_taxi_merged")
 
 
+def q_table_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3, S4, S6 with readers: a partitioned clean table is written, overwritten with more eras (its
+    layout stays), replaced by another schema and restored.  Trips by year as each reader sees them:
+    frames held across the replacements, the first version read by name, and the table at last."""
+    from tidewater.sources.tables import restore_version, scan_version, versions
+
+    zone = _unique("tw_versions")
+    ensure_zone(spark, zone, scratch_path(spark, zone))
+    name = table_name(zone, "green_clean")
+    write_partitioned(taxi.clean_green(_raw(spark, sf_dir, "g2")), name)
+    first = scan_table(spark, zone, "green_clean")
+    write_overwrite(taxi.clean_green(_green_merged(spark, sf_dir)), name)
+    second = scan_table(spark, zone, "green_clean")
+    write_replace(_raw(spark, sf_dir, "y1"), name)
+    third = scan_table(spark, zone, "green_clean")
+    newest, middle, oldest = (v["version"] for v in versions(spark, name))
+    restore_version(spark, name, middle)
+    views = {"held first": first, "held second": second, "read first": scan_version(spark, name, oldest),
+             "restored": scan_table(spark, zone, "green_clean")}
+    by_year = [df.groupBy("pickup_year").agg(F.count(F.lit(1)).alias("n_trips"), F.sum("passenger_count").alias("n_passengers"))
+               .select(F.lit(k).alias("reader"), "*") for k, df in views.items()]
+    other = third.agg(F.count(F.lit(1)).alias("n_trips")).select(
+        F.lit("held third").alias("reader"), F.lit(None).cast("int").alias("pickup_year"), "n_trips",
+        F.lit(None).cast("long").alias("n_passengers"))
+    return reduce(lambda a, b: a.unionByName(b), [*by_year, other])
+
+
 def q_rename_if_present(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ingest renames, then the late-yellow renames, applied to each yellow era
     (no-ops where a name is absent), the eras united by name."""
@@ -514,6 +542,7 @@ QUERIES: dict[str, Query] = {
     "csv_scan_rename": q_csv_scan_rename,
     "stream_ingest": q_stream_ingest,
     "table_roundtrip": q_table_roundtrip,
+    "table_versions": q_table_versions,
     "rename_if_present": q_rename_if_present,
     "canonical_case": q_canonical_case,
     "lenient_int": q_lenient_int,
