@@ -5,14 +5,14 @@ from __future__ import annotations
 
 import re
 import sys
+import warnings
 from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from urllib.parse import unquote
 
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +22,10 @@ from tidewater.operators.merge import merge_eras
 # Workers need no copy of this package: its functions travel with the job.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# Tasks that read headers at most, and files whose headers are broadcast at most.
+HEADER_TASKS = 4096
+HEADER_BROADCAST = 100_000
+
 # Header probes are tiny jobs (one task reading one line per file); at least this many
 # run at once, more on a larger cluster (its default parallelism), at most the ceiling.
 HEADER_PROBE_THREADS = 8
@@ -41,81 +45,127 @@ def read_header(spark: SparkSession, path: str) -> list[str]:
     return spark.read.option("header", True).csv(path).columns
 
 
+def literal(spark: SparkSession, path: str) -> str:
+    """``path`` for a reader: a file or folder of that very name is meant where there is one, else
+    the name is a glob."""
+    if not re.search(r"[\[\]{}*?\\]", path):
+        return path
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path) if there else path
+
+
 def first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(path, line): the first line of each file, read by the executors."""
-    from pyarrow import fs
+    """(file, path, line): the first line of each file, read by the executors; no line for files in
+    stores that pyarrow has no client for, an empty one for empty files."""
+    from pyarrow import ArrowInvalid, ArrowNotImplementedError, fs
 
     for batch in batches:
-        lines = []
+        lines: list[str | None] = []
         for path in batch["path"]:
             if path.startswith("file:"):
                 store, inner = fs.LocalFileSystem(), re.sub(r"^file:/+", "/", path)
             else:
-                store, inner = fs.FileSystem.from_uri(path)
+                try:
+                    store, inner = fs.FileSystem.from_uri(path)
+                except (ArrowInvalid, ArrowNotImplementedError):  # unknown scheme, or built without its client
+                    lines.append(None)
+                    continue
             with store.open_input_stream(inner) as f:
                 raw = b""
                 while b"\n" not in raw and (more := f.read(1 << 16)):
                     raw += more
             lines.append(raw.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8", "replace"))
-        yield pd.DataFrame({"path": batch["path"], "line": lines})
+        yield pd.DataFrame({"file": batch["file"], "path": batch["path"], "line": pd.Series(lines, dtype=object)})
 
 
-def headers_of(spark: SparkSession, files: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
-    """Header -> files, in the files' order.  One job reads all first lines; each different
-    line is then parsed by Spark once.  Stores that only Spark opens are probed by a job
-    for each file."""
-    try:
-        paths = spark.createDataFrame([(f,) for f in files], "path string").repartition(max(1, min(len(files), 4096)))
-        found = dict(paths.mapInPandas(first_lines, "path string, line string").toPandas().itertuples(index=False))
-    except Exception as e:  # noqa: BLE001 - whatever pyarrow says of a store it can't open
-        if isinstance(e, AnalysisException):
-            raise
-        with ThreadPoolExecutor(max_workers=probe_threads(spark, len(files))) as pool:
-            found = dict(zip(files, pool.map(lambda p: tuple(read_header(spark, p)), files)))
-    parsed: dict = {}
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for f in files:
-        key = found[f]
-        if key not in parsed:
-            parsed[key] = key if isinstance(key, tuple) else tuple(read_header(spark, f))
-        groups.setdefault(parsed[key], []).append(f)
-    return groups
+def file_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(file, path, line) of every file below ``paths``, pinned: found and read by the executors.
+    ``file`` is the name a scan of the file gives it (``_metadata.file_path``)."""
+    from tidewater.session import pinned
 
+    found = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
+             .select(F.col("_metadata.file_path").alias("file"), "path").coalesce(HEADER_TASKS))
+    schema = "file string, path string, line string"
+    lines = pinned(found.mapInPandas(first_lines, schema), "csv-headers")
+    others = [tuple(r) for r in lines.where("line IS NULL").select("file", "path").collect()]
+    if others:
+        warnings.warn(f"{len(others)} CSV headers are read by a Spark job each, such as that of {others[0][1]}", stacklevel=3)
+        with ThreadPoolExecutor(max_workers=probe_threads(spark, len(others))) as pool:
+            probed = list(pool.map(lambda x: (*x, header_line(spark, x[1])), others))
+        lines = pinned(lines.where("line IS NOT NULL").unionByName(spark.createDataFrame(probed, schema)), "csv-headers")
+    return lines
 
-def string_schema(names: Sequence[str]) -> T.StructType:
-    return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+
+def header_line(spark: SparkSession, path: str) -> str:
+    row = spark.read.text(literal(spark, path)).first()
+    return row[0] if row else ""
 
 
-def _read_group(spark: SparkSession, names: Sequence[str], paths: Sequence[str]) -> DataFrame:
-    # The header was checked for every file, so the schema is given (no inference job)
-    # and the reader maps columns by position, which is now known to be right.
-    return spark.read.schema(string_schema(names)).option("header", True).csv(list(paths))
+def string_schema(names: Sequence[str]) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
 
 def scan_csv(spark: SparkSession, paths: Sequence[str] | str, by_name: bool = False) -> DataFrame:
     """Read CSVs with a header line, every column as text, blank fields as NULL.
 
-    ``paths`` is a path or a list of paths (files, folders or globs).  A plain multi-file
-    read takes the header of one file and maps every other file by position; here each
-    file's header is read first.  Files sharing a header are read together in one
-    scan.  Differing headers raise, unless ``by_name=True``: then each header group is
-    read on its own and the groups are united by column name (missing columns NULL).
+    ``paths`` is a path or a list of paths: files, folders (with all folders below) or globs; an
+    existing name is taken literally, whatever characters it has.  A plain multi-file read takes
+    the header of one file and maps every other file by position; here the executors read the
+    first line of each file, and only the different lines come to the driver.  Differing headers
+    raise, unless ``by_name=True``: then one scan reads all files by position, and each field goes
+    to the column that its own file's header names (columns united as by U2, missing ones NULL).
+    Empty files have no header and no rows; a file that comes after its header was looked for fails.
     """
-    paths = [paths] if isinstance(paths, str) else list(paths)
+    paths = [literal(spark, p) for p in ([paths] if isinstance(paths, str) else paths)]
     if not paths:
         raise ValueError("scan_csv needs at least one path")
-    # folders and globs become files first: every file's header is checked
-    files = sorted(unquote(f) for f in spark.read.text(paths).inputFiles())
-    if not files:
-        raise ValueError(f"no files below {paths}")
-    groups = headers_of(spark, files)
-    if len(groups) == 1:
-        (names, group_paths), = groups.items()
-        return _read_group(spark, names, group_paths)
+    lines = file_lines(spark, paths)
+    distinct = (lines.where("line != ''").groupBy("line").agg(F.min("path").alias("path"), F.count(F.lit(1)).alias("n"))
+                .orderBy("path").collect())
+    if not distinct:
+        raise ValueError(f"no CSV with a header below {paths}")
+    headers: dict[tuple[str, ...], str] = {}
+    ids = []
+    for r in distinct:  # each different line is parsed by Spark, once
+        names = tuple(read_header(spark, literal(spark, r["path"])))
+        headers.setdefault(names, r["path"])
+        ids.append((r["line"], list(headers).index(names)))
+    reader = spark.read.options(header=True, recursiveFileLookup=True)
+    if len(headers) == 1:
+        # every file's header is known, so the reader's mapping by position is right
+        return reader.schema(string_schema(next(iter(headers)))).csv(paths)
     if not by_name:
-        detail = "; ".join(f"{ps[0]}: {list(h)}" for h, ps in groups.items())
+        detail = "; ".join(f"{p}: {list(h)}" for h, p in headers.items())
         raise ValueError(f"CSV headers differ between files (pass by_name=True to unite by name): {detail}")
-    return merge_eras(*[_read_group(spark, h, ps) for h, ps in groups.items()])
+    return _scan_by_name(spark, reader, paths, list(headers), lines.join(
+        F.broadcast(spark.createDataFrame(ids, "line string, header int")), "line").select("file", "header"),
+        sum(r["n"] for r in distinct))
+
+
+def _scan_by_name(spark: SparkSession, reader: DataFrameReader, paths: Sequence[str], headers: list[tuple[str, ...]],
+                  files: DataFrame, n_files: int) -> DataFrame:
+    """One scan of files with several headers: field k of a row is the column that the header of the
+    row's file names at k.  ``files``: (file, header number), looked up by a broadcast while they are
+    ``HEADER_BROADCAST`` files at most (some ten MB), else by a join of Spark's choice."""
+    columns = merge_eras(*[spark.createDataFrame([], string_schema(h)) for h in headers]).columns
+    at = [{name.lower(): k for k, name in enumerate(h)} for h in headers]
+    fields = [f"field {k}" for k in range(max(map(len, headers)))]
+    known = files.select(F.xxhash64("file").alias("file hash"), F.col("file").alias("known file"), "header")
+    rows = reader.schema(string_schema(fields)).csv(list(paths)).select(*map(col_of, fields), F.col("_metadata.file_path").alias("file"))
+    same = (F.xxhash64("file") == F.col("file hash")) & (F.col("file") == F.col("known file"))
+    known = F.broadcast(known) if n_files <= HEADER_BROADCAST else known
+    number = F.coalesce("header", F.raise_error(F.concat(F.lit("no header was read of "), F.col("file"))).cast("int"))
+    joined = rows.join(known, same, "left").select(*map(col_of, fields), number.alias("header"))
+
+    def column(name: str) -> Column:
+        value = F.lit(None).cast("string")
+        for k in sorted({h[name.lower()] for h in at if name.lower() in h}):
+            value = F.when(F.col("header").isin([i for i, h in enumerate(at) if h.get(name.lower()) == k]),
+                           col_of(fields[k])).otherwise(value)
+        return value.alias(name)
+
+    return joined.select(*map(column, columns))
 
 
 def append_evolve(df: DataFrame, path: str) -> None:
