@@ -12,7 +12,7 @@ feature's bucket is the crc32 of its bytes modulo ``buckets``.
    of its id.  The highest scores are a draw without replacement in proportion to the weights.
 4. Ranks: a histogram of scores, summed up from above, tells how many rows have a higher score
    and where the draw ends; only rows above that are ordered, each score by itself, so no task
-   sorts the whole draw.  (The sums run over runs of 1,024 neighbouring scores first.)
+   sorts the whole draw.  (The sums run over runs of 128 neighbouring scores first.)
 
 A task holds one Arrow batch of texts and the offsets of ``SLICE`` characters.
 
@@ -162,7 +162,7 @@ def ranked(scored: DataFrame, store: Callable[[DataFrame], DataFrame], eligible:
     """``scored`` with the rank of the rows drawn: floor(percent * N / 100) of the N eligible ones."""
     hist = store(scored.filter(eligible).groupBy("score").agg(F.count(F.lit(1)).alias("n")))
     draw = (hist.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] * percent) // 100
-    run = F.shiftright("score", 10)
+    run = F.shiftright("score", 7)
     above = Window.orderBy(F.desc("run")).rowsBetween(Window.unboundedPreceding, -1)
     runs = (hist.groupBy(run.alias("run")).agg(F.sum("n").alias("n"))
             .withColumn("higher", F.coalesce(F.sum("n").over(above), F.lit(0))).drop("n"))
