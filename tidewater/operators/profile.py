@@ -1,31 +1,33 @@
 """Column profiles of numeric columns (count, moments, distinct count, quantiles).
 
-Everything stays on the executors; only one row per column reaches the result.
+Everything that grows with the data stays on the executors.
 
 1. One scan: the long form ``(col_idx, i, d)`` of the numeric columns, whole numbers as
    ``i`` (bigint, exact) and the others as ``d`` (double), is aggregated to distinct
    (value, count) pairs.  Partial aggregation collapses a hot value to one row per task.
-   The pairs are pinned as a table; everything else reads them.
-2. One aggregation per column: counts, extremes, sums and 255 approximate quantiles of
-   the distinct values, which cut the column's values into buckets.
-3. Each pair's bucket is a value computed from those cuts.  Per (column, bucket): rows and
-   central moments.  Running sums over the buckets (256 rows a column) give the rank at
-   which each bucket starts, exactly, whatever the cuts.
-4. Only the buckets that hold a wanted rank are ranked: running counts in (column,
-   bucket), then an equi-join with the wanted ranks (10 a column).
-
-Exact at any size, with no group in one task but one bucket's pairs (about 1/256 of a
-column's distinct values, sorted with spilling).  ``approx=True`` instead takes HyperLogLog++
+   The pairs are pinned as a table, each with an order-preserving 64-bit image of its value;
+   everything else reads them.
+2. One aggregation: counts, extremes and sums, one row a column.
+3. Exact quantiles by radix selection: the images of a column, counted from its smallest one, are
+   cut into at most 65,536 digits by their leading bits; rows are counted by digit (the central
+   moments are added up on the way), and running sums over these counters tell the digit that
+   holds each wanted rank (10 a column).  Where it holds over ``FEW`` distinct values, its rows
+   are counted again by the next 16 bits, at most four times in all.  Only counters are shuffled.
+4. The at most ``FEW`` distinct values around each wanted rank are put in order.
+
+Exact at any size: no step sorts a share of a column.  ``approx=True`` instead takes HyperLogLog++
 distinct counts and Greenwald-Khanna quantiles in a single pass.  ``n`` profiles the first
 ``n`` rows only (L1), if a caller asks for it.
 """
 
 from __future__ import annotations
 
+import math
+import sys
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,11 +36,9 @@ from tidewater.session import pinned
 from tidewater.sources.catalog import table_names
 from tidewater.sources.tables import scan_table
 
-# Fixed value: rows the reference profiles per table, for callers who ask for that cap.
-PROFILE_ROW_CAP = 100000
-
-# Buckets that a column's distinct values are cut into to find exact ranks.
-BUCKETS = 256
+# Bits of a digit of the radix selection, and distinct values that are few enough to be ordered.
+DIGIT = 16
+FEW = 1 << 16
 
 # The quantiles reported, by output column.
 QUANTILES = {"q05": 0.05, "q25": 0.25, "q50": 0.5, "q75": 0.75, "q95": 0.95}
@@ -103,8 +103,8 @@ def _as_double() -> Column:
 
 
 def _column_stats(pairs: DataFrame) -> DataFrame:
-    """Step 2: counts, extremes, sums and cuts, one row per column."""
-    c, cuts = F.col("c"), F.array(*[F.lit(k / BUCKETS) for k in range(1, BUCKETS)])
+    """Step 2: counts, extremes and sums, one row per column."""
+    c = F.col("c")
     counted = lambda cond: F.coalesce(F.sum(F.when(cond, c)), F.lit(0))
     return pairs.groupBy("col_idx").agg(
         F.sum(c).alias("n_rows"),
@@ -115,44 +115,97 @@ def _column_stats(pairs: DataFrame) -> DataFrame:
         F.min("i").alias("min_int"), F.max("i").alias("max_int"), F.min("d").alias("min_d"), F.max("d").alias("max_d"),
         F.coalesce(F.sum(F.col("d") * c), F.sum(F.col("i").cast("decimal(19,0)") * c.cast("decimal(19,0)")).cast("double"))
         .alias("sum"),
-        F.percentile_approx("i", cuts, 10 * BUCKETS).alias("cuts_i"),
-        F.percentile_approx("d", cuts, 10 * BUCKETS).alias("cuts_d"),
+        F.min("image").alias("low"), F.max("image").alias("high"),
     ).withColumn("mean", F.try_divide(F.col("sum"), F.col("count")))
 
 
-def _in_buckets(pairs: DataFrame, stats: DataFrame) -> DataFrame:
-    """The pairs with a value, each with its bucket and its column's mean."""
-    cuts = stats.select(F.col("col_idx").alias("s_idx"), "mean", "cuts_i", "cuts_d")
-    bucket = F.when(F.col("i").isNotNull(), F.size(F.filter("cuts_i", lambda x: x <= F.col("i")))) \
-        .otherwise(F.size(F.filter("cuts_d", lambda x: x <= F.col("d"))))
-    return (pairs.where(_has_value()).join(cuts, F.col("col_idx") == F.col("s_idx"))
-            .select("col_idx", "i", "d", "c", "mean", bucket.alias("bucket")))
-
-
-def _bucket_sums(tagged: DataFrame) -> DataFrame:
-    """Step 3: rows and central moments of every (column, bucket)."""
+def _with_image(pairs: DataFrame) -> DataFrame:
+    """Adds ``image``: a bigint in the order of the values of a column.  A whole number is its own
+    image; that of a double is its bits read as a number (its exponent and 52 bits of fraction,
+    worked out by exact arithmetic), with its sign."""
+    e, power = F.col("e_"), lambda x: F.pow(F.lit(2.0), x)
+    size = F.abs("d")
+    plain = size.between(2.0 ** -1022, sys.float_info.max)
+    # the logarithm may be rounded over a whole number: one step back or forth mends it
+    guess = pairs.withColumn("e_", F.when(plain, F.floor(F.log2(size)).cast("int")))
+    part = size / power(e)
+    sure = guess.withColumn("e_", F.when(part >= 2, e + 1).when(part < 1, e - 1).otherwise(e))
+    one = 1 << 52
+    bits = (F.when(plain, (e + 1023).cast("long") * one + ((size / power(e) - 1) * float(one)).cast("long"))
+            .when(size > 1, F.lit(2047 * one)).otherwise((size * 2.0 ** 537 * 2.0 ** 537).cast("long")))
+    return sure.withColumn("image", F.coalesce("i", F.when(F.col("d") < 0, -bits).otherwise(bits))).drop("e_")
+
+
+def _digit(shift: str = "shift") -> Column:
+    """The leading bits of an image counted from the column's smallest (``base``), in halves so
+    that the difference of any two images fits."""
+    return F.call_function("shiftright", F.shiftright("image", 1) - F.col("base"), F.col(shift))
+
+
+def _wanted_ranks(n: int) -> list[int]:
+    return sorted({r for q in QUANTILES.values() for r in (math.floor(q * (n - 1)), math.ceil(q * (n - 1)))}) if n else []
+
+
+def _select(pairs: DataFrame, stats: list[Row], few: int) -> tuple[list[dict], dict[int, Row]]:
+    """Step 3: for each column and wanted rank the digit that holds it (its column, shift, digit, the
+    rank at which it starts and its distinct values), and each column's central moments."""
+    spark = pairs.sparkSession
+    columns = [(r["col_idx"], r["mean"], r["low"] >> 1, max(0, ((r["high"] >> 1) - (r["low"] >> 1)).bit_length() - DIGIT),
+                _wanted_ranks(r["count"])) for r in stats if r["count"]]
+    if not columns:
+        return [], {}
+    params = spark.createDataFrame(columns, "p_idx int, mean double, base long, shift int, ranks array<long>")
     off = _as_double() - F.col("mean")
-    return tagged.groupBy("col_idx", "bucket").agg(
-        F.sum("c").alias("tot"), *[F.sum(F.col("c") * F.pow(off, F.lit(k))).alias(f"m{k}") for k in (2, 3, 4)])
-
-
-def _exact_quantiles(tagged: DataFrame, sums: DataFrame) -> DataFrame:
-    """Step 4: the quantiles of every column, linear between order statistics."""
+    counters = (pairs.join(F.broadcast(params.drop("ranks")), F.col("col_idx") == F.col("p_idx"))
+                .groupBy("col_idx", "base", "shift", _digit().alias("digit"))
+                .agg(F.sum("c").alias("tot"), F.count(F.lit(1)).alias("values"),
+                     *[F.sum(F.col("c") * F.pow(off, F.lit(k))).alias(f"m{k}") for k in (2, 3, 4)]))
     every = Window.partitionBy("col_idx")
-    before = every.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    qs = F.array(*[F.struct(F.lit(k).alias("qname"), F.lit(q).alias("q")) for k, q in QUANTILES.items()])
-    wanted = (sums.select("col_idx", "bucket", "tot", F.coalesce(F.sum("tot").over(before), F.lit(0)).alias("start"),
-                          F.sum("tot").over(every).alias("n"))
-              .select("*", F.inline(qs)).withColumn("pos", F.col("q") * (F.col("n") - 1))
-              .select("*", F.explode(F.array(F.floor("pos"), F.ceil("pos"))).alias("r")).distinct()
-              .where((F.col("r") >= F.col("start")) & (F.col("r") < F.col("start") + F.col("tot")))
-              .select(F.col("col_idx").alias("t_idx"), F.col("bucket").alias("t_bucket"), "start", "qname", "pos", "r"))
-    buckets = wanted.select("t_idx", "t_bucket", "start").distinct()
-    inside = tagged.join(buckets, (F.col("col_idx") == F.col("t_idx")) & (F.col("bucket") == F.col("t_bucket")))
-    run = Window.partitionBy("col_idx", "bucket").orderBy("i", "d").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = inside.select("col_idx", "bucket", "i", "d", "c",
-                           (F.col("start") + F.coalesce(F.sum("c").over(run), F.lit(0))).alias("r0"))
-    hits = ranked.join(wanted, (F.col("col_idx") == F.col("t_idx")) & (F.col("bucket") == F.col("t_bucket"))
+    moments = [F.sum(f"m{k}").over(every).alias(f"m{k}") for k in (2, 3, 4)]
+    held = (counters.select("col_idx", "base", "shift", "digit", "tot", "values", *moments, _before(every).alias("start"))
+            .join(F.broadcast(params.select("p_idx", F.explode("ranks").alias("r"))),
+                  (F.col("col_idx") == F.col("p_idx")) & (F.col("r") >= F.col("start")) & (F.col("r") < F.col("start") + F.col("tot")))
+            .collect())  # 10 rows a column
+    found = [{k: r[k] for k in ("col_idx", "r", "base", "shift", "digit", "start", "values")} for r in held]
+    while wide := [f for f in found if f["values"] > few and f["shift"] > 0]:
+        found = [f for f in found if f not in wide] + _narrowed(pairs, wide)
+    return found, {r["col_idx"]: r for r in held}
+
+
+def _before(group: WindowSpec) -> Column:
+    """The rows counted under smaller digits."""
+    return F.coalesce(F.sum("tot").over(group.orderBy("digit").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+
+def _narrowed(pairs: DataFrame, wide: list[dict]) -> list[dict]:
+    """One more pass: the next bits of the digits given."""
+    spark = pairs.sparkSession
+    rows = [(f["col_idx"], f["base"], f["shift"], max(0, f["shift"] - DIGIT), f["digit"], f["start"], f["r"]) for f in wide]
+    wanted = spark.createDataFrame(rows, "p_idx int, base long, shift int, next int, outer long, from long, r long")
+    digits = wanted.select("p_idx", "base", "shift", "next", "outer", "from").distinct()
+    inner = pairs.join(F.broadcast(digits), (F.col("col_idx") == F.col("p_idx")) & (_digit() == F.col("outer")))
+    group = Window.partitionBy("col_idx", "outer")
+    counters = (inner.groupBy("col_idx", "outer", "from", "base", "next", _digit("next").alias("digit"))
+                .agg(F.sum("c").alias("tot"), F.count(F.lit(1)).alias("values"))
+                .withColumn("start", F.col("from") + _before(group)))
+    ranks = wanted.select("p_idx", F.col("outer").alias("p_outer"), "r")
+    held = counters.join(F.broadcast(ranks), (F.col("col_idx") == F.col("p_idx")) & (F.col("outer") == F.col("p_outer"))
+                         & (F.col("r") >= F.col("start")) & (F.col("r") < F.col("start") + F.col("tot"))).collect()
+    return [{**{k: r[k] for k in ("col_idx", "r", "base", "digit", "start", "values")}, "shift": r["next"]} for r in held]
+
+
+def _exact_quantiles(pairs: DataFrame, stats: list[Row], found: list[dict]) -> DataFrame:
+    """Step 4: the quantiles of every column, linear between order statistics."""
+    spark = pairs.sparkSession
+    digits = spark.createDataFrame(list({(f["col_idx"], f["base"], f["shift"], f["digit"], f["start"]) for f in found}),
+                                   "p_idx int, base long, shift int, outer long, from long")
+    inside = pairs.join(F.broadcast(digits), (F.col("col_idx") == F.col("p_idx")) & (_digit() == F.col("outer")))
+    run = Window.partitionBy("col_idx", "shift", "outer").orderBy("image", "i", "d").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = inside.select("col_idx", "i", "d", "c", (F.col("from") + F.coalesce(F.sum("c").over(run), F.lit(0))).alias("r0"))
+    rows = [(r["col_idx"], k, q * (r["count"] - 1)) for r in stats if r["count"] for k, q in QUANTILES.items()]
+    wanted = (spark.createDataFrame(rows, "t_idx int, qname string, pos double")
+              .select("*", F.explode(F.array_distinct(F.array(F.floor("pos"), F.ceil("pos")))).alias("r")))
+    hits = ranked.join(F.broadcast(wanted), (F.col("col_idx") == F.col("t_idx"))
                        & (F.col("r") >= F.col("r0")) & (F.col("r") < F.col("r0") + F.col("c")))
     value = lambda edge: F.max(F.when(F.col("r") == edge("pos"), _as_double()))
     per_q = hits.groupBy("col_idx", "qname", "pos").agg(value(F.floor).alias("lo"), value(F.ceil).alias("hi"))
@@ -161,14 +214,17 @@ def _exact_quantiles(tagged: DataFrame, sums: DataFrame) -> DataFrame:
     return per_q.groupBy("col_idx").agg(*[F.max(F.when(F.col("qname") == k, at)).alias(k) for k in QUANTILES])
 
 
-def _exact_stats(long: DataFrame) -> DataFrame:
-    pairs = pinned(long.groupBy("col_idx", "i", "d").agg(F.count(F.lit(1)).alias("c")), "profile-pairs")
-    stats = pinned(_column_stats(pairs), "profile-columns")
-    tagged = _in_buckets(pairs, stats)
-    sums = pinned(_bucket_sums(tagged), "profile-buckets")
-    moments = sums.groupBy("col_idx").agg(*[F.sum(f"m{k}").alias(f"m{k}") for k in (2, 3, 4)])
-    return (stats.drop("cuts_i", "cuts_d").join(moments, "col_idx", "left")
-            .join(_exact_quantiles(tagged, sums), "col_idx", "left"))
+def _exact_stats(long: DataFrame, few: int = FEW) -> DataFrame:
+    spark = long.sparkSession
+    pairs = pinned(_with_image(long.groupBy("col_idx", "i", "d").agg(F.count(F.lit(1)).alias("c"))), "profile-pairs")
+    summary = _column_stats(pairs)
+    stats = summary.collect()  # a row for each column
+    valued = pairs.where(_has_value())
+    found, moments = _select(valued, stats, few)
+    kinds = T.StructType([*summary.schema.fields, *[T.StructField(f"m{k}", T.DoubleType()) for k in (2, 3, 4)]])
+    rows = [(*r, *([moments[r["col_idx"]][f"m{k}"] for k in (2, 3, 4)] if r["col_idx"] in moments else [None] * 3)) for r in stats]
+    columns = spark.createDataFrame(rows, kinds).drop("low", "high")
+    return columns.join(F.broadcast(_exact_quantiles(valued, stats, found)), "col_idx", "left")
 
 
 def _approx_stats(long: DataFrame, accuracy: int) -> DataFrame:
