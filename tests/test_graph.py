@@ -68,6 +68,48 @@ def test_one_row_per_key_by_a_stated_rule(spark):
         assert sorted(tuple(r)[:3] for r in upsert_tagged(t, frame, "tag", NOW).collect()) == [("k0", "L", "n"), ("k1", "L", "a")]
 
 
+def test_one_merge_equals_publishing_in_turn(spark, capsys):
+    """Against the single steps: M3 for plain labels, M2 for create-only ones, job by job."""
+    import random
+
+    from tidewater.operators.graph import EDGE_KEY, publish_jobs
+
+    rng = random.Random(4)
+    node = "key string, label string, name string, attrs map<string,string>"
+    edge = "start_key string, start_label string, end_key string, end_label string, type string, reverse_type string"
+
+    def nodes(n):
+        return spark.createDataFrame([(f"k{rng.randint(0, 30)}", rng.choice(["Table", "Description", "Stat"]), f"n{rng.randint(0, 9)}",
+                                       {"a": str(rng.randint(0, 3))}) for _ in range(n)], node)
+
+    def edges(n):
+        return spark.createDataFrame([(f"k{rng.randint(0, 8)}", "A", f"k{rng.randint(0, 8)}", rng.choice("BC"), rng.choice(["T", "U"]), "R")
+                                      for _ in range(n)], edge)
+
+    old = (nodes(40), edges(40))  # with repeated keys, which stay unless a job replaces them
+    jobs = [(nodes(25), edges(25), f"tag{i}") for i in range(3)]
+    expected_nodes, expected_edges = old
+    co = F.col("label") == "Description"
+    for n, e, tag in jobs:
+        stamp = {"publish_tag": F.lit(tag), "last_updated": F.lit(NOW).cast("long")}
+        plain = upsert_tagged(expected_nodes.where(~co), n.where(~co), tag, NOW)
+        kept = insert_only(expected_nodes.where(co), n.where(co).withColumns(stamp))
+        expected_nodes = plain.unionByName(kept, allowMissingColumns=True)
+        expected_edges = upsert_tagged(expected_edges, e, tag, NOW, EDGE_KEY)
+    got_nodes, got_edges = publish_jobs(jobs, NOW, graph=old)
+    key = lambda df, like: sorted((str(r) for r in df.select(*like.columns).collect()))
+    assert key(got_nodes, expected_nodes) == key(expected_nodes, expected_nodes)
+    assert key(got_edges, expected_edges) == key(expected_edges, expected_edges)
+    fresh_nodes, fresh_edges = publish_jobs(jobs, NOW)
+    empty = (spark.createDataFrame([], node), spark.createDataFrame([], edge))
+    again_nodes, again_edges = publish_jobs(jobs, NOW, graph=empty)
+    assert key(fresh_nodes, fresh_nodes) == key(again_nodes, fresh_nodes) and key(fresh_edges, fresh_edges) == key(again_edges, fresh_edges)
+    got_edges.explain()
+    plan = capsys.readouterr().out
+    assert plan.count("LeftAnti") == 1 and "BroadcastHashJoin" in plan  # the graph is neither joined thrice nor shuffled
+    assert "Exchange hashpartitioning" not in plan
+
+
 def test_graph_files_keep_line_breaks_and_blanks(spark, tmp):
     from tidewater.sources.files import read_graph, write_graph
 

@@ -169,20 +169,53 @@ def upsert_tagged(target: DataFrame, incoming: DataFrame, tag: str, now_ms: int,
     return kept.unionByName(stamped, allowMissingColumns=True)
 
 
+def first_of_jobs(jobs: Sequence[DataFrame], keys: Sequence[str], tags: Sequence[str], now_ms: int,
+                  keep_first: Column) -> DataFrame:
+    """The rows that publishing the jobs one after the other leaves of them: one a key, from the last
+    job that has it (from the first one where ``keep_first``), by the rule of :func:`one_per_key`,
+    stamped with that job's tag.  One aggregation over all jobs' rows."""
+    plain = union_all([df.withColumn("job_", F.lit(i)) for i, df in enumerate(jobs)])
+    rest = [c for c in plain.columns if c not in (*keys, "job_")]
+    rank = F.struct(F.when(F.col("first_"), F.col("job_")).otherwise(-F.col("job_")), F.to_json(F.struct(*rest)))
+    ranked = (plain.withColumn("first_", keep_first).groupBy(*keys, "first_")
+              .agg(F.min_by(F.struct(*rest, "job_"), rank).alias("row_")))
+    tag = F.element_at(F.array(*[F.lit(t) for t in tags]), F.col("row_.job_") + 1)
+    return ranked.select(*keys, *[F.col(f"row_.{c}").alias(c) for c in rest], tag.alias("publish_tag"),
+                         F.lit(now_ms).cast("long").alias("last_updated"), "first_")
+
+
+def publish_jobs(jobs: Sequence[tuple[DataFrame, DataFrame, str]], now_ms: int,
+                 create_only_labels: Iterable[str] = (DESCRIPTION,),
+                 graph: tuple[DataFrame, DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Publish several jobs' (nodes, edges, tag) into a graph in one merge, as if each were published
+    in turn (M3); nodes of the create-only labels stay as they are once they exist (M2).
+
+    All jobs' rows are ranked by key first.  What wins is of the size of the metadata and pinned, so
+    that Spark knows its size: the graph's nodes and edges are read once, by one anti-join each,
+    and not shuffled while the winners are small enough to broadcast."""
+    from tidewater.session import pinned
+
+    create_only, tags = list(create_only_labels), [tag for _, _, tag in jobs]
+    nodes = first_of_jobs([n for n, _, _ in jobs], ("key",), tags, now_ms, F.col("label").isin(create_only))
+    edges = first_of_jobs([e for _, e, _ in jobs], EDGE_KEY, tags, now_ms, F.lit(False)).drop("first_")
+    if graph is None:
+        return nodes.drop("first_"), edges
+    nodes, edges = pinned(nodes, "published-nodes"), pinned(edges, "published-edges")
+    g_nodes, g_edges = graph
+    plain = nodes.where(~F.col("first_")).select(F.col("key").alias("new_key"))
+    kept = g_nodes.join(plain, (F.col("key") == F.col("new_key")) & ~F.coalesce(F.col("label").isin(create_only), F.lit(False)),
+                        "left_anti")
+    there = g_nodes.where(F.col("label").isin(create_only)).select(F.col("key").alias("old_key"))
+    added = nodes.join(there, F.col("first_") & (F.col("key") == F.col("old_key")), "left_anti").drop("first_")
+    return (kept.unionByName(added, allowMissingColumns=True),
+            g_edges.join(edges.select(*EDGE_KEY), list(EDGE_KEY), "left_anti").unionByName(edges, allowMissingColumns=True))
+
+
 def publish(nodes: DataFrame, edges: DataFrame, tag: str, now_ms: int,
             create_only_labels: Iterable[str] = (DESCRIPTION,),
             graph: tuple[DataFrame, DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Publish a job's nodes and edges into a graph (M3), keeping nodes of the
-    create-only labels (descriptions) when they already exist (M2)."""
-    create_only = list(create_only_labels)
-    stamp = {"publish_tag": F.lit(tag), "last_updated": F.lit(now_ms).cast("long")}
-    if graph is None:
-        return (one_per_key(nodes, ("key",)).withColumns(stamp), one_per_key(edges, EDGE_KEY).withColumns(stamp))
-    g_nodes, g_edges = graph
-    is_co = F.col("label").isin(create_only)
-    plain = upsert_tagged(g_nodes.where(~is_co), nodes.where(~is_co), tag, now_ms)
-    co = insert_only(g_nodes.where(is_co), nodes.where(is_co).withColumns(stamp))
-    return plain.unionByName(co, allowMissingColumns=True), upsert_tagged(g_edges, edges, tag, now_ms, EDGE_KEY)
+    """Publish one job's nodes and edges into a graph (see :func:`publish_jobs`)."""
+    return publish_jobs([(nodes, edges, tag)], now_ms, create_only_labels, graph)
 
 
 def search_documents(nodes: DataFrame, edges: DataFrame) -> DataFrame:

@@ -4,7 +4,8 @@ documents -> expiry of stale relations.
 The heavy steps (watermarks and profiles read table data) each run once: their
 small results (one row per table / column) are cut from their lineage with a
 pinned table before the graph, the search documents and the writers reuse
-them; the published graph is cut the same way before its three consumers.
+them.  Their records and those of the catalog are published in one merge; the published
+graph is cut the same way before its three consumers.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from tidewater.operators.graph import (
     expire_relations,
     metadata_graph,
     profile_records,
-    publish,
+    publish_jobs,
     search_documents,
     watermark_records,
 )
@@ -52,7 +53,7 @@ def metadata_refresh(
     expiry_days: int = DEFAULT_EXPIRY_DAYS,
     stale_types: Iterable[str] = STALE_RELATION_TYPES,
     max_pct: float = STALENESS_MAX_PCT,
-    missing: str = "skip",
+    missing: str = "raise",
     include: Iterable[str] | None = None,
     profile_digits: int | None = None,
     tags: tuple[str, str, str] = (BASE_TAG, WATERMARK_TAG, PROFILE_TAG),
@@ -60,7 +61,8 @@ def metadata_refresh(
     """Run W4 over ``zones`` and return the resulting frames.
 
     ``graph`` is an existing (nodes, edges) pair to publish into; relations of the
-    stale types older than ``expiry_days`` are dropped from it behind the guard.
+    stale types older than ``expiry_days`` are dropped from it behind the guard.  A table
+    without its time column fails the refresh, unless ``missing="skip"`` leaves it out.
     Keys: nodes, edges, watermarks, profiles, search_docs.
     """
     zones = list(zones)
@@ -68,16 +70,13 @@ def metadata_refresh(
     if include is not None:  # the other zones' metadata is left out
         meta = schema_filter(meta, include=list(include))
         zones = [z for z in zones if z in set(include)]
-    nodes, edges = publish(*metadata_graph(meta), tags[0], now_ms, graph=graph)
-
     wm = pinned(_union([watermarks(spark, z, ts_col, cluster=cluster, database=database, missing=missing)
                         for z in zones]), "refresh-watermarks")
-    nodes, edges = publish(*watermark_records(wm), tags[1], now_ms, graph=(nodes, edges))
-
     prof = pinned(_union([schema_profile(spark, z, n=profile_rows, digits=profile_digits) for z in zones]),
                   "refresh-profiles")
-    nodes, edges = publish(*profile_records(prof, database=database, cluster=cluster),
-                           tags[2], now_ms, graph=(nodes, edges))
+    # the three jobs, in the order in which they were published
+    jobs = [metadata_graph(meta), watermark_records(wm), profile_records(prof, database=database, cluster=cluster)]
+    nodes, edges = publish_jobs([(*job, tag) for job, tag in zip(jobs, tags)], now_ms, graph=graph)
 
     # the published graph feeds the documents, the guard and the expiry: cut it once
     nodes, edges = pinned(nodes, "refresh-nodes"), pinned(edges, "refresh-edges")
