@@ -10,10 +10,10 @@ words.  Repeated text is counted once:
    each distinct (language, chunk) occurs: the dictionary, stored with its parse frequencies.
 2. *Count.*  An n-gram belongs to the chunk in whose own words (those before the next trigger) it
    starts, and lies inside that chunk as a whole: overlaps are assigned once.  So an n-gram's
-   frequency is the sum of the parse frequencies over its places in distinct chunks.  Lengths are
-   done one after the other: a phrase found ``least`` times has all its parts found so often, so the
-   next length counts only those places whose two shorter n-grams may be frequent.  These passes add
-   up 64-bit keys, and hand on a bitmap of the keys that reach ``least`` (at most ``MAX_BITS`` bits,
+   frequency is the sum of the parse frequencies over its places in distinct chunks.  A phrase found
+   ``least`` times has all its parts found so often: words come first, then the pairs of words that may
+   be frequent, then the longer n-grams whose pairs all may be (and of the words, those of frequent
+   pairs go on).  These passes add up 64-bit keys, and hand on a bitmap of the keys that reach ``least`` (at most ``MAX_BITS`` bits,
    32 MiB; where the keys outgrow it, it lets more places through, never fewer).  A last pass counts
    the n-grams that the bitmaps let through by their words: frequencies don't rest on hashes.
 3. *Score.*  Each cut of a candidate joins the frequencies of its two parts; products are Python
@@ -44,7 +44,7 @@ MAX_WORDS, LEAST, TOP, SHARE = 5, 100, 2000, 100
 #: One window in so many is a trigger, on average.
 PERIOD = 16
 #: Bytes of text handled at a time, keys added up in a task before they are handed on.
-WINDOW, SLAB = 1 << 21, 1 << 21
+WINDOW, SLAB = 1 << 21, 1 << 22
 #: Size of a bitmap at most, and bits for each key below that.
 MAX_BITS, BITS_PER_KEY = 1 << 28, 32
 
@@ -104,7 +104,7 @@ def sums(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     """(distinct keys, a place of each, the sum of its weights)."""
     if not len(keys):
         return keys, np.empty(0, np.int64), weights
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     ranked = keys[order]
     first = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
     return ranked[first], order[first], np.add.reduceat(weights[order], first)
@@ -203,9 +203,9 @@ class Places:
         begins[1:] &= blank[:-1]
         begins[offsets[:-1]] = True  # a chunk is never empty and starts with a word
         self.starts = np.flatnonzero(begins)
-        row = np.searchsorted(offsets, self.starts, "right") - 1
-        count = np.bincount(row, minlength=len(text))
-        last = np.cumsum(count)
+        last = np.cumsum(begins)[offsets[1:] - 1]
+        count = np.diff(last, prepend=0)
+        row = np.repeat(np.arange(len(text)), count)
         place = np.arange(len(self.starts)) - np.repeat(last - count, count)
         ends = np.append(self.starts[1:], offsets[-1] + 1) - 1
         chunk_last = last - 1
@@ -261,28 +261,35 @@ def slabs(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBat
         yield put()
 
 
-def count_keys(n: int, bitmaps: Broadcast, slab: int, window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(key, sum of the parse frequencies) of the n-grams that may be frequent."""
+def count_keys(levels: list[int], bitmaps: Broadcast, slab: int, window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(words, key, sum of the parse frequencies) of the n-grams of some lengths that may be frequent;
+    with a bitmap of pairs also the words of pairs that may be."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, weights, total = [], [], 0
+        held: dict[int, list] = {1: [], **{n: [] for n in levels}}
+        pairs_known = len(bitmaps.value) == 2
 
-        def put() -> pa.RecordBatch:
-            k, _, w = sums(np.concatenate(keys), np.concatenate(weights))
-            return pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(w)], ["key", "n"])
+        def put(k: int) -> pa.RecordBatch:
+            keys, _, w = sums(*(np.concatenate(c) for c in zip(*held[k], strict=True)))
+            held[k] = []
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), k, np.int32)), pa.array(keys.view(np.int64)),
+                                               pa.array(w)], ["words", "key", "n"])
 
         for batch in slabs(batches, window):
             at = Places(batch)
-            for found, may in at.alive(bitmaps.value, n):
-                pass
-            take = may & at.own
-            keys.append(found[take])
-            weights.append(at.weight[take])
-            total += len(keys[-1])
-            if total >= slab:
-                yield put()
-                keys, weights, total = [], [], 0
-        if total:
-            yield put()
+            for k, (found, may) in enumerate(at.alive(bitmaps.value, max([2 if pairs_known else 1, *levels])), 1):
+                if k == 2 and pairs_known:
+                    pairs = np.flatnonzero(may & marked(bitmaps.value[1], found))
+                    words = sums(at.hashes[np.concatenate((pairs, pairs + 1))], np.ones(2 * len(pairs), np.int64))[0]
+                    held[1].append((words, np.ones(len(words), np.int64)))
+                if k in levels:
+                    take = may & at.own
+                    held[k].append((found[take], at.weight[take]))
+            for k in held:
+                if sum(len(keys) for keys, _ in held[k]) >= slab:
+                    yield put(k)
+        for k in held:
+            if held[k]:
+                yield put(k)
 
     return run
 
@@ -291,7 +298,7 @@ def count_phrases(n: int, bitmaps: Broadcast, window: int) -> Callable[[Iterator
     """(lang, phrase, words, sum of the parse frequencies) of the n-grams of all lengths whose keys
     are marked.  N-grams are told apart by the numbers of their words, not by keys."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slabs(batches, window):
+        for batch in slabs(batches, window // 2):
             at = Places(batch)
             words = gathered(at.data, at.starts, at.lengths).dictionary_encode()
             number = words.indices.to_numpy().astype(np.int64)
@@ -333,13 +340,17 @@ def bitmap(keys: DataFrame, max_bits: int) -> np.ndarray:
 def frequent_phrases(spark: SparkSession, words: DataFrame, store: Callable[[DataFrame], DataFrame],
                      max_words: int = MAX_WORDS, least: int = LEAST, slab: int = SLAB, window: int = WINDOW,
                      max_bits: int = MAX_BITS) -> DataFrame:
-    """(lang, phrase, words, n) of every phrase of 1 to ``max_words`` words found ``least`` times or
-    more, stored, from a stored ``dictionary``."""
+    """(lang, phrase, words, n) of every phrase of 2 to ``max_words`` words found ``least`` times or more,
+    and of the words in them, stored, from a stored ``dictionary``.  Other words may be there too."""
     bitmaps: list[np.ndarray] = []
-    for n in range(1, max_words + 1):
-        counted = words.mapInArrow(count_keys(n, spark.sparkContext.broadcast(list(bitmaps)), slab, window), "key long, n long")
-        bitmaps.append(bitmap(store(counted.groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-                                    .select("key")), max_bits))
+    for levels in ([1], [2], list(range(3, max_words + 1))):
+        counted = words.mapInArrow(count_keys(levels, spark.sparkContext.broadcast(list(bitmaps)), slab, window),
+                                   "words int, key long, n long")
+        summed = counted.groupBy("words", "key").agg(F.sum("n").alias("n"))
+        kept = store(summed.filter((F.col("n") >= least) | ~F.col("words").isin(levels)).select("words", "key"))
+        if len(bitmaps) == 2:  # from here on only the words of frequent pairs count
+            bitmaps[0] = bitmap(kept.filter("words = 1"), max_bits)
+        bitmaps += [bitmap(kept.filter(F.col("words") == n), max_bits) for n in levels]
     found = words.mapInArrow(count_phrases(max_words, spark.sparkContext.broadcast(bitmaps), window),
                              "lang string, phrase string, words int, n long")
     return store(found.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n")).filter(F.col("n") >= least))
