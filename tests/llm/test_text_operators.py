@@ -2,6 +2,7 @@ import collections
 import math
 import os
 import random
+import re
 import sys
 import zlib
 
@@ -440,11 +441,50 @@ def test_every_label_is_learned(spark):
     data = [(100 * k + i, " ".join([chr(0x4E00 + 16 * k) * 3, chr(0x4E00 + 16 * k + 5) * 2] * 20), f"l{k:02}") for k in range(64) for i in range(9)]
     data += [(9000 + i, "ელენე და გია " * 20, "rare1") for i in range(8)] + [(9100 + i, "שלום עולם " * 20, "rare2") for i in range(8)]
     df = spark.createDataFrame(data, "doc_id long, text string, lang string")
-    assert set(training_pieces(df, "text", "lang", "doc_id")["lang"]) == {x[2] for x in data}
+    assert set(training_pieces(df, "text", "lang")["lang"]) == {x[2] for x in data}
     out = identify_language(df.drop("lang"), df).filter("doc_id >= 9000").collect()
     assert all(r["lang_pred"] == ("rare1" if r["doc_id"] < 9100 else "rare2") for r in out)
 
 
+def test_language_sample_rests_on_texts_alone(spark):
+    from tidewater.llm.lang_id import identify_language, training_pieces
+
+    data = [(f"{w} " * (20 + k), lang) for k in range(300) for w, lang in (("house", "en"), ("größe", "de"))]
+    one, none = ([(i, *x) for x in data] * 5 for i in (7, None))
+    schema = "doc_id long, text string, lang string"
+    samples = [training_pieces(spark.createDataFrame(rows, schema).repartition(n), "text", "lang", per_lang=100)
+               for rows, n in ((one, 2), (none, 5), ([(i, *x) for i, x in enumerate(data)], 3))]
+    assert samples[0].equals(samples[1]) and samples[0].equals(samples[2])
+    assert all(60 <= n <= 3 * 140 for n in samples[0]["lang"].value_counts())
+    df = spark.createDataFrame(none, schema)
+    assert all(r["lang_pred"] == r["lang"] for r in identify_language(df, df).distinct().collect())
+
+
+def test_language_of_whole_texts_equals_plain_scoring(spark, docs):
+    """Each window by a plain convolution, pooled, and the windows' probabilities by their bytes."""
+    from tidewater.llm.lang_id import STRIDE, WIDTHS, WINDOW, byte_classes, fit, identify_language, softmax, training_pieces
+
+    df = docs.union(brute.messy(spark, extra=False).withColumn("n_chars", F.lit(0)).select(docs.columns))
+    net, classes = fit(training_pieces(docs, "text", "lang")), byte_classes()
+    got = {r["text"]: r for r in identify_language(df, docs).collect()}
+    few = sorted((t for t in got if t), key=lambda t: (len(t) > 3000, len(t)))
+    for text in few[:25] + few[-3:]:
+        raw = classes[np.frombuffer(text.encode(), np.uint8)]
+        total = np.zeros(len(net.langs))
+        at = 0
+        while True:
+            x = np.zeros(WINDOW, np.uint8)
+            x[:len(raw[at:at + WINDOW])] = raw[at:at + WINDOW]
+            pooled, _ = net.pooled(x[None])
+            total += softmax(np.maximum(pooled, 0) @ net.out + net.bias)[0] * len(raw[at:at + WINDOW])
+            at += STRIDE
+            if at + max(WIDTHS) - 1 >= len(raw):
+                break
+        if any(c.isalpha() for c in text):
+            assert got[text]["lang_pred"] == net.langs[int(total.argmax())]
+            assert got[text]["score"] == pytest.approx(total.max() / total.sum(), abs=1e-4)
+
+
 def test_pair_tables_score_like_the_network():
     from tidewater.llm.lang_id import Network, softmax, windows_of, byte_classes
 
@@ -481,6 +521,77 @@ def test_marginals_equal_enumeration():
     assert np.allclose(pairs, expected)
 
 
+def plain_marginals(field, words):
+    """Forward-backward over one line, word by word."""
+    t = np.exp(field.step)
+    e = [np.array([1.0, np.exp(np.clip(x, -30, 30))]) for x in field.emissions([w.lower() for w in words])]
+    forward, backward = [e[0]], [np.ones(2)]
+    for x in e[1:]:
+        a = (forward[-1] @ t) * x
+        forward.append(a / a.sum())
+    for x in reversed(e[1:]):
+        b = t @ (x * backward[0])
+        backward.insert(0, b / b.sum())
+    return [float((f * b)[1] / (f * b).sum()) for f, b in zip(forward, backward)]
+
+
+def trained_field(seed=8):
+    from tidewater.llm.toxicity import Field
+
+    rng, field = np.random.default_rng(seed), Field()
+    field.weight = rng.normal(size=field.weight.shape) * 2
+    field.bias, field.step = -0.5, rng.normal(size=(2, 2))
+    field.base = 0.5
+    return field
+
+
+def test_lines_are_whole_chains():
+    rng, field = random.Random(2), trained_field()
+    lines = [" ".join(rng.choices(["alpha", "Beta", "GAMMA", "dİlta", "eps", "ß"], k=k)) for k in (1, 64, 65, 128, 200, 700, 0, 3)]
+    for texts in (["\n".join(lines)], lines, ["\n\n".join(lines * 3), "", "one word"]):
+        for (p, text), given in zip(field.score_words(texts), texts, strict=True):
+            words = [re.findall(r"[^\W\d_]+", line) for line in given.split("\n")]
+            expected = [x for line in words if line for x in plain_marginals(field, line)]
+            assert text == given and np.allclose(p, expected, atol=1e-9)
+
+
+def test_toxic_spans_equal_brute_force(spark):
+    from tidewater.llm.toxicity import spans_of
+
+    rng, field = random.Random(3), trained_field(9)
+    vocabulary = ["İstanbul", "good", "idiot", "end", "ẞtraße", "ǆ", "x9y", "1", "--", "日本"]
+    texts = ["İstanbul good idiot end", "", "\n\n", *("\n".join(" ".join(rng.choices(vocabulary, k=rng.choice([0, 1, 5, 90, 300])))
+                                                       for _ in range(6)) for _ in range(20))]
+    some = 0
+    for p, text in field.score_words(texts):
+        expected, base = [], 0
+        for line in text.split("\n"):
+            found = list(re.finditer(r"[^\W\d_]+", line))
+            marks = [x > 0.5 for x in plain_marginals(field, [m.group() for m in found])] if found else []
+            k = 0
+            while k < len(marks):
+                j = k
+                while j < len(marks) and marks[j] == marks[k]:
+                    j += 1
+                if marks[k]:
+                    expected.append((base + found[k].start(), base + found[j - 1].end()))
+                k = j
+            base += len(line) + 1
+        got = spans_of(text, p)
+        assert [(s["start"], s["end"]) for s in got] == expected and all(0.5 < s["p"] <= 1 for s in got)
+        some += len(got)
+    assert some > 50
+
+
+def test_toxicity_sample_is_bounded_and_repeatable(spark):
+    from tidewater.llm.toxicity import training_texts
+
+    docs = spark.createDataFrame([(i % 50, f"text {i % 70}") for i in range(2000)] + [(None, "x"), (3, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i % 50, i % 2) for i in range(500)] + [(None, 1), (4, None), (5, 7)], "doc_id long, toxic int")
+    a, b = (training_texts(docs.repartition(n), labels.repartition(n), "text", "toxic", "doc_id", per_class=10) for n in (2, 7))
+    assert a.equals(b) and len(a) == 20 and a["id"].is_unique and sorted(a["label"]) == [0] * 10 + [1] * 10
+
+
 def test_toxicity_held_out_and_spans(spark):
     from tidewater.llm.toxicity import score_toxicity
 
@@ -493,7 +604,7 @@ def test_toxicity_held_out_and_spans(spark):
     assert np.mean([a == b for a, b in got]) > 0.9
     assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.7) for r in out)
     for r in out:
-        assert all(r["text"][s["start"]:s["end"]] for s in r["toxic_spans"])
+        assert all(re.match(r"[^\W\d_]", r["text"][s["start"]:s["end"]]) for s in r["toxic_spans"])
 
 
 def test_toxicity_of_messy_rows(spark):
@@ -539,6 +650,65 @@ def test_site_templates_go_but_copies_stay(spark, store):
     assert extract_main_text(df.limit(0), store).count() == 0
 
 
+def test_names_inside_articles_must_be_whole_words():
+    from tidewater.llm.html_text import main_text
+
+    kept = ('<section class="related-work"><p>Earlier studies.</p></section><div id="share-prices">Prices rose.</div>'
+            '<div class="login-tutorial">How to log in.</div><div class="wide notice-period">Two weeks.</div>')
+    gone = ('<div class="ad">Buy</div><div class="wide comments"><p>First!</p></div><div id="comment-list">x</div>'
+            '<aside>See</aside><div class="share">f</div><form>q</form>')
+    assert main_text(f"<article><h1>T</h1>{kept}{gone}</article>") == "T\nEarlier studies.\nPrices rose.\nHow to log in.\nTwo weeks."
+    assert main_text(f"<body><p>T</p>{kept}{gone}</body>") == "T"  # outside of articles a listed word is enough
+
+
+def test_template_of_a_large_host_needs_no_half_of_it(spark, store):
+    """Boxes on 10 of 200 articles go, sentences on 30 of them stay, in articles and outside of them."""
+    from tidewater.llm.html_text import extract_main_text
+
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abcdefghijk", k=6))
+    rows, expected = [], {}
+    for i in range(200):
+        own = [" ".join(word() for _ in range(40)) + "." for _ in range(3)]
+        said = "A sentence that many articles have." if i % 7 == 0 else f"Another one, {word()}."
+        box = f"<div class=x{i % 20}><div>Read more about topic {i % 20}</div><ul><li>all of it {i % 20}</li></ul></div>"
+        body = f"<h1>{word()} {i}</h1>{box}<p>{own[0]}</p><p>{said}</p><p>{own[1]}</p><p>{own[2]}</p>"
+        rows.append((i, "https://big.example/a", f"<html><body>{body}</body></html>" if i % 2 else f"<body><article>{body}</article></body>"))
+        head = body[4:body.index("</h1>")]
+        expected[i] = "\n".join([head, *([] if i % 2 else [f"Read more about topic {i % 20}", f"all of it {i % 20}"]), own[0], said, own[1], own[2]])
+    out = extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string"), store).collect()
+    assert {r["page_id"]: r["text"] for r in out} == expected
+
+
+def test_site_templates_equal_a_plain_count(spark, store):
+    from tidewater.llm import html_text as H
+
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("url", "html")
+    pages = pages.union(spark.createDataFrame([(None, None), ("https://x.example", ""), ("//y.example/1", "<p>a</p>")] * 2, "url string, html string"))
+    host = lambda u: (re.match(r"(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", u or "") or ["", ""])[1].lower()
+    texts, where = collections.defaultdict(set), collections.defaultdict(list)
+    for r in pages.collect():
+        root, seen = H.parse(r["html"] or ""), {}
+        H.hash_subtrees(root, seen)
+        subject = H.subjects(root, H.blocks(root))
+        texts[host(r["url"])].add(subject)
+        where[host(r["url"])].append((subject, {d: H.strict(e) for d, e in seen.items()}))
+    for min_pages, share in ((2, 0.5), (2, 0.05), (1, 0.9)):
+        expected = {}
+        for h, found in where.items():
+            same = [max(collections.Counter(t[k] for t in texts[h]).values()) >= len(texts[h]) * share and len(texts[h]) >= min_pages for k in (0, 1)]
+            by = 0 if not same[0] else 2 if same[1] else 1
+            articles, on, flags = {t[by] for t in texts[h]}, collections.defaultdict(set), {}
+            for subject, seen in found:
+                for d, flag in seen.items():
+                    on[d].add(subject[by])
+                    flags[d] = flag
+            if template := sorted(d for d, a in on.items() if len(a) >= min_pages and (not flags[d] or len(a) >= len(articles) * share)):
+                expected[h] = template
+        got = {r["host"]: r["template"] for r in H.site_templates(pages, store, "url", "html", min_pages, share).collect()}
+        assert expected and got == expected
+
+
 def test_near_copies_that_fill_a_host_keep_their_text(spark, store):
     from tidewater.llm.html_text import extract_main_text
 

@@ -2,19 +2,22 @@
 
 Every page is parsed into an element tree and the subtrees of its block elements are
 hashed.  Spark counts, for each host, on how many pages of different articles a
-subtree occurs; those on at least ``min_pages`` and half the host's articles are the site's
-template and are deleted wherever they occur.  Pages with one heading count as one article,
-so copies of a page don't turn its paragraphs into a template; on a host where half the
-different texts have the same first heading (a site's name or logo), the title tells articles
-apart, and where that is the same too, the whole text.  What of the template stays is decided
-by element: template paragraphs that are more than half of the text of the element around them
-are the article of near copies and stay; and a page of which only headings would be left keeps
-its text.  What a page marks as not
-its article (navigation, page header and footer, sidebar, forms, adverts, notices, comments,
-scripts, styles, hidden parts) goes by its mark-up, since such parts often differ from page to
-page; if there is an article or main element, only its content counts.
-
-Pages are parsed one at a time; a page is bounded memory.  Counts are pre-aggregated, so a
+subtree occurs, apart for subtrees in an article or main element and outside of them.  Outside, a
+subtree on at least ``min_pages`` different articles is the site's template, however large the
+site; running text (paragraphs and headings) and whatever stands in an article must be on half of
+the host's articles, too, since sentences recur.  Template subtrees are deleted wherever they occur.
+Pages with one heading count as one article, so copies of a page don't turn its paragraphs into a
+template; on a host where half the different texts have the same first heading (a site's name or
+logo), the title tells articles apart, and where that is the same too, the whole text.  What of
+the template stays is decided by element: template paragraphs that are more than half of the text
+of the element around them are the article of near copies and stay; and a page of which only
+headings would be left keeps its text.  What a page marks as not its article (navigation, page
+header and footer, sidebar, forms, adverts, notices, comments, scripts, styles, hidden parts) goes by
+its mark-up, since such parts often differ from page to page; a class or id says so outside of
+articles by a listed word in it, inside them only by being one (``related-work`` is no ``related``).
+If there is an article or main element, only its content counts.
+
+Pages are parsed one at a time, once for the counts and once for the text; a page is bounded memory.  Counts are pre-aggregated, so a
 hot host costs no more than others, and a host's template is a few hashes (each on half of
 its articles).
 
@@ -59,11 +62,14 @@ CLOSES = {
 }
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar "
                   "toolbar form".split())
-NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adv|advert\w*|adsense|sponsor\w*|promo\w*|banners?|nav\w*|menus?|breadcrumbs?|sidebars?|side-bar|"
+LISTED = (
+    r"ads?|adv|advert\w*|adsense|sponsor\w*|promo\w*|banners?|nav\w*|menus?|breadcrumbs?|sidebars?|side-bar|"
     r"widgets?|footers?|masthead|site-header|page-header|topbar|cookies?|consent|gdpr|notices?|notification|popups?|modal|"
     r"overlay|newsletter|subscribe|subscription|signup|sign-up|login|social|share|sharing|comments?|commentlist|disqus|"
-    r"replies|related|recommend\w*|pagination|pager|toolbar|skip-link|hidden)(?:$|[\s_-])", re.I)
+    r"replies|related|recommend\w*|pagination|pager|toolbar|skip-link|hidden")
+#: Of a class or id: a listed word somewhere in it; a name of a whole part, inside articles.
+NAMES = re.compile(rf"(?:^|[\s_-])(?:{LISTED})(?:$|[\s_-])", re.I)
+WHOLE = re.compile(rf"(?:^|\s)(?:{LISTED}|(?:comments?|replies|disqus)[_-](?:list|area|section|thread|form)|(?:ad|advert)[_-](?:box|slot|unit))(?:$|\s)", re.I)
 COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|disqus|replies)(?:$|[\s_-])", re.I)
 _ATTRS = r"(?:[^<>\"']|\"[^\"]*\"|'[^']*')*+"
 TOKEN = re.compile(
@@ -101,9 +107,10 @@ def unwanted(tag: str, attrs: dict[str, str], inside: bool) -> bool:
     if not attrs or tag in ("html", "body", "main"):
         return False
     style = attrs.get("style", "").replace(" ", "").lower()
+    names = WHOLE if inside else NAMES
     return ("hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in style
             or attrs.get("role", "").lower() in ROLES
-            or bool(NAMES.search(attrs.get("class", "")) or NAMES.search(attrs.get("id", ""))))
+            or bool(names.search(attrs.get("class", "")) or names.search(attrs.get("id", ""))))
 
 
 def pop_to(stack: list[Element], tags: tuple, until: tuple) -> None:
@@ -178,8 +185,8 @@ def plain(raw: str) -> str:
 
 
 def hash_subtrees(root: Element, seen: dict[int, Element]) -> None:
-    """Fill ``digest`` of every element (tag and content, blind to white space) and collect
-    the block elements that have any content.  Iterative: nesting may be deep."""
+    """Fill ``digest`` of every element (tag, content, whether it is inside an article; blind to white
+    space) and collect the block elements that have any content.  Iterative: nesting may be deep."""
     from xxhash import xxh64_intdigest
 
     order, todo = [], [root]
@@ -190,7 +197,7 @@ def hash_subtrees(root: Element, seen: dict[int, Element]) -> None:
     for e in reversed(order):
         inner = [" ".join(x.split()) if isinstance(x, str) else f"\x01{x.digest:x}" for x in e.parts]
         inner = [x for x in inner if x and x != "\x010"]
-        e.digest = xxh64_intdigest("\x00".join([e.tag, *inner])) - (1 << 63) if inner else 0
+        e.digest = xxh64_intdigest("\x00".join(["\x02" * e.inside + e.tag, *inner])) - (1 << 63) if inner else 0
         if inner and e.tag not in INLINE and e.tag not in ("#root", "html", "body", "article", "main", "title", "head"):
             seen[e.digest] = e
 
@@ -293,18 +300,6 @@ def subjects(root: Element, kept: list[str]) -> tuple[str, str, str]:
     return inner or outer or title or max(kept, key=len, default=""), title, "\n".join(kept)
 
 
-def page_subjects(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(host, heading, title, whole): the hashes of each page's ``subjects``."""
-    from xxhash import xxh64_intdigest
-
-    for pages in batches:
-        found = []
-        for host, html in zip(pages["host"], pages["html"], strict=True):
-            root = parse(html or "")
-            found.append((host, *(xxh64_intdigest(x) - (1 << 63) for x in subjects(root, blocks(root)))))
-        yield pd.DataFrame(found, columns=["host", "heading", "title", "whole"])
-
-
 def told_apart_by(subjects_: DataFrame, min_pages: int, min_share: float) -> DataFrame:
     """(c_host, by): 1 or 2, the subject that tells the articles of a host apart, for hosts where
     the first heading doesn't: one is on ``min_share`` of the host's different texts."""
@@ -317,22 +312,32 @@ def told_apart_by(subjects_: DataFrame, min_pages: int, min_share: float) -> Dat
             .filter("h").select("c_host", F.when(F.col("t"), 2).otherwise(1).alias("by")))
 
 
+def strict(e: Element) -> bool:
+    """Whether a subtree must be on half of the host's articles to be template."""
+    return e.inside or e.tag in RUNNING or e.tag in HEADINGS
+
+
+SUBTREES = "host string, subtree long, strict boolean, heading long, title long, whole long"
+
+
 def page_subtrees(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(host, subtree, article) for each different subtree of each page, and one row with a
-    null subtree for the page."""
+    """(host, subtree, strict, heading, title, whole) for each different subtree of each page, with
+    the hashes of the page's ``subjects``, and one row with a null subtree for the page."""
     from xxhash import xxh64_intdigest
 
     for pages in batches:
-        hosts, subtrees, articles = [], [], []
-        for host, html, by in zip(pages["host"], pages["html"], pages["by"], strict=True):
+        hosts, subtrees, flags, named = [], [], [], []
+        for host, html in zip(pages["host"], pages["html"], strict=True):
             root = parse(html or "")
             seen: dict[int, Element] = {}
             hash_subtrees(root, seen)
-            article = xxh64_intdigest(subjects(root, blocks(root))[by]) - (1 << 63)
+            subject = tuple(xxh64_intdigest(x) - (1 << 63) for x in subjects(root, blocks(root)))
             hosts += [host] * (len(seen) + 1)
             subtrees += [None, *seen]
-            articles += [article] * (len(seen) + 1)
-        yield pd.DataFrame({"host": hosts, "subtree": pd.array(subtrees, dtype="Int64"), "article": articles})
+            flags += [False, *map(strict, seen.values())]
+            named += [subject] * (len(seen) + 1)
+        yield pd.DataFrame({"host": hosts, "subtree": pd.array(subtrees, dtype="Int64"), "strict": flags,
+                            **{k: [x[i] for x in named] for i, k in enumerate(("heading", "title", "whole"))}})
 
 
 def main_text(html: str | None, template: set[int] | frozenset[int] = frozenset()) -> str:
@@ -358,19 +363,21 @@ def host_of(url):
 
 def site_templates(pages: DataFrame, store: Callable[[DataFrame], DataFrame], url: str, html: str,
                    min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """(host, template): the hashes of the subtrees on ``min_pages`` and ``min_share`` of the
-    host's articles."""
+    """(host, template): the hashes of the subtrees on ``min_pages`` different articles of the host and,
+    where they are ``strict``, on ``min_share`` of them."""
     named = pages.select(host_of(F.col(url)).alias("host"), F.col(html).alias("html"))
-    apart = store(told_apart_by(named.mapInPandas(page_subjects, "host string, heading long, title long, whole long"),
+    found = store(named.mapInPandas(page_subtrees, SUBTREES))  # one parse, two readers
+    apart = store(told_apart_by(found.filter("subtree IS NULL").select("host", "heading", "title", "whole"),
                                 min_pages, min_share))  # hosts, small files: broadcast by their size
-    found = (named.join(apart, named["host"] == apart["c_host"], "left")
-             .select("host", "html", F.coalesce("by", F.lit(0)).alias("by"))
-             .mapInPandas(page_subtrees, "host string, subtree long, article long"))
-    counts = found.distinct().groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n"))
-    counts = store(counts.filter((F.col("n") >= min_pages) | F.col("subtree").isNull()))  # two readers, one parse
+    article = F.element_at(F.array("heading", "title", "whole"), F.coalesce("by", F.lit(0)) + 1)
+    counts = (found.join(apart, found["host"] == apart["c_host"], "left")
+              .select("host", "subtree", "strict", article.alias("article")).distinct()
+              .groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n"), F.bool_or("strict").alias("strict")))
+    counts = store(counts.filter((F.col("n") >= min_pages) | F.col("subtree").isNull()))  # two readers
     total = counts.filter("subtree IS NULL").select(F.col("host").alias("t_host"), F.col("n").alias("articles"))
     often = counts.filter(F.col("subtree").isNotNull())
-    return (often.join(total, often["host"] == total["t_host"]).filter(F.col("n") >= F.col("articles") * min_share)
+    return (often.join(total, often["host"] == total["t_host"])
+            .filter(~F.col("strict") | (F.col("n") >= F.col("articles") * min_share))
             .groupBy("host").agg(F.array_sort(F.collect_list("subtree")).alias("template")))
 
 
