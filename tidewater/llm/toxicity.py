@@ -11,11 +11,14 @@ Labels are of documents, so labelled tokens come first: a feature is toxic if at
 features tried such a one is expected less than ``SEED_CHANCE`` times by chance (a binomial
 bound); words of toxic documents with a toxic feature are the toxic tokens.
 The field and the calibration are fitted in numpy on a sample of at most about ``PER_CLASS``
-labelled documents a class, each of at most ``SAMPLE_CHARS`` characters; scoring has no limits: a text is
-scored in chains of up to ``CHAIN`` words of one line, all words of all lines.
+labelled documents a class, each of at most ``SAMPLE_CHARS`` characters, in pieces of ``PIECE`` words
+(training only).  Scoring has no limits: the chain is the whole line.  Its pieces are worked on
+side by side; the products of their transfer matrices carry the forward and backward messages
+from piece to piece, so that marginals are those of one pass over the line.
 
 Defined results: null and empty texts have no words and get the score that the calibration
-gives to no evidence; without labels of both classes every score is the share of toxic labels (0
+gives to no evidence; a null id has no label; copies of a labelled id, or of its label, are learned
+from once; without labels of both classes every score is the share of toxic labels (0
 without any); repeated rows give equal rows; an empty table gives an empty table.
 """
 
@@ -36,7 +39,7 @@ from tidewater.llm.common import fresh, need, ship_by_value
 #: Bounds of the training sample.
 PER_CLASS, SAMPLE_CHARS = 1500, 20_000
 SEED_SHARE, SEED_CHANCE = 0.9, 0.01
-BITS, CHAIN, EPOCHS, BATCH, RATE, L2, SEED = 18, 64, 6, 256, 0.3, 1e-4, 11
+BITS, PIECE, EPOCHS, BATCH, RATE, L2, SEED = 18, 64, 6, 256, 0.3, 1e-4, 11
 #: Words scored at a time, and words whose log-odds a task keeps.
 SCORED, KNOWN = 1 << 16, 1 << 19
 THRESHOLD = 0.7
@@ -71,22 +74,25 @@ class Words:
         self.odds = np.concatenate([self.odds, field.emissions(new)])
         return np.append(self.odds, 0.0)
 
-    def of(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """The words' numbers, and the places where a chain starts: lines and every CHAIN words."""
-        ids, starts = [], []
+    def of(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The words' numbers, the places where a piece starts (lines and every PIECE words), and
+        the pieces' places in their lines."""
+        ids, starts, place = [], [], []
         get = self.number.setdefault
-        for line in text.lower().split("\n"):
+        for line in text.split("\n"):
             found = WORD.findall(line)
-            starts.extend(range(len(ids), len(ids) + len(found), CHAIN))
-            ids.extend([get(w, len(self.number)) for w in found])
-        return np.array(ids, np.int64), np.array(starts, np.int64)
+            pieces = range(len(ids), len(ids) + len(found), PIECE)
+            starts.extend(pieces)
+            place.extend(range(len(pieces)))
+            ids.extend([get(w.lower(), len(self.number)) for w in found])
+        return np.array(ids, np.int64), np.array(starts, np.int64), np.array(place, np.int64)
 
 
-def chains(ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(chains, CHAIN) word numbers, -1 beyond a chain's end, and the chains' lengths."""
+def pieces_of(ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(pieces, PIECE) word numbers, -1 beyond a piece's end, and the pieces' lengths."""
     lengths = np.diff(np.append(starts, len(ids)))
-    at = starts[:, None] + np.arange(CHAIN)[None, :]
-    inside = np.arange(CHAIN)[None, :] < lengths[:, None]
+    at = starts[:, None] + np.arange(PIECE)[None, :]
+    inside = np.arange(PIECE)[None, :] < lengths[:, None]
     return np.where(inside, ids[np.minimum(at, len(ids) - 1)], -1), lengths
 
 
@@ -108,9 +114,40 @@ class Field:
         np.add.at(out, owner, self.weight[np.array([s for x in flat for s in x], np.int64)])
         return out
 
-    def marginals(self, odds: np.ndarray, lengths: np.ndarray, pairs: bool = False):
-        """P(toxic) of each word of (n, CHAIN) log-odds, by forward-backward with all chains side
-        by side; with ``pairs`` the summed probabilities of the transitions too."""
+    def messages(self, odds: np.ndarray, lengths: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The forward message into each piece and the backward message out of it (ones at a
+        line's ends), from the products of the transfer matrices of a line's pieces, which are
+        consecutive rows."""
+        n, t = len(odds), np.exp(self.step)
+        before, after = np.ones((n, 2)), np.ones((n, 2))
+        last = np.append(place[1:] == 0, True)
+        rows = np.flatnonzero((place > 0) | ~last)  # of lines with several pieces
+        if not len(rows):
+            return before, after
+        e = np.exp(np.clip(odds[rows], -30, 30))
+        m = np.broadcast_to(np.eye(2), (len(rows), 2, 2)).copy()
+        for k in range(int(lengths[rows].max())):
+            step = (t if k else np.where(place[rows, None, None] == 0, np.eye(2), t)) * np.stack([np.ones(len(rows)), e[:, k]], 1)[:, None, :]
+            m = np.where((k < lengths[rows])[:, None, None], m @ step, m)
+            m /= m.sum((1, 2), keepdims=True)
+        whole = np.empty((n, 2, 2))
+        whole[rows] = m
+        deepest = int(place.max())
+        for j in range(1, deepest + 1):
+            at = np.flatnonzero(place == j)
+            x = np.einsum("ni,nij->nj", before[at - 1], whole[at - 1])
+            before[at] = x / x.sum(1, keepdims=True)
+        for j in range(deepest - 1, -1, -1):
+            at = np.flatnonzero((place == j) & ~last)
+            x = np.einsum("nij,nj->ni", whole[at + 1], after[at + 1])
+            after[at] = x / x.sum(1, keepdims=True)
+        return before, after
+
+    def marginals(self, odds: np.ndarray, lengths: np.ndarray, pairs: bool = False, first: np.ndarray | None = None,
+                  before: np.ndarray | None = None, after: np.ndarray | None = None):
+        """P(toxic) of each word of (n, PIECE) log-odds, by forward-backward with all pieces side
+        by side, given the messages from their lines' other pieces (``first`` ones of a line have
+        none before them); with ``pairs`` the summed probabilities of the transitions too."""
         n, width = odds.shape
         width = int(lengths.max()) if n else 0
         odds = odds[:, :width]
@@ -118,17 +155,21 @@ class Field:
         t = np.exp(self.step)
         e = np.exp(np.clip(odds, -30, 30))
         forward = np.empty((n, width, 2))
-        a = np.ones((n, 2)) / 2
+        a = np.ones((n, 2))
         for k in range(width):
-            a = a @ t if k else np.ones((n, 2))
+            if k:
+                a = a @ t
+            elif first is not None:
+                a = np.where(first[:, None], 1.0, before @ t)
             a[:, 1] *= e[:, k]
             a /= a.sum(1, keepdims=True)
             forward[:, k] = a
         p = np.zeros((n, width))
-        b = np.ones((n, 2))
+        end = np.ones((n, 2)) if after is None else after
+        b = end
         counts = np.zeros((2, 2))
         for k in range(width - 1, -1, -1):
-            b = np.where((k < lengths - 1)[:, None], b, 1.0)
+            b = np.where((k < lengths - 1)[:, None], b, end)
             joint = forward[:, k] * b
             p[:, k] = joint[:, 1] / joint.sum(1)
             back = b.copy()
@@ -152,19 +193,19 @@ class Field:
         names = list(words.number)
         held = [features(w) for w in names]
         toxic, clean = Counter(), Counter()
-        for (ids, _), label in zip(docs, labels, strict=True):
+        for (ids, _, _), label in zip(docs, labels, strict=True):
             (toxic if label else clean).update({f for i in set(ids.tolist()) for f in held[i]})
         surprise = np.log(len(toxic) / SEED_CHANCE)
         seeds = {f for f, n in toxic.items() if not f.startswith("s") and n >= SEED_SHARE * (n + clean[f])
                  and (n + clean[f]) * divergence(n / (n + clean[f]), self.base) >= surprise}
         marked = np.array([any(f in seeds for f in fs) for fs in held], bool)
         flat = [slots(w) for w in names]
-        some = [(ids, starts, bool(label)) for (ids, starts), label in zip(docs, labels, strict=True) if len(ids)]
-        rows = [(*chains(ids, starts), label) for ids, starts, label in some]
+        some = [(ids, starts, bool(label)) for (ids, starts, _), label in zip(docs, labels, strict=True) if len(ids)]
+        rows = [(*pieces_of(ids, starts), label) for ids, starts, label in some]
         x = np.concatenate([r[0] for r in rows])
         lengths = np.concatenate([r[1] for r in rows])
         y = np.where(x >= 0, marked[x], False) & np.repeat([r[2] for r in rows], [len(r[0]) for r in rows])[:, None]
-        # chains without a toxic token teach little each: one in eight of them
+        # pieces without a toxic token teach little each: one in eight of them
         use = np.flatnonzero(y.any(1) | (rng.random(len(x)) < 0.125))
         owner = np.repeat(np.arange(len(flat)), [len(f) for f in flat])
         slot = np.array([s for f in flat for s in f], np.int64)
@@ -205,33 +246,33 @@ class Field:
 
     def score_words(self, texts, words: Words | None = None) -> Iterator[tuple[np.ndarray, str]]:
         """The marginals of the words of each text, in order."""
-        held: list[tuple[int, str, np.ndarray, np.ndarray]] = []
+        held: list[tuple[str, np.ndarray, np.ndarray, np.ndarray]] = []
         words, size = words or Words(), 0
 
         def put() -> Iterator[tuple[np.ndarray, str]]:
             odds = words.scored(self)
-            full = [chains(ids, starts) for _, _, ids, starts in held if len(ids)]
+            full = [(*pieces_of(ids, starts), place) for _, ids, starts, place in held if len(ids)]
             p = np.empty(0)
             if full:
-                x, lengths = np.concatenate([f[0] for f in full]), np.concatenate([f[1] for f in full])
-                order = np.argsort(lengths, kind="stable")  # chains of like length side by side
+                x, lengths, place = (np.concatenate([f[k] for f in full]) for k in range(3))
+                before, after = self.messages(odds[x], lengths, place)
+                order = np.argsort(lengths, kind="stable")  # pieces of like length side by side
                 found = np.zeros(x.shape)
                 for at in range(0, len(x), 2048):
                     some = order[at:at + 2048]
-                    m = self.marginals(odds[x[some]], lengths[some])
+                    m = self.marginals(odds[x[some]], lengths[some], False, place[some] == 0, before[some], after[some])
                     found[some, :m.shape[1]] = m
-                p = found[np.arange(CHAIN)[None, :] < lengths[:, None]]
+                p = found[np.arange(PIECE)[None, :] < lengths[:, None]]
             at = 0
-            for _, text, ids, _ in held:
+            for text, ids, _, _ in held:
                 yield p[at:at + len(ids)], text
                 at += len(ids)
             held.clear()
 
-        for i, text in enumerate(texts):
+        for text in texts:
             text = text or ""
-            ids, starts = words.of(text)
-            held.append((i, text, ids, starts))
-            size += len(ids)
+            held.append((text, *words.of(text)))
+            size += len(held[-1][1])
             if size >= SCORED:
                 yield from put()
                 size = 0
@@ -265,13 +306,13 @@ def spans_of(text: str, p: np.ndarray) -> list[dict]:
     at, base = 0, 0
     for line in text.split("\n"):
         joined = False
-        for m in WORD.finditer(line.lower() if len(line.lower()) == len(line) else line):
-            if at < len(p) and p[at] > 0.5:
-                if joined:
-                    out[-1]["end"], out[-1]["p"] = base + m.end(), max(out[-1]["p"], float(p[at]))
-                else:
-                    out.append({"start": base + m.start(), "end": base + m.end(), "p": float(p[at])})
-            joined = at < len(p) and p[at] > 0.5
+        for m in WORD.finditer(line):  # the same words as ``Words.of`` numbers
+            toxic = p[at] > 0.5
+            if toxic and joined:
+                out[-1]["end"], out[-1]["p"] = base + m.end(), max(out[-1]["p"], float(p[at]))
+            elif toxic:
+                out.append({"start": base + m.start(), "end": base + m.end(), "p": float(p[at])})
+            joined = toxic
             at += 1
         base += len(line) + 1
     return out
@@ -289,18 +330,17 @@ def scorer(field: Field, with_spans: bool) -> Callable[[Iterator[pd.Series]], It
 
 def training_texts(docs: DataFrame, labels: DataFrame, text: str, label: str, id_col: str,
                    per_class: int = PER_CLASS) -> pd.DataFrame:
-    """The bounded sample: hashed ids choose about ``per_class`` labels of each class, whose few
-    ids are broadcast to find their texts."""
-    rows = labels.filter(F.col(label).isin(0, 1) & F.col(id_col).isNotNull())
-    counts = {r[0]: r[1] for r in rows.groupBy(label).agg(F.count(F.lit(1))).collect()}
-    turn = F.pmod(F.xxhash64(F.col(id_col), F.lit("toxic")), F.lit(1 << 30)) / float(1 << 30)
-    share = lambda k: F.lit(per_class / max(1, counts.get(k, 0)))
-    chosen = (rows.filter(turn < F.when(F.col(label) == 1, share(1)).otherwise(share(0)))
-              .select(F.col(id_col).alias("l_id"), F.col(label).cast("int").alias("label")).limit(8 * per_class))
-    found = (docs.filter(F.col(text).isNotNull() & (F.char_length(text) <= SAMPLE_CHARS))
+    """The bounded sample: of each class the ``per_class`` labelled ids with the smallest hashes, and
+    one text of each (that with the smallest hash), whatever repeats."""
+    once = labels.filter(F.col(label).isin(0, 1) & F.col(id_col).isNotNull()).select(
+        F.col(id_col).alias("l_id"), F.col(label).cast("int").alias("label")).distinct()
+    turn = F.xxhash64("l_id", F.lit("toxic"))
+    first = [once.filter(F.col("label") == k).orderBy(turn, "l_id").limit(per_class) for k in (0, 1)]
+    chosen = first[0].unionByName(first[1])  # at most twice ``per_class`` ids
+    texts = (docs.filter(F.col(text).isNotNull() & (F.char_length(text) <= SAMPLE_CHARS))
              .select(F.col(id_col).alias("id"), F.col(text).alias("text"))
-             .join(F.broadcast(chosen), F.col("id") == F.col("l_id"))
-             .select("id", "text", "label").toPandas())
+             .join(F.broadcast(chosen), F.col("id") == F.col("l_id")))
+    found = texts.groupBy("id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text")).toPandas()
     return found.sort_values(["id", "text", "label"], kind="stable").reset_index(drop=True)
 
 
