@@ -52,3 +52,57 @@ def test_partitioned_tables_with_empty_edges_and_text_times(spark, tmp):
     got = {(r.table_name, r.part_type): r.create_time for r in watermarks(spark, "t_wm_part").collect()}
     assert got[("a", "high_watermark")].startswith("2016-01-02") and got[("a", "low_watermark")].startswith("2014-03-05")
     assert got[("b", "high_watermark")] == "9/1/2013" and got[("b", "low_watermark")] == "1/1/2014"
+
+
+def _zone(spark, zone, tmp):
+    """Tables of several types, layouts and histories, with nulls, extremes and empty ones."""
+    from tidewater.sources.tables import append_table, write_partitioned
+
+    ensure_zone(spark, zone, f"{tmp}/a zone+50%")
+    base = spark.range(0, 4000, numPartitions=5).select(
+        "id", F.expr("IF(id % 11 = 0, NULL, timestamp_seconds(id * 7919 % 100003 - 50000))").alias("stamp"))
+    write_replace(base.select(F.col("stamp").cast("timestamp_ntz").alias("t"), "id"), f"{zone}.ntz")
+    write_replace(base.select(F.col("stamp").alias("T"), "id"), f"{zone}.legacy")  # written without statistics
+    write_partitioned(base.select(F.to_date("stamp").alias("t"), (F.col("id") % 3).cast("int").alias("k")), f"{zone}.dates", ["k"])
+    write_replace(base.select((F.col("id") - 2000).alias("t")), f"{zone}.numbers")
+    write_replace(base.select(F.col("stamp").cast("string").alias("t")), f"{zone}.text_a")
+    write_replace(base.select(F.col("stamp").cast("string").alias("t"), "id").where("id < 100"), f"{zone}.text_b")
+    write_replace(base.select(F.col("stamp").cast("timestamp_ntz").alias("t")).limit(0), f"{zone}.empty")
+    write_replace(base.select(F.lit(None).cast("date").alias("t"), "id"), f"{zone}.nulls")
+    write_replace(base.select("id"), f"{zone}.grown")
+    append_table(base.select("id", F.to_date("stamp").alias("t")).where("id > 3900"), f"{zone}.grown")
+    write_partitioned(base.select("id", F.to_date("stamp").alias("t")), f"{zone}.layout", ["t"])
+    spark.sql(f"CREATE TABLE {zone}.other USING json AS SELECT DATE'2020-01-02' AS t")
+    base.select("id", F.to_date("stamp").alias("t")).createOrReplaceTempView("wm_base")
+
+
+def test_footers_and_shared_scans_equal_the_full_aggregation(spark, tmp):
+    _zone(spark, "t_wm_foot", tmp)
+    key = lambda df: sorted(map(tuple, df.collect()), key=str)
+    tables = {t.name: spark.table(f"t_wm_foot.{t.name}") for t in spark.catalog.listTables("t_wm_foot") if not t.isTemporary}
+    assert len(tables) == 11
+    expected = key(watermarks_of(tables, "t_wm_foot", "t"))
+    assert key(watermarks(spark, "t_wm_foot", "t")) == expected == key(watermarks(spark, "t_wm_foot", "t", footers=False))
+    assert key(watermarks(spark, "t_wm_foot", {t: "t" for t in tables}, kinds=["low_watermark"])) == \
+        [r for r in expected if "low_watermark" in r]
+
+
+def test_footers_read_no_rows_and_the_plan_is_no_larger_for_more_tables(spark, tmp, capsys):
+    ensure_zone(spark, "t_wm_many", f"{tmp}/many")
+    sizes = {}
+    for n in (4, 24):
+        for i in range(n):
+            if not spark.catalog.tableExists(f"t_wm_many.ntz_{i}"):
+                write_replace(spark.createDataFrame([(f"2020-01-{i + 1:02} 00:00:00",)], "t string").select(
+                    F.to_timestamp_ntz("t").alias("t")), f"t_wm_many.ntz_{i}")
+                write_replace(spark.createDataFrame([(f"2020-01-{i + 1:02}",)], "t string"), f"t_wm_many.text_{i}")
+        df = watermarks(spark, "t_wm_many", "t")
+        capsys.readouterr()
+        df.explain()
+        plan = capsys.readouterr().out
+        sizes[n] = len(plan.splitlines())
+        assert plan.count("FileScan parquet") == 2 and "footer-bounds" in plan  # the footers' results, and one scan of the text tables
+        assert "ntz_" not in plan.replace("timestamp_ntz", "")
+        got = {(r.table_name, r.part_type): r.create_time for r in df.collect()}
+        assert len(got) == 4 * n and got["ntz_3", "high_watermark"] == "2020-01-04 00:00:00" and got["text_2", "low_watermark"] == "2020-01-03"
+    assert sizes[4] == sizes[24]

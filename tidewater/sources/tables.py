@@ -83,17 +83,17 @@ def _plain(path: str) -> str:
     return re.sub(r"^file:/+", "/", unquote(path)).rstrip("/")
 
 
-def _details(spark: SparkSession, name: str) -> dict[str, str]:
-    """Location, type and comment of a table."""
+def table_details(spark: SparkSession, name: str) -> dict[str, str]:
+    """Location (as a path), Type, Provider and Comment of a table, among others."""
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
     at = next((i for i, r in enumerate(rows) if r["col_name"] == "# Detailed Table Information"), len(rows))
-    return {r["col_name"]: r["data_type"] for r in rows[at:]}
+    found = {r["col_name"]: r["data_type"] for r in rows[at:]}
+    return {**found, "Location": _plain(found["Location"])} if found.get("Location") else found
 
 
 def table_location(spark: SparkSession, name: str) -> str | None:
     """The folder of a table's current version."""
-    location = _details(spark, name).get("Location")
-    return _plain(location) if location else None
+    return table_details(spark, name).get("Location")
 
 
 def partition_columns(spark: SparkSession, name: str) -> list[str]:
@@ -137,8 +137,8 @@ def _in_order(schema: T.StructType, partition_by: Sequence[str]) -> T.StructType
 
 def _versioned(spark: SparkSession, name: str, layout: Sequence[str]) -> bool:
     """Whether replacing the table may keep its entry: one of ours, without partition entries."""
-    details = _details(spark, name)
-    if VERSION not in _plain(details.get("Location", "")).rsplit("/", 1)[-1]:
+    details = table_details(spark, name)
+    if VERSION not in details.get("Location", "").rsplit("/", 1)[-1]:
         return False
     return not layout or details.get("Partition Provider", "") != "Catalog"
 
@@ -161,7 +161,7 @@ def _point_at(spark: SparkSession, name: str, schema: T.StructType, partition_by
                          if f.name.lower() in comments else f for f in schema.fields])
     tag = uuid.uuid4().hex[:12]
     fresh, before = table_name(zone, f"{table}__new_{tag}"), table_name(zone, f"{table}__old_{tag}")
-    _register(spark, fresh, kept, partition_by, path, _details(spark, name).get("Comment"))
+    _register(spark, fresh, kept, partition_by, path, table_details(spark, name).get("Comment"))
     spark.sql(f"ALTER TABLE {name} RENAME TO {before}")
     try:
         spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
