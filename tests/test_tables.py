@@ -195,6 +195,31 @@ def test_append_evolve_adds_columns(spark, tmp):
     assert rows[0].improvement_surcharge is None and rows[1].Surcharge == "y"
 
 
+def test_an_append_to_a_folder_opens_no_data_file(spark, tmp):
+    import glob
+    import os
+
+    path = f"{tmp}/noted"
+    append_evolve(spark.createDataFrame([("1", "x")], "a string, B string"), path)
+    for file in glob.glob(f"{path}/*.parquet"):
+        os.rename(file, f"{file}.away")
+        with open(file, "w") as f:
+            f.write("no parquet at all")  # reading it would fail
+    append_evolve(spark.createDataFrame([("y", 2, "2")], "b string, c int, a string"), path)
+    with pytest.raises(ValueError, match="other types"):
+        append_evolve(spark.createDataFrame([(1,)], "A int"), path)
+    for file in glob.glob(f"{path}/*.away"):
+        os.replace(file, file[:-len(".away")])
+    back = read_evolved(spark, path)
+    assert back.columns == ["a", "B", "c"] and rows(back) == [("1", "x", None), ("2", "y", 2)]
+    assert back.schema["c"].dataType.simpleString() == "int"
+    # files of another tool are asked for their columns once
+    other = f"{tmp}/other"
+    spark.createDataFrame([("1",)], "Old string").write.parquet(other)
+    append_evolve(spark.createDataFrame([("2", "n")], "old string, new string"), other)
+    assert rows(read_evolved(spark, other)) == [("1", None), ("2", "n")] and read_evolved(spark, other).columns == ["Old", "new"]
+
+
 def test_hot_month_is_split_across_files(spark, tmp):
     """A third of all rows in one (year, month): the rebalanced write spreads that
     partition over several tasks (files) instead of one."""

@@ -3,21 +3,24 @@ plain-file outputs of the metadata side (graph CSVs, search and profile JSON).""
 
 from __future__ import annotations
 
+import json
 import re
 import sys
+import uuid
 import warnings
 from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime, timezone
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.functions.columns import col_of, find_column
 from tidewater.operators.merge import merge_eras
+from tidewater.sources.notes import located, names_in, read_note, write_note
 
 # Workers need no copy of this package: its functions travel with the job.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -50,9 +53,8 @@ def literal(spark: SparkSession, path: str) -> str:
     the name is a glob."""
     if not re.search(r"[\[\]{}*?\\]", path):
         return path
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    there = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
-    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path) if there else path
+    files, file = located(spark, path)
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path) if files.exists(file) else path
 
 
 def first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -168,35 +170,53 @@ def _scan_by_name(spark: SparkSession, reader: DataFrameReader, paths: Sequence[
     return joined.select(*map(column, columns))
 
 
+# Notes of the columns that appends brought to a folder, in the order of the appends.
+SCHEMA_NOTE = "_schema-"
+
+
+def folder_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The columns of a folder written by :func:`append_evolve`, from its notes; None without any."""
+    fields: dict[str, T.StructField] = {}
+    for name in names_in(spark, path):
+        if name.startswith(SCHEMA_NOTE):
+            for f in T.StructType.fromJson(read_note(spark, f"{path}/{name}")).fields:
+                fields.setdefault(f.name.lower(), f)
+    return T.StructType(list(fields.values())) if fields else None
+
+
+def _note_columns(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    stamp = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+    write_note(spark, f"{path}/{SCHEMA_NOTE}{stamp}-{uuid.uuid4().hex[:6]}.json", json.loads(schema.json()))
+
+
 def append_evolve(df: DataFrame, path: str) -> None:
     """Append to a Parquet folder; new columns are added at read time.
 
-    Later eras are respelled to the folder's existing column spelling first, so a
-    schema-merging read sees one column per name.  Only a missing or empty folder counts
-    as having no columns; any other read error is raised.
+    The folder keeps notes of its columns, one for each append that brings new ones, so an append
+    opens no data file.  (Files that something else wrote there are asked once, all of them.)  Later
+    eras are respelled to the folder's existing column spelling; a column of another type than the
+    folder's raises.  The note comes first: an append cut short leaves at most a column of NULLs.
     """
     spark = df.sparkSession
-    try:
-        existing = read_evolved(spark, path).columns
-    except AnalysisException as e:
-        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        existing = []
-    if existing:
-        by_lower = {c.lower(): c for c in existing}
-        renames = {c: by_lower[c.lower()] for c in df.columns if c.lower() in by_lower and by_lower[c.lower()] != c}
-        if renames:
-            df = df.withColumnsRenamed(renames)
+    known = folder_schema(spark, path)
+    if known is None and any(not n.startswith(("_", ".")) for n in names_in(spark, path)):
+        known = spark.read.option("mergeSchema", True).parquet(path).schema
+        _note_columns(spark, path, known)
+    have = {f.name.lower(): f for f in known.fields} if known else {}
+    changed = [f.name for f in df.schema.fields if f.name.lower() in have and have[f.name.lower()].dataType != f.dataType]
+    if changed:
+        raise ValueError(f"{path}: other types in {changed}")
+    df = df.select(*[col_of(c).alias(have[c.lower()].name if c.lower() in have else c) for c in df.columns])
+    if added := [f for f in df.schema.fields if f.name.lower() not in have]:
+        _note_columns(spark, path, T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in added]))
     df.write.mode("append").parquet(path)
 
 
 def read_evolved(spark: SparkSession, path: str, order: Sequence[str] | None = None) -> DataFrame:
-    """Read a folder written by :func:`append_evolve`, merging the eras' schemas.
-
-    Schema merging does not keep the first era's column order, so ``order`` (when
-    given) is re-selected first and any other columns follow.
-    """
-    df = spark.read.option("mergeSchema", True).parquet(path)
+    """Read a folder written by :func:`append_evolve` by its notes, or, without any, by merging the
+    schemas of all its files.  ``order`` (when given) is selected first, any other columns follow."""
+    known = folder_schema(spark, path)
+    df = spark.read.schema(known).parquet(path) if known else spark.read.option("mergeSchema", True).parquet(path)
     if order:
         head = [find_column(df, c) for c in order]
         head = [c for c in head if c is not None]

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.functions.columns import quote
+from tidewater.sources.notes import delete, names_in, read_note, write_note
 
 PARTITION_COLUMNS = ("pickup_year", "pickup_month")
 
@@ -68,16 +69,6 @@ def _zone_and_table(spark: SparkSession, name: str) -> tuple[str, str]:
     return (parts[0], parts[1]) if len(parts) == 2 else (spark.catalog.currentDatabase(), parts[0])
 
 
-def _folder(spark: SparkSession, path: str):
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    files, folder = _folder(spark, path)
-    files.delete(folder, True)
-
-
 def _plain(path: str) -> str:
     """A location as the catalog gives it (a URI) as a path."""
     return re.sub(r"^file:/+", "/", unquote(path)).rstrip("/")
@@ -173,24 +164,12 @@ def _point_at(spark: SparkSession, name: str, schema: T.StructType, partition_by
 
 
 def _describe(spark: SparkSession, path: str, schema: T.StructType, partition_by: Sequence[str]) -> None:
-    files, folder = _folder(spark, f"{path}/{DESCRIPTION_FILE}")
-    out = files.create(folder, True)
-    try:
-        out.write(bytearray(json.dumps({"schema": json.loads(schema.json()), "partition_by": list(partition_by)}).encode()))
-    finally:
-        out.close()
+    write_note(spark, f"{path}/{DESCRIPTION_FILE}", {"schema": json.loads(schema.json()), "partition_by": list(partition_by)})
 
 
 def _description(spark: SparkSession, path: str) -> tuple[T.StructType, list[str]] | None:
-    files, file = _folder(spark, f"{path}/{DESCRIPTION_FILE}")
-    if not files.exists(file):
-        return None
-    stream = files.open(file)
-    try:
-        data = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-    finally:
-        stream.close()
-    return T.StructType.fromJson(data["schema"]), data["partition_by"]
+    data = read_note(spark, f"{path}/{DESCRIPTION_FILE}")
+    return (T.StructType.fromJson(data["schema"]), data["partition_by"]) if data else None
 
 
 def _prefix(spark: SparkSession, zone: str, table: str) -> str:
@@ -209,7 +188,7 @@ def _switch(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
         (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
         _describe(spark, path, schema, partition_by)
     except Exception:
-        _delete(spark, path)
+        delete(spark, path)
         raise
     _point_at(spark, table_name(zone, table), schema, partition_by, path)
 
@@ -219,16 +198,14 @@ def versions(spark: SparkSession, name: str) -> list[dict]:
     ``current``.  One listing of the zone's folder."""
     zone, table = _zone_and_table(spark, name)
     prefix = _prefix(spark, zone, table)
-    files, folder = _folder(spark, prefix.rsplit("/", 1)[0])
+    folder, start = prefix.rsplit("/", 1)
     now = table_location(spark, name) if spark.catalog.tableExists(name) else None
     out = []
-    if files.exists(folder):
-        for status in files.listStatus(folder):
-            path = status.getPath().toUri().getPath() if prefix.startswith("/") else status.getPath().toString()
-            stamp = path[len(prefix):] if path.startswith(prefix) else ""
-            if re.fullmatch(r"\d{8}T\d{12}-[0-9a-f]{6}", stamp) and files.exists(_folder(spark, f"{path}/{DESCRIPTION_FILE}")[1]):
-                written = datetime.strptime(stamp.split("-")[0], STAMP).replace(tzinfo=timezone.utc)
-                out.append({"version": stamp, "path": path, "written": written, "current": path == now})
+    for found in names_in(spark, folder):
+        stamp, path = found[len(start):], f"{folder}/{found}"
+        if found.startswith(start) and re.fullmatch(r"\d{8}T\d{12}-[0-9a-f]{6}", stamp) and DESCRIPTION_FILE in names_in(spark, path):
+            written = datetime.strptime(stamp.split("-")[0], STAMP).replace(tzinfo=timezone.utc)
+            out.append({"version": stamp, "path": path, "written": written, "current": path == now})
     return sorted(out, key=lambda v: v["version"], reverse=True)
 
 
@@ -261,7 +238,7 @@ def vacuum(spark: SparkSession, name: str, keep: int = 0, older_than: timedelta
     old = [v for v in versions(spark, name) if not v["current"]][keep:]
     gone = [v for v in old if v["written"] <= limit]
     for v in gone:
-        _delete(spark, v["path"])
+        delete(spark, v["path"])
     return [v["version"] for v in gone]
 
 
