@@ -68,6 +68,35 @@ def test_one_row_per_key_by_a_stated_rule(spark):
         assert sorted(tuple(r)[:3] for r in upsert_tagged(t, frame, "tag", NOW).collect()) == [("k0", "L", "n"), ("k1", "L", "a")]
 
 
+def test_graph_tables_are_pruned_by_type_and_day(spark, tmp, capsys):
+    from tidewater.operators.graph import NODE_SCHEMA, load_graph, save_graph, staleness
+
+    ensure_zone(spark, "t_graph", f"{tmp}/graph")
+    cut = NOW - 3 * DAY_MS
+    ages = [0, 1, 2, 2.9, 2.9999, 3, 3.00001, 3.1, 4, 20]
+    rows = [(f"s{i}-{t}", "A", f"e{i}", "B", t, t + "_OF", NOW - int(a * DAY_MS)) for i, a in enumerate(ages * 3)
+            for t in ("READ", "READ_BY", "OTHER")]
+    rows += [(f"none-{t}", "A", "e", "B", t, "R", None) for t in ("READ", "OTHER")] + [("edge", "A", "e", "B", "READ", "R", cut)]
+    edges = spark.createDataFrame(rows, "start_key string, start_label string, end_key string, end_label string, type string, "
+                                        "reverse_type string, last_updated long")
+    save_graph(spark.createDataFrame([("k", "Table", "n", {"a": "b"})], NODE_SCHEMA), edges, "t_graph")
+    nodes, kept = load_graph(spark, "t_graph")
+    assert [tuple(r) for r in nodes.select("key", "label", "name", "attrs").collect()] == [("k", "Table", "n", {"a": "b"})]
+    key = lambda df: sorted((str(tuple(r)) for r in df.select(*edges.columns).collect()))
+    assert key(kept) == key(edges)
+    assert sorted(map(tuple, staleness(kept, NOW).collect())) == sorted(map(tuple, staleness(edges, NOW).collect()))
+    after = expire_relations(kept, NOW)
+    assert key(after) == key(expire_relations(edges, NOW)) and after.count() < kept.count()
+    capsys.readouterr()
+    after.explain()
+    plan = capsys.readouterr().out
+    assert "PartitionFilters" in plan and "updated_day" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+    staleness(kept, NOW).explain()
+    assert "type" in capsys.readouterr().out.split("PartitionFilters")[1].split("PushedFilters")[0]
+    save_graph(nodes, after, "t_graph")  # the next version, from the one before
+    assert key(load_graph(spark, "t_graph")[1]) == key(after)
+
+
 def test_one_merge_equals_publishing_in_turn(spark, capsys):
     """Against the single steps: M3 for plain labels, M2 for create-only ones, job by job."""
     import random

@@ -12,9 +12,10 @@ the optimiser (and adaptive execution) to plan.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from datetime import date, timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,6 +37,8 @@ NODE_SCHEMA = T.StructType(
         T.StructField("attrs", T.MapType(T.StringType(), T.StringType())),
     ]
 )
+# Tables of a graph kept in a zone, and the column that its edges are laid out by beside their type.
+NODES_TABLE, EDGES_TABLE, UPDATED_DAY = "nodes", "edges", "updated_day"
 EDGE_COLUMNS = ("start_key", "start_label", "end_key", "end_label", "type", "reverse_type")
 EDGE_KEY = ("start_key", "end_key", "type")
 
@@ -261,9 +264,32 @@ def is_stale(edges: DataFrame, now_ms: int, days: int = DEFAULT_EXPIRY_DAYS,
     return F.col("type").isin(list(types)) & (F.col("last_updated") < F.lit(cutoff))
 
 
+def save_graph(nodes: DataFrame, edges: DataFrame, zone: str) -> None:
+    """Keep a graph as tables of a zone: ``nodes`` laid out by label, ``edges`` by type and UTC day of
+    ``last_updated`` (the default partition holds those without).  New versions replace old ones, so
+    the frames may read the graph they replace."""
+    from tidewater.sources.tables import table_name, write_partitioned
+
+    day = F.date_from_unix_date(F.floor(F.col("last_updated") / DAY_MS).cast("int"))
+    if "last_updated" not in edges.columns:
+        edges = edges.withColumn("last_updated", F.lit(None).cast("long"))
+    write_partitioned(nodes, table_name(zone, NODES_TABLE), ["label"])
+    write_partitioned(edges.withColumn(UPDATED_DAY, day), table_name(zone, EDGES_TABLE), ["type", UPDATED_DAY])
+
+
+def load_graph(spark: SparkSession, zone: str) -> tuple[DataFrame, DataFrame]:
+    """The nodes and edges that :func:`save_graph` kept; the edges with their day, by which expiry
+    leaves out partitions."""
+    from tidewater.sources.tables import scan_table
+
+    return scan_table(spark, zone, NODES_TABLE), scan_table(spark, zone, EDGES_TABLE)
+
+
 def staleness(edges: DataFrame, now_ms: int, days: int = DEFAULT_EXPIRY_DAYS,
               types: Iterable[str] = STALE_RELATION_TYPES) -> DataFrame:
-    """Per target type: total, stale and stale percentage (one row per type)."""
+    """Per target type: total, stale and stale percentage (one row per type).
+
+    Over edges laid out by type and day only the target types' partitions are read."""
     types = list(types)
     stale = is_stale(edges, now_ms, days, types)
     return (edges.where(F.col("type").isin(types))
@@ -296,6 +322,10 @@ def expire_relations(edges: DataFrame, now_ms: int, days: int = DEFAULT_EXPIRY_D
     types = list(types)
     if guard:
         stale_ratio_guard(edges, now_ms, days, types, max_pct)
+    if UPDATED_DAY in edges.columns:
+        # whole days before the cut-off's are left out unread
+        cut = F.lit(date(1970, 1, 1) + timedelta(days=(now_ms - DAY_MS * days) // DAY_MS))
+        edges = edges.where(~(F.col("type").isin(types) & F.coalesce(F.col(UPDATED_DAY) < cut, F.lit(False))))
     return edges.where(~F.coalesce(is_stale(edges, now_ms, days, types), F.lit(False)))
 
 

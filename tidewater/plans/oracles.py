@@ -135,6 +135,7 @@ ORACLES: dict[str, str] = {
   CAST(month({TS('pickup_datetime')}) AS INTEGER) AS pickup_month FROM ({GREEN_MERGED})""",
     "merge_green_eras": cte("g1", "g2", "g3") + GREEN_MERGED,
     "append_evolve": cte("y1", "y2") + YELLOW_MERGED,
+    "append_folder": cte("y1", "y2") + YELLOW_MERGED,
     "clean_green": TAXI_CTE + "SELECT * FROM green_clean",
     "clean_yellow": TAXI_CTE + "SELECT * FROM yellow_clean",
     "processed": TAXI_CTE + """SELECT * REPLACE (CAST(rate_code_id AS VARCHAR) AS rate_code_id) FROM green_clean
@@ -361,6 +362,9 @@ FROM t WHERE key NOT IN (SELECT key FROM i)
 UNION ALL SELECT key, label, name, 'wm_test', CAST({EXPIRY_NOW_MS} AS BIGINT) FROM i""",
     "expire_relations": f"""WITH {EVENT_EDGES}
 SELECT * FROM edges
+WHERE NOT (type IN ('READ', 'READ_BY') AND last_updated < {EXPIRY_NOW_MS} - 86400000 * 3)""",
+    "graph_zone": f"""WITH {EVENT_EDGES}
+SELECT *, CAST(to_timestamp(last_updated // 1000) AT TIME ZONE 'UTC' AS DATE) AS updated_day FROM edges
 WHERE NOT (type IN ('READ', 'READ_BY') AND last_updated < {EXPIRY_NOW_MS} - 86400000 * 3)""",
     "watermark_records": f"""WITH w AS ({SCHEMA_WATERMARKS})
 SELECT 'default://{CLUSTER}.' || schema || '/' || table_name || '/' || part_type || '/' AS key,

@@ -425,6 +425,30 @@ def q_expire_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return expire_relations(_event_edges(spark, sf_dir), EXPIRY_NOW_MS)
 
 
+def q_graph_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5 over graph tables: the events' relations kept in a zone by type and day, expired by their
+    layout, kept again as the next version, and read back."""
+    from tidewater.operators.graph import NODE_SCHEMA, expire_relations, load_graph, save_graph
+
+    zone = _unique("tw_graph")
+    ensure_zone(spark, zone, scratch_path(spark, zone))
+    save_graph(spark.createDataFrame([], NODE_SCHEMA), _event_edges(spark, sf_dir), zone)
+    nodes, edges = load_graph(spark, zone)
+    save_graph(nodes, expire_relations(edges, EXPIRY_NOW_MS), zone)
+    return load_graph(spark, zone)[1]
+
+
+def q_append_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 on a bare folder: the early yellow era appended, then the renamed late one with its new
+    columns, read back by the folder's notes."""
+    from tidewater.sources.files import append_evolve, read_evolved
+
+    path, early = scratch_path(spark, "yellow_folder"), _raw(spark, sf_dir, "y1")
+    append_evolve(early, path)
+    append_evolve(rename_if_present(_raw(spark, sf_dir, "y2"), YELLOW_LATE_RENAMES), path)
+    return read_evolved(spark, path, order=early.columns)
+
+
 def q_watermark_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewater.operators.graph import watermark_records
 
@@ -551,6 +575,7 @@ QUERIES: dict[str, Query] = {
     "year_month": q_year_month,
     "merge_green_eras": q_merge_green_eras,
     "append_evolve": q_append_evolve,
+    "append_folder": q_append_folder,
     "clean_green": q_clean_green,
     "clean_yellow": q_clean_yellow,
     "processed": q_processed,
@@ -571,6 +596,7 @@ QUERIES: dict[str, Query] = {
     "insert_only": q_insert_only,
     "upsert_tagged": q_upsert_tagged,
     "expire_relations": q_expire_relations,
+    "graph_zone": q_graph_zone,
     "watermark_records": q_watermark_records,
     "profile_records": q_profile_records,
     "ensure_zone": q_ensure_zone,
