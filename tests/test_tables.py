@@ -291,5 +291,20 @@ def test_scratch_root_unset_local_registers_own_folder_unset_cluster_raises():
     local = _Session("local[2]")
     root = scratch_root(local)
     assert root and local.sparkContext.dir == root and scratch_root(local) == root
-    with pytest.raises(RuntimeError):
-        scratch_root(_Session("yarn"))
+    for master in ("yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            scratch_root(_Session(master))
+
+
+def test_clear_scratch_leaves_other_applications_alone(spark, tmp):
+    import os
+
+    from tidewater import session
+
+    own = session.pinned(spark.range(5), "own")
+    assert own.count() == 5
+    root = session.app_folder(spark).replace("file:", "")
+    other = os.path.join(os.path.dirname(root), "another-application", "pinned-1")
+    os.makedirs(other)
+    session.clear_scratch(spark)
+    assert os.path.isdir(other) and not os.path.exists(root)

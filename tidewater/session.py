@@ -7,6 +7,7 @@ when the session names none (tests, a bare local session) do we pick one ourselv
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -22,7 +23,7 @@ def scratch_root(spark: SparkSession) -> str:
             root = None
     if not root:
         master = spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", master):  # local-cluster has executors of its own
             # a machine-local folder is not shared by the executors of a cluster
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store)")
         root = tempfile.mkdtemp(prefix="tidewater-ckpt-")
@@ -36,9 +37,14 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def app_folder(spark: SparkSession) -> str:
+    """This application's folder below the shared scratch root."""
+    return f"{scratch_root(spark)}/tidewater/{spark.conf.get('spark.app.id')}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never reused folder below the shared scratch root."""
-    return f"{scratch_root(spark)}/tidewater/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, never reused folder of this application below the shared scratch root."""
+    return f"{app_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def pinned(df: DataFrame, name: str) -> DataFrame:
@@ -51,7 +57,7 @@ def pinned(df: DataFrame, name: str) -> DataFrame:
 
 
 def clear_scratch(spark: SparkSession) -> None:
-    """Delete everything that this library has pinned below the scratch root.  Frames that
-    still read a pinned table can't be used afterwards."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/tidewater")
+    """Delete everything that this application has pinned below the scratch root, and nothing of
+    others.  Frames that still read a pinned table can't be used afterwards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(app_folder(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
