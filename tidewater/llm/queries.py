@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from tidewater.llm.common import stored, table
 
 
+#: Words that a proximity match of op9 may be off.
+NEAR_SLOP = 3
+
+
 def _store(spark: SparkSession, name: str):
     return lambda df: stored(spark, df, name)
 
@@ -75,8 +79,9 @@ def q_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewater.llm.decontam import decontaminate
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = decontaminate(spark, docs, table(spark, sf_dir, "benchmark"), _store(spark, "decontam"))
-    return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    out = decontaminate(spark, docs, table(spark, sf_dir, "benchmark"), _store(spark, "decontam"), slop=NEAR_SLOP)
+    return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "n_near",
+                      F.array_join("near_ids", ",").alias("near_ids"))
 
 
 def q_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,7 +99,7 @@ def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", held_out)
     labels = table(spark, sf_dir, "labels").filter(~held_out)
     out = score_toxicity(docs, docs.select("doc_id", "text"), labels)
-    return out.select("doc_id", "held_out", "score", "predicted", F.size("toxic_spans").alias("n_spans"))
+    return out.select("doc_id", "held_out", "score", "predicted", "toxic_spans")
 
 
 def q_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -228,10 +233,32 @@ WITH d AS (
 ), items AS (
   SELECT rid, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids
   FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS i FROM m) GROUP BY rid
+), it AS (  -- from here: two of the two rarest words of an item's windows, as far apart as in the item, give or take 3
+  SELECT row_number() OVER () AS item, ws, len(ws) AS n FROM (SELECT DISTINCT ws FROM b WHERE len(ws) > 0)
+), freq AS (
+  SELECT term, count(*) AS f FROM (SELECT unnest(ws) AS term FROM d) GROUP BY term
+), st AS (
+  SELECT item, term, off, coalesce(f, 0) AS f, unnest(range(greatest(0, off - 9), least(off, greatest(0, n - 10)) + 1)) AS start
+  FROM (SELECT item, n, unnest(ws) AS term, generate_subscripts(ws, 1) - 1 AS off FROM it) LEFT JOIN freq USING (term)
+), an AS (
+  SELECT DISTINCT item, term, off
+  FROM (SELECT *, row_number() OVER (PARTITION BY item, start ORDER BY f, term, off) AS k, min(f) OVER (PARTITION BY item, start) AS least_f FROM st)
+  WHERE k <= 2 AND least_f > 0
+), ls AS (
+  SELECT rid, item, pos, off, pos - off AS delta
+  FROM (SELECT rid, unnest(ws) AS term, generate_subscripts(ws, 1) - 1 AS pos FROM d) JOIN an USING (term)
+), nr AS (
+  SELECT DISTINCT x.rid, x.item FROM ls x JOIN ls y ON x.rid = y.rid AND x.item = y.item
+  AND y.delta BETWEEN x.delta - 3 AND x.delta AND x.pos <> y.pos AND x.off <> y.off
+), near AS (
+  SELECT rid, count(*) AS n_near, string_agg(i, ',' ORDER BY i) AS near_ids FROM (
+    SELECT rid, CAST(item_id AS VARCHAR) AS i FROM nr JOIN it USING (item) JOIN b ON b.ws = it.ws WHERE item_id IS NOT NULL
+    UNION SELECT rid, CAST(item_id AS VARCHAR) FROM m WHERE item_id IS NOT NULL) GROUP BY rid
 )
 SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN hits USING (rid) LEFT JOIN items USING (rid)
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+       coalesce(n_near, 0) AS n_near, coalesce(near_ids, '') AS near_ids
+FROM d LEFT JOIN hits USING (rid) LEFT JOIN items USING (rid) LEFT JOIN near USING (rid)
 """,
     "op10_warc_zip": """
 WITH p AS (
