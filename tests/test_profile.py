@@ -172,3 +172,54 @@ def test_exact_quantiles_property(spark):
                 assert got[k] is None
 
     check()
+
+
+def test_zone_profiles_share_scans(spark, tmp, monkeypatch):
+    from tidewater.operators import profile
+    from tidewater.sources.tables import ensure_zone, write_partitioned, write_replace
+
+    ensure_zone(spark, "t_prof_many", f"{tmp}/a b/many")
+    for i in range(6):
+        df = spark.range(0, 300 + i).select((F.col("id") % (7 + i)).alias("x"), (F.col("id") * 0.25 * i).alias("Y" if i % 2 else "y"),
+                                            F.lit("s").alias("s"))
+        write_replace(df, f"t_prof_many.plain_{i}")
+        write_partitioned(df.withColumn("k", (F.col("x") % 3).cast("int")), f"t_prof_many.parted_{i}", ["k"])
+    write_replace(spark.range(10), "t_prof_many.alone")
+    write_replace(spark.range(10).select(F.lit("t").alias("t")), "t_prof_many.text")
+    seen = []
+    monkeypatch.setattr(profile, "_exact_stats", lambda long, f=profile._exact_stats: seen.append(long) or f(long))
+    got = {(r.table_name, r.column_name): r.asDict() for r in profile.schema_profile(spark, "t_prof_many").collect()}
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 3  # plain ones, partitioned ones, the one alone
+    tables = {t.name: spark.table(f"t_prof_many.{t.name}") for t in spark.catalog.listTables("t_prof_many")}
+    expected = {(r.table_name, r.column_name): r.asDict() for r in profile.profile_tables(tables).collect()}
+    assert got.keys() == expected.keys() and len(got) == 6 * 2 + 6 * 3 + 1
+    for k in expected:
+        for stat, v in expected[k].items():
+            assert got[k][stat] == (pytest.approx(v, rel=1e-12, abs=1e-12) if isinstance(v, float) else v), (k, stat)
+
+
+@pytest.mark.parametrize("few", [1, 3, 1 << 16])
+def test_radix_selection_of_extreme_values(spark, few):
+    """All passes, down to single values: subnormals, infinities, both zeros, ends of the long range."""
+    import struct
+
+    from tidewater.operators.profile import _exact_stats, _long_form, _with_image
+
+    rng = np.random.default_rng(5)
+    wide = [struct.unpack("<d", rng.bytes(8))[0] for _ in range(400)]
+    doubles = [x for x in wide if x == x] + [0.0, -0.0, 5e-324, -5e-324, 2.0**-1022, 2.0**-1022 - 5e-324, 1.7976931348623157e308,
+                                             float("inf"), -float("inf"), 2.0, float(np.nextafter(2.0, 0)), float(np.nextafter(2.0, 3)), 8.0, 1e22] * 2
+    longs = [int(x) for x in rng.integers(-2**63, 2**63 - 1, 300)] + [-2**63, 2**63 - 1, 0, 1, -1] * 3
+    rows = [(longs[i % len(longs)] if i < len(longs) else None, doubles[i] if i < len(doubles) else None) for i in range(max(len(longs), len(doubles)))]
+    df = spark.createDataFrame(rows, "k long, f double").repartition(4)
+    images = sorted((r.d, r.image) for r in _with_image(df.select(F.lit(None).cast("long").alias("i"), F.col("f").alias("d")).where("d IS NOT NULL")).collect())
+    bits = lambda x: struct.unpack("<q", struct.pack("<d", abs(x)))[0] * (-1 if x < 0 else 1)
+    assert all(image == bits(x) for x, image in images)
+    got = {r.col_idx: r for r in _exact_stats(_long_form(df, ["k", "f"]), few=few).collect()}
+    for idx, values in ((0, longs), (1, doubles)):
+        ordered = sorted(values)
+        for name, q in {"q05": .05, "q25": .25, "q50": .5, "q75": .75, "q95": .95}.items():
+            pos = q * (len(ordered) - 1)
+            lo, hi = float(ordered[int(np.floor(pos))]), float(ordered[int(np.ceil(pos))])
+            assert got[idx][name] == (lo if lo == hi else lo + (pos - np.floor(pos)) * (hi - lo)), (idx, name)

@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from tidewater.functions.columns import col_of, numeric_columns, quote
 from tidewater.session import pinned
 from tidewater.sources.catalog import table_names
-from tidewater.sources.tables import scan_table
+from tidewater.sources.tables import partition_columns, scan_table, shared_scan, table_details, table_location, table_name
 
 # Bits of a digit of the radix selection, and distinct values that are few enough to be ordered.
 DIGIT = 16
@@ -80,17 +80,17 @@ def sig_round(name: str, digits: int) -> Column:
         f"ELSE round({x} * power(10.0D, -{e}), {digits - 1}) / power(10.0D, -{e}) END")
 
 
-def _long_form(df: DataFrame, names: list[str], base: int = 0) -> DataFrame:
+def _long_form(df: DataFrame, names: list[str], base: int | str = 0) -> DataFrame:
     """(col_idx, i, d): one row per (row, numeric column), NaN counted as missing;
-    column indices start at ``base``."""
+    column indices start at ``base``, a number or a column of ``df``."""
     whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
     pairs = []
     for k, name in enumerate(names):
         x = quote(name)
         if isinstance(df.schema[name].dataType, whole):
-            pairs.append(f"{base + k}, CAST({x} AS BIGINT), CAST(NULL AS DOUBLE)")
+            pairs.append(f"CAST({base} + {k} AS INT), CAST({x} AS BIGINT), CAST(NULL AS DOUBLE)")
         else:
-            pairs.append(f"{base + k}, CAST(NULL AS BIGINT), nanvl(CAST({x} AS DOUBLE), CAST(NULL AS DOUBLE))")
+            pairs.append(f"CAST({base} + {k} AS INT), CAST(NULL AS BIGINT), nanvl(CAST({x} AS DOUBLE), CAST(NULL AS DOUBLE))")
     return df.select(F.expr(f"stack({len(names)}, {', '.join(pairs)}) AS (col_idx, i, d)"))
 
 
@@ -267,6 +267,12 @@ def profile_tables(
         sel = df.select(*[col_of(c) for c in names])
         longs.append(_long_form(cap_rows(sel, n) if n is not None else sel, names, base=len(entries)))
         entries += [(t, c, positions[c]) for c in names]
+    return _profiles(longs, entries, approx, accuracy, digits)
+
+
+def _profiles(longs: list[DataFrame], entries: list[tuple[str, str, int]], approx: bool, accuracy: int,
+              digits: int | None) -> DataFrame | None:
+    """The profiles of long forms whose column k is (table, column, position) ``entries[k]``."""
     if not longs:
         return None
     long = reduce(lambda a, b: a.unionByName(b), longs)
@@ -341,11 +347,39 @@ def schema_profile(
     """A5: A4 for every table of a zone, with ``schema`` and ``table_name`` columns,
     all tables in one Spark job.
 
+    Parquet tables of the same numeric columns and layout are read by one scan over all their
+    folders, so the plan grows with the different schemas of a zone and not with its tables.
     Tables without numeric columns (every raw-zone table: all text) add no rows; a zone
     without tables gives an empty frame.
     """
-    tables = {t: scan_table(spark, zone, t) for t in table_names(spark, zone)}
-    out = profile_tables(tables, n=n, approx=approx, digits=digits)
+    entries: list[tuple[str, str, int]] = []
+    longs: list[DataFrame] = []
+    shared: dict[tuple, list[tuple[str, int, T.StructType]]] = {}
+    for t in table_names(spark, zone):
+        df = scan_table(spark, zone, t)
+        names, positions = numeric_columns(df), {c: i for i, c in enumerate(df.columns)}
+        if not names:
+            continue
+        base = len(entries)
+        entries += [(t, c, positions[c]) for c in names]
+        details = table_details(spark, table_name(zone, t))
+        layout = partition_columns(spark, table_name(zone, t))
+        if (n is None and details.get("Provider", "").lower() == "parquet" and details.get("Location")
+                and details.get("Type") != "VIEW" and details.get("Partition Provider") != "Catalog"):
+            fields = [df.schema[c] for c in names] + [df.schema[c] for c in layout if c not in names]
+            key = (tuple((f.name.lower(), f.dataType.simpleString()) for f in fields), tuple(layout))
+            shared.setdefault(key, []).append((t, base, T.StructType(fields)))
+        else:
+            sel = df.select(*[col_of(c) for c in names])
+            longs.append(_long_form(cap_rows(sel, n) if n is not None else sel, names, base))
+    for (_, layout), same in shared.items():
+        (t, base, schema), names = same[0], numeric_columns(scan_table(spark, zone, same[0][0]))
+        if len(same) == 1:
+            longs.append(_long_form(scan_table(spark, zone, t).select(*[col_of(c) for c in names]), names, base))
+        else:
+            folders = {table_location(spark, table_name(zone, t)): base for t, base, _ in same}
+            longs.append(_long_form(shared_scan(spark, schema, layout, folders, "base of it"), names, quote("base of it")))
+    out = _profiles(longs, entries, approx, 10000, digits)
     if out is None:
         empty = T.StructType([T.StructField("schema", T.StringType()), T.StructField("table_name", T.StringType())]
                              + PROFILE_SCHEMA.fields)

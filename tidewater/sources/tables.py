@@ -21,8 +21,9 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime, timedelta, timezone
+from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.functions.columns import quote
-from tidewater.sources.notes import delete, names_in, read_note, write_note
+from tidewater.sources.notes import delete, located, names_in, read_note, write_note
 
 PARTITION_COLUMNS = ("pickup_year", "pickup_month")
 
@@ -87,6 +88,34 @@ def table_location(spark: SparkSession, name: str) -> str | None:
     return table_details(spark, name).get("Location")
 
 
+def shared_scan(spark: SparkSession, schema: T.StructType, layout: Sequence[str], folders: Mapping[str, object],
+                tag: str) -> DataFrame:
+    """One scan of many Parquet folders of like columns and layout: the columns of ``schema`` (those of
+    the layout must be numbers; they are read off the files' paths) and, as ``tag``, the value that
+    ``folders`` gives the folder a row's file is in.  The folders are looked up by a broadcast join
+    for each depth at which they lie, of which there are few."""
+    def uri(path: str) -> str:
+        files, folder = located(spark, path)
+        return re.sub("^file:/+", "file:/", files.makeQualified(folder).toUri().toString())  # as files' paths are given
+
+    by_depth: dict[int, list] = {}
+    for path, value in folders.items():
+        by_depth.setdefault(uri(path).count("/") + 1, []).append((uri(path), value))
+    last = {c.lower() for c in layout}
+    stored = T.StructType([f for f in schema.fields if f.name.lower() not in last])
+    scan = (spark.read.schema(stored).option("recursiveFileLookup", True).parquet(*folders)
+            .select("*", F.col("_metadata.file_path").alias("file of it")))
+    columns = [F.regexp_extract("file of it", f"(?i)/{re.escape(f.name)}=(-?[0-9.]+(?:E-?[0-9]+)?)/", 1).try_cast(f.dataType).alias(f.name)
+               if f.name.lower() in last else F.col(quote(f.name)) for f in schema.fields]
+    kind = "bigint" if all(isinstance(v, int) for v in folders.values()) else "string"
+    parts = []
+    for depth, rows in by_depth.items():
+        names = spark.createDataFrame(rows, f"`folder of it` string, {quote(tag)} {kind}")
+        parts.append(scan.join(F.broadcast(names), F.substring_index("file of it", "/", depth) == F.col("folder of it"))
+                     .select(*columns, F.col(quote(tag))))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def partition_columns(spark: SparkSession, name: str) -> list[str]:
     """The columns that a table is laid out by."""
     return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
