@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from tidewater.llm.common import need, ship_by_value
 from tidewater.session import scratch_path
 
-PACKAGE_BYTES, RUN_BYTES = 32 << 20, 1 << 20
+PACKAGE_BYTES, RUN_BYTES, READ_BYTES = 32 << 20, 1 << 20, 16 << 20
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdx"
 #: All records get the date of the crawl that the caller states: reruns write equal bytes.
 DATE = "2024-01-01T00:00:00Z"
@@ -283,6 +283,9 @@ def write_archives(spark: SparkSession, pages: DataFrame, store: Callable[[DataF
 
 
 def read_archives(manifest: DataFrame, payloads: bool = True) -> DataFrame:
-    """The records of the packages that a manifest (a column ``path``) lists."""
+    """The records of the packages that a manifest (a column ``path``) lists, ``READ_BYTES`` of
+    packages a task or so (by ``package_bytes``, where the manifest has it)."""
+    size = F.sum("package_bytes") if "package_bytes" in manifest.columns else F.count(F.lit(1)) * PACKAGE_BYTES
+    total = manifest.agg(F.coalesce(size, F.lit(0))).first()[0]
     runs = manifest.select("path").mapInArrow(locate_records, "path string, start long, lengths array<long>")
-    return runs.repartition("path", "start").mapInArrow(read_runs(payloads), RECORDS)
+    return runs.repartition(total // READ_BYTES + 1, "path", "start").mapInArrow(read_runs(payloads), RECORDS)
