@@ -8,14 +8,14 @@ the mean over its windows weighted by their bytes.
 
 The first layer works on one-hot bytes, so a filter is a table; for scoring, tables for
 byte pairs turn a window position into three look-ups.  Training learns every label that
-occurs, from a sample of about ``PER_LANG`` documents a language and ``PIECES`` pieces of
-each (over ``SAMPLE`` documents in all, fewer of each language, but ``LEAST`` at least);
+occurs, from a sample of about ``PER_LANG`` different texts a language and ``PIECES`` pieces of
+each (over ``SAMPLE`` texts in all, fewer of each language, but ``LEAST`` at least);
 scoring has no limits.  A task holds one Arrow batch and one batch of
 windows, however long a text is.
 
 Defined results: a null text, and one without a letter, is ``und`` with score 0; without any
-labelled row every text is ``und``; repeated rows give equal rows; an empty table gives an
-empty table; labels that are null are not learned from.
+labelled row every text is ``und``; repeated rows give equal rows, and copies are learned from
+once; an empty table gives an empty table; labels that are null are not learned from.
 """
 
 from __future__ import annotations
@@ -156,22 +156,22 @@ def fit(pieces: pd.DataFrame, seed: int = SEED) -> Network | None:
     return net
 
 
-def training_pieces(df: DataFrame, text: str, lang: str, id_col: str, per_lang: int = PER_LANG) -> pd.DataFrame:
-    """The bounded sample: hashed ids choose about ``per_lang`` documents of each language."""
-    counts = (df.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).groupBy(F.col(lang).alias("lang"))
-              .agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").collect())
-    if not counts:
-        return pd.DataFrame({"lang": [], "piece": []}, dtype=object)
-    per_lang = min(per_lang, max(LEAST, SAMPLE // len(counts)))
-    limit = F.create_map(*[v for r in counts for v in (F.lit(r["lang"]), F.lit(min(1.0, per_lang / r["n"])))])
-    turn = F.pmod(F.xxhash64(F.col(id_col), F.lit("lang")), F.lit(1 << 30)) / float(1 << 30)
-    chosen = df.filter(F.col(lang).isNotNull() & letters(F.col(text)) & (turn < F.try_element_at(limit, F.col(lang))))
-    n = F.char_length(F.col(text))
-    start = lambda i: (F.pmod(F.xxhash64(F.col(id_col), F.lit(i)), F.greatest(n - WINDOW, F.lit(1))) + 1).cast("int")
-    rows = chosen.select(F.col(lang).alias("lang"), F.xxhash64(F.col(id_col)).alias("turn"), F.posexplode(F.array_distinct(F.array(
-        *[F.substring(F.col(text), start(i), F.lit(WINDOW)) for i in range(PIECES)]))).alias("i", "piece"))
-    found = rows.toPandas().sort_values(["turn", "i", "lang", "piece"], kind="stable")
-    return found[["lang", "piece"]].reset_index(drop=True)
+def training_pieces(df: DataFrame, text: str, lang: str, per_lang: int = PER_LANG) -> pd.DataFrame:
+    """The bounded sample: hashed texts choose about ``per_lang`` different texts of each language.
+    Copies count once and ids play no part, so repeated or null ids change nothing."""
+    rows = df.filter(F.col(lang).isNotNull() & letters(F.col(text))).select(
+        F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("h"))
+    counts = rows.select("lang", "h").distinct().groupBy(F.col("lang").alias("c_lang")).agg(F.count(F.lit(1)).alias("n"))
+    langs = counts.count()
+    per_lang = min(per_lang, max(LEAST, SAMPLE // max(langs, 1)))
+    turn = F.pmod(F.xxhash64("h", F.lit("lang")), F.lit(1 << 30)) / float(1 << 30)
+    chosen = rows.join(counts, F.col("lang") == F.col("c_lang")).filter(turn * F.col("n") < per_lang)
+    n = F.char_length("text")
+    start = lambda i: (F.pmod(F.xxhash64("h", F.lit(i)), F.greatest(n - WINDOW, F.lit(1))) + 1).cast("int")
+    pieces = F.array_distinct(F.array(*[F.substring(F.col("text"), start(i), F.lit(WINDOW)) for i in range(PIECES)]))
+    once = chosen.select("lang", "h", pieces.alias("pieces")).dropDuplicates(["lang", "h"])
+    found = once.select("lang", "h", F.posexplode("pieces").alias("i", "piece")).toPandas()
+    return found.sort_values(["h", "i", "lang", "piece"], kind="stable")[["lang", "piece"]].reset_index(drop=True)
 
 
 def letters(text: Column) -> Column:
@@ -215,14 +215,13 @@ def scores_of(net: Network) -> Callable[[Iterator[pd.Series]], Iterator[pd.DataF
     return run
 
 
-def identify_language(df: DataFrame, labelled: DataFrame, text: str = "text", lang: str = "lang",
-                      id_col: str = "doc_id") -> DataFrame:
+def identify_language(df: DataFrame, labelled: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """``df`` with lang_pred and score (earlier columns of these names give way), learned from
     the rows of ``labelled`` with a non-null ``lang``."""
     need(df, text)
-    need(labelled, text, lang, id_col)
+    need(labelled, text, lang)
     columns = [c for c in df.columns if c.lower() not in ("lang_pred", "score")]
-    net = fit(training_pieces(labelled, text, lang, id_col))
+    net = fit(training_pieces(labelled, text, lang))
     if net is None:
         return df.select(*columns, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
     predict = F.pandas_udf(scores_of(net), "lang_pred string, score double")
