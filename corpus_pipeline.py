@@ -18,35 +18,50 @@ def _store(spark: SparkSession, name: str) -> Callable[[DataFrame], DataFrame]:
     return lambda df: stored(spark, df, name)
 
 
+#: The columns that stages read; all others go through them in one column, so that none clashes.
+READ = ("doc_id", "text", "lang", "source")
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    rest = [c for c in docs.columns if c not in READ]
+    return docs.select(*[c for c in READ if c in docs.columns], F.struct(*rest, F.lit(True).alias("there")).alias("rest of it"))
+
+
+def unpacked(df: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` again, in their order."""
+    return df.select(*[c if c in READ else F.col("`rest of it`")[c].alias(c) for c in docs.columns])
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
     from tidewater.llm.quality import quality_rules as rules
 
-    return rules(docs, store=_store(spark, "pipe-quality")).filter("kept").select(*docs.columns)
+    return unpacked(rules(packed(docs), store=_store(spark, "pipe-quality")).filter("kept"), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: the one with the smallest id."""
     from tidewater.llm.simhash import one_of_each, simhash_components
 
-    found = simhash_components(spark, docs, _store(spark, "pipe-simhash"))
-    return one_of_each(found, docs)
+    rows = packed(docs)
+    return unpacked(one_of_each(simhash_components(spark, rows, _store(spark, "pipe-simhash")), rows), docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of the benchmark go."""
     from tidewater.llm.decontam import clean_rows, decontaminate
 
-    found = decontaminate(spark, docs, table(spark, sf_dir, "benchmark"), _store(spark, "pipe-decontam"))
-    return clean_rows(found, docs, _store(spark, "pipe-contaminated"))
+    rows = packed(docs)
+    found = decontaminate(spark, rows, table(spark, sf_dir, "benchmark"), _store(spark, "pipe-decontam"))
+    return unpacked(clean_rows(found, rows, _store(spark, "pipe-contaminated")), docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Whole copies of the documents, as many of each as its source's target asks for."""
     from tidewater.llm.mixing import mix
 
-    mixed = mix(docs, _store(spark, "pipe-mixing"), whole=True)
-    return mixed.withColumn("copies", F.explode("copies")).select(*docs.columns)
+    mixed = mix(packed(docs), _store(spark, "pipe-mixing"), whole=True)
+    return unpacked(mixed.withColumn("copies", F.explode("copies")), docs)
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
