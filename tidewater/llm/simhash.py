@@ -45,6 +45,8 @@ SEGMENTS = ((0, 22), (22, 21), (43, 21))
 PAIRS = ((0, 1), (0, 2), (1, 2))
 #: Shingles unpacked at a time.
 CHUNK = 1 << 15
+#: Keys that the members of one component are dealt over.
+SALTS = 32
 
 ship_by_value(__name__)
 
@@ -249,11 +251,16 @@ def simhash_components(spark: SparkSession, df: DataFrame, store: Callable[[Data
     links = (keyed.repartition("key").sortWithinPartitions("key")
              .mapInArrow(link_rows(max_bits), "a long, b long"))
     roots = components(links, store)
-    rooted = (nodes.join(roots, nodes["fp"] == roots["node"], "left")
-              .select("fp", "least_id", F.coalesce("root", "fp").alias("root")))
-    rooted = store(rooted)
-    ids = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    found = rooted.select("fp", "root").join(ids, "root")
+    # a component's members, its root among them; single fingerprints need no component
+    members = roots.select(F.col("node").alias("fp"), "root").unionByName(
+        roots.select(F.col("root").alias("fp"), "root").distinct())
+    linked = store(members.join(nodes, "fp"))
+    ids = linked.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    # a component of a third of all fingerprints is dealt over ``SALTS`` keys
+    salted = ids.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    joined = linked.withColumn("salt", F.pmod(F.xxhash64("fp"), F.lit(SALTS)).cast("int")).join(salted, ["root", "salt"])
+    single = nodes.join(linked.select("fp"), "fp", "left_anti").select("fp", F.col("fp").alias("root"), F.col("least_id").alias("component_id"))
+    found = store(joined.select("fp", "root", "component_id").unionByName(single))
     return docs.join(found, "fp").select(F.col("id").alias(id_col), "h", "fp", "root", "component_id")
 
 
