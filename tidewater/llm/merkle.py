@@ -1,11 +1,12 @@
 """Document fingerprints: Merkle trees over sections and paragraphs.
 
 A text is cut without loss: paragraphs are its lines with their line feed, a section ends with a
-blank line or with a paragraph whose hash is 0 modulo ``SECTION``, and the leaves are a paragraph's
-sentences, long ones (over ``LONG`` characters) cut on after words whose crc32 is 0 modulo ``CUT``.
-Each cut depends on the text next to it alone, so an edit changes the leaves it touches and the
-nodes above them, and no other.  A leaf's hash is that of its characters, an inner node's that
-of its children's hashes, by level; the root is the fingerprint.
+blank line or with a paragraph whose hash begins with one of ``SECTION``, and the leaves are a
+paragraph's sentences, long ones (over ``LONG`` characters) cut on after words whose hash begins with
+``CUT``.  Each cut depends on the text next to it alone, so an edit changes the leaves it touches
+and the nodes above them, and no other.  A leaf's hash is that of its characters, an inner node's
+that of its children's hashes, by level (``DIGITS`` hexadecimal digits of SHA-256); the root is
+the fingerprint.
 
 Equal roots: equal texts.  Otherwise the comparison goes down: children that both nodes hold are
 equal as a whole, and only the branches that differ are opened.  The leaves left over locate the
@@ -31,7 +32,6 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
-from zlib import crc32
 
 import pyarrow as pa
 from pyspark.broadcast import Broadcast
@@ -40,27 +40,27 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.common import need, ship_by_value
 
-SECTION, LONG, CUT = 4, 240, 16
-#: Bytes of a hash.
-WIDTH = 16
+#: One paragraph in four ends a section, one word in sixteen a leaf of a long sentence.
+SECTION, LONG, CUT, DIGITS = "048c", 240, "0", 32
 #: Bytes of text of a range, and ranges at most (larger tables get larger ranges).
 RANGE_BYTES, RANGES = 8 << 20, 50_000
 
-SENTENCE = re.compile(r"[^.!?\n]*[.!?]*[^\S\n]*\n?")
-WORDS = re.compile(r"\S{1,64}\s*|\s+")
+BLANKS = " \t\n\r\x0b\x0c"
+SENTENCE = re.compile(r"[^.!?\n]*[.!?]*[ \t\r\x0b\x0c]*\n?")
+WORDS = re.compile(r"[^ \t\n\r\x0b\x0c]{1,64}[ \t\n\r\x0b\x0c]*|[ \t\n\r\x0b\x0c]+")
 
 ship_by_value(__name__)
 
 
 class Node(NamedTuple):
-    hash: bytes
+    hash: str
     start: int  # in code points
     chars: int
     children: list["Node"]
 
 
-def digest(level: bytes, data: bytes) -> bytes:
-    return hashlib.blake2b(data, digest_size=WIDTH, person=level).digest()
+def digest(level: str, data: str) -> str:
+    return hashlib.sha256(f"{level}:{data}".encode()).hexdigest()[:DIGITS]
 
 
 def pieces(paragraph: str) -> Iterator[str]:
@@ -73,15 +73,15 @@ def pieces(paragraph: str) -> Iterator[str]:
         held: list[str] = []
         for word in WORDS.findall(sentence):
             held.append(word)
-            if crc32(word.encode()) % CUT == 0:
+            if hashlib.sha256(word.encode()).hexdigest()[0] in CUT:
                 yield "".join(held)
                 held = []
         if held:
             yield "".join(held)
 
 
-def parent(level: bytes, children: list[Node], start: int) -> Node:
-    return Node(digest(level, b"".join(c.hash for c in children)), start, sum(c.chars for c in children), children)
+def parent(level: str, children: list[Node], start: int) -> Node:
+    return Node(digest(level, "".join(c.hash for c in children)), start, sum(c.chars for c in children), children)
 
 
 def tree(text: str | None) -> Node:
@@ -89,21 +89,21 @@ def tree(text: str | None) -> Node:
     sections, held, at = [], [], 0
 
     def close() -> None:
-        sections.append(parent(b"section", held, held[0].start))
+        sections.append(parent("section", held, held[0].start))
 
     for line in re.findall(r"[^\n]*\n|[^\n]+", text or ""):
         leaves, place = [], at
         for piece in pieces(line):
-            leaves.append(Node(digest(b"leaf", piece.encode()), place, len(piece), []))
+            leaves.append(Node(digest("leaf", piece), place, len(piece), []))
             place += len(piece)
-        held.append(parent(b"paragraph", leaves, at))
+        held.append(parent("paragraph", leaves, at))
         at += len(line)
-        if not line.strip() or held[-1].hash[0] % SECTION == 0:
+        if not line.strip(BLANKS) or held[-1].hash[0] in SECTION:
             close()
             held = []
     if held:
         close()
-    return parent(b"root", sections, 0)
+    return parent("root", sections, 0)
 
 
 def left_over(a: list[Node], b: list[Node]) -> tuple[list[Node], list[Node], int]:
@@ -160,7 +160,7 @@ def nodes_of(root: Node) -> list[dict]:
     """Root, sections and paragraphs, from above."""
     out, level = [], [root]
     for number in range(3):
-        out.extend({"level": number, "start": n.start, "chars": n.chars, "hash": n.hash.hex()} for n in level)
+        out.extend({"level": number, "start": n.start, "chars": n.chars, "hash": n.hash} for n in level)
         level = [c for n in level for c in n.children]
     return out
 
@@ -266,7 +266,7 @@ def neighbours(kind: pa.DataType) -> Callable[[Iterator[pa.RecordBatch]], Iterat
             changed = own if new == text else tree(new)
             left, _, common = differing(own, changed)
             near = 1.0 if own.hash == changed.hash else 2 * common / (own.chars + changed.chars)
-            values = (key, len(text), hashlib.sha256(new.encode()).hexdigest(), own.hash.hex(), changed.hash.hex(), near,
+            values = (key, len(text), hashlib.sha256(new.encode()).hexdigest(), own.hash, changed.hash, near,
                       likeness(own, other), left[0].start if left else None, left[-1].start + left[-1].chars if left else None)
             for column, value in zip(rows, values, strict=True):
                 column.append(value)

@@ -321,6 +321,86 @@ WITH crc AS (
 SELECT doc_id, n_features, weight, score,
        CASE WHEN n_features >= 20 AND place <= (SELECT 10 * count(*) // 100 FROM x WHERE n_features >= 20) THEN place END AS rank
 FROM r
+""",
+    # the nodes of all texts and edited texts by level; nodes that the other side lacks go on to the next level
+    "op12_merkle_fingerprints": r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, row_number() OVER (ORDER BY doc_id NULLS LAST) AS rid FROM documents
+), n AS (
+  SELECT *, coalesce(lead(rid) OVER (ORDER BY rid), 1) AS next_rid, coalesce(lead(t) OVER (ORDER BY rid), first_value(t) OVER (ORDER BY rid)) AS next_t
+  FROM d
+), e AS (
+  SELECT rid, doc_id, t, next_rid, left(t, length(t) - length(t) // 2) || left(next_t, length(t) // 2) AS x FROM n
+), texts AS (
+  SELECT 2 * rid AS tid, t FROM e UNION ALL SELECT 2 * rid + 1, x FROM e
+), lines AS (
+  SELECT tid, generate_subscripts(ls, 1) AS li, unnest(ls) AS line FROM (SELECT tid, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS ls FROM texts)
+), sentences AS (
+  SELECT tid, li, generate_subscripts(ss, 1) AS si, unnest(ss) AS s
+  FROM (SELECT tid, li, regexp_extract_all(line, '[^.!?\n]*[.!?]*[ \t\r\x0b\x0c]*\n?') AS ss FROM lines)
+), words AS (
+  SELECT tid, li, si, generate_subscripts(ws, 1) AS wi, unnest(ws) AS w
+  FROM (SELECT tid, li, si, CASE WHEN length(s) <= 240 THEN [s]
+                                 ELSE regexp_extract_all(s, '[^ \t\n\r\x0b\x0c]{1,64}[ \t\n\r\x0b\x0c]*|[ \t\n\r\x0b\x0c]+') END AS ws
+        FROM sentences WHERE s <> '')
+), cut AS (
+  SELECT *, coalesce(sum(CASE WHEN starts_with(sha256(w), '0') THEN 1 ELSE 0 END)
+                     OVER (PARTITION BY tid, li, si ORDER BY wi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ci FROM words
+), leaf AS (
+  SELECT tid, li, si, ci, left(sha256('leaf:' || string_agg(w, '' ORDER BY wi)), 32) AS h, CAST(sum(length(w)) AS BIGINT) AS c
+  FROM cut GROUP BY tid, li, si, ci
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY tid ORDER BY li, si, ci) AS k,
+         coalesce(sum(c) OVER (PARTITION BY tid ORDER BY li, si, ci ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
+  FROM leaf
+), par AS (
+  SELECT tid, li, left(sha256('paragraph:' || string_agg(h, '' ORDER BY k)), 32) AS h, sum(c) AS c FROM placed GROUP BY tid, li
+), ends AS (
+  SELECT par.*, regexp_full_match(line, '[ \t\n\r\x0b\x0c]*') OR left(h, 1) IN ('0', '4', '8', 'c') AS ends FROM par JOIN lines USING (tid, li)
+), numbered AS (
+  SELECT *, coalesce(sum(CASE WHEN ends THEN 1 ELSE 0 END)
+                     OVER (PARTITION BY tid ORDER BY li ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS xi FROM ends
+), sec AS (
+  SELECT tid, xi, left(sha256('section:' || string_agg(h, '' ORDER BY li)), 32) AS h, sum(c) AS c FROM numbered GROUP BY tid, xi
+), root AS (
+  SELECT tid, left(sha256('root:' || coalesce(string_agg(h, '' ORDER BY xi), '')), 32) AS h, coalesce(sum(c), 0) AS c
+  FROM texts LEFT JOIN sec USING (tid) GROUP BY tid
+), pair AS (
+  SELECT rid, 'edited' AS kind, 2 * rid AS a, 2 * rid + 1 AS b FROM e UNION ALL SELECT rid, 'next', 2 * rid, 2 * next_rid FROM e
+), side AS (
+  SELECT rid, kind, 'a' AS s, a AS tid FROM pair UNION ALL SELECT rid, kind, 'b', b FROM pair
+), r1 AS (
+  SELECT rid, kind, s, tid, xi, h, c, row_number() OVER (PARTITION BY rid, kind, s, h ORDER BY xi) AS k FROM side JOIN sec USING (tid)
+), l1 AS (
+  SELECT r1.*, coalesce(n, 0) AS n FROM r1 LEFT JOIN (SELECT rid, kind, s, h, count(*) AS n FROM r1 GROUP BY ALL) o
+  ON o.rid = r1.rid AND o.kind = r1.kind AND o.h = r1.h AND o.s <> r1.s
+), r2 AS (
+  SELECT rid, kind, s, tid, p.li, p.h, p.c, row_number() OVER (PARTITION BY rid, kind, s, p.h ORDER BY p.li) AS k
+  FROM l1 JOIN numbered p USING (tid, xi) WHERE l1.k > l1.n
+), l2 AS (
+  SELECT r2.*, coalesce(n, 0) AS n FROM r2 LEFT JOIN (SELECT rid, kind, s, h, count(*) AS n FROM r2 GROUP BY ALL) o
+  ON o.rid = r2.rid AND o.kind = r2.kind AND o.h = r2.h AND o.s <> r2.s
+), r3 AS (
+  SELECT rid, kind, s, tid, p.h, p.c, p.place, row_number() OVER (PARTITION BY rid, kind, s, p.h ORDER BY p.k) AS k
+  FROM l2 JOIN placed p USING (tid, li) WHERE l2.k > l2.n
+), l3 AS (
+  SELECT r3.*, coalesce(n, 0) AS n FROM r3 LEFT JOIN (SELECT rid, kind, s, h, count(*) AS n FROM r3 GROUP BY ALL) o
+  ON o.rid = r3.rid AND o.kind = r3.kind AND o.h = r3.h AND o.s <> r3.s
+), common AS (
+  SELECT rid, kind, sum(c) AS common FROM (
+    SELECT rid, kind, c FROM l1 WHERE s = 'a' AND k <= n UNION ALL SELECT rid, kind, c FROM l2 WHERE s = 'a' AND k <= n
+    UNION ALL SELECT rid, kind, c FROM l3 WHERE s = 'a' AND k <= n) GROUP BY ALL
+), near AS (
+  SELECT rid, kind, x.h AS ha, y.h AS hb,
+         CASE WHEN x.h = y.h THEN 1.0::DOUBLE ELSE CAST(2 * coalesce(common, 0) AS DOUBLE) / CAST(x.c + y.c AS DOUBLE) END AS near
+  FROM pair JOIN root x ON x.tid = a JOIN root y ON y.tid = b LEFT JOIN common USING (rid, kind)
+), span AS (
+  SELECT rid, CAST(min(place) AS BIGINT) AS edit_start, CAST(max(place + c) AS BIGINT) AS edit_end FROM l3
+  WHERE kind = 'edited' AND s = 'a' AND k > n GROUP BY rid
+)
+SELECT doc_id, CAST(length(t) AS BIGINT) AS n_chars, sha256(x) AS edited_sha256, f.ha AS fingerprint, f.hb AS edited_fingerprint,
+       f.near AS near_edited, g.near AS near_next, edit_start, edit_end
+FROM e JOIN near f ON f.rid = e.rid AND f.kind = 'edited' JOIN near g ON g.rid = e.rid AND g.kind = 'next' LEFT JOIN span ON span.rid = e.rid
 """,
     "op13_collocations": r"""
 WITH d AS (
