@@ -161,11 +161,12 @@ def training_pieces(df: DataFrame, text: str, lang: str, per_lang: int = PER_LAN
     Copies count once and ids play no part, so repeated or null ids change nothing."""
     rows = df.filter(F.col(lang).isNotNull() & letters(F.col(text))).select(
         F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("h"))
-    counts = rows.select("lang", "h").distinct().groupBy(F.col("lang").alias("c_lang")).agg(F.count(F.lit(1)).alias("n"))
-    langs = counts.count()
-    per_lang = min(per_lang, max(LEAST, SAMPLE // max(langs, 1)))
+    counts = rows.select("lang", "h").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
+    per_lang = min(per_lang, max(LEAST, SAMPLE // max(len(counts), 1)))
+    # a row for each label, as the network has an output for each: the texts aren't shuffled to meet it
+    shares = df.sparkSession.createDataFrame([(r["lang"], r["n"]) for r in counts], "c_lang string, n long")
     turn = F.pmod(F.xxhash64("h", F.lit("lang")), F.lit(1 << 30)) / float(1 << 30)
-    chosen = rows.join(counts, F.col("lang") == F.col("c_lang")).filter(turn * F.col("n") < per_lang)
+    chosen = rows.join(F.broadcast(shares), F.col("lang") == F.col("c_lang")).filter(turn * F.col("n") < per_lang)
     n = F.char_length("text")
     start = lambda i: (F.pmod(F.xxhash64("h", F.lit(i)), F.greatest(n - WINDOW, F.lit(1))) + 1).cast("int")
     pieces = F.array_distinct(F.array(*[F.substring(F.col("text"), start(i), F.lit(WINDOW)) for i in range(PIECES)]))

@@ -133,21 +133,26 @@ def mix(df: DataFrame, store: Callable[[DataFrame], DataFrame], text: str = "tex
     need(df, text, id_col, source)
     made = ["size", "source_size", "target", "copies"]
     columns = [c for c in (keep_columns if keep_columns is not None else df.columns) if c.lower() not in made]
-    narrow = df.select(F.coalesce(F.col(source).cast("string"), F.lit("")).alias("src"), F.col(source).isNull().alias("no_src"),
-                       word_count(F.col(text)).alias("size"))
-    sizes = store(narrow.groupBy("src", "no_src").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows")))
-    total, rows = sizes.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.coalesce(F.sum("rows"), F.lit(0))).first()
-    plan = mixing_plan(sizes.select("src", "no_src", "source_size"), total, store, shards, weights, share, cap,
-                       block_words, seed)
     df = df.drop(*[c for c in df.columns if c.lower() in made])
     src, no_src, part, turn, size, at = fresh(df, "src", "no_src", "part", "turn", "size", "at")
-    n_parts = isqrt(rows) + 1  # as many parts of a source as rows in a part, at any size
     placed = df.select(*columns, *[c for c in (id_col, source) if c not in columns],
                        F.coalesce(F.col(source).cast("string"), F.lit("")).alias(src), F.col(source).isNull().alias(no_src),
                        word_count(F.col(text)).alias(size), F.xxhash64(F.lit(seed), F.col(id_col)).alias(turn))
-    placed = placed.withColumn(part, F.pmod(F.col(turn), F.lit(n_parts)).cast("int"))
+    # words are counted once where the texts don't come along, else once more for the rows themselves
+    if text in columns:
+        narrow = store(placed.select(src, no_src, size, turn))
+    else:
+        narrow = placed = store(placed)
+    sizes = store(narrow.groupBy(F.col(src).alias("src"), F.col(no_src).alias("no_src"))
+                  .agg(F.sum(size).alias("source_size"), F.count(F.lit(1)).alias("rows")))
+    total, rows = sizes.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.coalesce(F.sum("rows"), F.lit(0))).first()
+    plan = mixing_plan(sizes.select("src", "no_src", "source_size"), total, store, shards, weights, share, cap,
+                       block_words, seed)
+    n_parts = isqrt(rows) + 1  # as many parts of a source as rows in a part, at any size
+    dealt = F.pmod(F.col(turn), F.lit(n_parts)).cast("int")
+    placed, narrow = placed.withColumn(part, dealt), narrow.withColumn(part, dealt)
     keys = [src, no_src, part]
-    sums = placed.groupBy(*[F.col(c).alias(f"k_{i}") for i, c in enumerate(keys)]).agg(F.sum(size).alias("k_sum"))
+    sums = narrow.groupBy(*[F.col(c).alias(f"k_{i}") for i, c in enumerate(keys)]).agg(F.sum(size).alias("k_sum"))
     before = Window.partitionBy("k_0", "k_1").orderBy("k_2").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.withColumn("k_from", F.coalesce(F.sum("k_sum").over(before), F.lit(0))).drop("k_sum")
     inner = Window.partitionBy(*keys).orderBy(turn, F.col(id_col), size).rowsBetween(Window.unboundedPreceding, 0)
