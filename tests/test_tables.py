@@ -298,13 +298,14 @@ def test_scratch_root_unset_local_registers_own_folder_unset_cluster_raises():
 
 def test_clear_scratch_leaves_other_applications_alone(spark, tmp):
     import os
+    import uuid
 
     from tidewater import session
 
     own = session.pinned(spark.range(5), "own")
     assert own.count() == 5
     root = session.app_folder(spark).replace("file:", "")
-    other = os.path.join(os.path.dirname(root), "another-application", "pinned-1")
+    other = os.path.join(os.path.dirname(root), f"another-{uuid.uuid4().hex}", "pinned-1")
     os.makedirs(other)
     session.clear_scratch(spark)
     assert os.path.isdir(other) and not os.path.exists(root)
