@@ -225,8 +225,9 @@ def test_hot_month_is_split_across_files(spark, tmp):
     partition over several tasks (files) instead of one."""
     import glob
 
-    from tidewater.sources.tables import write_partitioned_path
+    from tidewater.sources.tables import table_location
 
+    ensure_zone(spark, "t_hot", f"{tmp}/hot")
     df = spark.range(0, 90000).select(
         F.when(F.col("id") < 30000, F.lit(2015)).otherwise((F.col("id") % 7 + 2008).cast("int")).alias("pickup_year"),
         F.when(F.col("id") < 30000, F.lit(1)).otherwise((F.col("id") % 12 + 1).cast("int")).alias("pickup_month"),
@@ -236,14 +237,13 @@ def test_hot_month_is_split_across_files(spark, tmp):
     spark.conf.set(keys[0], "256k")
     spark.conf.set(keys[1], "64k")
     try:
-        path = f"{tmp}/hot"
-        write_partitioned_path(df.repartition(8), path)
+        write_partitioned(df.repartition(8), "t_hot.t")
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    hot_files = glob.glob(f"{path}/pickup_year=2015/pickup_month=1/*.parquet")
+    hot_files = glob.glob(f"{table_location(spark, 't_hot.t')}/pickup_year=2015/pickup_month=1/*.parquet")
     assert len(hot_files) > 1
-    back = spark.read.parquet(path)
+    back = scan_table(spark, "t_hot", "t")
     assert back.count() == 90000
     assert back.where("pickup_year = 2015 AND pickup_month = 1").count() >= 30000
 

@@ -269,14 +269,14 @@ def refreshed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def q_list_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S8 over the refreshed zones, with the rows that each listed table has."""
-    from tidewater.sources.catalog import list_tables
+    from tidewater.sources.catalog import list_tables, table_names
 
     zones = refresh_zones(spark, sf_dir)
-    listed, counts = [list_tables(spark, z) for z in zones], []
-    for z, table in ((REFRESH_RAW, "green_taxi_pre2015"), (REFRESH_CLEAN, "green_clean")):
-        counts.append(scan_table(spark, z, table).agg(F.count(F.lit(1)).alias("n_rows"))
-                      .select(F.lit(z).alias("database"), F.lit(table).alias("tableName"), "n_rows"))
-    return listed[0].unionByName(listed[1]).join(counts[0].unionByName(counts[1]), ["database", "tableName"], "left")
+    listed = reduce(lambda a, b: a.unionByName(b), [list_tables(spark, z) for z in zones])
+    counts = [scan_table(spark, z, t).agg(F.count(F.lit(1)).alias("n_rows"))
+              .select(F.lit(z).alias("database"), F.lit(t).alias("tableName"), "n_rows")
+              for z in zones for t in table_names(spark, z)]
+    return listed.join(reduce(lambda a, b: a.unionByName(b), counts), ["database", "tableName"], "left")
 
 
 def q_table_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -315,14 +315,6 @@ def write_partitioned(
     _switch(rebalanced(df, cols) if rebalance else df, name, cols)
 
 
-def write_partitioned_path(
-    df: DataFrame, path: str, cols: Sequence[str] = PARTITION_COLUMNS, rebalance: bool = True
-) -> None:
-    """S6 for a bare folder instead of a catalog table."""
-    out = rebalanced(df, cols) if rebalance else df
-    out.write.mode("overwrite").partitionBy(*cols).parquet(path)
-
-
 def append_table(df: DataFrame, name: str) -> None:
     """S5 for a catalog table: append by column name.  Columns that the table lacks are added
     to it (NULL in its old rows); columns that ``df`` lacks are NULL in the new rows; a
