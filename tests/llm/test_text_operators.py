@@ -383,6 +383,23 @@ def test_tree_deals_every_block_once(spark):
 
 # --- token counts ----------------------------------------------------------------------------------
 
+def test_head_of_the_vocabulary_is_bounded(spark):
+    from tidewater.llm.token_counts import cut_off
+
+    rng = random.Random(1)
+    for counts in ([rng.choice([1, 1, 1, 2, 3, 70, 71, 5000, 10**9, 10**15]) for _ in range(500)], [7] * 50, list(range(1, 400)), []):
+        vocab = spark.createDataFrame([(f"w{i}", n) for i, n in enumerate(counts)], "pretoken string, n long")
+        for head in (0, 1, 49, 50, 300, 10_000):
+            least = cut_off(vocab, head)
+            taken = [n for n in counts if n >= least]
+            assert len(taken) <= head  # the most frequent ones, as many steps of the histogram as fit
+            if head >= len(counts):
+                assert len(taken) == len(counts)
+    low = [n for n in range(1, 64) for _ in range(3)]  # exact steps: the next frequency would be too many
+    least = cut_off(spark.createDataFrame([(f"w{i}", n) for i, n in enumerate(low)], "pretoken string, n long"), 100)
+    assert sum(n >= least for n in low) == 99
+
+
 @pytest.mark.parametrize("head", [0, 1 << 17])
 def test_token_counts_equal_the_library(spark, store, docs, head):
     import sentencepiece
@@ -390,7 +407,8 @@ def test_token_counts_equal_the_library(spark, store, docs, head):
     from tidewater.llm.token_counts import count_tokens, model_path
 
     model = sentencepiece.SentencePieceProcessor(model_file=model_path())
-    for df in (docs, brute.messy(spark)):
+    named = brute.messy(spark).withColumn("doc_id", F.concat(F.lit("d-"), F.col("doc_id").cast("string")))
+    for df in (docs, brute.messy(spark), named):  # ids of any type
         out = count_tokens(spark, df, store, model_path(), limit=100, head=head)
         expected = []
         for r in df.collect():

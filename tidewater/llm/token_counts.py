@@ -17,7 +17,7 @@ Token ids are never kept.  A task holds one Arrow batch of texts, and the distin
 of ``SLICE`` characters of text at a time.
 
 Defined results: a null text is empty, 0 bytes and 0 tokens; repeated rows give equal rows;
-an empty table gives an empty table.
+an empty table gives an empty table; ids are of any type.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tidewater.llm.common import need, ship_by_value
 
@@ -103,11 +104,11 @@ def piece_counts(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
     return run
 
 
-def frequencies(head) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def frequencies(head, kind: pa.DataType) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Rows (id, h, text) to (id, h, own, pretoken, n, pieces): for each document one row of its
     own (its hash as pre-token, its bytes as n, and the pieces of its head pre-tokens), and a row
     for each other pre-token with its frequency."""
-    types = (pa.int64(), pa.int64(), pa.bool_(), pa.string(), pa.int64(), pa.int64())
+    types = (kind, pa.int64(), pa.bool_(), pa.string(), pa.int64(), pa.int64())
     names = ["id", "h", "own", "pretoken", "n", "pieces"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,12 +174,13 @@ def count_tokens(spark: SparkSession, df: DataFrame, store: Callable[[DataFrame]
     """(id, n_bytes, n_tokens, over_limit) of every row of ``df``."""
     need(df, text, id_col)
     t = F.coalesce(F.col(text), F.lit(""))
-    docs = df.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(t).alias("h"), t.alias("t"))
+    docs = df.select(F.col(id_col).alias("id"), F.xxhash64(t).alias("h"), t.alias("t"))
     vocab = vocabulary(docs, store, "t", path)
     short = vocab.filter(F.char_length("pretoken") <= HEAD_CHARS)
     top = short.filter(F.col("n") >= cut_off(short, head)).select("pretoken", "pieces").toArrow()  # at most ``head``
     known = spark.sparkContext.broadcast(dict(zip(top.column(0).to_pylist(), top.column(1).to_pylist(), strict=True)))
-    rows = docs.mapInArrow(frequencies(known), "id long, h long, own boolean, pretoken string, n long, pieces long")
+    kind = docs.schema["id"].dataType
+    rows = docs.mapInArrow(frequencies(known, to_arrow_type(kind)), f"id {kind.simpleString()}, h long, own boolean, pretoken string, n long, pieces long")
     # documents' own rows match nothing: a join key of their own spreads them
     ones = vocab.select(F.lit(False).alias("v_own"), F.col("pretoken").alias("v_pretoken"), F.col("pieces").alias("one"))
     joined = rows.join(ones, (F.col("own") == F.col("v_own")) & (F.col("pretoken") == F.col("v_pretoken")), "left")

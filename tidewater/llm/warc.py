@@ -19,7 +19,8 @@ back is a join that Spark splits when skewed.
 Defined results: null html is an empty payload; a null id is written as an empty id and read
 back as null (it counts as the smallest; if all ids of a payload are null, each record is a
 response, since a revisit would have nothing to name); of repeated rows with
-the largest id all are responses; a null url is written as an empty target; an empty table
+the largest id all are responses; a null url is written as an empty target, and a url's line breaks and
+outer blanks, which a header line can't hold, become blanks and go; an empty table
 writes nothing and gives an empty table.
 """
 
