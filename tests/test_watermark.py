@@ -82,8 +82,9 @@ def test_footers_and_shared_scans_equal_the_full_aggregation(spark, tmp):
     tables = {t.name: spark.table(f"t_wm_foot.{t.name}") for t in spark.catalog.listTables("t_wm_foot") if not t.isTemporary}
     assert len(tables) == 11
     expected = key(watermarks_of(tables, "t_wm_foot", "t"))
-    assert key(watermarks(spark, "t_wm_foot", "t")) == expected == key(watermarks(spark, "t_wm_foot", "t", footers=False))
-    assert key(watermarks(spark, "t_wm_foot", {t: "t" for t in tables}, kinds=["low_watermark"])) == \
+    for footers in (True, False, None):
+        assert key(watermarks(spark, "t_wm_foot", "t", footers=footers)) == expected
+    assert key(watermarks(spark, "t_wm_foot", {t: "t" for t in tables}, kinds=["low_watermark"], footers=True)) == \
         [r for r in expected if "low_watermark" in r]
 
 
@@ -96,7 +97,7 @@ def test_footers_read_no_rows_and_the_plan_is_no_larger_for_more_tables(spark, t
                 write_replace(spark.createDataFrame([(f"2020-01-{i + 1:02} 00:00:00",)], "t string").select(
                     F.to_timestamp_ntz("t").alias("t")), f"t_wm_many.ntz_{i}")
                 write_replace(spark.createDataFrame([(f"2020-01-{i + 1:02}",)], "t string"), f"t_wm_many.text_{i}")
-        df = watermarks(spark, "t_wm_many", "t")
+        df = watermarks(spark, "t_wm_many", "t", footers=True)
         capsys.readouterr()
         df.explain()
         plan = capsys.readouterr().out

@@ -37,8 +37,9 @@ FOOTER_TYPES: dict[type, Callable[[Column], Column]] = {
     T.DateType: lambda x: F.date_from_unix_date(x.cast("int")), T.TimestampType: F.timestamp_micros,
     T.TimestampNTZType: lambda x: F.timestamp_add("MICROSECOND", x, F.lit(datetime(1970, 1, 1)).cast("timestamp_ntz")),
 }
-# Tasks that read footers at most.
+# Tasks that read footers at most, and files from which on a job for the footers alone is worth it.
 FOOTER_TASKS = 4096
+FOOTER_FILES = 64
 
 # The two watermark kinds and the aggregate each one takes.
 KINDS = {"high_watermark": "max", "low_watermark": "min"}
@@ -202,11 +203,11 @@ def read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                             "hi": pd.array([f[1] for f in found], dtype="Int64"), "known": [f[2] for f in found]})
 
 
-def _folders(spark: SparkSession, tables: Mapping[str, tuple[str, str]]) -> DataFrame:
-    """(folder, table_name, ts) with the folder as a file's URI begins with it."""
+def _folders(spark: SparkSession, tables: Mapping[str, tuple[str, str]]) -> tuple[DataFrame, list[int]]:
+    """(folder, table_name, ts) with the folder as a file's URI begins with it, and the folders' depths."""
     uri = lambda p: spark._jvm.org.apache.hadoop.fs.Path(p).toUri().toString()
     plain = [(re.sub(r"^file:/+", "/", uri(folder)).rstrip("/"), t, ts) for t, (folder, ts) in tables.items()]
-    return spark.createDataFrame(plain, "folder string, table_name string, ts string")
+    return spark.createDataFrame(plain, "folder string, table_name string, ts string"), sorted({x[0].count("/") + 1 for x in plain})
 
 
 def _with_table(files: DataFrame, folders: DataFrame, depths: Iterable[int]) -> DataFrame:
@@ -214,7 +215,7 @@ def _with_table(files: DataFrame, folders: DataFrame, depths: Iterable[int]) ->
     of folders, of which a zone has few."""
     plain = F.regexp_replace("file", "^file:/+", "/")
     parts = []
-    for d in sorted(set(depths)):
+    for d in depths:
         at_depth = folders.where(F.size(F.split("folder", "/")) == d)
         parts.append(files.join(F.broadcast(at_depth), F.substring_index(plain, "/", d) == F.col("folder")))
     return reduce(lambda a, b: a.unionByName(b), parts)
@@ -226,8 +227,7 @@ def zone_bounds(spark: SparkSession, tables: Mapping[str, tuple[str, str]], dtyp
     all such tables in one scan."""
     from tidewater.session import pinned
 
-    folders = _folders(spark, tables)
-    depths = [r[0] for r in folders.select(F.size(F.split("folder", "/"))).distinct().collect()]
+    folders, depths = _folders(spark, tables)
     names = folders.select("table_name")
     known, rest, parts = [], dict(tables), []
     if footers and type(dtype) in FOOTER_TYPES:
@@ -258,10 +258,11 @@ def watermarks(
     cluster: str = DEFAULT_CLUSTER,
     database: str = DEFAULT_DATABASE,
     missing: str = "raise",
-    footers: bool = True,
+    footers: bool | None = None,
 ) -> DataFrame:
     """A3: watermarks of every table of a zone (``SHOW TABLES IN zone``), as :func:`watermarks_of`
-    gives them, from footers and shared scans (see above; ``footers=False`` reads all rows)."""
+    gives them, from footers and shared scans (see above).  ``footers`` False reads all rows; None
+    does so for columns of one name and type that have fewer than ``FOOTER_FILES`` files in all."""
     kinds, branches, groups = list(kinds), {}, {}
     for t in table_names(spark, zone):
         df = scan_table(spark, zone, t)
@@ -271,12 +272,20 @@ def watermarks(
                 and details.get("Partition Provider") != "Catalog"
                 and actual.lower() not in [c.lower() for c in partition_columns(spark, table_name(zone, t))]):
             dtype = df.schema[actual].dataType
-            groups.setdefault(dtype.simpleString(), (dtype, {}))[1][t] = (details["Location"], actual)
+            group = groups.setdefault((dtype.simpleString(), actual.lower()), (dtype, {}, []))
+            group[1][t] = (details["Location"], actual)
+            group[2].append(df)
         else:
             branches[t] = df
+    by_footers = {}
+    for kind, (dtype, tables, frames) in list(groups.items()):
+        by_footers[kind] = footers if footers is not None else sum(len(df._jdf.inputFiles()) for df in frames) >= FOOTER_FILES
+        if not by_footers[kind] and len(tables) == 1:  # nothing to share
+            branches[next(iter(tables))] = frames[0]
+            del groups[kind]
     if any(k not in KINDS for k in kinds) or not groups:
         return watermarks_of(branches, zone, ts_col, kinds, cluster, database, missing, spark=spark)
-    shared = [_records(_as_text(zone_bounds(spark, tables, dtype, footers), dtype), zone, kinds, cluster, database)
-              for dtype, tables in groups.values()]
+    shared = [_records(_as_text(zone_bounds(spark, tables, dtype, by_footers[kind]), dtype), zone, kinds, cluster, database)
+              for kind, (dtype, tables, _) in groups.items()]
     own = [watermarks_of(branches, zone, ts_col, kinds, cluster, database, missing, spark=spark)] if branches else []
     return reduce(lambda a, b: a.unionByName(b), shared + own)

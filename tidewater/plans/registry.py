@@ -256,12 +256,13 @@ def refresh_zones(spark: SparkSession, sf_dir: str) -> list[str]:
     return [REFRESH_RAW, REFRESH_CLEAN]
 
 
-def refreshed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """W4 over these zones, published into an old graph of the events' relations."""
+def refreshed(spark: SparkSession, sf_dir: str, zones: list[str] | None = None) -> dict[str, DataFrame]:
+    """W4 over these zones (loaded first, unless given), published into an old graph of the events'
+    relations."""
     from tidewater.operators.graph import NODE_SCHEMA
     from tidewater.plans.refresh import metadata_refresh
 
-    zones = refresh_zones(spark, sf_dir)
+    zones = zones or refresh_zones(spark, sf_dir)
     old = (spark.createDataFrame([], NODE_SCHEMA), _event_edges(spark, sf_dir))
     return metadata_refresh(spark, [*zones, REFRESH_OTHER], EXPIRY_NOW_MS, graph=old, include=zones,
                             profile_digits=REPORT_DIGITS)
@@ -305,12 +306,12 @@ def q_metadata_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
         "start_key", "start_label", "end_key", "end_label", "type", "reverse_type", "publish_tag", "last_updated")
 
 
-def q_search_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M4 over the metadata graph of the refreshed zones."""
+def q_search_documents(spark: SparkSession, sf_dir: str, zones: list[str] | None = None) -> DataFrame:
+    """M4 over the metadata graph of the refreshed zones (loaded first, unless given)."""
     from tidewater.operators.graph import metadata_graph, search_documents
     from tidewater.sources.catalog import table_metadata
 
-    docs = search_documents(*metadata_graph(table_metadata(spark, refresh_zones(spark, sf_dir))))
+    docs = search_documents(*metadata_graph(table_metadata(spark, zones or refresh_zones(spark, sf_dir))))
     return docs.select("key", "database", "cluster", "schema", "name", "description",
                        F.array_join("column_names", ",").alias("column_names"), "column_count")
 
@@ -513,9 +514,9 @@ def q_write_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("n_distinct").cast("long").alias("n_distinct"), F.col("mean").cast("double").alias("mean"))
 
 
-def q_metadata_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_metadata_refresh(spark: SparkSession, sf_dir: str, zones: list[str] | None = None) -> DataFrame:
     """W4 end to end: the published nodes (key, label, name) and, for watermarks, the value."""
-    return refreshed(spark, sf_dir)["nodes"].select(
+    return refreshed(spark, sf_dir, zones)["nodes"].select(
         "key", "label", "name", F.col("attrs")["partition_value"].alias("partition_value"))
 
 
