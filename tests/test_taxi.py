@@ -1,8 +1,13 @@
+import glob
+import os
+
 from pyspark.sql import functions as F
 
 from tidewater.operators.merge import merge_eras, union_sources
-from tidewater.plans import taxi
+from tidewater.plans import registry, taxi
 from tidewater.plans.standins import standin
+from tidewater.sources.files import scan_csv
+from tidewater.sources.tables import OPEN_FILES, ensure_zone, write_partitioned, write_replace
 
 from conftest import SMALL
 
@@ -64,3 +69,81 @@ def test_processed_union(spark):
     assert p.where(F.col("rate_code").isNull()).count() >= g.count()
     tagged = union_sources(g, y, tag_yellow=True)
     assert tagged.where(F.col("data_source") == "yellow").count() == y.count()
+
+
+def _clean_tables(spark, zone, tmp):
+    ensure_zone(spark, zone, f"{tmp}/{zone}")
+    green, yellow = standin(spark, SMALL, "g2"), standin(spark, SMALL, "y1")
+    write_partitioned(taxi.clean_green(taxi.raw_fix(green)), f"{zone}.green_clean")
+    write_partitioned(taxi.clean_yellow(taxi.raw_fix(yellow)), f"{zone}.yellow_clean")
+
+
+def test_processed_is_written_without_a_sort(spark, tmp, monkeypatch):
+    # by default Spark sorts a task's rows by the layout, which spills
+    _clean_tables(spark, "unsorted", tmp)
+    seen = []
+
+    def write(df, *args, **more):
+        seen.append((df.sparkSession.conf.get("spark.sql.maxConcurrentOutputFileWriters"),
+                     df.sparkSession.conf.get("spark.sql.session.timeZone")))
+        write_partitioned(df, *args, **more)
+
+    monkeypatch.setattr(taxi, "write_partitioned", write)
+    zone, before = spark.conf.get("spark.sql.session.timeZone"), spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        taxi.load_processed(spark, "unsorted", "unsorted")
+        held = spark.table("unsorted.nyc_taxi_dataset")
+        n = held.count()
+        taxi.load_processed(spark, "unsorted", "unsorted", tag_yellow=True)  # replaced: the caller's name shows the new rows
+        now = spark.table("unsorted.nyc_taxi_dataset")
+        assert seen == [(str(OPEN_FILES), "Asia/Tokyo")] * 2  # the caller's settings go along
+        assert n == now.count() == spark.table("unsorted.green_clean").count() + spark.table("unsorted.yellow_clean").count()
+        assert held.where("data_source IS NULL").count() and not now.where("data_source IS NULL").count()
+        want = taxi.processed(spark.table("unsorted.green_clean"), spark.table("unsorted.yellow_clean"), tag_yellow=True)
+        assert not now.exceptAll(want.select(now.columns)).count()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+
+
+def test_more_months_than_open_files(spark, tmp):
+    # beyond the limit Spark sorts the rest: no row is lost, no month doubled
+    _clean_tables(spark, "few_files", tmp)
+    spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", "2")
+    try:
+        taxi.load_processed(spark, "few_files", "few_files")
+    finally:
+        spark.conf.unset("spark.sql.maxConcurrentOutputFileWriters")
+    got = spark.table("few_files.nyc_taxi_dataset")
+    want = taxi.processed(spark.table("few_files.green_clean"), spark.table("few_files.yellow_clean")).select(got.columns)
+    assert got.count() == want.count() and not got.exceptAll(want).count()
+
+
+def test_gzipped_landing_files_hold_the_same_rows(spark, tmp, monkeypatch):
+    monkeypatch.setattr(registry, "LANDING_ROWS", 500)
+    plain = registry.write_standin_csv(spark, SMALL, "g1", f"{tmp}/plain")
+    packed = registry.write_standin_csv(spark, SMALL, "g1", f"{tmp}/packed", compression="gzip")
+    files = glob.glob(f"{packed}/*.csv.gz")
+    assert len(files) > 1
+    assert sum(map(os.path.getsize, files)) < 0.5 * sum(map(os.path.getsize, glob.glob(f"{plain}/*.csv")))
+    a, b = scan_csv(spark, plain), scan_csv(spark, packed)
+    assert a.columns == b.columns and a.count() == b.count() and not a.exceptAll(b).count()
+
+
+def test_zone_tables_are_compressed_by_zstd_unless_the_session_says(spark, tmp):
+    import pyarrow.parquet as pq
+
+    ensure_zone(spark, "codecs", f"{tmp}/codecs")
+
+    def codec():
+        write_replace(spark.range(10), "codecs.t")
+        files = spark.table("codecs.t").inputFiles()
+        return pq.ParquetFile(files[0].removeprefix("file://")).metadata.row_group(0).column(0).compression
+
+    assert codec() == "ZSTD"
+    spark.conf.set("spark.sql.parquet.compression.codec", "snappy")
+    try:
+        assert codec() == "SNAPPY"
+    finally:
+        spark.conf.unset("spark.sql.parquet.compression.codec")

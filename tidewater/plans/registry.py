@@ -520,22 +520,27 @@ def q_metadata_refresh(spark: SparkSession, sf_dir: str, zones: list[str] | None
         "key", "label", "name", F.col("attrs")["partition_value"].alias("partition_value"))
 
 
-def write_standin_csv(spark: SparkSession, sf_dir: str, name: str, path: str) -> str:
+# Rows of a compressed landing file, which one task reads: about 120 MB of text.
+LANDING_ROWS = 1_000_000
+
+
+def write_standin_csv(spark: SparkSession, sf_dir: str, name: str, path: str, compression: str = "none") -> str:
     """A stand-in era as CSV files with its real header (``Trip_type `` included)."""
-    (standin(spark, sf_dir, name).write.option("header", True)
+    files = {} if compression == "none" else {"maxRecordsPerFile": LANDING_ROWS}
+    (standin(spark, sf_dir, name).write.options(header=True, compression=compression, **files)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     return path
 
 
 def q_taxi_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """W1-W3 end to end through tables: CSV eras -> raw zone (S1, P1, S3) -> merged
+    """W1-W3 end to end through tables: gzipped CSV eras -> raw zone (S1, P1, S3) -> merged
     raw tables (U2) -> clean zone (partitioned) -> processed zone (U1, partitioned)."""
     root = scratch_path(spark, "taxi_load")
     raw, clean, proc = _unique("tw_raw"), _unique("tw_clean"), _unique("tw_processed")
     eras = {"g1": "green_taxi_pre2015", "g2": "green_taxi_2015_h1", "g3": "green_taxi_2015_h2_2016_h1",
             "y1": "yellow_taxi_pre2015", "y2": "yellow_taxi_2015_2016_h1"}
     for era, table in eras.items():
-        folder = write_standin_csv(spark, sf_dir, era, f"{root}/landing/{era}")
+        folder = write_standin_csv(spark, sf_dir, era, f"{root}/landing/{era}", compression="gzip")
         taxi.ingest_raw(spark, [folder], raw, table, location=f"{root}/raw")
     taxi.load_green(spark, raw, [eras[era] for era in GREEN_ERAS], clean, clean_location=f"{root}/clean")
     taxi.load_yellow(spark, raw, [eras["y1"], eras["y2"]], clean, clean_location=f"{root}/clean")

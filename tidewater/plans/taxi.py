@@ -32,6 +32,7 @@ from tidewater.sources.tables import (
     ensure_zone,
     scan_table,
     table_name,
+    unsorted_writes,
     write_overwrite,
     write_partitioned,
     write_replace,
@@ -170,11 +171,13 @@ def load_processed(spark: SparkSession, clean_zone: str, processed_zone: str,
                    tag_yellow: bool = False) -> None:
     """Union the clean tables and write the processed table partitioned.
 
-    Both inputs are already laid out by (year, month), so no shuffle is added here.
+    Both inputs are already laid out by (year, month), so no shuffle is added here; a task's
+    rows aren't sorted either, since its input files are of few months.
     """
     ensure_zone(spark, processed_zone, location)
-    out = processed(scan_table(spark, clean_zone, green), scan_table(spark, clean_zone, yellow), tag_yellow)
-    write_partitioned(out, table_name(processed_zone, target), rebalance=False)
+    writer = unsorted_writes(spark)
+    out = processed(scan_table(writer, clean_zone, green), scan_table(writer, clean_zone, yellow), tag_yellow)
+    write_partitioned(out, table_name(processed_zone, target), rebalance=False, spark=spark)
 
 
 __all__ = [

@@ -40,6 +40,10 @@ VERSION = "-version-"
 DESCRIPTION_FILE = "_version.json"
 STAMP = "%Y%m%dT%H%M%S%f"
 
+# The codec of versions where the session names none; files that a task may keep open (see unsorted_writes).
+CODEC, CODEC_CONF = "zstd", "spark.sql.parquet.compression.codec"
+OPEN_FILES, OPEN_FILES_CONF = 200, "spark.sql.maxConcurrentOutputFileWriters"
+
 
 def table_name(zone: str, table: str) -> str:
     return f"{quote(zone)}.{quote(table)}"
@@ -129,6 +133,20 @@ def _untracked(spark: SparkSession) -> SparkSession:
     return session
 
 
+def unsorted_writes(spark: SparkSession) -> SparkSession:
+    """A session over the same catalog, with the caller's settings, whose partitioned writes keep up to
+    ``OPEN_FILES`` files of a task open.  Spark else sorts a task's rows by the layout, which spills where
+    a task reads some ten MB of Parquet; beyond that many files it sorts the rest.  The caller's session
+    keeps its settings, and a number of open files that it names holds."""
+    session = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            session.conf.set(key, value)
+    if spark.conf.get(OPEN_FILES_CONF, None) is None:
+        session.conf.set(OPEN_FILES_CONF, str(OPEN_FILES))
+    return session
+
+
 def _columns(schema: T.StructType) -> str:
     out = []
     for f in schema.fields:
@@ -205,15 +223,17 @@ def _prefix(spark: SparkSession, zone: str, table: str) -> str:
     return f"{_plain(spark.catalog.getDatabase(zone).locationUri)}/{table}{VERSION}"
 
 
-def _switch(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
-    """Replace table ``name`` by a new version; only when its rows are written does the name change."""
-    spark = df.sparkSession
+def _switch(df: DataFrame, name: str, partition_by: Sequence[str] = (), spark: SparkSession | None = None) -> None:
+    """Replace table ``name`` by a new version; only when its rows are written does the name change.
+    ``spark``: the session that goes on using the name, if it isn't the one that ``df`` is of."""
+    spark = spark or df.sparkSession
     zone, table = _zone_and_table(spark, name)
     path = f"{_prefix(spark, zone, table)}{datetime.now(timezone.utc).strftime(STAMP)}-{uuid.uuid4().hex[:6]}"
     partition_by = [next((f for f in df.columns if f.lower() == c.lower()), c) for c in partition_by]
     schema = _in_order(df.schema, partition_by)
     try:
         w = df.write.mode("errorifexists")
+        w = w if spark.conf.get(CODEC_CONF, None) else w.option("compression", CODEC)
         (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
         _describe(spark, path, schema, partition_by)
     except Exception:
@@ -309,10 +329,12 @@ def write_partitioned(
     name: str,
     cols: Sequence[str] = PARTITION_COLUMNS,
     rebalance: bool = True,
+    spark: SparkSession | None = None,
 ) -> None:
     """Overwrite as a table partitioned by ``cols``; NULL keys go to the default
-    partition.  ``rebalance`` bounds the file count (see :func:`rebalanced`)."""
-    _switch(rebalanced(df, cols) if rebalance else df, name, cols)
+    partition.  ``rebalance`` bounds the file count (see :func:`rebalanced`); ``spark`` is the
+    caller's session where ``df`` is of another one."""
+    _switch(rebalanced(df, cols) if rebalance else df, name, cols, spark)
 
 
 def append_table(df: DataFrame, name: str) -> None:
